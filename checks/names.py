@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import table
+from checks.tables import SOURCE_TYPES, table
 from millrace.functions.names import rename_safe, sanitized, with_select_items
 from millrace.functions.typemap import numeric_scale_profile, schema_map
 from millrace.model import CATALOGUE_SCHEMA
 from millrace.operators.schema_diff import schema_diff
 
-# The source types that lineitem would have, by Spark type.
-SOURCE_TYPES = {"bigint": "NUMBER", "int": "NUMBER", "double": "NUMBER", "string": "VARCHAR2",
-                "timestamp_ntz": "TIMESTAMP(6)"}
-
 
 def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url", sanitized("url").alias("safe_name"))

@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import NAMES, source, table
-from millrace.model import TableJob
+from checks.tables import NAMES, SOURCE_TYPES, source, table
+from millrace.functions.typemap import numeric_scale_profile, schema_ddl, schema_map
+from millrace.model import CATALOGUE_SCHEMA, TableJob
 from millrace.operators.cdc import key_maximum
-from millrace.sources.extract import Extract
+from millrace.sources.extract import Extract, typed
 from millrace.sources.jdbc import fetch_size
 from millrace.sources.lake import empty_like, enabled_jobs
 
@@ -26,6 +27,15 @@ def extract(fields: str | None = None, where: str | None = None):
     return run
 
 
+def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the types that their numbers' profile and their source types call for."""
+    orders = table(spark, sf_dir, "orders")
+    rows = [(name, SOURCE_TYPES[kind], i) for i, (name, kind) in enumerate(orders.dtypes, start=1)]
+    catalogue = spark.createDataFrame(rows, CATALOGUE_SCHEMA)
+    read = typed(orders, schema_ddl(schema_map(catalogue, numeric_scale_profile(orders))))
+    return read.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     config = customer.select(
@@ -68,6 +78,7 @@ QUERIES = {
     "extract_fields": extract(fields=FIELDS),
     "extract_where": extract(where=WHERE),
     "extract_fields_where": extract(FIELDS, WHERE),
+    "typed_scan": typed_scan,
     "config_scan": config_scan,
     "empty_like": with_nothing_added,
     "source_row_count": row_counts,
@@ -82,6 +93,7 @@ ORACLES = {
     "extract_fields": f"SELECT {FIELDS} FROM orders",
     "extract_where": f"SELECT * FROM orders WHERE {WHERE}",
     "extract_fields_where": f"SELECT {FIELDS} FROM orders WHERE {WHERE}",
+    "typed_scan": "SELECT * REPLACE (CAST(o_totalprice AS DECIMAL(38, 2)) AS o_totalprice) FROM orders",
     "config_scan": """
         SELECT CAST(c_custkey AS VARCHAR) AS job_id, c_name AS source_table, c_mktsegment AS app_pipeline,
                'daily' AS run_group, 'Y' AS is_enabled, 'Y' AS is_active

@@ -11,6 +11,10 @@ NAMES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# The types that the given columns would have in a source database, by Spark type.
+SOURCE_TYPES = {"bigint": "NUMBER", "int": "NUMBER", "double": "NUMBER", "string": "VARCHAR2",
+                "timestamp_ntz": "TIMESTAMP(6)"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

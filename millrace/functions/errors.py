@@ -24,7 +24,8 @@ INLINE_PATTERNS = 200
 
 def scrubbed(message: Column | str) -> Column:
     """Single quotes removed, line ends turned into spaces."""
-    return F.translate(message, "\n'", " ")
+    col = F.col(message) if isinstance(message, str) else message
+    return F.replace(F.replace(col, F.lit("'"), F.lit("")), F.lit("\n"), F.lit(" "))
 
 
 def error_class(message: Column, patterns: list[tuple] = ERROR_PATTERNS) -> Column:

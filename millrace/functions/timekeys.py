@@ -36,8 +36,12 @@ def elapsed_text(seconds: Column) -> Column:
     """Seconds as ``[D day[s], ]H:MM:SS``."""
     days = F.floor(seconds / F.lit(86400))
     rest = F.pmod(seconds, F.lit(86400))
-    minutes = F.floor(F.pmod(rest, F.lit(3600)) / 60)
-    clock = F.format_string("%d:%02d:%02d", F.floor(rest / 3600), minutes, F.pmod(rest, F.lit(60)))
+    hours, minutes = F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60)
+
+    def two_digits(number: Column) -> Column:
+        return F.lpad(number.cast("string"), 2, "0")
+
+    clock = F.concat_ws(":", hours.cast("string"), two_digits(minutes), two_digits(F.pmod(rest, F.lit(60))))
     unit = F.when(F.abs(days) == 1, F.lit(" day, ")).otherwise(F.lit(" days, "))
     return F.when(days == 0, clock).otherwise(F.concat(days.cast("string"), unit, clock))
 

@@ -218,6 +218,7 @@ class PipelineConfig:
     cdc_tracker_tbl: str = ""
     log_bucket: str = ""
     log_reference: str = ""
+    statusEmails: str = "Y"
     max_workers: int = 5
 
     @classmethod
@@ -230,3 +231,12 @@ class PipelineConfig:
     def table(self, name: str) -> str:
         """The full name of one of the engine's own tables."""
         return ".".join(part for part in (self.catalog_name, self.tbl_schema, name) if part)
+
+    @property
+    def log_folder(self) -> str:
+        return f"{self.log_bucket}{self.log_reference}"
+
+    def report_folder(self, run: RunContext) -> str:
+        """Where the reports of a batch go."""
+        day = run.load_date
+        return f"{self.log_folder}{self.app_pipeline}/{day}/SummaryReport/{run.batch_id}/{run.run_id}"

@@ -88,17 +88,22 @@ def key_maximum(df: DataFrame, column: str) -> DataFrame:
 
 
 def watermarks(tracker: DataFrame) -> DataFrame:
-    """The current watermark of every job, in one pass over the tracker."""
+    """The current watermark of every job, in one pass over the tracker.
+
+    Hour keys all have ten digits, so their maximum is taken as a number, which Spark aggregates by
+    hash; text it would sort first.
+    """
     return tracker.groupBy("job_id", "source_table").agg(
-        F.max("ts_hour").alias("ts_hour"), F.max("key_value").alias("key_value")
+        F.max(F.col("ts_hour").cast("long")).cast("string").alias("ts_hour"),
+        F.max("key_value").alias("key_value"),
     )
 
 
 def watermark_of(tracker: DataFrame, job: TableJob) -> tuple[str | None, int | None]:
     """The hour and the key watermark of one job, None where it never ran."""
     own = tracker.where((F.col("job_id") == job.job_id) & (F.col("source_table") == job.source_table))
-    row = own.agg(F.max("ts_hour").alias("ts_hour"), F.max("key_value").alias("key_value")).first()
-    return row.ts_hour, row.key_value
+    row = watermarks(own).first()
+    return (row.ts_hour, row.key_value) if row else (None, None)
 
 
 def watermark_row(tracker: DataFrame, job: TableJob, window: Window) -> DataFrame:

@@ -41,38 +41,40 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _widens(old: T.DataType, new: T.DataType) -> bool:
-    """Whether every value of ``new`` can be stored as ``old`` without loss."""
+def _fits(old: T.DataType, new: T.DataType) -> bool:
+    """Whether ``new`` can be stored as ``old`` unchanged, or else fails at the insert.
+
+    Spark checks the range of integers and decimals when it inserts, but rounds fractions silently.
+    """
     if old == new or isinstance(new, T.NullType):
         return True
-    ranks = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
-    if type(old) in ranks and type(new) in ranks:
-        return ranks.index(type(old)) >= ranks.index(type(new))
+    if isinstance(old, T.IntegralType):
+        return isinstance(new, T.IntegralType) or (isinstance(new, T.DecimalType) and new.scale == 0)
     if isinstance(old, T.DecimalType):
-        if isinstance(new, T.DecimalType):
-            return old.scale >= new.scale and old.precision - old.scale >= new.precision - new.scale
-        digits = dict(zip(ranks, (3, 5, 10, 19)))
-        return type(new) in digits and old.precision - old.scale >= digits[type(new)]
+        return isinstance(new, T.IntegralType) or (isinstance(new, T.DecimalType) and new.scale <= old.scale)
     if isinstance(old, T.DoubleType):
         return isinstance(new, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
-    return isinstance(old, T.StringType) and isinstance(new, T.StringType)
+    return False
 
 
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` by name and in its order; missing ones are null."""
+    """The columns of ``schema`` by name and in its order; missing ones are null.
+
+    Types are left to the insert, which checks ranges.
+    """
     given = {f.name.lower(): f for f in df.schema.fields}
     chosen = []
     for wanted in schema.fields:
         have = given.get(wanted.name.lower())
         if have is None:
             chosen.append(F.lit(None).cast(wanted.dataType).alias(wanted.name))
-        elif not _widens(wanted.dataType, have.dataType):
+        elif not _fits(wanted.dataType, have.dataType):
             raise SchemaConflict(
                 f"column {wanted.name}: {have.dataType.simpleString()} does not fit the target's "
                 f"{wanted.dataType.simpleString()}"
             )
         else:
-            chosen.append(F.col(quoted(have.name)).cast(wanted.dataType).alias(wanted.name))
+            chosen.append(F.col(quoted(have.name)).alias(wanted.name))
     return df.select(*chosen)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.errors import classify
-from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob
+from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob, is_yes
 from millrace.operators.ledger import (
     batch_summary,
     completion_rows,
@@ -20,7 +20,7 @@ from millrace.operators.ledger import (
     with_run,
     write_ledger,
 )
-from millrace.operators.reports import RunLog
+from millrace.operators.reports import RunLog, batch_tables, job_report, write_csv
 from millrace.plans.table_load import Outcome, Target, load_table
 from millrace.sources.lake import Source, enabled_jobs, open_source, pipeline_config
 
@@ -46,40 +46,36 @@ def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log:
         return Outcome(job, started, datetime.now(), False, error_message=str(error))
 
 
-def ledger_of(jobs: DataFrame, outcomes: list[Outcome], run: RunContext) -> DataFrame:
+def ledger_of(spark: SparkSession, outcomes: list[Outcome], run: RunContext) -> DataFrame:
     """The consolidated rows of a run; a failure carries its class as comment."""
-    spark = jobs.sparkSession
-    started = with_run(jobs.withColumn("start_time", F.lit(run.run_ts)), run)
-    rows = spark.createDataFrame([outcome.row() for outcome in outcomes], OUTCOME_SCHEMA)
+    rows = with_run(spark.createDataFrame([outcome.row() for outcome in outcomes], OUTCOME_SCHEMA), run)
+    started = rows.withColumn("start_time", F.lit(run.run_ts))
     classed = classify(rows, "error_message").withColumn(
         "comments",
         F.when(F.col("has_data"), F.col("comments")).otherwise(F.concat_ws(": ", "error_type", "description")),
     )
-    return consolidate(initial_rows(started), completion_rows(with_run(classed, run)))
+    return consolidate(initial_rows(started), completion_rows(classed))
 
 
 def run_jobs(
     spark: SparkSession,
-    jobs: DataFrame,
+    jobs: list[TableJob],
     source: Source,
     target: Target,
     run: RunContext,
     ledger_table: str,
     log: RunLog,
     max_workers: int = 5,
-    retry_delay: float = 5.0,
-) -> tuple[DataFrame, str]:
-    """Loads every job and writes the ledger; returns the run's ledger rows and their summary.
+) -> DataFrame:
+    """Loads every job, writes the ledger and returns the run's ledger rows.
 
-    Threads only submit Spark jobs. The config rows are the one thing that the driver holds.
+    Threads only submit Spark jobs.
     """
-    todo = [TableJob.from_row(row) for row in jobs.collect()]
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        outcomes = list(pool.map(lambda job: attempt(job, source, target, run, log), todo))
-    write_ledger(ledger_of(jobs, outcomes, run), ledger_table, target.fmt, retry_delay=retry_delay)
+        outcomes = list(pool.map(lambda job: attempt(job, source, target, run, log), jobs))
+    write_ledger(ledger_of(spark, outcomes, run), ledger_table, target.fmt)
     own = (F.col("batch_id") == run.batch_id) & (F.col("run_id") == run.run_id)
-    ledger = spark.table(ledger_table).where(own)
-    return ledger, batch_summary(ledger).first().jobs_status
+    return spark.table(ledger_table).where(own)
 
 
 def run_batch(
@@ -96,7 +92,8 @@ def run_batch(
     """Runs the active pipeline of a run group; with ``rerun`` only the tables that failed last.
 
     ``alerts`` names the table of pipeline settings. The code is 0 when the batch ran, whatever became
-    of single tables, and 1 when it could not run.
+    of single tables, and 1 when it could not run. The config rows are the one thing that the driver
+    holds.
     """
     log = RunLog()
     pipeline: PipelineConfig | None = None
@@ -106,23 +103,30 @@ def run_batch(
         pipeline = pipeline_config(spark.table(alerts), app_pipeline, run_group)
         run = RunContext.start(spark, run_group, run_ts)
         ledger_table = pipeline.table(pipeline.job_status_tbl)
-        jobs = enabled_jobs(spark.table(pipeline.table(pipeline.ingest_tbl)), app_pipeline, run_group)
+        config = enabled_jobs(spark.table(pipeline.table(pipeline.ingest_tbl)), app_pipeline, run_group)
         if rerun:
-            jobs = jobs_to_rerun(jobs, spark.table(ledger_table), run_group)
-        if jobs.isEmpty():
+            config = jobs_to_rerun(config, spark.table(ledger_table), run_group)
+        # Read once: a rerun's selection changes as soon as the new ledger rows are written.
+        config = spark.createDataFrame(config.collect(), config.schema)
+        jobs = [TableJob.from_row(row) for row in config.collect()]
+        if not jobs:
             log.log("No failed jobs found for rerun." if rerun else "No enabled jobs found.")
         else:
             log.log(f"Job initiated for batch id: {run.batch_id} run_id: {run.run_id}")
             origin = source or open_source(spark, pipeline.source_db_config, pipeline.dbpass)
             target = Target(spark, pipeline.table(pipeline.cdc_tracker_tbl), pipeline.catalog_name, fmt)
-            ledger, summary = run_jobs(
-                spark, jobs, origin, target, run, ledger_table, log, pipeline.max_workers
-            )
+            reports = bool(pipeline.log_bucket) and is_yes(pipeline.statusEmails)
+            if reports:
+                write_csv(batch_tables(config), f"{pipeline.report_folder(run)}/tables")
+            ledger = run_jobs(spark, jobs, origin, target, run, ledger_table, log, pipeline.max_workers)
+            if reports:
+                write_csv(job_report(ledger, config), f"{pipeline.report_folder(run)}/jobs")
+            summary = batch_summary(ledger).first().jobs_status
             log.log(summary)
     except Exception as error:
         message = str(error).replace("\n", " ")
         log.log(f"Connection failed: {message}", "ERROR")
         code = 1
     if pipeline is not None and pipeline.log_bucket:
-        log.save(spark, f"{pipeline.log_bucket}{pipeline.log_reference}")
+        log.save(spark, pipeline.log_folder)
     return BatchResult(code, run, ledger, summary, log)

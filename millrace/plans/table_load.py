@@ -69,7 +69,8 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
     """Loads one table in full or by its change window.
 
     The watermark is written after the landing has committed, and holds the upper bound that the
-    window used.
+    window used. The rows of a window are added to those of earlier ones, so partitions are
+    overwritten only by a load that reads the whole table.
     """
     started = datetime.now()
     spark = target.spark
@@ -92,7 +93,7 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
             partition_by=job.target_partition_by,
             recreate=is_yes(job.target_recreate),
             truncate=is_yes(job.target_truncate),
-            partition_overwrite=is_yes(job.target_partition_overwrite),
+            partition_overwrite=is_yes(job.target_partition_overwrite) and window is None,
             fmt=target.fmt,
             options=job.target_table_options,
         )

@@ -91,7 +91,7 @@ class Oracle(Dialect):
     def columns_query(self, schema: str, table: str) -> str:
         owned = self._owned("TABLE_NAME", schema, table)
         return (
-            "SELECT COLUMN_NAME, DATA_TYPE, CAST(COLUMN_ID AS NUMBER(9)) AS ORDINAL_POSITION "
+            "SELECT COLUMN_NAME, DATA_TYPE, COLUMN_ID AS ORDINAL_POSITION "
             f"FROM ALL_TAB_COLUMNS WHERE {owned}"
         )
 
@@ -101,7 +101,7 @@ class Oracle(Dialect):
 
     def statistics_query(self, schema: str, table: str) -> str:
         owned = self._owned("TABLE_NAME", schema, table)
-        return f"SELECT CAST(NUM_ROWS AS NUMBER(19)) AS NUM_ROWS FROM ALL_TABLES WHERE {owned}"
+        return f"SELECT NUM_ROWS FROM ALL_TABLES WHERE {owned}"
 
     def scale_profile_query(self, schema: str, table: str, numbers: list[str]) -> str:
         """Counts of fractional values and longest fractions of all NUMBER columns, in one scan."""
@@ -111,7 +111,7 @@ class Oracle(Dialect):
             text = f"TO_CHAR({column}, 'TM9', 'NLS_NUMERIC_CHARACTERS=''.,''')"
             digits = f"LENGTH(SUBSTR({text}, INSTR({text}, '.') + 1))"
             parts.append(f"COUNT({fractional} THEN 1 END) AS N{i}")
-            parts.append(f"CAST(MAX({fractional} THEN {digits} END) AS NUMBER(9)) AS S{i}")
+            parts.append(f"MAX({fractional} THEN {digits} END) AS S{i}")
             parts.append(f"MAX(CASE WHEN ABS({column}) > {LONG_MAX} THEN 1 ELSE 0 END) AS W{i}")
         return f"SELECT {', '.join(parts)} FROM {self.table(schema, table)}"
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.cdc import Window, changed_rows
 
@@ -19,6 +20,18 @@ class Extract:
     window: Window | None = None
 
 
+def typed(df: DataFrame, ddl: str) -> DataFrame:
+    """The columns that the DDL text names, read as its types; the others as they are.
+
+    This is what ``customSchema`` does in a JDBC scan. A value that does not fit is an error.
+    """
+    wanted = {field.name.lower(): field.dataType for field in T.StructType.fromDDL(ddl).fields}
+    return df.select(
+        *[F.col(f"`{c}`").cast(wanted[c.lower()]).alias(c) if c.lower() in wanted else F.col(f"`{c}`")
+          for c in df.columns]
+    )
+
+
 def extract_from(df: DataFrame, extract: Extract) -> DataFrame:
     """The extract of a relation that Spark reads itself.
 

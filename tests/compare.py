@@ -33,7 +33,7 @@ def rows_of(columns: list[str], rows) -> Counter:
 
 
 SPARK_KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
-              "timestamp_ntz": "TIMESTAMP"}
+              "timestamp_ntz": "TIMESTAMP", "decimal(38,2)": "DECIMAL(38,2)"}
 
 
 def differences(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
