@@ -49,12 +49,11 @@ def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log:
 def ledger_of(spark: SparkSession, outcomes: list[Outcome], run: RunContext) -> DataFrame:
     """The consolidated rows of a run; a failure carries its class as comment."""
     rows = with_run(spark.createDataFrame([outcome.row() for outcome in outcomes], OUTCOME_SCHEMA), run)
-    started = rows.withColumn("start_time", F.lit(run.run_ts))
     classed = classify(rows, "error_message").withColumn(
         "comments",
         F.when(F.col("has_data"), F.col("comments")).otherwise(F.concat_ws(": ", "error_type", "description")),
     )
-    return consolidate(initial_rows(started), completion_rows(classed))
+    return consolidate(initial_rows(rows), completion_rows(classed))
 
 
 def run_jobs(

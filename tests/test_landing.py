@@ -1,0 +1,173 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from millrace.operators.landing import SchemaConflict, land, partition_columns
+from millrace.operators.partitions import inside_parentheses, partitioned
+from millrace.session import scratch_table
+
+DAY = "20240102"
+
+
+@pytest.fixture
+def target(spark):
+    return scratch_table(spark, "t")
+
+
+def frame(spark, rows, schema="id int, p string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows(spark, table):
+    return sorted(map(tuple, spark.table(table).collect()), key=str)
+
+
+@pytest.mark.parametrize(
+    ("text", "inside"),
+    [
+        ("(SELECT max(a) FROM t)", "SELECT max(a) FROM t"),
+        ("SELECT max(a) FROM t", "SELECT max(a) FROM t"),
+        ("(a) + (b)", "(a) + (b)"),
+        ("((a))", "(a)"),
+    ],
+)
+def test_one_pair_of_parentheses(text, inside):
+    assert inside_parentheses(text) == inside
+
+
+def test_partition_specs(spark):
+    df = frame(spark, [(1, "a"), (2, "b")])
+    stamped = partitioned(df, " snapshot_date ", DAY)
+    assert (stamped.column, stamped.constant, stamped.load_date) == ("SNAPSHOT_DATE", True, DAY)
+    assert {row.SNAPSHOT_DATE for row in stamped.df.collect()} == {DAY}
+    assert partitioned(df, None, DAY).column is None
+    assert partitioned(df, " p ", DAY).column == "p"
+    derived = partitioned(df, "q = CASE WHEN id = 1 THEN 'x' ELSE 'y' END", DAY)
+    assert [row.q for row in derived.df.orderBy("id").collect()] == ["x", "y"]
+    scalar = partitioned(df, "q=(SELECT max(x) FROM VALUES (1), (abs(-3)) AS v(x))", DAY)
+    assert scalar.constant and {row.q for row in scalar.df.collect()} == {3}
+    several = partitioned(df, "q=(SELECT x FROM VALUES (7), (7) AS v(x))", DAY)
+    assert {row.q for row in several.df.collect()} == {7}
+    nothing = partitioned(df, "q=(SELECT x FROM VALUES (7) AS v(x) WHERE x > 9)", DAY)
+    assert {row.q for row in nothing.df.collect()} == {None}
+
+
+@pytest.mark.parametrize("query", ["SELECT FROM WHERE", "SELECT x FROM no_such_table"])
+def test_bad_scalar_query(spark, query):
+    with pytest.raises(ValueError, match="Invalid SELECT query"):
+        partitioned(frame(spark, [(1, "a")]), f"q=({query})", DAY)
+
+
+def test_append_and_counts(spark, target):
+    first = land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY)
+    second = land(frame(spark, [(3, "c")]), target, load_date=DAY)
+    assert (first.rows, first.columns, first.load_date, second.rows) == (2, 2, None, 1)
+    assert rows(spark, target) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_empty_load_makes_the_table(spark, target):
+    assert land(frame(spark, []), target, load_date=DAY).rows == 0
+    assert rows(spark, target) == []
+
+
+@pytest.mark.parametrize("spec", ["q=upper(p)", "q=(SELECT 'X')", "SNAPSHOT_DATE"])
+def test_derived_partition_column_is_written(spark, target, spec):
+    landed = land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY, partition_by=spec)
+    column = spec.split("=")[0]
+    assert partition_columns(spark, target) == [column]
+    assert landed.columns == 3 and spark.table(target).columns[-1] == column
+    assert spark.table(target).where(F.col(column).isNull()).count() == 0
+
+
+def test_unknown_partition_column(spark, target):
+    with pytest.raises(ValueError, match="partition column"):
+        land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="nope")
+
+
+def test_columns_go_by_name_and_may_grow(spark, target):
+    land(frame(spark, [(1, "a")]), target, load_date=DAY)
+    land(frame(spark, [("b", 2.5, 2)], "p string, extra double, id int"), target, load_date=DAY)
+    land(frame(spark, [(3,)], "id int"), target, load_date=DAY)
+    assert rows(spark, target) == [(1, "a", None), (2, "b", 2.5), (3, None, None)]
+
+
+def test_types_that_do_not_fit_are_refused(spark, target):
+    land(frame(spark, [(1, Decimal("1.50"))], "id bigint, d decimal(38,2)"), target, load_date=DAY)
+    land(frame(spark, [(2, 7)], "id int, d bigint"), target, load_date=DAY)
+    with pytest.raises(SchemaConflict, match="column d"):
+        land(frame(spark, [(3, Decimal("1.505"))], "id int, d decimal(38,3)"), target, load_date=DAY)
+    with pytest.raises(SchemaConflict, match="column id"):
+        land(frame(spark, [(1.5,)], "id double"), target, load_date=DAY)
+    with pytest.raises(PySparkException):
+        land(frame(spark, [(Decimal(2**70),)], "id decimal(38,0)"), target, load_date=DAY)
+    assert rows(spark, target) == [(1, Decimal("1.50")), (2, Decimal("7.00"))]
+
+
+def test_recreate_replaces_schema(spark, target):
+    land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="p")
+    land(frame(spark, [(2.5,)], "x double"), target, load_date=DAY, recreate=True)
+    assert rows(spark, target) == [(2.5,)] and partition_columns(spark, target) == []
+
+
+def test_truncate_keeps_columns_and_partitions(spark, target):
+    land(frame(spark, [(1, "a", "old")], "id int, p string, o string"), target, load_date=DAY, partition_by="p")
+    land(frame(spark, [(2, "b")]), target, load_date=DAY, partition_by="p", truncate=True)
+    assert partition_columns(spark, target) == ["p"]
+    assert rows(spark, target) == [(2, None, "b")]
+    land(frame(spark, [(3, "c")]), target, load_date=DAY, partition_by="p")
+    assert rows(spark, target) == [(2, None, "b"), (3, None, "c")]
+
+
+@pytest.mark.parametrize("mode", ["truncate", "recreate"])
+def test_failing_read_keeps_the_old_rows(spark, target, mode):
+    land(frame(spark, [(1, "a")]), target, load_date=DAY)
+    broken = frame(spark, [(2, "b")]).withColumn("p", F.expr("CAST(raise_error('source gone') AS string)"))
+    with pytest.raises(PySparkException):
+        land(broken, target, load_date=DAY, **{mode: True})
+    assert rows(spark, target) == [(1, "a")]
+
+
+def test_failed_first_load_can_be_repeated(spark, target):
+    broken = frame(spark, [(2, "b")]).withColumn("p", F.expr("CAST(raise_error('source gone') AS string)"))
+    with pytest.raises(PySparkException):
+        land(broken, target, load_date=DAY)
+    land(frame(spark, [(1, "a")]), target, load_date=DAY)
+    assert rows(spark, target) == [(1, "a")]
+
+
+def test_partition_overwrite_twice_equals_once(spark, target):
+    land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY, partition_by="p", partition_overwrite=True)
+    for _ in range(2):
+        land(frame(spark, [(3, "b"), (4, "c")]), target, load_date=DAY, partition_by="p", partition_overwrite=True)
+    assert rows(spark, target) == [(1, "a"), (3, "b"), (4, "c")]
+
+
+def test_other_formats_and_options(spark, target):
+    land(frame(spark, [(1, "a")]), target, load_date=DAY, fmt="orc", options={"compression": "zlib"})
+    found = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {target}").collect()}
+    assert found["Provider"] == "orc"
+    assert "compression=zlib" in found["Storage Properties"]
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, target):
+    """One value holds most rows; rebalancing splits it, and the rows stay whole."""
+    names = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
+    old = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.range(0, 200000, numPartitions=8).selectExpr(
+            "id", "sha2(string(id), 256) AS text", "CASE WHEN id % 10 = 0 THEN 'cold' ELSE 'hot' END AS p"
+        )
+        assert land(df, target, load_date=DAY, partition_by="p").rows == 200000
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    hot = [path for path in spark.table(target).inputFiles() if "p=hot" in path]
+    assert len(hot) > 1
+    assert spark.table(target).select("id").distinct().count() == 200000

@@ -1,0 +1,255 @@
+"""JDBC sources without a database: reader options and SQL as text, and the Oracle flow with its
+queries run by Spark over views that stand for the catalogue."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.typemap import numeric_scale_profile
+from millrace.model import PipelineConfig, TableJob
+from millrace.operators.cdc import HourWindow, KeyRange
+from millrace.session import scratch_database
+from millrace.sources.dialects import Oracle, SqlServer
+from millrace.sources.extract import Extract, extract_from
+from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, fetch_size, fetch_size_of
+from millrace.sources.lake import LakeSource, empty_like, enabled_jobs, open_source, pipeline_config
+
+LO, HI = datetime(2024, 12, 31, 12), datetime(2025, 1, 1, 5)
+ORACLE, SQL_SERVER = Oracle(), SqlServer()
+
+
+@pytest.mark.parametrize(
+    ("extract", "text"),
+    [
+        (Extract(), "SELECT /*+ PARALLEL(16) */ * FROM S.T"),
+        (Extract(None, "X=1"), "SELECT * FROM S.T WHERE (X=1)"),
+        (Extract("C1,C2"), "SELECT C1,C2 FROM S.T"),
+        (Extract("C1,C2", "X=1 OR Y=2"), "SELECT C1,C2 FROM S.T WHERE (X=1 OR Y=2)"),
+        (
+            Extract("A,B", "X=1", HourWindow(("MOD_TS", "CRT_TS"), LO, HI)),
+            "SELECT A,B FROM S.T WHERE ((MOD_TS >= TIMESTAMP '2024-12-31 12:00:00' AND "
+            "MOD_TS < TIMESTAMP '2025-01-01 05:00:00') OR (CRT_TS >= TIMESTAMP '2024-12-31 12:00:00' AND "
+            "CRT_TS < TIMESTAMP '2025-01-01 05:00:00')) AND (X=1)",
+        ),
+        (Extract(window=HourWindow(("M",), None, HI)), "SELECT * FROM S.T WHERE ((M < TIMESTAMP '2025-01-01 05:00:00'))"),
+        (Extract(window=KeyRange("ID", None, 123)), "SELECT * FROM S.T WHERE (ID <= 123)"),
+        (Extract(window=KeyRange("ID", 5, 123)), "SELECT * FROM S.T WHERE (ID > 5 AND ID <= 123)"),
+    ],
+)
+def test_oracle_extract_text(extract, text):
+    assert ORACLE.extract_query("S", "T", extract) == text
+
+
+def test_sql_server_extract_text():
+    window = HourWindow(("mod",), LO, HI)
+    assert SQL_SERVER.extract_query("dbo", "T", Extract(window=window), "[First Name] as First_Name") == (
+        "SELECT [First Name] as First_Name FROM dbo.T WHERE ((mod >= CAST('2024-12-31T12:00:00' AS datetime2) AND "
+        "mod < CAST('2025-01-01T05:00:00' AS datetime2)))"
+    )
+    assert SQL_SERVER.extract_query("dbo", "T", Extract(), "[id] as id") == "SELECT [id] as id FROM dbo.T"
+
+
+def test_catalogue_text_escapes_names():
+    assert "OWNER = 'S''X' AND TABLE_NAME = 'T'" in ORACLE.columns_query("s'x", "t")
+    assert "TABLE_SCHEMA = 'dbo' AND TABLE_NAME = 'T'" in SQL_SERVER.columns_query("dbo", "T")
+    assert "OBJECT_ID('dbo.T')" in SQL_SERVER.statistics_query("dbo", "T")
+
+
+def test_one_profile_query_for_all_numbers():
+    text = ORACLE.scale_profile_query("S", "T", ["A", "B"])
+    assert text.count(" FROM ") == 1 and text.endswith("FROM S.T")
+    assert "COUNT(CASE WHEN A <> TRUNC(A) THEN 1 END) AS N0" in text and " AS S1" in text
+
+
+def test_connection_options():
+    connection = JdbcConnection.sql_server(
+        {"db_host": "h", "db_port": "1433", "db_name": "d", "db_user": "u", "driver": "x.Driver"}, "secret"
+    )
+    options = connection.options("SELECT 1")
+    assert options["url"] == "jdbc:sqlserver://h.database.windows.net:1433;database=d"
+    assert options["dbtable"] == "(SELECT 1) q" and options["Encrypt"] == "true"
+    assert options["TrustServerCertificate"] == "false" and options["password"] == "secret"
+    assert "secret" not in repr(connection)
+    oracle = JdbcConnection.oracle({"url": "jdbc:oracle:x", "db_user": "u", "driver": "o"}, "p")
+    assert set(oracle.options("q")) == {"url", "user", "password", "driver", "dbtable"}
+
+
+def test_open_source(spark):
+    oracle = open_source(spark, {"db_type": "oracle", "url": "u", "db_user": "u", "driver": "d"}, "p")
+    assert isinstance(oracle.dialect, Oracle)
+    with pytest.raises(ValueError, match="Unsupported source_db_type: MYSQL"):
+        open_source(spark, {"db_type": "MYSQL"}, "p")
+
+
+BOUNDARIES = [(0, 20), (1, 50), (100, 50), (101, 100), (500, 100), (501, 200), (5000, 200), (5001, 500), (20000, 500),
+              (20001, 1000), (50000, 1000), (50001, 5000), (100000, 5000), (100001, 10000), (None, 20)]
+
+
+def test_fetch_size_tiers(spark):
+    assert len(FETCH_TIERS) == 7
+    df = spark.createDataFrame(BOUNDARIES, "n bigint, size int").select("n", "size", fetch_size(F.col("n")).alias("got"))
+    assert all(row.got == row.size == fetch_size_of(row.n) for row in df.collect())
+
+
+class ViewSource(JdbcSource):
+    """The Oracle flow with Spark in the place of the database; keeps the options of the scans."""
+
+    def __init__(self, spark):
+        connection = JdbcConnection("jdbc:none", "u", "d")
+        super().__init__(spark, connection, Oracle())
+        self.scans = []
+
+    def scan(self, query, **options):
+        self.scans.append((query, options))
+        return self.spark.sql(query)
+
+    def scale_profile(self, schema, table, numbers):
+        return numeric_scale_profile(self.spark.table(f"{schema}.{table}"), numbers)
+
+
+@pytest.fixture
+def oracle(spark):
+    database = scratch_database(spark)
+    spark.range(1, 101).selectExpr(
+        "id AS ID", "CAST(id / 8 AS double) AS AMOUNT", "CONCAT('n', id) AS NAME",
+        "TIMESTAMP'2024-12-31 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id AS int)) AS MOD_TS",
+    ).write.mode("overwrite").saveAsTable(f"{database}.T")
+    owner = database.upper()
+    views = {
+        "ALL_TAB_COLUMNS": (
+            [(owner, "T", "MOD_TS", "DATE", Decimal(4)), (owner, "T", "ID", "NUMBER", Decimal(1)),
+             (owner, "T", "AMOUNT", "NUMBER", Decimal(2)), (owner, "T", "NAME", "VARCHAR2", Decimal(3))],
+            "OWNER string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, COLUMN_ID decimal(38,0)",
+        ),
+        "ALL_OBJECTS": (
+            [(owner, "T", None, "TABLE"), (owner, "T", "P1", "TABLE PARTITION"), (owner, "V", None, "VIEW"),
+             (owner, "Q", None, "SEQUENCE")],
+            "OWNER string, OBJECT_NAME string, SUBOBJECT_NAME string, OBJECT_TYPE string",
+        ),
+        "ALL_TABLES": ([(owner, "T", Decimal(5_000_000))], "OWNER string, TABLE_NAME string, NUM_ROWS decimal(38,0)"),
+    }
+    for name, (rows, schema) in views.items():
+        spark.createDataFrame(rows, schema).createOrReplaceTempView(name)
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.V AS SELECT * FROM {database}.T WHERE ID <= 7")
+    return ViewSource(spark), database
+
+
+def test_probes(oracle):
+    source, database = oracle
+    assert [source.object_type(database, name) for name in ("t", "v", "q")] == ["TABLE", "VIEW", "SEQUENCE"]
+    assert [source.row_count(database, name) for name in ("T", "V", "Q")] == [5_000_000, 7, 0]
+    with pytest.raises(ValueError, match="could not be determined"):
+        source.object_type(database, "missing")
+
+
+def test_catalogue_and_schema_text(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t")
+    assert source.columns(job) == ["ID", "AMOUNT", "NAME", "MOD_TS"]
+    assert source.schema_text(database, "T") == "ID LONG, AMOUNT DECIMAL(38, 3), NAME STRING, MOD_TS TIMESTAMP"
+    assert source.columns(TableJob("J", database, "none", "x", "t")) == []
+
+
+def test_full_scan_is_typed_and_split(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t", cdc_append_key_column="id")
+    assert source.extract(job, Extract()).count() == 100
+    options = source.scans[-1][1]
+    assert options["fetchsize"] == "10000" and options["customSchema"].startswith("ID LONG")
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
+        "ID", "1", "100", "5"
+    )
+
+
+def test_key_window_scan(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t", cdc_append_key_column="ID")
+    assert source.key_max(job) == 100
+    found = source.extract(job, Extract(None, "ID <> 50 OR ID < 0", KeyRange("ID", 40, 60)))
+    assert sorted(row.ID for row in found.collect()) == [i for i in range(41, 61) if i != 50]
+    assert source.scans[-1][1]["lowerBound"] == "40" and source.scans[-1][1]["upperBound"] == "60"
+
+
+def test_hour_window_scan_with_fields(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS")
+    window = HourWindow(("MOD_TS",), datetime(2024, 12, 31, 3), datetime(2024, 12, 31, 6))
+    found = source.extract(job, Extract("ID, UPPER(NAME) AS N", None, window))
+    assert sorted(map(tuple, found.collect())) == [(3, "N3"), (4, "N4"), (5, "N5")]
+    assert "partitionColumn" not in source.scans[-1][1]
+    source.extract(job, Extract(None, None, window))
+    assert source.scans[-1][1]["partitionColumn"] == "MOD_TS"
+    assert source.scans[-1][1]["lowerBound"] == "2024-12-31 03:00:00"
+
+
+def test_small_table_is_read_in_one_part(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "V", "x", "t", cdc_append_key_column="ID")
+    assert source.split(job, Extract(), 7, {"ID": "ID"}) is None
+    assert source.split(TableJob("J", database, "T", "x", "t"), Extract(), 10**9, {"ID": "ID"}) is None
+    big = source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, {"ID": "id_out"})
+    assert big == Split("id_out", 1, 9, 16)
+
+
+def test_scan_passes_options_to_the_reader(monkeypatch):
+    class Reader:
+        def __init__(self):
+            self.given = {}
+
+        def format(self, name):
+            self.given["format"] = name
+            return self
+
+        def options(self, **options):
+            self.given.update(options)
+            return self
+
+        def load(self):
+            return self.given
+
+    class Session:
+        read = Reader()
+
+    source = JdbcSource(Session(), JdbcConnection("jdbc:x", "u", "d", "p"), Oracle())
+    given = source.scan("SELECT 1 FROM DUAL", fetchsize="20")
+    assert given["format"] == "jdbc" and given["dbtable"] == "(SELECT 1 FROM DUAL) q" and given["fetchsize"] == "20"
+
+
+def test_extract_filters_before_it_selects(spark):
+    df = spark.createDataFrame([(1, 10, "x"), (2, 20, "y"), (3, 30, "x")], "k bigint, v int, s string")
+    found = extract_from(df, Extract("v * 2 AS w", "s = 'x' OR v = 20", KeyRange("k", 1, 3)))
+    assert sorted(map(tuple, found.collect())) == [(40,), (60,)]
+
+
+def test_lake_source_makes_names_safe(spark):
+    df = spark.createDataFrame([(1, "a")], "`my id` int, `na-me` string")
+    source = LakeSource(spark, lambda schema, table: df)
+    job = TableJob("J", "s", "t", "x", "t")
+    assert source.extract(job, Extract()).columns == ["my_id", "na_me"]
+    assert source.extract(job, Extract("`my id` AS x")).columns == ["x"]
+
+
+def test_config_reads(spark):
+    alerts = spark.createDataFrame(
+        [("p", "daily", "N", None), ("p", "daily", "Y", {"tbl_schema": "meta"})],
+        "app_pipeline string, run_group string, is_active string, schema_config map<string,string>",
+    )
+    config = pipeline_config(alerts, "p", "daily")
+    assert config == PipelineConfig("p", "daily", tbl_schema="meta")
+    assert config.table("ledger") == "meta.ledger" and config.max_workers == 5
+    with pytest.raises(ValueError, match="no matching run_group"):
+        pipeline_config(alerts, "p", "hourly")
+    jobs = spark.createDataFrame(
+        [("J1", "p", "daily", "Y", "Y"), ("J2", "p", "daily", "N", "Y"), ("J3", "p", "hourly", "Y", "Y")],
+        "job_id string, app_pipeline string, run_group string, is_enabled string, is_active string",
+    )
+    assert [row.job_id for row in enabled_jobs(jobs, "p", "daily").collect()] == ["J1"]
+
+
+def test_empty_like(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, s string")
+    assert empty_like(df).schema == df.schema and empty_like(df).count() == 0
