@@ -19,29 +19,37 @@ TYPE_MAP = {
 }
 FALLBACK_TYPE = "STRING"
 LONG_MAX = 2**63 - 1
-# Doubles are profiled through decimal text with this many fractional digits.
-PROFILE_TYPE = "decimal(38,10)"
 # Short fractions of doubles are found by arithmetic, which is exact up to 15 digits in all.
 SHORT_DIGITS = 4
 SHORT_LIMIT = 1e10
 
 
+def _text_digits(column: Column) -> Column:
+    """Fraction digits of a double's shortest decimal text, which may have an exponent."""
+    text = column.cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    fraction = F.rtrim(F.substring_index(mantissa, ".", -1), F.lit("0"))
+    exponent = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    return F.greatest(F.length(fraction) - exponent, F.lit(0))
+
+
 def _fraction_digits(column: Column, dtype: T.DataType) -> Column:
-    """Length of the fraction without trailing zeros, null where the value is null."""
+    """Length of the fraction without trailing zeros, null where the value is null or no number."""
     if isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale == 0):
         return F.when(column.isNotNull(), F.lit(0))
+    whole = F.when(column % 1 == 0, F.lit(0))
+    if isinstance(dtype, T.DecimalType):
+        digits = F.length(F.rtrim(F.substring_index(column.cast("string"), ".", -1), F.lit("0")))
+        return whole.when(column.isNotNull(), digits)
     if isinstance(dtype, T.FloatType):
         # A float means its shortest decimal, not the nearest double.
-        column, dtype = column.cast("string").cast("double"), T.DoubleType()
-    exact = column if isinstance(dtype, T.DecimalType) else column.try_cast(PROFILE_TYPE)
-    digits = F.length(F.rtrim(F.substring_index(exact.cast("string"), ".", -1), F.lit("0")))
-    chain = F.when(column % 1 == 0, F.lit(0))
-    if not isinstance(dtype, T.DecimalType):
-        for n in range(1, SHORT_DIGITS + 1):
-            power = F.lit(10.0**n)
-            short = (F.abs(column) < SHORT_LIMIT) & (F.rint(column * power) / power == column)
-            chain = chain.when(short, F.lit(n))
-    return chain.otherwise(digits)
+        column = column.cast("string").cast("double")
+    chain = whole.when(F.abs(column) >= float("inf"), F.lit(None).cast("int"))
+    for n in range(1, SHORT_DIGITS + 1):
+        power = F.lit(10.0**n)
+        short = (F.abs(column) < SHORT_LIMIT) & (F.rint(column * power) / power == column)
+        chain = chain.when(short, F.lit(n))
+    return chain.otherwise(_text_digits(column))
 
 
 def numeric_scale_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -35,7 +35,8 @@ def inside_parentheses(text: str) -> str:
 
 
 def is_query(expression: str) -> bool:
-    return inside_parentheses(expression).upper().startswith("SELECT")
+    first = inside_parentheses(expression).split(None, 1)[:1]
+    return first != [] and first[0].upper() in ("SELECT", "WITH")
 
 
 def with_scalar(df: DataFrame, column: str, query: str) -> DataFrame:
@@ -45,7 +46,8 @@ def with_scalar(df: DataFrame, column: str, query: str) -> DataFrame:
     """
     try:
         found = df.sparkSession.sql(query)
-        return df.withColumn(column, found.select(found.columns[0]).limit(1).scalar())
+        first = found.toDF(*[f"c{i}" for i in range(len(found.columns))]).select("c0").limit(1)
+        return df.withColumn(column, first.scalar())
     except (AnalysisException, ParseException) as error:
         raise ValueError(f"Invalid SELECT query in the partition expression: {query}") from error
 

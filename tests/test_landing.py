@@ -50,6 +50,10 @@ def test_partition_specs(spark):
     assert [row.q for row in derived.df.orderBy("id").collect()] == ["x", "y"]
     scalar = partitioned(df, "q=(SELECT max(x) FROM VALUES (1), (abs(-3)) AS v(x))", DAY)
     assert scalar.constant and {row.q for row in scalar.df.collect()} == {3}
+    odd = partitioned(df, "q=(WITH w AS (SELECT 1) SELECT 1.5, 1.5)", DAY)
+    assert odd.constant and {str(row.q) for row in odd.df.collect()} == {"1.5"}
+    named = partitioned(df.withColumn("selected", F.lit("s")), "q=upper(selected)", DAY)
+    assert not named.constant and {row.q for row in named.df.collect()} == {"S"}
     several = partitioned(df, "q=(SELECT x FROM VALUES (7), (7) AS v(x))", DAY)
     assert {row.q for row in several.df.collect()} == {7}
     nothing = partitioned(df, "q=(SELECT x FROM VALUES (7) AS v(x) WHERE x > 9)", DAY)

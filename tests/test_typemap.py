@@ -50,8 +50,7 @@ def test_ddl_in_ordinal_order(spark):
 
 
 def fraction(value: float) -> int:
-    exact = Decimal(repr(value)).quantize(Decimal(1).scaleb(-10))
-    return max(0, -exact.normalize().as_tuple().exponent)
+    return max(0, -Decimal(repr(value)).normalize().as_tuple().exponent)
 
 
 def test_profile_against_brute_force(spark):
@@ -59,6 +58,8 @@ def test_profile_against_brute_force(spark):
     kinds = [lambda: float(rnd.randint(-10**6, 10**6)),
              lambda: round(rnd.uniform(-1e5, 1e5), rnd.randint(0, 8)),
              lambda: round(rnd.uniform(0, 1), 2),
+             lambda: rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-20, 12),
+             lambda: float(f"{rnd.randint(1, 999)}e{rnd.randint(-15, 15)}"),
              lambda: rnd.randint(0, 10**12) / 4]
     for pick in kinds:
         values = [pick() for _ in range(400)]
@@ -76,7 +77,8 @@ def test_profile_against_brute_force(spark):
         ("decimal(20,6)", [Decimal("1.500000"), Decimal("2.120000"), None], (2, 2)),
         ("decimal(38,0)", [Decimal(10**30)], (0, 0)),
         ("float", [0.1, 2.25], (2, 2)),
-        ("double", [float("nan"), 1.5], (1, 1)),
+        ("double", [float("nan"), float("-inf"), 1.5], (1, 1)),
+        ("double", [1e-12, 1.5e-7, 12.5], (3, 12)),
         ("double", [None], (0, 0)),
         ("double", [1e300, 1e22, -0.0], (0, 0)),
     ],
