@@ -115,7 +115,7 @@ ORACLES = {
                CAST(column_count AS INTEGER) AS column_count, records_processed,
                CAST(0 AS BIGINT) AS records_rejected, load_date, comments,
                'Successful: 2 Fail: 1 Total: 3' AS summary
-        FROM (SELECT 'J1' AS job_id, 'COMPLETED' AS status, 12 AS column_count, count(*) AS records_processed,
+        FROM (SELECT 'J1' AS job_id, 'COMPLETED' AS status, 11 AS column_count, count(*) AS records_processed,
                      '20240112' AS load_date, 'No schema changes detected.' AS comments FROM lineitem
               UNION ALL
               SELECT 'J2', 'COMPLETED', 6, count(*), '', 'No schema changes detected.'

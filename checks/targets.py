@@ -117,6 +117,6 @@ ORACLES = {
         SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice)
         FROM orders""",
     "load_metrics": f"""
-        SELECT count(*) AS records_processed, CAST(12 AS INTEGER) AS column_count, '{LOAD_DATE}' AS load_date
+        SELECT count(*) AS records_processed, CAST(11 AS INTEGER) AS column_count, '{LOAD_DATE}' AS load_date
         FROM lineitem""",
 }

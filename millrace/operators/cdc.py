@@ -37,7 +37,9 @@ class HourWindow:
         return reduce(or_, (self._one(name, schema) for name in self.columns))
 
     def _one(self, name: str, schema: T.StructType) -> Column:
-        dtype = next(f.dataType for f in schema.fields if f.name.lower() == name.lower())
+        dtype = next((f.dataType for f in schema.fields if f.name.lower() == name.lower()), None)
+        if dtype is None:
+            raise ValueError(f"the change column {name} is not in the table")
 
         def bound(ts: datetime) -> Column:
             if isinstance(dtype, T.DateType):

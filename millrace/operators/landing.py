@@ -19,11 +19,15 @@ from millrace.sources.dialects import text_literal
 
 # Formats whose tables commit atomically and evolve their schema by name.
 ATOMIC_FORMATS = {"iceberg", "delta"}
+# Fixed value: the table property that lets a write bring new columns.
+ANY_SCHEMA = {"iceberg": ("write.spark.accept-any-schema", "true")}
 DYNAMIC = "'partitionOverwriteMode'='dynamic'"
 
 
 @dataclass(frozen=True)
 class Landed:
+    """Rows written, columns read (a derived partition column not counted), day of the snapshot."""
+
     rows: int
     columns: int
     load_date: str | None
@@ -157,12 +161,17 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
 def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
                  replace: str | None) -> None:
     """Table formats with atomic commits; they are given by the cluster's catalog."""
+    spark = df.sparkSession
     writer = df.writeTo(table).using(fmt).options(**{"mergeSchema": "true", **options})
-    if column:
-        writer = writer.partitionedBy(F.col(quoted(column)))
-    if replace == "table" or not df.sparkSession.catalog.tableExists(table):
+    if replace == "table" or not spark.catalog.tableExists(table):
+        if column:
+            writer = writer.partitionedBy(F.col(quoted(column)))
         writer.createOrReplace()
-    elif replace == "rows":
+        return
+    if fmt in ANY_SCHEMA:
+        name, value = map(text_literal, ANY_SCHEMA[fmt])
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({name} = {value})")
+    if replace == "rows":
         writer.overwrite(F.lit(True))
     elif replace == "partitions":
         writer.overwritePartitions()
@@ -190,12 +199,14 @@ def land(
     watermark, and the load is then repeated.
     """
     shaped = partitioned(df, partition_by, load_date)
-    if shaped.column and shaped.column.lower() not in (c.lower() for c in shaped.df.columns):
+    names = {name.lower(): name for name in shaped.df.columns}
+    column = names.get(shaped.column.lower()) if shaped.column else None
+    if shaped.column and column is None:
         raise ValueError(f"partition column {shaped.column} is not among the columns of {table}")
-    rows, seen = _counted(spread(shaped.df, shaped.column, shaped.constant))
+    rows, seen = _counted(spread(shaped.df, column, shaped.constant))
     replace = "table" if recreate else "rows" if truncate else None
-    if replace is None and partition_overwrite and shaped.column:
+    if replace is None and partition_overwrite and column:
         replace = "partitions"
     write = _land_atomic if fmt in ATOMIC_FORMATS else _land_files
-    write(rows, table, fmt, shaped.column, options or {}, replace)
-    return Landed(seen.get["rows"], len(shaped.df.columns), shaped.load_date)
+    write(rows, table, fmt, column, options or {}, replace)
+    return Landed(seen.get["rows"], len(df.columns), shaped.load_date)

@@ -82,7 +82,8 @@ class Oracle(Dialect):
     plain_hint = "/*+ PARALLEL(16) */"
 
     def timestamp(self, ts: datetime) -> str:
-        return f"TIMESTAMP '{ts:%Y-%m-%d %H:%M:%S}'"
+        # A DATE literal fits DATE and TIMESTAMP columns without converting the column.
+        return f"TO_DATE('{ts:%Y-%m-%d %H:%M:%S}', 'YYYY-MM-DD HH24:MI:SS')"
 
     def _owned(self, name_column: str, schema: str, table: str) -> str:
         owner, name = text_literal(schema.upper()), text_literal(table.upper())
@@ -120,7 +121,8 @@ class SqlServer(Dialect):
     name = "MSSQL"
 
     def timestamp(self, ts: datetime) -> str:
-        return f"CAST('{ts:%Y-%m-%dT%H:%M:%S}' AS datetime2)"
+        # Text takes the type of the column it is compared with, so the column is not converted.
+        return f"'{ts:%Y-%m-%dT%H:%M:%S}'"
 
     def columns_query(self, schema: str, table: str) -> str:
         return (

@@ -43,5 +43,6 @@ def extract_from(df: DataFrame, extract: Extract) -> DataFrame:
     if extract.where:
         df = df.where(F.expr(f"({extract.where})"))
     if extract.fields:
-        df = df.sparkSession.sql(f"SELECT {extract.fields} FROM {{extracted}}", extracted=df)
+        fields = extract.fields.replace("{", "{{").replace("}", "}}")
+        df = df.sparkSession.sql(f"SELECT {fields} FROM {{extracted}}", extracted=df)
     return df

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.operators.landing import SchemaConflict, land, partition_columns
+from millrace.operators.landing import SchemaConflict, _land_atomic, land, partition_columns
 from millrace.operators.partitions import inside_parentheses, partitioned
 from millrace.session import scratch_table
 
@@ -83,10 +85,33 @@ def test_derived_partition_column_is_written(spark, target, spec):
     landed = land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY, partition_by=spec)
     column = spec.split("=")[0]
     assert partition_columns(spark, target) == [column]
-    assert landed.columns == 3 and spark.table(target).columns[-1] == column
+    assert landed.columns == 2 and spark.table(target).columns[-1] == column
     assert spark.table(target).where(F.col(column).isNull()).count() == 0
 
 
+def test_partition_column_in_other_case(spark, target):
+    land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="P")
+    assert partition_columns(spark, target) == ["p"]
+
+
+@pytest.mark.parametrize(
+    ("exists", "replace", "call"),
+    [(False, None, "createOrReplace"), (True, "table", "createOrReplace"), (True, "rows", "overwrite"),
+     (True, "partitions", "overwritePartitions"), (True, None, "append")],
+)
+def test_atomic_formats_choose_their_write(spark, exists, replace, call):
+    """Only the choice of the write; the connectors are not installed here."""
+    df = MagicMock()
+    df.sparkSession.catalog.tableExists.return_value = exists
+    writer = df.writeTo.return_value.using.return_value.options.return_value
+    writer.partitionedBy.return_value = writer
+    _land_atomic(df, "c.s.t", "iceberg", "p", {}, replace)
+    assert getattr(writer, call).call_count == 1
+    others = {"createOrReplace", "overwrite", "overwritePartitions", "append"} - {call}
+    assert not any(getattr(writer, other).called for other in others)
+    assert df.sparkSession.sql.called == (call != "createOrReplace")
+
+
 def test_unknown_partition_column(spark, target):
     with pytest.raises(ValueError, match="partition column"):
         land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="nope")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 
@@ -165,7 +166,7 @@ def test_write_retries_and_gives_up(spark, monkeypatch):
         return real(*args, **kwargs)
 
     monkeypatch.setattr(ops, "insert", flaky)
-    monkeypatch.setattr(ops.time, "sleep", naps.append)
+    monkeypatch.setattr(ops, "time", SimpleNamespace(sleep=naps.append))
     table = scratch_table(spark, "ledger")
     write_ledger(ledger(spark, row()), table, retry_delay=7)
     assert len(calls) == 3 and naps == [7, 7] and spark.table(table).count() == 1

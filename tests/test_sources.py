@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from millrace.functions.typemap import numeric_scale_profile
 from millrace.model import PipelineConfig, TableJob
 from millrace.operators.cdc import HourWindow, KeyRange
-from millrace.session import scratch_database
+from millrace.session import scratch_database, shared_dir
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
 from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, fetch_size, fetch_size_of
 from millrace.sources.lake import LakeSource, empty_like, enabled_jobs, open_source, pipeline_config
 
 LO, HI = datetime(2024, 12, 31, 12), datetime(2025, 1, 1, 5)
+LO_TEXT = "TO_DATE('2024-12-31 12:00:00', 'YYYY-MM-DD HH24:MI:SS')"
+HI_TEXT = "TO_DATE('2025-01-01 05:00:00', 'YYYY-MM-DD HH24:MI:SS')"
 ORACLE, SQL_SERVER = Oracle(), SqlServer()
 
 
@@ -31,11 +33,10 @@ ORACLE, SQL_SERVER = Oracle(), SqlServer()
         (Extract("C1,C2", "X=1 OR Y=2"), "SELECT C1,C2 FROM S.T WHERE (X=1 OR Y=2)"),
         (
             Extract("A,B", "X=1", HourWindow(("MOD_TS", "CRT_TS"), LO, HI)),
-            "SELECT A,B FROM S.T WHERE ((MOD_TS >= TIMESTAMP '2024-12-31 12:00:00' AND "
-            "MOD_TS < TIMESTAMP '2025-01-01 05:00:00') OR (CRT_TS >= TIMESTAMP '2024-12-31 12:00:00' AND "
-            "CRT_TS < TIMESTAMP '2025-01-01 05:00:00')) AND (X=1)",
+            f"SELECT A,B FROM S.T WHERE ((MOD_TS >= {LO_TEXT} AND MOD_TS < {HI_TEXT}) OR "
+            f"(CRT_TS >= {LO_TEXT} AND CRT_TS < {HI_TEXT})) AND (X=1)",
         ),
-        (Extract(window=HourWindow(("M",), None, HI)), "SELECT * FROM S.T WHERE ((M < TIMESTAMP '2025-01-01 05:00:00'))"),
+        (Extract(window=HourWindow(("M",), None, HI)), f"SELECT * FROM S.T WHERE ((M < {HI_TEXT}))"),
         (Extract(window=KeyRange("ID", None, 123)), "SELECT * FROM S.T WHERE (ID <= 123)"),
         (Extract(window=KeyRange("ID", 5, 123)), "SELECT * FROM S.T WHERE (ID > 5 AND ID <= 123)"),
     ],
@@ -47,8 +48,8 @@ def test_oracle_extract_text(extract, text):
 def test_sql_server_extract_text():
     window = HourWindow(("mod",), LO, HI)
     assert SQL_SERVER.extract_query("dbo", "T", Extract(window=window), "[First Name] as First_Name") == (
-        "SELECT [First Name] as First_Name FROM dbo.T WHERE ((mod >= CAST('2024-12-31T12:00:00' AS datetime2) AND "
-        "mod < CAST('2025-01-01T05:00:00' AS datetime2)))"
+        "SELECT [First Name] as First_Name FROM dbo.T WHERE ((mod >= '2024-12-31T12:00:00' AND "
+        "mod < '2025-01-01T05:00:00'))"
     )
     assert SQL_SERVER.extract_query("dbo", "T", Extract(), "[id] as id") == "SELECT [id] as id FROM dbo.T"
 
@@ -95,12 +96,19 @@ def test_fetch_size_tiers(spark):
     assert all(row.got == row.size == fetch_size_of(row.n) for row in df.collect())
 
 
+class ViewDialect(Oracle):
+    """Oracle's SQL, but for the two things that Spark writes otherwise."""
+
+    def timestamp(self, ts):
+        return f"TIMESTAMP '{ts}'"
+
+
 class ViewSource(JdbcSource):
     """The Oracle flow with Spark in the place of the database; keeps the options of the scans."""
 
     def __init__(self, spark):
         connection = JdbcConnection("jdbc:none", "u", "d")
-        super().__init__(spark, connection, Oracle())
+        super().__init__(spark, connection, ViewDialect())
         self.scans = []
 
     def scan(self, query, **options):
@@ -219,6 +227,31 @@ def test_scan_passes_options_to_the_reader(monkeypatch):
     assert given["format"] == "jdbc" and given["dbtable"] == "(SELECT 1 FROM DUAL) q" and given["fetchsize"] == "20"
 
 
+def test_braces_in_a_select_list(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    assert extract_from(df, Extract("k, '{x}' AS b")).first().b == "{x}"
+
+
+def test_unknown_change_column(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError, match="change column ts"):
+        extract_from(df, Extract(window=HourWindow(("ts",), LO, HI)))
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark):
+    class Session:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")
+
+
 def test_extract_filters_before_it_selects(spark):
     df = spark.createDataFrame([(1, 10, "x"), (2, 20, "y"), (3, 30, "x")], "k bigint, v int, s string")
     found = extract_from(df, Extract("v * 2 AS w", "s = 'x' OR v = 20", KeyRange("k", 1, 3)))
