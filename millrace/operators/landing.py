@@ -45,49 +45,62 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
 def _fits(old: T.DataType, new: T.DataType) -> bool:
     """Whether ``new`` can be stored as ``old`` unchanged, or else fails at the insert.
 
-    Spark checks the range of integers and decimals when it inserts, but rounds fractions silently.
+    Spark checks the range of decimals when it inserts, but rounds fractions silently.
     """
     if old == new or isinstance(new, T.NullType):
         return True
-    if isinstance(old, T.IntegralType):
-        return isinstance(new, T.IntegralType) or (isinstance(new, T.DecimalType) and new.scale == 0)
+    if old in INTEGERS:
+        return new in INTEGERS and INTEGERS.index(new) <= INTEGERS.index(old)
     if isinstance(old, T.DecimalType):
-        return isinstance(new, T.IntegralType) or (isinstance(new, T.DecimalType) and new.scale <= old.scale)
+        return new in INTEGERS or (isinstance(new, T.DecimalType) and new.scale <= old.scale)
     if isinstance(old, T.DoubleType):
-        return isinstance(new, (T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
+        return isinstance(new, T.FloatType) or new in INTEGERS[:3]
     return False
 
 
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, widened where the new type needs it, then the added ones."""
+    given = {f.name.lower(): f for f in new.fields}
+    merged = []
+    for have in old.fields:
+        comes = given.pop(have.name.lower(), have)
+        if _fits(have.dataType, comes.dataType):
+            merged.append(have)
+        elif _fits(comes.dataType, have.dataType):
+            merged.append(T.StructField(have.name, comes.dataType))
+        else:
+            raise SchemaConflict(
+                f"column {have.name}: {comes.dataType.simpleString()} does not fit the target's "
+                f"{have.dataType.simpleString()}"
+            )
+    return T.StructType(merged + list(given.values()))
+
+
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema`` by name and in its order; missing ones are null.
 
     Types are left to the insert, which checks ranges.
     """
-    given = {f.name.lower(): f for f in df.schema.fields}
-    chosen = []
-    for wanted in schema.fields:
-        have = given.get(wanted.name.lower())
-        if have is None:
-            chosen.append(F.lit(None).cast(wanted.dataType).alias(wanted.name))
-        elif not _fits(wanted.dataType, have.dataType):
-            raise SchemaConflict(
-                f"column {wanted.name}: {have.dataType.simpleString()} does not fit the target's "
-                f"{wanted.dataType.simpleString()}"
-            )
-        else:
-            chosen.append(F.col(quoted(have.name)).alias(wanted.name))
-    return df.select(*chosen)
-
-
-def evolve(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Adds the columns that the table does not have yet."""
-    known = {name.lower() for name in spark.table(table).columns}
-    added = [f for f in schema.fields if f.name.lower() not in known]
-    if added:
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+    given = {name.lower(): name for name in df.columns}
+    return df.select(
+        *[
+            F.col(quoted(given[f.name.lower()])).alias(f.name)
+            if f.name.lower() in given
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) -> None:
+    if fields:
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
@@ -136,26 +149,32 @@ def _swap(spark: SparkSession, staged: str, table: str) -> None:
 
 def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
                 replace: str | None) -> None:
-    """File formats such as parquet and ORC."""
+    """File formats such as parquet and ORC.
+
+    A type that must be widened rewrites the table, old rows and new, beside itself.
+    """
     spark = df.sparkSession
     by = [column] if column else []
     if not spark.catalog.tableExists(table):
         create_table(spark, table, df.schema, fmt, by, options)
         insert(df, table)
-    elif replace in ("table", "rows"):
-        staged = f"{table}__staged_{uuid.uuid4().hex[:8]}"
-        schema = df.schema
-        if replace == "rows":
-            old = spark.table(table).schema
-            names = {f.name.lower() for f in old.fields}
-            schema = T.StructType(old.fields + [f for f in schema.fields if f.name.lower() not in names])
-            by = partition_columns(spark, table) or by
-        create_table(spark, staged, schema, fmt, by, options)
-        insert(df, staged)
-        _swap(spark, staged, table)
-    else:
-        evolve(spark, table, df.schema)
-        insert(df, table, overwrite_partitions=replace == "partitions")
+        return
+    schema = df.schema
+    if replace != "table":
+        old = spark.table(table).schema
+        schema = merged_schema(old, schema)
+        by = partition_columns(spark, table)
+        widened = [f.dataType for f in schema.fields[: len(old)]] != [f.dataType for f in old.fields]
+        if replace != "rows" and not widened:
+            add_columns(spark, table, schema.fields[len(old):])
+            insert(df, table, overwrite_partitions=replace == "partitions")
+            return
+    staged = f"{table}__staged_{uuid.uuid4().hex[:8]}"
+    create_table(spark, staged, schema, fmt, by, options)
+    if replace in (None, "partitions"):
+        insert(spark.table(table), staged)
+    insert(df, staged, overwrite_partitions=replace == "partitions")
+    _swap(spark, staged, table)
 
 
 def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],

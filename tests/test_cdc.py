@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -123,3 +124,28 @@ def test_timestamp_plan_uses_the_latest_watermark(spark):
     assert window == HourWindow(("M", "C"), datetime(2024, 1, 1, 3), HOUR)
     after = known.union(watermark_row(known, stamped, window))
     assert watermark_of(after, stamped) == ("2024010205", None)
+
+
+def test_window_equals_the_comparison_of_hour_keys(spark):
+    """Against the text form: the hour key of either column lies in [watermark, hour of the run)."""
+    rnd = random.Random(3)
+
+    def stamp():
+        if rnd.random() < 0.1:
+            return None
+        return datetime(2024, 1, 1) + timedelta(seconds=rnd.choice([0, 3599, 3600, rnd.randint(0, 4 * 86400)]) + rnd.choice([0, 0.5]))
+
+    rows = [(i, stamp(), stamp()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, m timestamp, c timestamp_ntz")
+
+    def key(ts):
+        return ts.strftime("%Y%m%d%H") if ts else None
+
+    for lo, run_ts in ((None, datetime(2024, 1, 2, 3, 4)), ("2024010100", datetime(2024, 1, 1, 1)),
+                       ("2024010123", datetime(2024, 1, 3, 0, 59)), ("2024010300", datetime(2024, 1, 2))):
+        hi = key(run_ts)
+        expected = [
+            i for i, *stamps in rows
+            if any(key(ts) is not None and (lo is None or key(ts) >= lo) and key(ts) < hi for ts in stamps)
+        ]
+        assert ids(changed_rows(df, hour_window(["m", "c"], lo, run_ts))) == expected

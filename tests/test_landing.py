@@ -127,15 +127,34 @@ def test_columns_go_by_name_and_may_grow(spark, target):
 def test_types_that_do_not_fit_are_refused(spark, target):
     land(frame(spark, [(1, Decimal("1.50"))], "id bigint, d decimal(38,2)"), target, load_date=DAY)
     land(frame(spark, [(2, 7)], "id int, d bigint"), target, load_date=DAY)
-    with pytest.raises(SchemaConflict, match="column d"):
-        land(frame(spark, [(3, Decimal("1.505"))], "id int, d decimal(38,3)"), target, load_date=DAY)
-    with pytest.raises(SchemaConflict, match="column id"):
-        land(frame(spark, [(1.5,)], "id double"), target, load_date=DAY)
+    for schema, value in (("id double", 1.5), ("id string", "x"), ("d double", 0.1)):
+        with pytest.raises(SchemaConflict, match="does not fit"):
+            land(frame(spark, [(value,)], schema), target, load_date=DAY)
     with pytest.raises(PySparkException):
-        land(frame(spark, [(Decimal(2**70),)], "id decimal(38,0)"), target, load_date=DAY)
+        land(frame(spark, [(Decimal(10**37),)], "d decimal(38,0)"), target, load_date=DAY)
     assert rows(spark, target) == [(1, Decimal("1.50")), (2, Decimal("7.00"))]
 
 
+@pytest.mark.parametrize("spec", [None, "p"])
+def test_types_are_widened(spark, target, spec):
+    """A number without fractions so far, then with some, then with longer ones."""
+    def load(value, kind, **mode):
+        df = frame(spark, [(value, "a")], f"n {kind}, p string")
+        assert land(df, target, load_date=DAY, partition_by=spec, **mode).rows == 1
+
+    load(1, "int")
+    load(2**40, "bigint")
+    load(Decimal("2.5"), "decimal(38,1)")
+    load(7, "int")
+    load(Decimal("0.125"), "decimal(38,3)")
+    assert dict(spark.table(target).dtypes)["n"] == "decimal(38,3)"
+    expected = [Decimal(v) for v in ("0.125", "1", "2.5", "7", str(2**40))]
+    assert sorted(row.n for row in spark.table(target).collect()) == expected
+    assert partition_columns(spark, target) == ([spec] if spec else [])
+    load(Decimal("0.0625"), "decimal(38,4)", partition_overwrite=True)
+    assert spark.table(target).count() == (1 if spec else 6)
+
+
 def test_recreate_replaces_schema(spark, target):
     land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="p")
     land(frame(spark, [(2.5,)], "x double"), target, load_date=DAY, recreate=True)

@@ -192,3 +192,19 @@ def test_schema_diff_and_text(spark):
     }
     assert change_text(diff) == "TYPE_CHANGED b (int -> double); DROPPED c; ADDED d"
     assert change_text(schema_diff(old, old, ["column_name"])) == NO_CHANGE
+
+
+def test_a_job_reported_very_often_is_one_row(spark):
+    """A third of all rows belong to one job; it shrinks before the shuffle."""
+    many = spark.range(30000, numPartitions=4).selectExpr(
+        "'r1' AS run_id", "'2025010100' AS batch_id", "'daily' AS run_group",
+        "IF(id % 3 = 0, 'hot', string(id)) AS job_id", "IF(id = 29997, 'FAILED', 'COMPLETED') AS status",
+        "TIMESTAMP'2025-01-01 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, 0, 0, id) AS start_time",
+    )
+    rows = ledger_rows(many)
+    found = consolidate(ledger(spark), rows)
+    assert found.count() == 20001
+    assert [(r.job_id, r.status) for r in found.where("job_id = 'hot'").collect()] == [("hot", "FAILED")]
+    assert [r.job_id for r in jobs_failed_last(rows, "daily").collect()] == ["hot"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_max" in plan
