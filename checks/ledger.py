@@ -29,6 +29,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run of a job knows: its ids, table, times, counts and message."""
     key = F.col("o_orderkey")
     start = F.col("o_orderdate").cast("timestamp")
+    failed, done = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("run-"), key.cast("string")).alias("run_id"),
         F.date_format("o_orderdate", "yyyyMMddHH").alias("batch_id"),
@@ -37,14 +38,14 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("job_id"),
         F.lit("lake").alias("target_schema"),
         F.concat(F.lit("t_"), F.col("o_custkey").cast("string")).alias("target_table"),
-        F.expr("CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'COMPLETED' ELSE 'STARTED' END").alias("status"),
-        (F.col("o_orderstatus") == "O").alias("has_data"),
+        F.when(failed, "FAILED").when(done, "COMPLETED").otherwise("STARTED").alias("status"),
+        done.alias("has_data"),
         start.alias("start_time"),
         F.timestamp_add("SECOND", (key * 37 % 200000).cast("int"), start).alias("end_time"),
         F.lit(6).alias("column_count"),
-        F.when(F.col("o_orderstatus") != "P", F.floor("o_totalprice")).alias("records_processed"),
-        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("can't read\n"), F.col("o_orderpriority"))).alias("error_message"),
-        F.when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyyMMdd")).alias("load_date"),
+        F.when(failed | done, F.floor("o_totalprice")).alias("records_processed"),
+        F.when(failed, F.concat(F.lit("can't read\n"), "o_orderpriority")).alias("error_message"),
+        F.when(done, F.date_format("o_orderdate", "yyyyMMdd")).alias("load_date"),
     )
 
 
@@ -184,6 +185,12 @@ INITIAL = f"""
            CAST(0 AS BIGINT) AS records_rejected, '' AS error_message, '' AS load_date, '' AS comments
     FROM ({RUNS})"""
 
+LATEST = f"""
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY start_time DESC, batch_id DESC, run_id DESC) AS rn
+        FROM ({LEDGER}) WHERE run_group = '{GROUP}')
+    WHERE rn = 1 AND status = 'FAILED'"""
+
 ENDED = f"SELECT * FROM ({COMPLETION}) WHERE run_id IN (SELECT run_id FROM ({RUNS}) WHERE status <> 'STARTED')"
 
 ORACLES = {
@@ -215,15 +222,10 @@ ORACLES = {
     "rerun_failed": f"""
         SELECT job_id, max(batch_id) AS batch_id, max(spark_app_id) AS spark_app_id
         FROM ({LEDGER}) WHERE run_group = '{GROUP}' AND status = 'FAILED' GROUP BY job_id""",
-    "rerun_latest": f"""
-        SELECT job_id, batch_id, spark_app_id FROM (
-            SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY start_time DESC, batch_id DESC, run_id DESC) AS rn
-            FROM ({LEDGER}) WHERE run_group = '{GROUP}') WHERE rn = 1 AND status = 'FAILED'""",
+    "rerun_latest": f"SELECT job_id, batch_id, spark_app_id FROM ({LATEST})",
     "rerun_jobs": f"""
-        SELECT CAST(c_custkey AS VARCHAR) AS job_id, c_name FROM customer WHERE CAST(c_custkey AS VARCHAR) IN (
-            SELECT job_id FROM (
-                SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY start_time DESC, batch_id DESC, run_id DESC) AS rn
-                FROM ({LEDGER}) WHERE run_group = '{GROUP}') WHERE rn = 1 AND status = 'FAILED')""",
+        SELECT CAST(c_custkey AS VARCHAR) AS job_id, c_name FROM customer
+        WHERE CAST(c_custkey AS VARCHAR) IN (SELECT job_id FROM ({LATEST}))""",
     "batch_summary": f"""
         SELECT *, 'Successful: ' || CAST(success_jobs AS VARCHAR) || ' Fail: ' || CAST(fail_jobs AS VARCHAR)
                   || ' Total: ' || CAST(total_jobs AS VARCHAR) AS jobs_status

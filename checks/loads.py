@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import source
-from millrace.model import INGEST_CONFIG_SCHEMA, RunContext, TableJob
+from millrace.model import ALERT_CONFIG_SCHEMA, INGEST_CONFIG_SCHEMA, RunContext, TableJob
 from millrace.plans.batch import run_batch
 from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table
@@ -82,11 +82,10 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = INGEST_CONFIG_SCHEMA.fieldNames()
     config = spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], INGEST_CONFIG_SCHEMA)
     config.write.saveAsTable(f"{database}.{ingest}")
-    spark.createDataFrame(
-        [("p", "daily", "Y", {"tbl_schema": database}, ingest, ledger, tracker)],
-        "app_pipeline string, run_group string, is_active string, schema_config map<string,string>, "
-        "ingest_tbl string, job_status_tbl string, cdc_tracker_tbl string",
-    ).write.saveAsTable(f"{database}.{alerts}")
+    settings = {"app_pipeline": "p", "run_group": "daily", "is_active": "Y", "schema_config": {"tbl_schema": database},
+                "ingest_tbl": ingest, "job_status_tbl": ledger, "cdc_tracker_tbl": tracker}
+    row = tuple(settings.get(name) for name in ALERT_CONFIG_SCHEMA.fieldNames())
+    spark.createDataFrame([row], ALERT_CONFIG_SCHEMA).write.saveAsTable(f"{database}.{alerts}")
     result = run_batch(spark, f"{database}.{alerts}", "p", "daily", source=source(spark, sf_dir), run_ts=RUNS[0])
     return result.ledger.select(
         "job_id", "batch_id", "run_group", "dlh_layer", "status", "column_count", "records_processed",

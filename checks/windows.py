@@ -121,8 +121,10 @@ ORACLES = {
     "cdc_ts_window_or": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, o_orderdate
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE (strftime(l_shipdate, '%Y%m%d%H') >= '1998010100' AND strftime(l_shipdate, '%Y%m%d%H') < '1998030100')
-           OR (strftime(o_orderdate, '%Y%m%d%H') >= '1998010100' AND strftime(o_orderdate, '%Y%m%d%H') < '1998030100')""",
+        WHERE (strftime(l_shipdate, '%Y%m%d%H') >= '1998010100'
+               AND strftime(l_shipdate, '%Y%m%d%H') < '1998030100')
+           OR (strftime(o_orderdate, '%Y%m%d%H') >= '1998010100'
+               AND strftime(o_orderdate, '%Y%m%d%H') < '1998030100')""",
     "cdc_append_key": """
         SELECT * FROM events WHERE event_id > 2500 AND event_id <= (SELECT max(event_id) FROM events)""",
     "watermark_lookup": """

@@ -67,6 +67,44 @@ PATTERN_SCHEMA = T.StructType(
     ]
 )
 
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("level", T.StringType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
+
+TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+
+# Settings of a pipeline. Those of mail delivery are kept for existing tables and not used.
+ALERT_CONFIG_SCHEMA = T.StructType(
+    [
+        T.StructField("app_pipeline", T.StringType()),
+        T.StructField("run_group", T.StringType()),
+        T.StructField("is_active", T.StringType()),
+        T.StructField("log_bucket", T.StringType()),
+        T.StructField("log_reference", T.StringType()),
+        T.StructField("smtp_server", T.StringType()),
+        T.StructField("smtp_port", T.IntegerType()),
+        T.StructField("statusEmails", T.StringType()),
+        T.StructField("retention_period", T.IntegerType()),
+        T.StructField("alert_email_from", T.StringType()),
+        T.StructField("success_email_to", T.StringType()),
+        T.StructField("failure_email_to", T.StringType()),
+        T.StructField("alert_type", T.StringType()),
+        T.StructField("catalog_name", T.StringType()),
+        T.StructField("schema_config", TEXT_MAP),
+        T.StructField("ingest_tbl", T.StringType()),
+        T.StructField("alert_tbl", T.StringType()),
+        T.StructField("job_status_tbl", T.StringType()),
+        T.StructField("cdc_tracker_tbl", T.StringType()),
+        T.StructField("source_db_config", TEXT_MAP),
+        T.StructField("dbpass", T.StringType()),
+        T.StructField("max_workers", T.IntegerType()),
+    ]
+)
+
 INGEST_CONFIG_SCHEMA = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -93,7 +131,7 @@ INGEST_CONFIG_SCHEMA = T.StructType(
             "target_recreate",
         )
     ]
-    + [T.StructField("target_table_options", T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField("target_table_options", TEXT_MAP)]
 )
 
 OUTCOME_SCHEMA = T.StructType(

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.timekeys import elapsed_seconds, elapsed_text
-from millrace.model import DAY_FORMAT, SECOND_FORMAT
+from millrace.model import DAY_FORMAT, LOG_SCHEMA, SECOND_FORMAT
 
 # The known log levels; any other counts as INFO.
 LOG_LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
-LOG_SCHEMA = "ts timestamp, level string, message string"
 
 
 def job_report(ledger: DataFrame, config: DataFrame) -> DataFrame:

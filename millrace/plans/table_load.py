@@ -6,7 +6,7 @@ import threading
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.model import TRACKER_SCHEMA, RunContext, TableJob, is_yes
 from millrace.operators.cdc import plan_window, watermark_row
@@ -65,6 +65,13 @@ class Target:
             create_table(self.spark, self.tracker, TRACKER_SCHEMA, self.fmt, [])
 
 
+def changes(before: DataFrame | None, after: DataFrame) -> str:
+    """What a load changed in the columns of its target."""
+    if before is None or before.dtypes == after.dtypes:
+        return NO_CHANGE
+    return change_text(schema_diff(column_list(before), column_list(after), ["column_name"]))
+
+
 def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -> Outcome:
     """Loads one table in full or by its change window.
 
@@ -84,8 +91,7 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
 
     table = target.table(job)
     with target.lock(table):
-        known = spark.catalog.tableExists(table)
-        before = column_list(spark.table(table)) if known else None
+        before = spark.table(table) if spark.catalog.tableExists(table) else None
         landed = land(
             df,
             table,
@@ -97,10 +103,9 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
             fmt=target.fmt,
             options=job.target_table_options,
         )
-        after = column_list(spark.table(table))
+        comments = changes(before, spark.table(table))
     if window is not None:
         with target.lock(target.tracker):
             insert(watermark_row(spark.table(target.tracker), job, window), target.tracker)
-    comments = change_text(schema_diff(before, after, ["column_name"])) if known else NO_CHANGE
     return Outcome(job, started, datetime.now(), True, landed.columns, landed.rows,
                    load_date=landed.load_date, comments=comments)
