@@ -132,11 +132,18 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, fmt: str
     spark.sql(" ".join(clauses))
 
 
-def insert(df: DataFrame, table: str, overwrite_partitions: bool = False) -> None:
-    """Adds rows by column name, or replaces the partitions that occur in them."""
-    rows = aligned(df, df.sparkSession.table(table).schema)
-    into = f"OVERWRITE {table} WITH ({DYNAMIC})" if overwrite_partitions else f"INTO {table}"
-    df.sparkSession.sql(f"INSERT {into} SELECT * FROM {{rows}}", rows=rows)
+def insert(df: DataFrame, table: str, overwrite: list[str] | None = None) -> None:
+    """Adds rows by column name, or replaces the partitions of the given columns that occur in them."""
+    spark = df.sparkSession
+    rows = aligned(df, spark.table(table).schema)
+    into = f"INTO {table}"
+    if overwrite:
+        # Spark would replace all rows of a table that is not partitioned.
+        missing = set(overwrite) - set(partition_columns(spark, table))
+        if missing:
+            raise ValueError(f"{table} is not partitioned by {', '.join(sorted(missing))}")
+        into = f"OVERWRITE {table} WITH ({DYNAMIC})"
+    spark.sql(f"INSERT {into} SELECT * FROM {{rows}}", rows=rows)
 
 
 def _swap(spark: SparkSession, staged: str, table: str) -> None:
@@ -155,6 +162,7 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
     """
     spark = df.sparkSession
     by = [column] if column else []
+    overwrite = by if replace == "partitions" else None
     if not spark.catalog.tableExists(table):
         create_table(spark, table, df.schema, fmt, by, options)
         insert(df, table)
@@ -167,13 +175,13 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
         widened = [f.dataType for f in schema.fields[: len(old)]] != [f.dataType for f in old.fields]
         if replace != "rows" and not widened:
             add_columns(spark, table, schema.fields[len(old):])
-            insert(df, table, overwrite_partitions=replace == "partitions")
+            insert(df, table, overwrite)
             return
     staged = f"{table}__staged_{uuid.uuid4().hex[:8]}"
     create_table(spark, staged, schema, fmt, by, options)
     if replace in (None, "partitions"):
         insert(spark.table(table), staged)
-    insert(df, staged, overwrite_partitions=replace == "partitions")
+    insert(df, staged, overwrite)
     _swap(spark, staged, table)
 
 
@@ -193,6 +201,8 @@ def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, option
     if replace == "rows":
         writer.overwrite(F.lit(True))
     elif replace == "partitions":
+        if column not in partition_columns(spark, table):
+            raise ValueError(f"{table} is not partitioned by {column}")
         writer.overwritePartitions()
     else:
         writer.append()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.errors import scrubbed
 from millrace.model import COMPLETED, FAILED, LAYER, LEDGER_SCHEMA, STARTED, RunContext
-from millrace.operators.landing import ATOMIC_FORMATS, create_table, insert
+from millrace.operators.landing import ATOMIC_FORMATS, create_table, insert, partition_columns
 
 # One row of the ledger; none of these may be null.
 LEDGER_KEY = ["run_id", "batch_id", "job_id"]
@@ -167,26 +167,34 @@ def batch_summary(ledger: DataFrame) -> DataFrame:
     return counts.withColumn("jobs_status", text)
 
 
+def _write_atomic(rows: DataFrame, table: str, fmt: str) -> None:
+    spark = rows.sparkSession
+    writer = rows.writeTo(table).using(fmt)
+    if not spark.catalog.tableExists(table):
+        writer.partitionedBy(*map(F.col, LEDGER_PARTITIONS)).create()
+    elif set(LEDGER_PARTITIONS) <= set(partition_columns(spark, table)):
+        writer.overwritePartitions()
+    else:
+        writer.append()
+
+
 def write_ledger(rows: DataFrame, table: str, fmt: str = "parquet", max_retries: int = 50,
                  retry_delay: float = 5.0) -> None:
     """Writes the rows of whole runs, trying again on failure.
 
     Each run is a partition (batch_id, run_id) that a write replaces, so a retry after a late failure
-    cannot duplicate rows.
+    cannot duplicate rows. An existing atomic table with other partitions is appended to, as its
+    commits are whole; a file table must have these partitions.
     """
     spark = rows.sparkSession
     typed = ledger_rows(rows).hint("rebalance", *map(F.col, LEDGER_PARTITIONS))
     for attempt in range(1, max_retries + 1):
         try:
             if fmt in ATOMIC_FORMATS:
-                writer = typed.writeTo(table).using(fmt).partitionedBy(*map(F.col, LEDGER_PARTITIONS))
-                if spark.catalog.tableExists(table):
-                    writer.overwritePartitions()
-                else:
-                    writer.create()
+                _write_atomic(typed, table, fmt)
             else:
                 create_table(spark, table, LEDGER_SCHEMA, fmt, LEDGER_PARTITIONS)
-                insert(typed, table, overwrite_partitions=True)
+                insert(typed, table, overwrite=LEDGER_PARTITIONS)
             return
         except Exception:
             if attempt == max_retries:

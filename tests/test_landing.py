@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from types import SimpleNamespace
 from unittest.mock import MagicMock
 
 import pytest
@@ -103,6 +104,7 @@ def test_atomic_formats_choose_their_write(spark, exists, replace, call):
     """Only the choice of the write; the connectors are not installed here."""
     df = MagicMock()
     df.sparkSession.catalog.tableExists.return_value = exists
+    df.sparkSession.catalog.listColumns.return_value = [SimpleNamespace(name="p", isPartition=True)]
     writer = df.writeTo.return_value.using.return_value.options.return_value
     writer.partitionedBy.return_value = writer
     _land_atomic(df, "c.s.t", "iceberg", "p", {}, replace)
@@ -194,6 +196,20 @@ def test_partition_overwrite_twice_equals_once(spark, target):
     assert rows(spark, target) == [(1, "a"), (3, "b"), (4, "c")]
 
 
+def test_partition_overwrite_never_empties_another_table(spark, target):
+    land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY)
+    with pytest.raises(ValueError, match="not partitioned by p"):
+        land(frame(spark, [(3, "b")]), target, load_date=DAY, partition_by="p", partition_overwrite=True)
+    assert rows(spark, target) == [(1, "a"), (2, "b")]
+
+
+def test_loads_without_rows(spark, target):
+    df = frame(spark, [(1, "a")])
+    for empty in (df.where("1 = 0"), df.limit(0), df.where("id < 0"), df.where("null = id")):
+        for spec in (None, "p", "q='x'"):
+            assert land(empty, target, load_date=DAY, partition_by=spec).rows == 0
+
+
 def test_other_formats_and_options(spark, target):
     land(frame(spark, [(1, "a")]), target, load_date=DAY, fmt="orc", options={"compression": "zlib"})
     found = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {target}").collect()}

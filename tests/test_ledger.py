@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import pytest
 
@@ -155,6 +156,30 @@ def test_write_twice_keeps_one_copy_and_other_runs(spark):
     assert dict(spark.table(table).dtypes)["batch_id"] == "string"
 
 
+def test_write_never_empties_a_ledger_without_partitions(spark):
+    table = scratch_table(spark, "ledger")
+    ledger(spark, row("old")).write.saveAsTable(table)
+    with pytest.raises(ValueError, match="not partitioned"):
+        write_ledger(ledger(spark, row("r1")), table, max_retries=1)
+    assert spark.table(table).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("exists", "partitions", "call"),
+    [(False, [], "create"), (True, ["batch_id", "run_id"], "overwritePartitions"), (True, ["batch_id"], "append")],
+)
+def test_atomic_ledger_chooses_its_write(spark, exists, partitions, call):
+    """Only the choice of the write; the connectors are not installed here."""
+    rows = MagicMock()
+    rows.sparkSession.catalog.tableExists.return_value = exists
+    rows.sparkSession.catalog.listColumns.return_value = [SimpleNamespace(name=n, isPartition=True) for n in partitions]
+    writer = rows.writeTo.return_value.using.return_value
+    writer.partitionedBy.return_value = writer
+    ops._write_atomic(rows, "c.s.t", "iceberg")
+    called = {name for name in ("create", "overwritePartitions", "append") if getattr(writer, name).called}
+    assert called == {call}
+
+
 def test_write_retries_and_gives_up(spark, monkeypatch):
     calls, naps = [], []
     real = ops.insert
