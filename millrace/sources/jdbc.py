@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.names import safe_names, select_list
 from millrace.functions.typemap import schema_ddl, schema_map
 from millrace.model import TableJob
+from millrace.operators.cdc import HourWindow, KeyRange
 from millrace.sources.dialects import Dialect, Oracle, SqlServer
 from millrace.sources.extract import Extract
 
@@ -20,9 +22,10 @@ from millrace.sources.extract import Extract
 FETCH_TIERS = [(0, 20), (100, 50), (500, 100), (5000, 200), (20000, 500), (50000, 1000), (100000, 5000)]
 LARGEST_FETCH = 10000
 
-# Connections that one split scan may open at the source.
+# Connections that one split scan may open at the source, and what is worth one of them.
 MAX_CONNECTIONS = 16
 ROWS_PER_CONNECTION = 1_000_000
+TIME_PER_CONNECTION = timedelta(days=1)
 
 
 def fetch_size(row_count: Column) -> Column:
@@ -163,26 +166,39 @@ class JdbcSource:
         return schema_ddl(schema_map(catalogue, self.scale_profile(schema, table, numbers)))
 
     def split(self, job: TableJob, extract: Extract, row_count: int, outputs: dict[str, str]) -> Split | None:
-        """A range split on the key or change column of the job, if the rows are worth several readers.
+        """A range split of a scan that is worth several readers.
 
+        A key range splits by its width and an hour window by its days, on their own column. A read
+        without lower bound splits by the table's rows, on the key or change column of the job.
         ``outputs`` gives the name of every source column in the scan.
         """
-        parts = min(MAX_CONNECTIONS, math.ceil(row_count / ROWS_PER_CONNECTION))
         names = {raw.lower(): raw for raw in outputs}
-        wanted = [job.cdc_append_key_column, job.cdc_modified_date_column, job.cdc_created_date_column]
+        window = extract.window
+        bounded = window is not None and window.lo is not None
+        if isinstance(window, KeyRange):
+            wanted = [window.column]
+        elif isinstance(window, HourWindow):
+            wanted = list(window.columns)
+        else:
+            wanted = [job.cdc_append_key_column, job.cdc_modified_date_column, job.cdc_created_date_column]
         column = next((names[c.lower()] for c in wanted if c and c.lower() in names), None)
-        if column is None or parts < 2:
+
+        parts = row_count / ROWS_PER_CONNECTION
+        if bounded and isinstance(window, KeyRange):
+            parts = (window.hi - window.lo) / ROWS_PER_CONNECTION
+        elif bounded and parts > 1:
+            parts = (window.hi - window.lo) / TIME_PER_CONNECTION
+        if column is None or parts <= 1:
             return None
-        window = extract.window
-        if window is not None and window.lo is not None:
-            return Split(outputs[column], window.lo, window.hi, parts)
-        query = self.dialect.bounds_query(job.source_schema, job.source_table, extract, column)
-        lo, hi = self.scan(query).first()
+        lo, hi = (window.lo, window.hi) if bounded else self.bounds(job, extract, column)
         if lo is None or isinstance(lo, str):
             return None
-        if isinstance(lo, Decimal):
-            lo, hi = int(lo), int(hi)
-        return Split(outputs[column], lo, hi, parts)
+        return Split(outputs[column], lo, hi, min(MAX_CONNECTIONS, math.ceil(parts)))
+
+    def bounds(self, job: TableJob, extract: Extract, column: str) -> tuple:
+        """The smallest and largest value of a column among the rows to read."""
+        query = self.dialect.bounds_query(job.source_schema, job.source_table, extract, column)
+        return tuple(int(v) if isinstance(v, Decimal) else v for v in self.scan(query).first())
 
     def columns(self, job: TableJob) -> list[str]:
         rows = self.catalogue(job.source_schema, job.source_table).collect()

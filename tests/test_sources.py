@@ -179,7 +179,10 @@ def test_key_window_scan(oracle):
     assert source.key_max(job) == 100
     found = source.extract(job, Extract(None, "ID <> 50 OR ID < 0", KeyRange("ID", 40, 60)))
     assert sorted(row.ID for row in found.collect()) == [i for i in range(41, 61) if i != 50]
-    assert source.scans[-1][1]["lowerBound"] == "40" and source.scans[-1][1]["upperBound"] == "60"
+    assert "partitionColumn" not in source.scans[-1][1]
+    source.extract(job, Extract(None, None, KeyRange("ID", 40, 3_000_000)))
+    options = source.scans[-1][1]
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("40", "3000000", "3")
 
 
 def test_hour_window_scan_with_fields(oracle):
@@ -190,8 +193,18 @@ def test_hour_window_scan_with_fields(oracle):
     assert sorted(map(tuple, found.collect())) == [(3, "N3"), (4, "N4"), (5, "N5")]
     assert "partitionColumn" not in source.scans[-1][1]
     source.extract(job, Extract(None, None, window))
-    assert source.scans[-1][1]["partitionColumn"] == "MOD_TS"
-    assert source.scans[-1][1]["lowerBound"] == "2024-12-31 03:00:00"
+    assert "partitionColumn" not in source.scans[-1][1]
+    long = HourWindow(("MOD_TS",), datetime(2024, 12, 1, 3), datetime(2024, 12, 31, 6))
+    both = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS", cdc_append_key_column="ID")
+    source.extract(both, Extract(None, None, long))
+    options = source.scans[-1][1]
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
+        "MOD_TS", "2024-12-01 03:00:00", "2024-12-31 06:00:00", "16"
+    )
+    first = HourWindow(("MOD_TS",), None, datetime(2024, 12, 31, 6))
+    assert source.extract(job, Extract(None, None, first)).count() == 5
+    options = source.scans[-1][1]
+    assert (options["lowerBound"], options["numPartitions"]) == ("2024-12-31 01:00:00", "5")
 
 
 def test_small_table_is_read_in_one_part(oracle):
@@ -199,8 +212,9 @@ def test_small_table_is_read_in_one_part(oracle):
     job = TableJob("J", database, "V", "x", "t", cdc_append_key_column="ID")
     assert source.split(job, Extract(), 7, {"ID": "ID"}) is None
     assert source.split(TableJob("J", database, "T", "x", "t"), Extract(), 10**9, {"ID": "ID"}) is None
-    big = source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, {"ID": "id_out"})
-    assert big == Split("id_out", 1, 9, 16)
+    assert source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, {"ID": "ID"}) is None
+    big = source.split(job, Extract(window=KeyRange("ID", 1, 10**9)), 10**12, {"ID": "id_out"})
+    assert big == Split("id_out", 1, 10**9, 16)
 
 
 def test_scan_passes_options_to_the_reader(monkeypatch):
