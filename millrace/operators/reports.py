@@ -86,8 +86,8 @@ class RunLog:
         """Whether the log could be written; a failure is itself logged."""
         try:
             write_log(self.frame(spark), path)
-            self.log("Logs successfully saved", "INFO")
+            self.log(f"log saved to {path}")
             return True
         except Exception as error:
-            self.log(f"Failed to save logs: {error}", "ERROR")
+            self.log(f"log not saved: {error}", "ERROR")
             return False

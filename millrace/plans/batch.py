@@ -42,7 +42,7 @@ def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log:
         log.log(f"{job.job_id}: {outcome.records_processed} rows landed in {target.table(job)}")
         return outcome
     except Exception as error:
-        log.log(f"Error in {job.job_id}: {error}", "ERROR")
+        log.log(f"{job.job_id}: {error}", "ERROR")
         return Outcome(job, started, datetime.now(), False, error_message=str(error))
 
 
@@ -109,9 +109,9 @@ def run_batch(
         config = spark.createDataFrame(config.collect(), config.schema)
         jobs = [TableJob.from_row(row) for row in config.collect()]
         if not jobs:
-            log.log("No failed jobs found for rerun." if rerun else "No enabled jobs found.")
+            log.log("nothing to rerun" if rerun else "no enabled jobs")
         else:
-            log.log(f"Job initiated for batch id: {run.batch_id} run_id: {run.run_id}")
+            log.log(f"batch {run.batch_id}, run {run.run_id}: {len(jobs)} jobs")
             origin = source or open_source(spark, pipeline.source_db_config, pipeline.dbpass)
             target = Target(spark, pipeline.table(pipeline.cdc_tracker_tbl), pipeline.catalog_name, fmt)
             reports = bool(pipeline.log_bucket) and is_yes(pipeline.statusEmails)
@@ -124,7 +124,7 @@ def run_batch(
             log.log(summary)
     except Exception as error:
         message = str(error).replace("\n", " ")
-        log.log(f"Connection failed: {message}", "ERROR")
+        log.log(f"the batch could not run: {message}", "ERROR")
         code = 1
     if pipeline is not None and pipeline.log_bucket:
         log.save(spark, pipeline.log_folder)

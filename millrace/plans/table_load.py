@@ -82,7 +82,7 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
     started = datetime.now()
     spark = target.spark
     if not source.columns(job):
-        raise ValueError(f"No columns found for the table {job.source_schema}.{job.source_table}.")
+        raise ValueError(f"{job.source_schema}.{job.source_table} has no columns")
     window = None
     if job.change_rule:
         target.ensure_tracker()

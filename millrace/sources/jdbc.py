@@ -123,10 +123,7 @@ class JdbcSource:
         rows = self.scan(self.dialect.object_types_query(schema, table)).collect()
         kinds = {row.OBJECT_TYPE.strip() for row in rows}
         if not kinds:
-            raise ValueError(
-                f"Object type for table '{table}' in schema '{schema}' could not be determined. "
-                "Please check the table or view existence."
-            )
+            raise ValueError(f"{schema}.{table} is not in the source's catalogue, so its type is unknown")
         return next((kind for kind in ("TABLE", "VIEW") if kind in kinds), min(kinds))
 
     def row_count(self, schema: str, table: str) -> int:

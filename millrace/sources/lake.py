@@ -27,7 +27,7 @@ def pipeline_config(alerts: DataFrame, app_pipeline: str, run_group: str) -> Pip
     wanted = {"app_pipeline": app_pipeline, "run_group": run_group, "is_active": "Y"}
     rows = matching(alerts, wanted).take(1)
     if not rows:
-        raise ValueError("Configuration table is empty or no matching run_group found")
+        raise ValueError(f"no active settings for pipeline {app_pipeline} and run group {run_group}")
     return PipelineConfig.from_row(rows[0])
 
 

@@ -150,7 +150,7 @@ def test_probes(oracle):
     source, database = oracle
     assert [source.object_type(database, name) for name in ("t", "v", "q")] == ["TABLE", "VIEW", "SEQUENCE"]
     assert [source.row_count(database, name) for name in ("T", "V", "Q")] == [5_000_000, 7, 0]
-    with pytest.raises(ValueError, match="could not be determined"):
+    with pytest.raises(ValueError, match="type is unknown"):
         source.object_type(database, "missing")
 
 
@@ -288,7 +288,7 @@ def test_config_reads(spark):
     config = pipeline_config(alerts, "p", "daily")
     assert config == PipelineConfig("p", "daily", tbl_schema="meta")
     assert config.table("ledger") == "meta.ledger" and config.max_workers == 5
-    with pytest.raises(ValueError, match="no matching run_group"):
+    with pytest.raises(ValueError, match="no active settings"):
         pipeline_config(alerts, "p", "hourly")
     jobs = spark.createDataFrame(
         [("J1", "p", "daily", "Y", "Y"), ("J2", "p", "daily", "N", "Y"), ("J3", "p", "hourly", "Y", "Y")],
