@@ -6,7 +6,6 @@ target first, so a failing read leaves the old rows in place.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -21,6 +20,8 @@ from millrace.sources.dialects import text_literal
 ATOMIC_FORMATS = {"iceberg", "delta"}
 # Fixed value: the table property that lets a write bring new columns.
 ANY_SCHEMA = {"iceberg": ("write.spark.accept-any-schema", "true")}
+# Table property of a staged table that holds all of its rows.
+COMPLETE = "millrace.complete"
 DYNAMIC = "'partitionOverwriteMode'='dynamic'"
 
 
@@ -104,13 +105,12 @@ def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) ->
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
-def spread(df: DataFrame, column: str | None, constant: bool) -> DataFrame:
+def spread(df: DataFrame, columns: list[str]) -> DataFrame:
     """Gathers the rows of a partition value before the write, so that files stay few and large.
 
-    Rebalancing splits a value that holds very many rows over several tasks. A column with one value
-    needs no shuffle: every task writes its rows where they are.
+    Rebalancing splits a value that holds very many rows over several tasks.
     """
-    return df if column is None or constant else df.hint("rebalance", F.col(quoted(column)))
+    return df.hint("rebalance", *[F.col(quoted(c)) for c in columns]) if columns else df
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -146,14 +146,30 @@ def insert(df: DataFrame, table: str, overwrite: list[str] | None = None) -> Non
     spark.sql(f"INSERT {into} SELECT * FROM {{rows}}", rows=rows)
 
 
-def _swap(spark: SparkSession, staged: str, table: str) -> None:
-    """Puts a complete staged table in the place of the target."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+def _rename(spark: SparkSession, staged: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     if partition_columns(spark, table):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
+def _swap(spark: SparkSession, staged: str, table: str) -> None:
+    """Puts a staged table in the place of the target, marking it complete before the target goes."""
+    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _rename(spark, staged, table)
+
+
+def _recover(spark: SparkSession, staged: str, table: str) -> None:
+    """Ends what a broken replacement left: takes a complete staged table, drops any other."""
+    if not spark.catalog.tableExists(staged):
+        return
+    complete = not spark.sql(f"SHOW TBLPROPERTIES {staged}").where(F.col("key") == COMPLETE).isEmpty()
+    if complete and not spark.catalog.tableExists(table):
+        _rename(spark, staged, table)
+    else:
+        spark.sql(f"DROP TABLE {staged}")
+
+
 def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
                 replace: str | None) -> None:
     """File formats such as parquet and ORC.
@@ -161,6 +177,8 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
     A type that must be widened rewrites the table, old rows and new, beside itself.
     """
     spark = df.sparkSession
+    staged = f"{table}__staged"
+    _recover(spark, staged, table)
     by = [column] if column else []
     overwrite = by if replace == "partitions" else None
     if not spark.catalog.tableExists(table):
@@ -177,7 +195,6 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
             add_columns(spark, table, schema.fields[len(old):])
             insert(df, table, overwrite)
             return
-    staged = f"{table}__staged_{uuid.uuid4().hex[:8]}"
     create_table(spark, staged, schema, fmt, by, options)
     if replace in (None, "partitions"):
         insert(spark.table(table), staged)
@@ -232,7 +249,12 @@ def land(
     column = names.get(shaped.column.lower()) if shaped.column else None
     if shaped.column and column is None:
         raise ValueError(f"partition column {shaped.column} is not among the columns of {table}")
-    rows, seen = _counted(spread(shaped.df, column, shaped.constant))
+    by = [column] if column else []
+    if not recreate and df.sparkSession.catalog.tableExists(table):
+        by = [names[c.lower()] for c in partition_columns(df.sparkSession, table) if c.lower() in names]
+    # A column with one value needs no shuffle: every task writes its rows where they are.
+    varied = [c for c in by if not (shaped.constant and c == column)]
+    rows, seen = _counted(spread(shaped.df, varied))
     replace = "table" if recreate else "rows" if truncate else None
     if replace is None and partition_overwrite and column:
         replace = "partitions"

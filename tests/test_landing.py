@@ -181,6 +181,26 @@ def test_failing_read_keeps_the_old_rows(spark, target, mode):
     assert rows(spark, target) == [(1, "a")]
 
 
+def test_broken_replacement_is_ended_by_the_next_load(spark, target):
+    """The process died after the old table was dropped: the complete staged table takes its place."""
+    land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY, partition_by="p")
+    spark.sql(f"ALTER TABLE {target} RENAME TO {target}__staged")
+    spark.sql(f"ALTER TABLE {target}__staged SET TBLPROPERTIES ('millrace.complete' = 'true')")
+    land(frame(spark, [(3, "b")]), target, load_date=DAY, partition_by="p")
+    assert rows(spark, target) == [(1, "a"), (2, "b"), (3, "b")]
+    assert not spark.catalog.tableExists(f"{target}__staged")
+
+
+@pytest.mark.parametrize("complete", ["", " TBLPROPERTIES ('millrace.complete' = 'true')"])
+def test_staged_rows_beside_a_target_are_dropped(spark, target, complete):
+    """The process died while it filled the staged table, or before it dropped the old one."""
+    land(frame(spark, [(1, "a")]), target, load_date=DAY)
+    spark.sql(f"CREATE TABLE {target}__staged (id int, p string) USING parquet{complete}")
+    spark.sql(f"INSERT INTO {target}__staged VALUES (9, 'z')")
+    land(frame(spark, [(2, "b")]), target, load_date=DAY, truncate=True)
+    assert rows(spark, target) == [(2, "b")]
+
+
 def test_failed_first_load_can_be_repeated(spark, target):
     broken = frame(spark, [(2, "b")]).withColumn("p", F.expr("CAST(raise_error('source gone') AS string)"))
     with pytest.raises(PySparkException):
