@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,9 @@ ERROR_PATTERNS = [
 ]
 DEFAULT_CLASS = ("NON_CRITICAL", "Error occurred")
 
+# Text without any character that a regular expression reads otherwise.
+PLAIN_TEXT = re.compile("[A-Za-z0-9 _/,:-]+")
+
 # Beyond this many rows a pattern table is joined instead of written into the expression.
 INLINE_PATTERNS = 200
 
@@ -28,11 +35,21 @@ def scrubbed(message: Column | str) -> Column:
     return F.replace(F.replace(col, F.lit("'"), F.lit("")), F.lit("\n"), F.lit(" "))
 
 
+def occurs(message: Column, pattern: str) -> Column:
+    """Whether the pattern matches somewhere in the message.
+
+    Alternatives of plain text are searched as text, which is much cheaper than a regular expression.
+    """
+    texts = pattern.split("|")
+    if all(PLAIN_TEXT.fullmatch(text) for text in texts):
+        return reduce(or_, (F.contains(message, F.lit(text)) for text in texts))
+    return message.rlike(pattern)
+
+
 def error_class(message: Column, patterns: list[tuple] = ERROR_PATTERNS) -> Column:
     """The class of the first pattern that occurs in the message, as (error_type, description).
 
-    One CASE of literal patterns: each is compiled once per task, and neither a join nor a shuffle
-    is needed.
+    One CASE over the patterns, so neither a join nor a shuffle is needed.
     """
     def entry(error_type: str, description: str) -> Column:
         return F.struct(F.lit(error_type).alias("error_type"), F.lit(description).alias("description"))
@@ -40,7 +57,7 @@ def error_class(message: Column, patterns: list[tuple] = ERROR_PATTERNS) -> Colu
     default = entry(*DEFAULT_CLASS)
     chain = F.when(message.isNull(), default)
     for _, pattern, error_type, description in sorted(patterns):
-        chain = chain.when(message.rlike(pattern), entry(error_type, description))
+        chain = chain.when(occurs(message, pattern), entry(error_type, description))
     return chain.otherwise(default)
 
 

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.functions.errors import ERROR_PATTERNS, classify, classify_by_table, scrubbed
+from millrace.functions.errors import ERROR_PATTERNS, classify, classify_by_table, occurs, scrubbed
 from millrace.model import PATTERN_SCHEMA
 
 MESSAGES = {
@@ -42,6 +43,14 @@ def test_pattern_table_inline_and_joined(spark, inline_limit):
     check(classify_by_table(frame(spark), "message", patterns, inline_limit))
 
 
+@pytest.mark.parametrize("pattern", ["a|b c", "a.c", "x+|ORA-1", "^a", "a||b", "(?i)ora-1", "a/b", "", "a|b$"])
+def test_plain_text_search_equals_the_regular_expression(spark, pattern):
+    texts = ["a", "b c", "abc", "a.c", "xx", "ORA-1", "ora-1", "za", "a/b", "a|b c", "", "a||b", "ab\n", "b"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "m string")
+    found = df.select(occurs(F.col("m"), pattern).alias("ours"), F.col("m").rlike(pattern).alias("regex"))
+    assert all(row.ours == row.regex for row in found.collect())
+
+
 def test_empty_pattern_table(spark):
     found = classify_by_table(frame(spark), "message", spark.createDataFrame([], PATTERN_SCHEMA))
     assert {row.description for row in found.collect()} == {"Error occurred"}
