@@ -263,6 +263,8 @@ class PipelineConfig:
     def from_row(cls, row: Row) -> PipelineConfig:
         values = row.asDict(recursive=True)
         given = {f.name: values[f.name] for f in fields(cls) if values.get(f.name) is not None}
+        if "max_workers" in given:
+            given["max_workers"] = int(given["max_workers"])
         given["tbl_schema"] = (values.get("schema_config") or {}).get("tbl_schema", "")
         return cls(**given)
 

@@ -147,7 +147,8 @@ def insert(df: DataFrame, table: str, overwrite: list[str] | None = None) -> Non
 
 
 def _rename(spark: SparkSession, staged: str, table: str) -> None:
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    # The new name must not name the catalog.
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(table.split('.')[-2:])}")
     if partition_columns(spark, table):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 

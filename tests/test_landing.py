@@ -90,6 +90,15 @@ def test_derived_partition_column_is_written(spark, target, spec):
     assert spark.table(target).where(F.col(column).isNull()).count() == 0
 
 
+def test_names_with_a_catalog(spark, target):
+    full = f"spark_catalog.{target}"
+    modes = [{}, {"truncate": True}, {"recreate": True, "partition_by": "p"},
+             {"partition_by": "p", "partition_overwrite": True}, {"truncate": True}]
+    for mode in modes:
+        land(frame(spark, [(1, "a"), (2, "b")]), full, load_date=DAY, **mode)
+        assert rows(spark, target) == [(1, "a"), (2, "b")]
+
+
 def test_partition_column_in_other_case(spark, target):
     land(frame(spark, [(1, "a")]), target, load_date=DAY, partition_by="P")
     assert partition_columns(spark, target) == ["p"]

@@ -40,6 +40,12 @@ def load(target, job, origin, run_ts):
     return load_table(job, origin, target, RunContext("r", "b", "a", "daily", run_ts))
 
 
+def test_runs_have_their_own_ids(spark):
+    one, two = (RunContext.start(spark, "daily", RUNS[0]) for _ in range(2))
+    assert one.run_id != two.run_id and one.batch_id == two.batch_id == "2024010110"
+    assert one.load_date == "20240101" and one.spark_app_id == spark.sparkContext.applicationId
+
+
 def test_incremental_runs_meet(spark, place):
     target, schema, table = place
     job = TableJob("J", "s", "ev", schema, table, load_type="INCREMENTAL", cdc_type="TIMESTAMP",
