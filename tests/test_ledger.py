@@ -172,7 +172,8 @@ def test_atomic_ledger_chooses_its_write(spark, exists, partitions, call):
     """Only the choice of the write; the connectors are not installed here."""
     rows = MagicMock()
     rows.sparkSession.catalog.tableExists.return_value = exists
-    rows.sparkSession.catalog.listColumns.return_value = [SimpleNamespace(name=n, isPartition=True) for n in partitions]
+    lines = ["run_id", "batch_id", "# Partition Information", "# col_name", *partitions]
+    rows.sparkSession.sql.return_value.collect.return_value = [SimpleNamespace(col_name=line) for line in lines]
     writer = rows.writeTo.return_value.using.return_value
     writer.partitionedBy.return_value = writer
     ops._write_atomic(rows, "c.s.t", "iceberg")
