@@ -30,7 +30,8 @@ def ids(df):
 def test_hour_bounds(spark):
     stamps = ["2024-01-01 23:59:59.999", "2024-01-02 00:00:00", "2024-01-02 04:59:59.999", "2024-01-02 05:00:00"]
     for kind in ("timestamp", "timestamp_ntz"):
-        df = spark.createDataFrame(list(enumerate(stamps)), "id int, ts string").selectExpr("id", f"CAST(ts AS {kind}) ts")
+        text = spark.createDataFrame(list(enumerate(stamps)), "id int, ts string")
+        df = text.selectExpr("id", f"CAST(ts AS {kind}) AS ts")
         assert ids(changed_rows(df, hour_window(["ts"], "2024010200", datetime(2024, 1, 2, 5, 59)))) == [1, 2]
         assert ids(changed_rows(df, hour_window(["ts"], None, HOUR))) == [0, 1, 2]
 
@@ -119,7 +120,8 @@ def test_first_key_load_reads_everything_up_to_the_maximum(spark):
 
 def test_timestamp_plan_uses_the_latest_watermark(spark):
     stamped = job(cdc_type="TIMESTAMP", cdc_modified_date_column="M", cdc_created_date_column="C")
-    known = tracker(spark, ("J1", "t", "2023123112", None), ("J1", "t", "2024010103", None), ("J1", "u", "2024010104", None))
+    known = tracker(spark, ("J1", "t", "2023123112", None), ("J1", "t", "2024010103", None),
+                    ("J1", "u", "2024010104", None))
     window = plan_window(stamped, known, datetime(2024, 1, 2, 5, 30), None)
     assert window == HourWindow(("M", "C"), datetime(2024, 1, 1, 3), HOUR)
     after = known.union(watermark_row(known, stamped, window))
@@ -133,7 +135,8 @@ def test_window_equals_the_comparison_of_hour_keys(spark):
     def stamp():
         if rnd.random() < 0.1:
             return None
-        return datetime(2024, 1, 1) + timedelta(seconds=rnd.choice([0, 3599, 3600, rnd.randint(0, 4 * 86400)]) + rnd.choice([0, 0.5]))
+        seconds = rnd.choice([0, 3599, 3600, rnd.randint(0, 4 * 86400)])
+        return datetime(2024, 1, 1) + timedelta(seconds=seconds + rnd.choice([0, 0.5]))
 
     rows = [(i, stamp(), stamp()) for i in range(2000)]
     df = spark.createDataFrame(rows, "id int, m timestamp, c timestamp_ntz")

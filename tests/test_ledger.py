@@ -41,7 +41,8 @@ def ledger(spark, *rows):
 
 
 def initial(spark, *jobs):
-    frame = spark.createDataFrame([(job, f"t{job}", START) for job in jobs], "job_id string, target_table string, start_time timestamp")
+    schema = "job_id string, target_table string, start_time timestamp"
+    frame = spark.createDataFrame([(job, f"t{job}", START) for job in jobs], schema)
     return initial_rows(with_run(frame, RUN))
 
 
@@ -89,7 +90,8 @@ def test_union_fills_missing_columns(spark):
 def test_consolidate_equals_outer_join(spark):
     left = initial(spark, "J1", "J2")
     outcomes = spark.createDataFrame(
-        [("J2", "s", "t2", True, 4, 9, START, END, None, None), ("J3", "s", "t3", False, 0, 0, START, END, "bad", None)],
+        [("J2", "s", "t2", True, 4, 9, START, END, None, None),
+         ("J3", "s", "t3", False, 0, 0, START, END, "bad", None)],
         OUTCOME,
     )
     right = completion_rows(with_run(outcomes, RUN))

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from millrace.functions.timekeys import elapsed_seconds, elapsed_text
-from millrace.model import LEDGER_SCHEMA
+from millrace.model import LEDGER_SCHEMA, LOG_SCHEMA
 from millrace.operators.reports import RunLog, job_report, log_lines, write_log
 from millrace.session import shared_dir
 
@@ -27,8 +27,9 @@ def test_elapsed_seconds(spark):
 def test_job_report(spark):
     values = {"job_id": "J1", "status": "FAILED", "start_time": START, "end_time": START + timedelta(minutes=5),
               "error_message": ""}
+    second = {"job_id": "J2", "error_message": "bad", "end_time": None}
     rows = [tuple(values.get(name) for name in LEDGER_SCHEMA.fieldNames()),
-            tuple({**values, "job_id": "J2", "error_message": "bad", "end_time": None}.get(n) for n in LEDGER_SCHEMA.fieldNames())]
+            tuple({**values, **second}.get(name) for name in LEDGER_SCHEMA.fieldNames())]
     config = spark.createDataFrame(
         [("J1", "s", "t", "x", "y"), ("J2", "s", "t2", "x", "y2")],
         "job_id string, source_schema string, source_table string, target_schema string, target_table string",
@@ -52,7 +53,7 @@ def test_run_log(spark):
 def test_log_sink_appends_by_day(spark):
     path = shared_dir(spark, "log")
     for day in (1, 1, 2):
-        write_log(spark.createDataFrame([(datetime(2025, 1, day, 7), "INFO", "m")], "ts timestamp, level string, message string"), path)
+        write_log(spark.createDataFrame([(datetime(2025, 1, day, 7), "INFO", "m")], LOG_SCHEMA), path)
     found = spark.read.schema("value string, log_date string").text(path)
     assert sorted((row.log_date, row.value) for row in found.collect()) == [
         ("20250101", "2025-01-01 07:00:00 - INFO - m"),

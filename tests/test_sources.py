@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.typemap import numeric_scale_profile
-from millrace.model import PipelineConfig, TableJob
+from millrace.model import PipelineConfig, RunContext, TableJob
 from millrace.operators.cdc import HourWindow, KeyRange
-from millrace.session import scratch_database, shared_dir
+from millrace.plans.table_load import Target, load_table
+from millrace.session import scratch_database, scratch_table, shared_dir
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
 from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, fetch_size, fetch_size_of
@@ -300,3 +301,85 @@ def test_config_reads(spark):
 def test_empty_like(spark):
     df = spark.createDataFrame([(1, "a")], "id int, s string")
     assert empty_like(df).schema == df.schema and empty_like(df).count() == 0
+
+
+class SqlServerViews(JdbcSource):
+    """The SQL Server flow with Spark in the place of the database; brackets become backticks."""
+
+    def __init__(self, spark):
+        super().__init__(spark, JdbcConnection("jdbc:none", "u", "d"), SqlServer())
+        self.scans = []
+
+    def scan(self, query, **options):
+        self.scans.append((query, options))
+        return self.spark.sql(query.replace("[", "`").replace("]", "`"))
+
+
+@pytest.fixture
+def sql_server(spark):
+    database = scratch_database(spark)
+    spark.range(1, 51).selectExpr(
+        "id AS `row-id`", "CONCAT('n', id) AS `First Name`", "id",
+        "TIMESTAMP_NTZ'2024-12-31 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id AS int)) AS mod",
+    ).write.mode("overwrite").option("path", shared_dir(spark, "t")).saveAsTable(f"{database}.people")
+    catalogue = {
+        "information_schema.columns": (
+            [(database, "people", name, "x", i) for i, name in enumerate(["row-id", "First Name", "id", "mod"], 1)][::-1],
+            "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, ORDINAL_POSITION int",
+        ),
+        "information_schema.tables": (
+            [(database, "people", "BASE TABLE")], "TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string"
+        ),
+        "sys.partitions": ([(1, 0, 2_500_000), (1, 2, 9), (2, 0, 7)], "object_id int, index_id int, rows bigint"),
+    }
+    for name, (rows, schema) in catalogue.items():
+        owner = name.split(".")[0]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {owner} LOCATION '{shared_dir(spark, owner)}'")
+        spark.createDataFrame(rows, schema).write.mode("overwrite").saveAsTable(name)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION OBJECT_ID(name STRING) RETURNS INT RETURN 1")
+    return SqlServerViews(spark), database
+
+
+def test_sql_server_scan(sql_server):
+    source, database = sql_server
+    job = TableJob("J", database, "people", "x", "t", cdc_append_key_column="id")
+    assert source.columns(job) == ["row-id", "First Name", "id", "mod"]
+    assert source.row_count(database, "people") == 2_500_000
+    found = source.extract(job, Extract())
+    assert found.columns == ["row_id", "First_Name", "id", "mod"] and found.count() == 50
+    query, options = source.scans[-1]
+    assert query.startswith("SELECT [row-id] as row_id,[First Name] as First_Name,[id] as id,[mod] as mod FROM ")
+    assert "customSchema" not in options
+    assert (options["partitionColumn"], options["upperBound"], options["numPartitions"]) == ("id", "50", "3")
+
+
+def test_sql_server_window(sql_server):
+    source, database = sql_server
+    window = HourWindow(("mod",), datetime(2024, 12, 31, 3), datetime(2024, 12, 31, 6))
+    job = TableJob("J", database, "people", "x", "t", cdc_modified_date_column="mod")
+    found = source.extract(job, Extract(None, "id = 4 OR id = 40", window))
+    assert [row.First_Name for row in found.collect()] == ["n4"]
+
+
+def test_loads_from_both_databases(spark, oracle, sql_server):
+    """Append-key loads through the whole plan: the second run finds nothing new."""
+    for (source, database), table, key, columns in ((oracle, "T", "ID", 4), (sql_server, "people", "id", 4)):
+        schema, landed = scratch_table(spark, "landed").split(".")
+        job = TableJob("J", database, table, schema, landed, load_type="INCREMENTAL", cdc_type="APPEND_KEY",
+                       cdc_append_key_column=key, target_partition_by="SNAPSHOT_DATE")
+        target = Target(spark, scratch_table(spark, "tracker"))
+        run = RunContext("r", "b", "a", "daily", datetime(2025, 1, 1, 3))
+        first, second = (load_table(job, source, target, run) for _ in range(2))
+        total = spark.table(f"{database}.{table}").count()
+        assert (first.records_processed, first.column_count, first.load_date) == (total, columns, "20250101")
+        assert second.records_processed == 0
+        assert spark.table(target.table(job)).count() == total
+        assert {row.key_value for row in spark.table(target.tracker).collect()} == {total}
+
+
+def test_load_from_a_table_that_does_not_exist(spark, oracle):
+    source, database = oracle
+    schema, landed = scratch_table(spark, "landed").split(".")
+    job = TableJob("J", database, "none", schema, landed)
+    with pytest.raises(ValueError, match="has no columns"):
+        load_table(job, source, Target(spark, scratch_table(spark, "tracker")), RunContext("r", "b", "a", "d", HI))
