@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.timekeys import ceil_day, floor_hour, format_hour, parse_hour
-from millrace.model import TRACKER_SCHEMA, TableJob
+from millrace.model import HOUR_FORMAT, TRACKER_SCHEMA, TableJob
 
 
 @dataclass(frozen=True)
@@ -89,14 +89,31 @@ def key_maximum(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("max_value"))
 
 
+def tracker_rows(tracker: DataFrame) -> DataFrame:
+    """Tracker rows with typed watermarks, also of a tracker that keeps one untyped ``updated_at``."""
+    if "updated_at" not in tracker.columns:
+        return tracker
+    if dict(tracker.dtypes)["updated_at"].startswith(("timestamp", "date")):
+        hour, key = F.date_format("updated_at", HOUR_FORMAT), F.lit(None).cast("long")
+    else:
+        text = F.col("updated_at").cast("string")
+        hour, key = F.rpad(text, 10, "0"), text.try_cast("long")
+    typed = {"ts_hour": hour, "key_value": key}
+    return tracker.select(
+        "job_id",
+        "source_table",
+        *[(F.coalesce(c, old) if c in tracker.columns else old).alias(c) for c, old in typed.items()],
+    )
+
+
 def watermarks(tracker: DataFrame) -> DataFrame:
     """The current watermark of every job, in one pass over the tracker.
 
     Hour keys all have ten digits, so their maximum is taken as a number, which Spark aggregates by
     hash; text it would sort first.
     """
-    return tracker.groupBy("job_id", "source_table").agg(
-        F.max(F.col("ts_hour").cast("long")).cast("string").alias("ts_hour"),
+    return tracker_rows(tracker).groupBy("job_id", "source_table").agg(
+        F.max(F.col("ts_hour").try_cast("long")).cast("string").alias("ts_hour"),
         F.max("key_value").alias("key_value"),
     )
 

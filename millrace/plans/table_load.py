@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.model import TRACKER_SCHEMA, RunContext, TableJob, is_yes
 from millrace.operators.cdc import plan_window, watermark_row
-from millrace.operators.landing import create_table, insert, land
+from millrace.operators.landing import add_columns, create_table, insert, land
 from millrace.operators.schema_diff import NO_CHANGE, change_text, column_list, schema_diff
 from millrace.sources.extract import Extract
 from millrace.sources.lake import Source
@@ -61,8 +61,11 @@ class Target:
         return ".".join(part for part in (self.catalog, job.target_schema, job.target_table) if part)
 
     def ensure_tracker(self) -> None:
+        """The tracker, with the columns that an older one may lack."""
         with self.lock(self.tracker):
             create_table(self.spark, self.tracker, TRACKER_SCHEMA, self.fmt, [])
+            known = self.spark.table(self.tracker).columns
+            add_columns(self.spark, self.tracker, [f for f in TRACKER_SCHEMA.fields if f.name not in known])
 
 
 def changes(before: DataFrame | None, after: DataFrame) -> str:

@@ -128,6 +128,21 @@ def test_timestamp_plan_uses_the_latest_watermark(spark):
     assert watermark_of(after, stamped) == ("2024010205", None)
 
 
+@pytest.mark.parametrize(
+    ("kind", "values", "expected"),
+    [
+        ("string", ["2024123112", "20250101", None], ("2025010100", 2024123112)),
+        ("bigint", [999, 1000], ("9990000000", 1000)),
+        ("timestamp", [datetime(2024, 12, 31, 12, 30)], ("2024123112", None)),
+        ("string", ["n/a"], (None, None)),
+    ],
+)
+def test_untyped_watermarks(spark, kind, values, expected):
+    """The hour is read by a timestamp rule and the number by a key rule; the other is never looked at."""
+    old = spark.createDataFrame([("J1", "t", v) for v in values], f"job_id string, source_table string, updated_at {kind}")
+    assert watermark_of(old, job()) == expected
+
+
 def test_window_equals_the_comparison_of_hour_keys(spark):
     """Against the text form: the hour key of either column lies in [watermark, hour of the run)."""
     rnd = random.Random(3)

@@ -70,6 +70,17 @@ def test_append_key_runs(spark, place):
     assert max(row.key_value for row in spark.table(target.tracker).collect()) == 1199
 
 
+def test_tracker_with_untyped_watermarks_goes_on(spark, place):
+    target, schema, table = place
+    spark.sql(f"CREATE TABLE {target.tracker} (job_id string, source_table string, updated_at string) USING parquet")
+    spark.sql(f"INSERT INTO {target.tracker} VALUES ('J', 'ev', '2024010110')")
+    job = TableJob("J", "s", "ev", schema, table, load_type="INCREMENTAL", cdc_type="TIMESTAMP",
+                   cdc_modified_date_column="ts")
+    data = source(spark, ev=stamped(spark, "09:00:00", "10:00:00", "11:59:59", "12:00:00"))
+    assert [load(target, job, data, run_ts).records_processed for run_ts in RUNS[1:]] == [2, 1]
+    assert spark.table(target.tracker).count() == 3
+
+
 def test_windows_never_overwrite_partitions(spark, place):
     """Two windows of one day share a snapshot; the second must not drop the first."""
     target, schema, table = place
