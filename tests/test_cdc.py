@@ -139,7 +139,8 @@ def test_timestamp_plan_uses_the_latest_watermark(spark):
 )
 def test_untyped_watermarks(spark, kind, values, expected):
     """The hour is read by a timestamp rule and the number by a key rule; the other is never looked at."""
-    old = spark.createDataFrame([("J1", "t", v) for v in values], f"job_id string, source_table string, updated_at {kind}")
+    schema = f"job_id string, source_table string, updated_at {kind}"
+    old = spark.createDataFrame([("J1", "t", v) for v in values], schema)
     assert watermark_of(old, job()) == expected
 
 
