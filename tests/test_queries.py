@@ -6,9 +6,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from checks import all_oracles, all_queries
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def db(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
