@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.line_dedup import drop_repeated_lines
+from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.sharding import shard_documents
 
 
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = jaccard_join(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+    return members.select(F.col("rid").alias("doc_id"), "n_shingles", "component_id")
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select(F.col("rid").alias("doc_id"), "n_lines", "n_dropped",
@@ -35,12 +41,33 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": ngram_join,
     "op2_line_dedup": line_dedup,
     "op6_decontamination": decontamination,
     "op10_sharding": sharding,
 }
 
 ORACLES = {
+    "op1_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(
+                CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM words),
+        grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
+                   FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (SELECT a, b FROM shared WHERE 100 * common >= 85 * (n + m - common)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id, doc_id AS other FROM documents
+                  UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a)
+        SELECT doc_id, len(s) AS n_shingles, component_id
+        FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)""",
     "op2_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
