@@ -9,6 +9,7 @@ from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.sharding import shard_documents
+from millrace.llm.substring_dedup import drop_repeated_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,12 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_windows(_table(spark, sf_dir, "documents"))
+    return kept.select(F.col("rid").alias("doc_id"), "n_words", "n_removed",
+                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(_table(spark, sf_dir, "documents"))
     return placed.select(F.col("rid").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -44,6 +51,7 @@ QUERIES = {
     "op1_ngram_join": ngram_join,
     "op2_line_dedup": line_dedup,
     "op6_decontamination": decontamination,
+    "op8_substring_dedup": substring_dedup,
     "op10_sharding": sharding,
 }
 
@@ -109,4 +117,18 @@ ORACLES = {
                sha256(coalesce(list, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM doc_words LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        spots AS (
+            SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS win
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+        later AS (SELECT doc_id, i FROM spots QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+        placed AS (SELECT doc_id, w, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM words),
+        kept AS (SELECT doc_id, count(*) - count(gone.p) AS n, string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS t
+                 FROM placed LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)""",
 }
