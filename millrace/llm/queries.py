@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.line_dedup import drop_repeated_lines
+from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
+from millrace.llm.vectors import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,17 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mix_sources(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("rid").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("vid").alias("vec_id"), "n_links", "component_id",
+                        (F.col("vid") == F.col("component_id")).alias("kept"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -50,6 +63,8 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": ngram_join,
     "op2_line_dedup": line_dedup,
+    "op3_mixing": mixing,
+    "op4_embedding_dedup": embedding_dedup,
     "op6_decontamination": decontamination,
     "op8_substring_dedup": substring_dedup,
     "op10_sharding": sharding,
@@ -89,6 +104,15 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op4_embedding_dedup": """
+        WITH RECURSIVE units AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b
+                  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach AS (SELECT vec_id, vec_id AS other FROM units
+                  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) LEFT JOIN counts USING (vec_id)""",
     "op6_decontamination": r"""
         WITH doc_words AS (
             SELECT doc_id, regexp_extract_all(
