@@ -9,6 +9,7 @@ from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import jaccard_join
+from millrace.llm.pii import KINDS, personal_data, span_text
 from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
 from millrace.llm.vectors import near_vectors
@@ -54,6 +55,13 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{kind}')) AS LONG)").alias(f"n_{kind}") for kind in KINDS]
+    return found.select(F.col("rid").alias("doc_id"), *counts,
+                        F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(_table(spark, sf_dir, "documents"))
     return placed.select(F.col("rid").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -67,6 +75,7 @@ QUERIES = {
     "op4_embedding_dedup": embedding_dedup,
     "op6_decontamination": decontamination,
     "op8_substring_dedup": substring_dedup,
+    "op9_pii": pii,
     "op10_sharding": sharding,
 }
 
