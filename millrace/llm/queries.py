@@ -12,6 +12,7 @@ from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.pii import KINDS, personal_data, span_text
 from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
+from millrace.llm.toxicity import score_toxicity
 from millrace.llm.vectors import near_vectors
 
 
@@ -41,6 +42,12 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("vid") == F.col("component_id")).alias("kept"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(F.col("rid").alias("doc_id"), "held_out", "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -73,6 +80,7 @@ QUERIES = {
     "op2_line_dedup": line_dedup,
     "op3_mixing": mixing,
     "op4_embedding_dedup": embedding_dedup,
+    "op5_toxicity": toxicity,
     "op6_decontamination": decontamination,
     "op8_substring_dedup": substring_dedup,
     "op9_pii": pii,
