@@ -10,6 +10,7 @@ from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.pii import KINDS, personal_data, span_text
+from millrace.llm.quality import classify_quality
 from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
 from millrace.llm.toxicity import score_toxicity
@@ -56,6 +57,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(F.col("rid").alias("doc_id"), "host_rate", "path_rate", "score", "good")
+
+
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_windows(_table(spark, sf_dir, "documents"))
     return kept.select(F.col("rid").alias("doc_id"), "n_words", "n_removed",
@@ -82,6 +88,7 @@ QUERIES = {
     "op4_embedding_dedup": embedding_dedup,
     "op5_toxicity": toxicity,
     "op6_decontamination": decontamination,
+    "op7_quality": quality,
     "op8_substring_dedup": substring_dedup,
     "op9_pii": pii,
     "op10_sharding": sharding,
