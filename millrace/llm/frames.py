@@ -55,6 +55,18 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left.rid.eqNullSafe(right.rid) & (left.t1 == right.t1) & (left.t2 == right.t2)
 
 
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Whole rows in one column (row) beside their key, so that a join's names cannot clash with theirs."""
+    return docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("rid"), *text_key(F.col(text_col)))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose key (rid, t1, t2) is not in gone."""
+    rows, gone = packed(docs, id_col, text_col), saved(gone.select("rid", "t1", "t2").distinct(), "gone")
+    gone = small(gone, gone.count())
+    return rows.join(gone, same_row(rows, gone), "left_anti").select("row.*")
+
+
 def min_labels(edges: DataFrame) -> DataFrame:
     """(node, label) with the smallest node reachable; edges (a, b) of longs, in any direction, repeats allowed.
 

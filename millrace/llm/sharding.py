@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import saved, small
+from millrace.llm.frames import saved, small, text_key
 
 LOWEST = -(2**63) + 1
 #: Rows that one task puts in order when slots are numbered.
@@ -62,7 +62,7 @@ def shard_documents(
     Rows are ordered by a key of their text, then by one of text and id, so equal texts share a shard unless
     they outgrow a range. The sample has about ``shards * ranges_per_shard * samples_per_range`` keys at any
     input size; ranges of over twice the mean are sampled again, alone, and split, up to ``rounds`` times.
-    Returns rid, size (UTF-8 bytes plus 8), text_crc32, k1, k2, part (its range), shard and slot (0, 1, ... in
+    Returns rid, t1, t2 (the text's key), size (UTF-8 bytes plus 8), text_crc32, part (its range), shard and slot (0, 1, ... in
     each shard). Null texts count as empty, null ids as a value of their own; repeated rows each take a slot; an empty
     table gives an empty frame.
     """
@@ -70,6 +70,7 @@ def shard_documents(
     rows = saved(
         docs.select(
             F.col(id_col).cast("long").alias("rid"),
+            *text_key(F.col(text_col)),
             (F.octet_length(text).cast("long") + 8).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("k1"),
@@ -107,5 +108,5 @@ def shard_documents(
     number = F.row_number().over(W.partitionBy("part", "run").orderBy("k1", "k2", "rid"))
     numbered = rows.withColumn("number", number)
     return numbered.join(starts, (numbered.part == starts.p) & (numbered.run == starts.r)).select(
-        "rid", "size", "text_crc32", "k1", "k2", "part", "shard",
+        "rid", "t1", "t2", "size", "text_crc32", "part", "shard",
         (F.col("start") + F.col("number") - 1).cast("long").alias("slot"))
