@@ -19,6 +19,7 @@ TYPE_MAP = {
 }
 FALLBACK_TYPE = "STRING"
 LONG_MAX = 2**63 - 1
+LONG_DIGITS = 18
 # Short fractions of doubles are found by arithmetic, which is exact up to 15 digits in all.
 SHORT_DIGITS = 4
 SHORT_LIMIT = 1e10
@@ -83,8 +84,20 @@ def numeric_scale_profile(df: DataFrame, columns: list[str] | None = None) -> Da
     return totals.select(F.inline(F.array(*rows)))
 
 
-def spark_type(data_type: Column, fractional_rows: Column, scale: Column, max_abs: Column) -> Column:
-    """The Spark type text of a source column.
+def declared_type(precision: Column, scale: Column) -> Column:
+    """The Spark type text of a NUMBER with declared digits, null where they are not declared or do not fit."""
+    whole = (F.coalesce(scale, F.lit(0)) <= 0) & (precision - F.coalesce(scale, F.lit(0)) <= 38)
+    return (
+        F.when(precision.isNull(), F.lit(None).cast("string"))
+        .when(whole & (precision - F.coalesce(scale, F.lit(0)) <= LONG_DIGITS), F.lit("LONG"))
+        .when(whole, F.lit("DECIMAL(38, 0)"))
+        .when((scale > 0) & (scale <= 38), F.concat(F.lit("DECIMAL(38, "), scale.cast("int").cast("string"), F.lit(")")))
+    )
+
+
+def spark_type(data_type: Column, fractional_rows: Column, scale: Column, max_abs: Column,
+               declared: Column | None = None) -> Column:
+    """The Spark type text of a source column. A NUMBER takes its declared digits before those of the profile.
 
     A NUMBER with fractions takes the longest one as scale; beyond what a decimal holds it stays text.
     One without is LONG, or a wide decimal where a value does not fit.
@@ -95,7 +108,7 @@ def spark_type(data_type: Column, fractional_rows: Column, scale: Column, max_ab
         .when(max_abs >= float(LONG_MAX), F.lit("DECIMAL(38, 0)"))
         .otherwise(F.lit("LONG"))
     )
-    chain = F.when(data_type == "NUMBER", number)
+    chain = F.when(data_type == "NUMBER", number if declared is None else F.coalesce(declared, number))
     for source, target in TYPE_MAP.items():
         chain = chain.when(data_type == source, F.lit(target))
     return chain.otherwise(F.lit(FALLBACK_TYPE))
@@ -104,9 +117,12 @@ def spark_type(data_type: Column, fractional_rows: Column, scale: Column, max_ab
 def schema_map(catalogue: DataFrame, profile: DataFrame) -> DataFrame:
     """The column catalogue with ``spark_type`` and whether the fallback was taken.
 
-    The catalogue and the profile both have one row per column.
+    The catalogue and the profile both have one row per column; the catalogue may have declared digits.
     """
     known = [*TYPE_MAP, "NUMBER"]
+    declared = None
+    if {"data_precision", "data_scale"} <= set(catalogue.columns):
+        declared = declared_type(F.col("data_precision"), F.col("data_scale"))
     return catalogue.join(profile, "column_name", "left").select(
         "column_name",
         "data_type",
@@ -116,6 +132,7 @@ def schema_map(catalogue: DataFrame, profile: DataFrame) -> DataFrame:
             F.coalesce("fractional_rows", F.lit(0)),
             F.coalesce("scale", F.lit(0)),
             F.coalesce("max_abs", F.lit(0.0)),
+            declared,
         ).alias("spark_type"),
         (~F.col("data_type").isin(known)).alias("is_fallback"),
     )

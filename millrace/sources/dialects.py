@@ -6,22 +6,39 @@ All of it is text for the source; Spark runs it as the ``dbtable`` subquery of a
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from millrace.functions.typemap import LONG_MAX
-from millrace.operators.cdc import HourWindow, KeyRange, Window
+from millrace.operators.cdc import HourWindow, Key, KeyRange, Window
 from millrace.sources.extract import Extract
 
 
+def number_literal(value: Key) -> str:
+    return format(value, "f") if isinstance(value, Decimal) else repr(value)
+
+
 def text_literal(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# Name of the column that a scan is split by; the scan drops it again.
+SPLIT_COLUMN = "MILLRACE_SPLIT"
+
+
 class Dialect:
     """Shared SQL; a subclass gives the parts of one database."""
 
     name = ""
     plain_hint = ""
 
+    def quoted(self, name: str) -> str:
+        """A name as the catalogue gives it."""
+        raise NotImplementedError
+
+    def row_part(self, parts: int) -> str:
+        """A number from 0 to ``parts`` - 1 that deals a table's rows evenly, from where they are stored."""
+        raise NotImplementedError
+
     def table(self, schema: str, table: str) -> str:
         return f"{schema}.{table}"
 
@@ -46,8 +63,8 @@ class Dialect:
     def window_condition(self, window: Window) -> str:
         """The window on the plain columns, so that the source can use an index on them."""
         if isinstance(window, KeyRange):
-            upper = f"{window.column} <= {window.hi}"
-            return upper if window.lo is None else f"{window.column} > {window.lo} AND {upper}"
+            upper = f"{window.column} <= {number_literal(window.hi)}"
+            return upper if window.lo is None else f"{window.column} > {number_literal(window.lo)} AND {upper}"
         return " OR ".join(f"({self._hours(window, column)})" for column in window.columns)
 
     def _hours(self, window: HourWindow, column: str) -> str:
@@ -61,15 +78,28 @@ class Dialect:
             parts.append(f"({extract.where})")
         return " AND ".join(parts) or None
 
-    def extract_query(self, schema: str, table: str, extract: Extract, all_columns: str = "*") -> str:
+    def extract_query(self, schema: str, table: str, extract: Extract, all_columns: str = "*",
+                      split: str | None = None) -> str:
+        """``split`` is an expression to add as the split column."""
         condition = self.condition(extract)
         plain = condition is None and not extract.fields
         hint = f"{self.plain_hint} " if plain and self.plain_hint else ""
         tail = f" WHERE {condition}" if condition else ""
-        return f"SELECT {hint}{extract.fields or all_columns} FROM {self.table(schema, table)}{tail}"
+        chosen, name = extract.fields or all_columns, self.table(schema, table)
+        if split:
+            # A bare star takes no further column beside it.
+            chosen = "t.*" if chosen.strip() == "*" else chosen
+            chosen, name = f"{chosen}, {split} AS {SPLIT_COLUMN}", f"{name} t"
+        return f"SELECT {hint}{chosen} FROM {name}{tail}"
+
+    def window_value(self, window: HourWindow) -> str:
+        """Of several change columns the first whose value lies in the window, so that it is within its bounds."""
+        *others, last = window.columns
+        cases = " ".join(f"WHEN {self._hours(window, column)} THEN {column}" for column in others)
+        return f"CASE {cases} ELSE {last} END" if others else last
 
     def bounds_query(self, schema: str, table: str, extract: Extract, column: str) -> str:
-        """Smallest and largest value of the split column among the rows to read."""
+        """Smallest and largest value of a split expression among the rows to read."""
         condition = self.condition(extract)
         tail = f" WHERE {condition}" if condition else ""
         selected = f"MIN({column}) AS LO, MAX({column}) AS HI"
@@ -81,6 +111,12 @@ class Oracle(Dialect):
     # Fixed value: the parallel hint of an unfiltered read.
     plain_hint = "/*+ PARALLEL(16) */"
 
+    def quoted(self, name: str) -> str:
+        return '"' + name.replace('"', '""') + '"'
+
+    def row_part(self, parts: int) -> str:
+        return f"ORA_HASH(ROWID, {parts - 1})"
+
     def timestamp(self, ts: datetime) -> str:
         # A DATE literal fits DATE and TIMESTAMP columns without converting the column.
         return f"TO_DATE('{ts:%Y-%m-%d %H:%M:%S}', 'YYYY-MM-DD HH24:MI:SS')"
@@ -92,7 +128,7 @@ class Oracle(Dialect):
     def columns_query(self, schema: str, table: str) -> str:
         owned = self._owned("TABLE_NAME", schema, table)
         return (
-            "SELECT COLUMN_NAME, DATA_TYPE, COLUMN_ID AS ORDINAL_POSITION "
+            "SELECT COLUMN_NAME, DATA_TYPE, COLUMN_ID AS ORDINAL_POSITION, DATA_PRECISION, DATA_SCALE "
             f"FROM ALL_TAB_COLUMNS WHERE {owned}"
         )
 
@@ -104,29 +140,39 @@ class Oracle(Dialect):
         owned = self._owned("TABLE_NAME", schema, table)
         return f"SELECT NUM_ROWS FROM ALL_TABLES WHERE {owned}"
 
-    def scale_profile_query(self, schema: str, table: str, numbers: list[str]) -> str:
-        """Counts of fractional values and longest fractions of all NUMBER columns, in one scan."""
+    def scale_profile_query(self, schema: str, table: str, numbers: list[str], extract: Extract | None = None) -> str:
+        """Counts of fractional values and longest fractions of NUMBER columns among the rows to read, in one scan."""
         parts = []
-        for i, column in enumerate(numbers):
+        for i, column in enumerate(map(self.quoted, numbers)):
             fractional = f"CASE WHEN {column} <> TRUNC({column})"
             text = f"TO_CHAR({column}, 'TM9', 'NLS_NUMERIC_CHARACTERS=''.,''')"
             digits = f"LENGTH(SUBSTR({text}, INSTR({text}, '.') + 1))"
             parts.append(f"COUNT({fractional} THEN 1 END) AS N{i}")
             parts.append(f"MAX({fractional} THEN {digits} END) AS S{i}")
             parts.append(f"MAX(CASE WHEN ABS({column}) > {LONG_MAX} THEN 1 ELSE 0 END) AS W{i}")
-        return f"SELECT {', '.join(parts)} FROM {self.table(schema, table)}"
+        condition = self.condition(extract) if extract else None
+        tail = f" WHERE {condition}" if condition else ""
+        return f"SELECT {', '.join(parts)} FROM {self.table(schema, table)}{tail}"
 
 
 class SqlServer(Dialect):
     name = "MSSQL"
 
+    def quoted(self, name: str) -> str:
+        return "[" + name.replace("]", "]]") + "]"
+
+    def row_part(self, parts: int) -> str:
+        # Fixed value: the pseudo column of a row's place.
+        return f"ABS(CHECKSUM(%%physloc%%) % {parts})"
+
     def timestamp(self, ts: datetime) -> str:
         # Text takes the type of the column it is compared with, so the column is not converted.
         return f"'{ts:%Y-%m-%dT%H:%M:%S}'"
 
     def columns_query(self, schema: str, table: str) -> str:
         return (
-            "SELECT COLUMN_NAME, DATA_TYPE, ORDINAL_POSITION FROM INFORMATION_SCHEMA.COLUMNS "
+            "SELECT COLUMN_NAME, DATA_TYPE, ORDINAL_POSITION, NUMERIC_PRECISION AS DATA_PRECISION, "
+            "NUMERIC_SCALE AS DATA_SCALE FROM INFORMATION_SCHEMA.COLUMNS "
             f"WHERE TABLE_SCHEMA = {text_literal(schema)} AND TABLE_NAME = {text_literal(table)}"
         )
 

@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import timedelta
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.names import safe_names, select_list
+from millrace.functions.names import select_list
 from millrace.functions.typemap import schema_ddl, schema_map
-from millrace.model import TableJob
-from millrace.operators.cdc import HourWindow, KeyRange
-from millrace.sources.dialects import Dialect, Oracle, SqlServer
+from millrace.model import DECLARED_SCHEMA, TableJob
+from millrace.operators.cdc import HourWindow, Key, KeyRange
+from millrace.sources.dialects import SPLIT_COLUMN, Dialect, Oracle, SqlServer
 from millrace.sources.extract import Extract
 
 # Fixed values: (largest row count of the tier, fetch size); above the last tier LARGEST_FETCH.
 FETCH_TIERS = [(0, 20), (100, 50), (500, 100), (5000, 200), (20000, 500), (50000, 1000), (100000, 5000)]
 LARGEST_FETCH = 10000
 
-# Connections that one split scan may open at the source, and what is worth one of them.
-MAX_CONNECTIONS = 16
-ROWS_PER_CONNECTION = 1_000_000
 TIME_PER_CONNECTION = timedelta(days=1)
+# A select list that makes its own groups; a split column beside it would change them.
+GROUPING = re.compile(r"^\s*DISTINCT\b|\b(COUNT|SUM|MIN|MAX|AVG|LISTAGG|STRING_AGG)\s*\(", re.IGNORECASE)
 
 
 def fetch_size(row_count: Column) -> Column:
@@ -81,20 +81,44 @@ class JdbcConnection:
         }
 
 
+@dataclass(frozen=True)
+class SplitSettings:
+    """How scans are split: connections that one may open, rows worth one of them, and columns for full loads.
+
+    ``columns`` names the split column of a table (``schema.table``) whose job has no change column.
+    """
+
+    connections: int = 16
+    rows: int = 1_000_000
+    columns: Mapping[str, str] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, config: Mapping[str, str]) -> SplitSettings:
+        """From a pipeline's source settings; split columns are given as ``split_column.<schema>.<table>``."""
+        start = "split_column."
+        columns = {key[len(start):].lower(): value for key, value in config.items() if key.lower().startswith(start)}
+        base = cls()
+        return cls(int(config.get("max_connections") or base.connections),
+                   int(config.get("rows_per_connection") or base.rows), columns)
+
+
 @dataclass(frozen=True)
 class Split:
-    """A range split of a scan. Rows outside the bounds or without a value go to the outer parts."""
+    """A range split of a scan by an expression. Rows outside the bounds or without a value go to the outer parts."""
 
-    column: str
+    expression: str
     lo: object
     hi: object
     parts: int
 
     def options(self) -> dict[str, str]:
+        lo, hi = self.lo, self.hi
+        if isinstance(lo, (int, float, Decimal)):  # the reader takes whole bounds
+            lo, hi = math.floor(lo), math.ceil(hi)
         return {
-            "partitionColumn": self.column,
-            "lowerBound": str(self.lo),
-            "upperBound": str(self.hi),
+            "partitionColumn": SPLIT_COLUMN,
+            "lowerBound": str(lo),
+            "upperBound": str(hi),
             "numPartitions": str(self.parts),
         }
 
@@ -102,21 +126,25 @@ class Split:
 class JdbcSource:
     """One database, read through Spark's JDBC reader."""
 
-    def __init__(self, spark: SparkSession, connection: JdbcConnection, dialect: Dialect):
+    def __init__(self, spark: SparkSession, connection: JdbcConnection, dialect: Dialect,
+                 splits: SplitSettings | None = None):
         self.spark = spark
         self.connection = connection
         self.dialect = dialect
+        self.splits = splits or SplitSettings()
 
     def scan(self, query: str, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.connection.options(query), **options).load()
 
     def catalogue(self, schema: str, table: str) -> DataFrame:
-        """column_name, data_type and ordinal_position of one table."""
+        """column_name, data_type, ordinal_position and the declared digits of one table."""
         found = self.scan(self.dialect.columns_query(schema, table))
         return found.select(
             F.col("COLUMN_NAME").alias("column_name"),
             F.col("DATA_TYPE").alias("data_type"),
             F.col("ORDINAL_POSITION").cast("int").alias("ordinal_position"),
+            F.col("DATA_PRECISION").cast("int").alias("data_precision"),
+            F.col("DATA_SCALE").cast("int").alias("data_scale"),
         ).orderBy("ordinal_position")
 
     def object_type(self, schema: str, table: str) -> str:
@@ -126,96 +154,118 @@ class JdbcSource:
             raise ValueError(f"{schema}.{table} is not in the source's catalogue, so its type is unknown")
         return next((kind for kind in ("TABLE", "VIEW") if kind in kinds), min(kinds))
 
-    def row_count(self, schema: str, table: str) -> int:
-        """Statistics for a table, a count for a view, none for anything else."""
-        kind = self.object_type(schema, table)
+    def row_count(self, schema: str, table: str, kind: str | None = None) -> int | None:
+        """Statistics for a table, a count for a view; None where the source does not know."""
+        kind = kind or self.object_type(schema, table)
         if kind == "TABLE":
             query = self.dialect.statistics_query(schema, table)
         elif kind == "VIEW":
             query = self.dialect.count_query(schema, table)
         else:
-            return 0
+            return None
         row = self.scan(query).first()
-        return int(row.NUM_ROWS or 0) if row else 0
+        return None if row is None or row.NUM_ROWS is None else int(row.NUM_ROWS)
 
-    def key_max(self, job: TableJob) -> int | None:
+    def key_max(self, job: TableJob) -> Key | None:
         query = self.dialect.key_max_query(job.source_schema, job.source_table, job.cdc_append_key_column)
         return self.scan(query).first().MAX_VALUE
 
-    def scale_profile(self, schema: str, table: str, numbers: list[str]) -> DataFrame:
-        """The profile of all NUMBER columns by one aggregate inside the source."""
+    def scale_profile(self, schema: str, table: str, numbers: list[str], extract: Extract | None = None) -> DataFrame:
+        """The profile of NUMBER columns by one aggregate inside the source, over the rows to read."""
         out = "column_name string, fractional_rows bigint, scale int, max_abs double"
         if not numbers:
             return self.spark.createDataFrame([], out)
-        totals = self.scan(self.dialect.scale_profile_query(schema, table, numbers)).first()
+        totals = self.scan(self.dialect.scale_profile_query(schema, table, numbers, extract)).first()
         rows = [
             (name, int(totals[f"N{i}"]), int(totals[f"S{i}"] or 0), float(2**64) if totals[f"W{i}"] else 0.0)
             for i, name in enumerate(numbers)
         ]
         return self.spark.createDataFrame(rows, out)
 
-    def schema_text(self, schema: str, table: str) -> str | None:
-        """``customSchema`` for the scan; SQL Server keeps the connector's own types."""
+    def schema_text(self, schema: str, table: str, extract: Extract | None = None,
+                    catalogue: list[Row] | None = None) -> str | None:
+        """``customSchema`` for the scan; SQL Server keeps the connector's own types.
+
+        Only NUMBER columns without declared digits are profiled, and of a select list those it names.
+        """
         if not isinstance(self.dialect, Oracle):
             return None
-        catalogue = self.catalogue(schema, table)
-        numbers = [row.column_name for row in catalogue.collect() if row.data_type == "NUMBER"]
-        return schema_ddl(schema_map(catalogue, self.scale_profile(schema, table, numbers)))
+        rows = self.catalogue(schema, table).collect() if catalogue is None else catalogue
+        read = extract.fields.lower() if extract and extract.fields else "*"
+        rows = [row for row in rows if "*" in read or row.column_name.lower() in read]
+        numbers = [row.column_name for row in rows if row.data_type == "NUMBER" and row.data_precision is None]
+        if not rows:
+            return None
+        known = self.spark.createDataFrame(rows, DECLARED_SCHEMA)
+        return schema_ddl(schema_map(known, self.scale_profile(schema, table, numbers, extract)))
 
-    def split(self, job: TableJob, extract: Extract, row_count: int, outputs: dict[str, str]) -> Split | None:
-        """A range split of a scan that is worth several readers.
+    def split(self, job: TableJob, extract: Extract, row_count: int | None, columns: list[str],
+              kind: str = "TABLE") -> Split | None:
+        """A split of a scan that is worth several readers; an unknown row count is.
 
-        A key range splits by its width and an hour window by its days, on their own column. A read
-        without lower bound splits by the table's rows, on the key or change column of the job.
-        ``outputs`` gives the name of every source column in the scan.
+        A key range splits by its width and an hour window by its days, on their own columns. A read without lower
+        bound splits on the key or change column of the job, else on the one set for the table, by the
+        values there are; a table that has none is dealt by the place of its rows.
         """
-        names = {raw.lower(): raw for raw in outputs}
+        if extract.fields and GROUPING.search(extract.fields):
+            return None
+        most = self.splits.connections
+        parts = most if row_count is None else min(most, math.ceil(row_count / self.splits.rows))
         window = extract.window
-        bounded = window is not None and window.lo is not None
+        if isinstance(window, KeyRange) and window.lo is not None:
+            width = (float(window.hi) - float(window.lo)) / self.splits.rows
+            parts = min(most, math.ceil(width))
+            return Split(window.column, window.lo, window.hi, parts) if parts > 1 else None
+        if parts <= 1 or most <= 1:
+            return None
+        if isinstance(window, HourWindow) and window.lo is not None:
+            parts = min(most, math.ceil((window.hi - window.lo) / TIME_PER_CONNECTION))
+            return Split(self.dialect.window_value(window), window.lo, window.hi, parts) if parts > 1 else None
+        names = {raw.lower(): raw for raw in columns}
         if isinstance(window, KeyRange):
             wanted = [window.column]
         elif isinstance(window, HourWindow):
             wanted = list(window.columns)
         else:
-            wanted = [job.cdc_append_key_column, job.cdc_modified_date_column, job.cdc_created_date_column]
+            set_for = self.splits.columns.get(f"{job.source_schema}.{job.source_table}".lower())
+            wanted = [set_for, job.cdc_append_key_column, job.cdc_modified_date_column, job.cdc_created_date_column]
         column = next((names[c.lower()] for c in wanted if c and c.lower() in names), None)
-
-        parts = row_count / ROWS_PER_CONNECTION
-        if bounded and isinstance(window, KeyRange):
-            parts = (window.hi - window.lo) / ROWS_PER_CONNECTION
-        elif bounded and parts > 1:
-            parts = (window.hi - window.lo) / TIME_PER_CONNECTION
-        if column is None or parts <= 1:
-            return None
-        lo, hi = (window.lo, window.hi) if bounded else self.bounds(job, extract, column)
-        if lo is None or isinstance(lo, str):
-            return None
-        return Split(outputs[column], lo, hi, min(MAX_CONNECTIONS, math.ceil(parts)))
-
-    def bounds(self, job: TableJob, extract: Extract, column: str) -> tuple:
-        """The smallest and largest value of a column among the rows to read."""
-        query = self.dialect.bounds_query(job.source_schema, job.source_table, extract, column)
-        return tuple(int(v) if isinstance(v, Decimal) else v for v in self.scan(query).first())
+        if column is not None:
+            expression = self.dialect.quoted(column)
+            if isinstance(window, HourWindow):
+                expression = self.dialect.window_value(window)
+            lo, hi = self.bounds(job, extract, expression)
+            if lo is not None and not isinstance(lo, str):
+                return Split(expression, lo, hi, parts)
+        return Split(self.dialect.row_part(parts), 0, parts, parts) if kind == "TABLE" else None
+
+    def bounds(self, job: TableJob, extract: Extract, expression: str) -> tuple:
+        """The smallest and largest value of an expression among the rows to read."""
+        query = self.dialect.bounds_query(job.source_schema, job.source_table, extract, expression)
+        return tuple(int(v) if isinstance(v, Decimal) and v == v.to_integral_value() else v
+                     for v in self.scan(query).first())
 
     def columns(self, job: TableJob) -> list[str]:
         rows = self.catalogue(job.source_schema, job.source_table).collect()
         return [row.column_name for row in rows]
 
     def extract(self, job: TableJob, extract: Extract) -> DataFrame:
-        """The rows of the job, typed, with a fetch size for the table and split where it is large."""
+        """The rows of the job, typed, with a fetch size for the table and split where it is large.
+
+        The catalogue is read once. The split column joins the select list and is dropped after the scan.
+        """
         schema, table = job.source_schema, job.source_table
-        columns = self.columns(job)
-        renamed = isinstance(self.dialect, SqlServer)
-        all_columns = select_list(columns) if renamed else "*"
-        query = self.dialect.extract_query(schema, table, extract, all_columns)
-        rows = self.row_count(schema, table)
+        catalogue = self.catalogue(schema, table).collect()
+        columns = [row.column_name for row in catalogue]
+        all_columns = select_list(columns) if isinstance(self.dialect, SqlServer) else "*"
+        kind = self.object_type(schema, table)
+        rows = self.row_count(schema, table, kind)
         options = {"fetchsize": str(fetch_size_of(rows))}
-        types = self.schema_text(schema, table)
+        types = self.schema_text(schema, table, extract, catalogue)
         if types:
             options["customSchema"] = types
-        # With a free select list the split column may not be among the selected ones.
-        outputs = dict(zip(columns, safe_names(columns) if renamed else columns))
-        split = None if extract.fields else self.split(job, extract, rows, outputs)
-        if split:
-            options.update(split.options())
-        return self.scan(query, **options)
+        split = self.split(job, extract, rows, columns, kind)
+        query = self.dialect.extract_query(schema, table, extract, all_columns, split.expression if split else None)
+        if split is None:
+            return self.scan(query, **options)
+        return self.scan(query, **options, **split.options()).drop(SPLIT_COLUMN)

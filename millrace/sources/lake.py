@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.names import rename_safe
 from millrace.model import PipelineConfig, TableJob
-from millrace.operators.cdc import key_maximum
+from millrace.operators.cdc import Key, key_maximum
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
-from millrace.sources.jdbc import JdbcConnection, JdbcSource
+from millrace.sources.jdbc import JdbcConnection, JdbcSource, SplitSettings
 
 
 def matching(df: DataFrame, equal: Mapping[str, str]) -> DataFrame:
@@ -52,7 +53,13 @@ class LakeSource:
     def columns(self, job: TableJob) -> list[str]:
         return self.read(job.source_schema, job.source_table).columns
 
-    def key_max(self, job: TableJob) -> int | None:
+    def row_counts(self, schema: str, tables: list[str]) -> DataFrame:
+        """table_name and num_rows, counted."""
+        counts = [self.read(schema, name).agg(F.count(F.lit(1)).alias("num_rows")).select(
+            F.lit(name).alias("table_name"), "num_rows") for name in tables]
+        return reduce(DataFrame.union, counts)
+
+    def key_max(self, job: TableJob) -> Key | None:
         df = self.read(job.source_schema, job.source_table)
         return key_maximum(df, job.cdc_append_key_column).first().max_value
 
@@ -67,8 +74,9 @@ Source = JdbcSource | LakeSource
 def open_source(spark: SparkSession, config: Mapping[str, str], password: str) -> JdbcSource:
     """The database that a pipeline's source settings name."""
     db_type = (config.get("db_type") or "").upper()
+    splits = SplitSettings.of(config)
     if db_type == "ORACLE":
-        return JdbcSource(spark, JdbcConnection.oracle(config, password), Oracle())
+        return JdbcSource(spark, JdbcConnection.oracle(config, password), Oracle(), splits)
     if db_type == "MSSQL":
-        return JdbcSource(spark, JdbcConnection.sql_server(config, password), SqlServer())
+        return JdbcSource(spark, JdbcConnection.sql_server(config, password), SqlServer(), splits)
     raise ValueError(f"Unsupported source_db_type: {config.get('db_type')}")

@@ -3,7 +3,7 @@ queries run by Spark over views that stand for the catalogue."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -16,7 +16,7 @@ from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table, shared_dir
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
-from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, fetch_size, fetch_size_of
+from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, SplitSettings, fetch_size, fetch_size_of
 from millrace.sources.lake import LakeSource, empty_like, enabled_jobs, open_source, pipeline_config
 
 LO, HI = datetime(2024, 12, 31, 12), datetime(2025, 1, 1, 5)
@@ -64,7 +64,24 @@ def test_catalogue_text_escapes_names():
 def test_one_profile_query_for_all_numbers():
     text = ORACLE.scale_profile_query("S", "T", ["A", "B"])
     assert text.count(" FROM ") == 1 and text.endswith("FROM S.T")
-    assert "COUNT(CASE WHEN A <> TRUNC(A) THEN 1 END) AS N0" in text and " AS S1" in text
+    assert 'COUNT(CASE WHEN "A" <> TRUNC("A") THEN 1 END) AS N0' in text and " AS S1" in text
+    odd = ORACLE.scale_profile_query("S", "T", ["SIZE", 'a"b'], Extract("SIZE", "X=1", KeyRange("ID", None, 9)))
+    assert 'ABS("SIZE")' in odd and 'ABS("a""b")' in odd and odd.endswith("FROM S.T WHERE (ID <= 9) AND (X=1)")
+
+
+def test_split_queries():
+    text = ORACLE.extract_query("S", "T", Extract(), "*", "ORA_HASH(ROWID, 3)")
+    assert text == "SELECT /*+ PARALLEL(16) */ t.*, ORA_HASH(ROWID, 3) AS MILLRACE_SPLIT FROM S.T t"
+    text = SQL_SERVER.extract_query("dbo", "T", Extract("A, B"), "[x] as x", SQL_SERVER.row_part(4))
+    assert text == "SELECT A, B, ABS(CHECKSUM(%%physloc%%) % 4) AS MILLRACE_SPLIT FROM dbo.T t"
+    window = HourWindow(("M", "C"), LO, HI)
+    assert ORACLE.window_value(window) == f"CASE WHEN M >= {LO_TEXT} AND M < {HI_TEXT} THEN M ELSE C END"
+    assert ORACLE.window_value(HourWindow(("M",), LO, HI)) == "M"
+
+
+def test_keys_with_fractions_in_source_text():
+    window = KeyRange("K", Decimal("1E+3"), 2000.25)
+    assert ORACLE.window_condition(window) == "K > 1000 AND K <= 2000.25"
 
 
 def test_connection_options():
@@ -98,25 +115,32 @@ def test_fetch_size_tiers(spark):
 
 
 class ViewDialect(Oracle):
-    """Oracle's SQL, but for the two things that Spark writes otherwise."""
+    """Oracle's SQL, but for the things that Spark writes otherwise."""
 
     def timestamp(self, ts):
         return f"TIMESTAMP '{ts}'"
 
+    def quoted(self, name):
+        return f"`{name}`"
+
+    def row_part(self, parts):
+        return f"PMOD(XXHASH64(t.NAME), {parts})"
+
 
 class ViewSource(JdbcSource):
     """The Oracle flow with Spark in the place of the database; keeps the options of the scans."""
 
-    def __init__(self, spark):
+    def __init__(self, spark, splits=None):
         connection = JdbcConnection("jdbc:none", "u", "d")
-        super().__init__(spark, connection, ViewDialect())
+        super().__init__(spark, connection, ViewDialect(), splits)
         self.scans = []
 
     def scan(self, query, **options):
         self.scans.append((query, options))
         return self.spark.sql(query)
 
-    def scale_profile(self, schema, table, numbers):
+    def scale_profile(self, schema, table, numbers, extract=None):
+        self.profiled = numbers
         return numeric_scale_profile(self.spark.table(f"{schema}.{table}"), numbers)
 
 
@@ -130,9 +154,12 @@ def oracle(spark):
     owner = database.upper()
     views = {
         "ALL_TAB_COLUMNS": (
-            [(owner, "T", "MOD_TS", "DATE", Decimal(4)), (owner, "T", "ID", "NUMBER", Decimal(1)),
-             (owner, "T", "AMOUNT", "NUMBER", Decimal(2)), (owner, "T", "NAME", "VARCHAR2", Decimal(3))],
-            "OWNER string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, COLUMN_ID decimal(38,0)",
+            [(owner, "T", "MOD_TS", "DATE", Decimal(4), None, None),
+             (owner, "T", "ID", "NUMBER", Decimal(1), Decimal(12), Decimal(0)),
+             (owner, "T", "AMOUNT", "NUMBER", Decimal(2), None, None),
+             (owner, "T", "NAME", "VARCHAR2", Decimal(3), None, None)],
+            "OWNER string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, COLUMN_ID decimal(38,0), "
+            "DATA_PRECISION decimal(38,0), DATA_SCALE decimal(38,0)",
         ),
         "ALL_OBJECTS": (
             [(owner, "T", None, "TABLE"), (owner, "T", "P1", "TABLE PARTITION"), (owner, "V", None, "VIEW"),
@@ -150,7 +177,7 @@ def oracle(spark):
 def test_probes(oracle):
     source, database = oracle
     assert [source.object_type(database, name) for name in ("t", "v", "q")] == ["TABLE", "VIEW", "SEQUENCE"]
-    assert [source.row_count(database, name) for name in ("T", "V", "Q")] == [5_000_000, 7, 0]
+    assert [source.row_count(database, name) for name in ("T", "V", "Q")] == [5_000_000, 7, None]
     with pytest.raises(ValueError, match="type is unknown"):
         source.object_type(database, "missing")
 
@@ -160,6 +187,9 @@ def test_catalogue_and_schema_text(oracle):
     job = TableJob("J", database, "T", "x", "t")
     assert source.columns(job) == ["ID", "AMOUNT", "NAME", "MOD_TS"]
     assert source.schema_text(database, "T") == "ID LONG, AMOUNT DECIMAL(38, 3), NAME STRING, MOD_TS TIMESTAMP"
+    assert source.profiled == ["AMOUNT"]  # ID declares its digits
+    assert source.schema_text(database, "T", Extract("ID, UPPER(NAME) AS N")) == "ID LONG, NAME STRING"
+    assert source.profiled == []
     assert source.columns(TableJob("J", database, "none", "x", "t")) == []
 
 
@@ -170,8 +200,44 @@ def test_full_scan_is_typed_and_split(oracle):
     options = source.scans[-1][1]
     assert options["fetchsize"] == "10000" and options["customSchema"].startswith("ID LONG")
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        "ID", "1", "100", "5"
+        "MILLRACE_SPLIT", "1", "100", "5"
     )
+    assert source.scans[-1][0].startswith("SELECT /*+ PARALLEL(16) */ t.*, `ID` AS MILLRACE_SPLIT FROM ")
+
+
+def test_full_scan_without_change_column(oracle):
+    """Split on the column set for the table, else by the place of the rows."""
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t")
+    found = source.extract(job, Extract("ID, NAME"))
+    assert found.columns == ["ID", "NAME"] and found.count() == 100
+    options = source.scans[-1][1]
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "5", "5")
+    settings = SplitSettings.of({f"split_column.{database}.T": "amount", "max_connections": "4", "rows_per_connection": "2000000"})
+    chosen = ViewSource(source.spark, settings)
+    assert chosen.extract(job, Extract()).columns == ["ID", "AMOUNT", "NAME", "MOD_TS"]
+    options = chosen.scans[-1][1]
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "13", "3")
+    assert chosen.split(job, Extract("DISTINCT NAME"), 10**9, ["ID"]) is None
+    assert chosen.split(job, Extract("COUNT(*) AS N"), 10**9, ["ID"]) is None
+
+
+def test_unknown_row_count_is_split(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t")
+    assert source.split(job, Extract(), None, ["ID"]).parts == 16
+    assert source.split(job, Extract(), None, ["ID"], "VIEW") is None  # nothing to split a view by
+    keyed = TableJob("J", database, "T", "x", "t", cdc_append_key_column="ID")
+    assert source.split(keyed, Extract(), None, ["ID"], "VIEW") == Split("`ID`", 1, 100, 16)
+
+
+def test_two_column_window_is_split_within_its_bounds(oracle):
+    source, database = oracle
+    job = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS", cdc_created_date_column="CRT")
+    window = HourWindow(("MOD_TS", "CRT"), LO - timedelta(days=9), HI)
+    split = source.split(job, Extract(window=window), None, ["MOD_TS", "CRT"])
+    assert split.expression.startswith("CASE WHEN MOD_TS >= ") and split.expression.endswith("THEN MOD_TS ELSE CRT END")
+    assert (split.lo, split.hi, split.parts) == (window.lo, window.hi, 10)
 
 
 def test_key_window_scan(oracle):
@@ -197,10 +263,11 @@ def test_hour_window_scan_with_fields(oracle):
     assert "partitionColumn" not in source.scans[-1][1]
     long = HourWindow(("MOD_TS",), datetime(2024, 12, 1, 3), datetime(2024, 12, 31, 6))
     both = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS", cdc_append_key_column="ID")
-    source.extract(both, Extract(None, None, long))
+    found = source.extract(both, Extract("ID, UPPER(NAME) AS N", None, long))
+    assert found.columns == ["ID", "N"] and found.count() == 5
     options = source.scans[-1][1]
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        "MOD_TS", "2024-12-01 03:00:00", "2024-12-31 06:00:00", "16"
+        "MILLRACE_SPLIT", "2024-12-01 03:00:00", "2024-12-31 06:00:00", "16"
     )
     first = HourWindow(("MOD_TS",), None, datetime(2024, 12, 31, 6))
     assert source.extract(job, Extract(None, None, first)).count() == 5
@@ -211,11 +278,11 @@ def test_hour_window_scan_with_fields(oracle):
 def test_small_table_is_read_in_one_part(oracle):
     source, database = oracle
     job = TableJob("J", database, "V", "x", "t", cdc_append_key_column="ID")
-    assert source.split(job, Extract(), 7, {"ID": "ID"}) is None
-    assert source.split(TableJob("J", database, "T", "x", "t"), Extract(), 10**9, {"ID": "ID"}) is None
-    assert source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, {"ID": "ID"}) is None
-    big = source.split(job, Extract(window=KeyRange("ID", 1, 10**9)), 10**12, {"ID": "id_out"})
-    assert big == Split("id_out", 1, 10**9, 16)
+    assert source.split(job, Extract(), 7, ["ID"]) is None
+    assert source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, ["ID"]) is None
+    big = source.split(job, Extract(window=KeyRange("ID", 1, 10**9)), 10**12, ["ID"])
+    assert big == Split("ID", 1, 10**9, 16)
+    assert Split("K", Decimal("1.5"), Decimal("9.5"), 2).options()["upperBound"] == "10"
 
 
 def test_scan_passes_options_to_the_reader(monkeypatch):
@@ -324,8 +391,9 @@ def sql_server(spark):
     ).write.mode("overwrite").option("path", shared_dir(spark, "t")).saveAsTable(f"{database}.people")
     catalogue = {
         "information_schema.columns": (
-            [(database, "people", name, "x", i) for i, name in enumerate(["row-id", "First Name", "id", "mod"], 1)][::-1],
-            "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, ORDINAL_POSITION int",
+            [(database, "people", name, "x", i, None, None) for i, name in enumerate(["row-id", "First Name", "id", "mod"], 1)][::-1],
+            "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, ORDINAL_POSITION int, "
+            "NUMERIC_PRECISION int, NUMERIC_SCALE int",
         ),
         "information_schema.tables": (
             [(database, "people", "BASE TABLE")], "TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string"
@@ -348,9 +416,9 @@ def test_sql_server_scan(sql_server):
     found = source.extract(job, Extract())
     assert found.columns == ["row_id", "First_Name", "id", "mod"] and found.count() == 50
     query, options = source.scans[-1]
-    assert query.startswith("SELECT [row-id] as row_id,[First Name] as First_Name,[id] as id,[mod] as mod FROM ")
+    assert query.startswith("SELECT [row-id] as row_id,[First Name] as First_Name,[id] as id,[mod] as mod, [id] AS MILLRACE_SPLIT FROM ")
     assert "customSchema" not in options
-    assert (options["partitionColumn"], options["upperBound"], options["numPartitions"]) == ("id", "50", "3")
+    assert (options["partitionColumn"], options["upperBound"], options["numPartitions"]) == ("MILLRACE_SPLIT", "50", "3")
 
 
 def test_sql_server_window(sql_server):
