@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.tables import table
 from millrace.operators.landing import land
 from millrace.operators.partitions import partitioned
-from millrace.session import scratch_table
+from millrace.session import scratch_table, shared_dir
 
 LOAD_DATE = "20240102"
 YEAR_MONTH = "order_month=date_format(o_orderdate, 'yyyyMM')"
@@ -47,6 +47,28 @@ def land_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+def land_truncate_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table with its own location, replaced twice; read through the location."""
+    orders, target = table(spark, sf_dir, "orders"), scratch_table(spark, "external")
+    place = shared_dir(spark, "external")
+    columns = orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    spark.sql(f"""CREATE TABLE {target} (o_orderkey BIGINT, o_totalprice DOUBLE, o_orderstatus STRING) USING parquet
+                  PARTITIONED BY (o_orderstatus) LOCATION '{place}' COMMENT 'orders by status'""")
+    for rows in (columns, columns.where("o_orderstatus <> 'P'")):
+        land(rows, target, load_date=LOAD_DATE, partition_by="o_orderstatus", truncate=True)
+    return spark.read.schema(columns.schema).parquet(place)
+
+
+def land_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers and short decimals first, then wider ones."""
+    orders, target = table(spark, sf_dir, "orders"), scratch_table(spark, "widen")
+    narrow = orders.selectExpr("CAST(o_orderkey AS INT) AS key", "CAST(o_orderkey % 100 / 10 AS DECIMAL(5, 2)) AS part")
+    wide = orders.selectExpr("o_orderkey + 10000000000 AS key", "CAST(o_orderkey + 0.125 AS DECIMAL(20, 3)) AS part")
+    for rows in (narrow, wide):
+        land(rows, target, load_date=LOAD_DATE, widen=True)
+    return spark.table(target)
+
+
 def land_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, target = table(spark, sf_dir, "orders"), scratch_table(spark, "partitioned")
     land(orders, target, load_date=LOAD_DATE, partition_by=YEAR_MONTH)
@@ -91,6 +113,8 @@ QUERIES = {
     "land_append": land_append,
     "land_overwrite": land_overwrite,
     "land_truncate": land_truncate,
+    "land_truncate_external": land_truncate_external,
+    "land_widen": land_widen,
     "land_partitioned": land_partitioned,
     "land_partition_column": land_partition_column,
     "land_evolve": land_evolve,
@@ -109,6 +133,11 @@ ORACLES = {
     "land_append": "SELECT * FROM orders",
     "land_overwrite": "SELECT * FROM orders",
     "land_truncate": "SELECT * FROM orders",
+    "land_truncate_external": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
+    "land_widen": """
+        SELECT o_orderkey AS key, CAST((o_orderkey % 100) / 10.0 AS DECIMAL(20, 3)) AS part FROM orders
+        UNION ALL
+        SELECT o_orderkey + 10000000000, CAST(o_orderkey + 0.125 AS DECIMAL(20, 3)) FROM orders""",
     "land_partitioned": BY_MONTH,
     "land_partition_column": "SELECT * FROM orders",
     "land_evolve": """

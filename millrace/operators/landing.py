@@ -7,7 +7,7 @@ target first, so a failing read leaves the old rows in place.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,14 @@ from millrace.sources.dialects import text_literal
 ATOMIC_FORMATS = {"iceberg", "delta"}
 # Fixed value: the table property that lets a write bring new columns.
 ANY_SCHEMA = {"iceberg": ("write.spark.accept-any-schema", "true")}
-# Table property of a staged table that holds all of its rows.
+# Table properties of a staged table: that it holds all of its rows, and where its target lay.
 COMPLETE = "millrace.complete"
+LOCATION = "millrace.location"
+# Option of a job that allows a load to rewrite its table with wider types.
+WIDEN = "millrace.widen"
 PARTITION_HEADING = "# Partition Information"
 DYNAMIC = "'partitionOverwriteMode'='dynamic'"
+STATIC = "'partitionOverwriteMode'='static'"
 
 
 @dataclass(frozen=True)
@@ -51,35 +55,60 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [line for line in lines[lines.index(PARTITION_HEADING) + 1 :] if line and not line.startswith("#")]
 
 
-INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+# Integers and the digits that each may have.
+INTEGERS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
 
 
-def _fits(old: T.DataType, new: T.DataType) -> bool:
-    """Whether ``new`` can be stored as ``old`` unchanged, or else fails at the insert.
+def _digits(dtype: T.DataType) -> tuple[int, int] | None:
+    """Digits before and after the point of an exact number."""
+    if dtype in INTEGERS:
+        return INTEGERS[dtype], 0
+    return (dtype.precision - dtype.scale, dtype.scale) if isinstance(dtype, T.DecimalType) else None
 
-    Spark checks the range of decimals when it inserts, but rounds fractions silently.
-    """
+
+def _fits(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``new`` can be stored as ``old`` unchanged."""
     if old == new or isinstance(new, T.NullType):
         return True
     if old in INTEGERS:
-        return new in INTEGERS and INTEGERS.index(new) <= INTEGERS.index(old)
+        return new in INTEGERS and INTEGERS[new] <= INTEGERS[old]
     if isinstance(old, T.DecimalType):
-        return new in INTEGERS or (isinstance(new, T.DecimalType) and new.scale <= old.scale)
+        given, held = _digits(new), _digits(old)
+        return given is not None and given[0] <= held[0] and given[1] <= held[1]
     if isinstance(old, T.DoubleType):
-        return isinstance(new, T.FloatType) or new in INTEGERS[:3]
+        return isinstance(new, T.FloatType) or (new in INTEGERS and INTEGERS[new] <= 10)
     return False
 
 
+def _wider(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The smallest type that holds both, None where there is none.
+
+    A decimal of 38 digits is the type of a number whose digits are not declared: it takes the longer fraction, and the insert
+    checks that the digits before the point still fit.
+    """
+    if _fits(old, new):
+        return old
+    if _fits(new, old):
+        return new
+    one, other = _digits(old), _digits(new)
+    if one and other:
+        whole, scale = (max(pair) for pair in zip(one, other, strict=True))
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+        if any(isinstance(t, T.DecimalType) and t.precision == 38 for t in (old, new)):
+            return T.DecimalType(38, scale)
+    return None
+
+
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """The old columns, widened where the new type needs it, then the added ones."""
     given = {f.name.lower(): f for f in new.fields}
     merged = []
     for have in old.fields:
         comes = given.pop(have.name.lower(), have)
-        if _fits(have.dataType, comes.dataType):
-            merged.append(have)
-        elif _fits(comes.dataType, have.dataType):
-            merged.append(T.StructField(have.name, comes.dataType))
+        dtype = _wider(have.dataType, comes.dataType)
+        if dtype is not None:
+            merged.append(T.StructField(have.name, dtype, metadata=have.metadata))
         else:
             raise SchemaConflict(
                 f"column {have.name}: {comes.dataType.simpleString()} does not fit the target's "
@@ -124,16 +153,55 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+@dataclass(frozen=True)
+class Definition:
+    """What a replacement keeps of a table besides its columns."""
+
+    comment: str | None = None
+    location: str | None = None
+    properties: Mapping[str, str] = field(default_factory=dict)
+    options: Mapping[str, str] = field(default_factory=dict)
+
+
+def definition(spark: SparkSession, table: str) -> Definition:
+    """From the catalog; the location only of an external table, whose files are not the catalog's own."""
+    lines = [(row.col_name, row.data_type) for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    start = next((i for i, line in enumerate(lines) if line[0].startswith("# Detailed Table")), len(lines))
+    told = dict(lines[start:])
+    given = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    ours = {key: value for key, value in given.items()
+            if key not in (COMPLETE, LOCATION) and not key.startswith(("spark.sql.", "transient_", "option."))}
+    storage = told.get("Storage Properties", "").strip("[]")
+    options = dict(pair.split("=", 1) for pair in storage.split(", ") if "=" in pair)
+    options.pop("serialization.format", None)
+    options.pop("path", None)
+    external = told.get("Type", "").upper() == "EXTERNAL"
+    return Definition(told.get("Comment"), told.get("Location") if external else None, ours, options)
+
+
 def create_table(spark: SparkSession, table: str, schema: T.StructType, fmt: str, by: list[str],
-                 options: Mapping[str, str] | None = None) -> None:
+                 options: Mapping[str, str] | None = None, kept: Definition | None = None) -> None:
     """An empty table, so that a broken first load leaves a table that the next one can fill."""
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-    clauses = [f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}"]
+    def column(f: T.StructField) -> str:
+        comment = (f.metadata or {}).get("comment")
+        return f"{quoted(f.name)} {f.dataType.simpleString()}" + (f" COMMENT {text_literal(comment)}" if comment else "")
+
+    def pairs(given: Mapping[str, str]) -> str:
+        return ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in given.items())
+
+    kept = kept or Definition()
+    options = {**kept.options, **(options or {})}
+    clauses = [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(map(column, schema.fields))}) USING {fmt}"]
     if options:
-        pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in options.items())
-        clauses.append(f"OPTIONS ({pairs})")
+        clauses.append(f"OPTIONS ({pairs(options)})")
     if by:
         clauses.append(f"PARTITIONED BY ({', '.join(map(quoted, by))})")
+    if kept.location:
+        clauses.append(f"LOCATION {text_literal(kept.location)}")
+    if kept.comment:
+        clauses.append(f"COMMENT {text_literal(kept.comment)}")
+    if kept.properties:
+        clauses.append(f"TBLPROPERTIES ({pairs(kept.properties)})")
     spark.sql(" ".join(clauses))
 
 
@@ -156,64 +224,104 @@ def _rename(spark: SparkSession, staged: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(table.split('.')[-2:])}")
     if partition_columns(spark, table):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{COMPLETE}', '{LOCATION}')")
+
 
+def _refill(spark: SparkSession, staged: str, table: str) -> None:
+    """Replaces all rows of a table by those of the staged one; the table itself stays as it is."""
+    rows = aligned(spark.table(staged), spark.table(table).schema)
+    rows = spread(rows, partition_columns(spark, table))
+    spark.sql(f"INSERT OVERWRITE {table} WITH ({STATIC}) SELECT * FROM {{rows}}", rows=rows)
+    spark.sql(f"DROP TABLE {staged}")
 
-def _swap(spark: SparkSession, staged: str, table: str) -> None:
-    """Puts a staged table in the place of the target, marking it complete before the target goes."""
-    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
+
+def _swap(spark: SparkSession, staged: str, table: str, fmt: str, kept: Definition, replace: str | None) -> None:
+    """Puts the rows of a staged table in the place of the target's, marking it complete before.
+
+    Where only rows change, or the target has its own location, the target is filled again; otherwise the staged table
+    takes the target's name, which moves no row.
+    """
+    marks = f"'{COMPLETE}' = {text_literal(replace or 'table')}"
+    if kept.location:
+        marks += f", '{LOCATION}' = {text_literal(kept.location)}"
+    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({marks})")
+    if replace == "rows":
+        _refill(spark, staged, table)
+        return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    _rename(spark, staged, table)
+    _place(spark, staged, table, fmt, kept)
 
 
-def _recover(spark: SparkSession, staged: str, table: str) -> None:
+def _place(spark: SparkSession, staged: str, table: str, fmt: str, kept: Definition) -> None:
+    if kept.location is None:
+        _rename(spark, staged, table)
+        return
+    schema, by = spark.table(staged).schema, partition_columns(spark, staged)
+    create_table(spark, table, schema, fmt, by, kept=kept)
+    _refill(spark, staged, table)
+
+
+def _recover(spark: SparkSession, staged: str, table: str, fmt: str) -> None:
     """Ends what a broken replacement left: takes a complete staged table, drops any other."""
     if not spark.catalog.tableExists(staged):
         return
-    complete = not spark.sql(f"SHOW TBLPROPERTIES {staged}").where(F.col("key") == COMPLETE).isEmpty()
-    if complete and not spark.catalog.tableExists(table):
-        _rename(spark, staged, table)
+    marks = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {staged}").collect()}
+    if marks.get(COMPLETE) == "rows" and spark.catalog.tableExists(table):
+        _refill(spark, staged, table)
+    elif COMPLETE in marks and not spark.catalog.tableExists(table):
+        _place(spark, staged, table, fmt, replace(definition(spark, staged), location=marks.get(LOCATION)))
+    elif COMPLETE in marks and LOCATION in marks:
+        _refill(spark, staged, table)
     else:
         spark.sql(f"DROP TABLE {staged}")
 
 
 def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
-                replace: str | None) -> None:
+                mode: str | None, widen: bool) -> None:
     """File formats such as parquet and ORC.
 
-    A type that must be widened rewrites the table, old rows and new, beside itself.
+    A type that must be widened rewrites the table, old rows and new, beside itself; only if allowed.
     """
     spark = df.sparkSession
     staged = f"{table}__staged"
-    _recover(spark, staged, table)
+    _recover(spark, staged, table, fmt)
     by = [column] if column else []
-    overwrite = by if replace == "partitions" else None
+    overwrite = by if mode == "partitions" else None
     if not spark.catalog.tableExists(table):
         create_table(spark, table, df.schema, fmt, by, options)
         insert(df, table)
         return
-    schema = df.schema
-    if replace != "table":
+    schema, kept = df.schema, definition(spark, table)
+    if mode != "table":
         old = spark.table(table).schema
         schema = merged_schema(old, schema)
         by = partition_columns(spark, table)
-        widened = [f.dataType for f in schema.fields[: len(old)]] != [f.dataType for f in old.fields]
-        if replace != "rows" and not widened:
+        widened = [f.name for f, had in zip(schema.fields, old.fields) if f.dataType != had.dataType]
+        if not widened:
             add_columns(spark, table, schema.fields[len(old):])
-            insert(df, table, overwrite)
-            return
-    create_table(spark, staged, schema, fmt, by, options)
-    if replace in (None, "partitions"):
-        insert(spark.table(table), staged)
+            if mode != "rows":
+                insert(df, table, overwrite)
+                return
+        elif not widen:
+            raise SchemaConflict(
+                f"{table} must be rewritten to hold wider values in {', '.join(widened)}; "
+                f"set the table option {WIDEN} to allow it"
+            )
+        elif mode == "rows":
+            mode = "table"
+    create_table(spark, staged, schema, fmt, by, options, replace(kept, location=None))
+    if mode in (None, "partitions"):
+        insert(spread(spark.table(table), by), staged)
     insert(df, staged, overwrite)
-    _swap(spark, staged, table)
+    _swap(spark, staged, table, fmt, kept, mode)
 
 
 def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
-                 replace: str | None) -> None:
+                 mode: str | None, widen: bool = True) -> None:
     """Table formats with atomic commits; they are given by the cluster's catalog."""
     spark = df.sparkSession
     writer = df.writeTo(table).using(fmt).options(**{"mergeSchema": "true", **options})
-    if replace == "table" or not spark.catalog.tableExists(table):
+    if mode == "table" or not spark.catalog.tableExists(table):
         if column:
             writer = writer.partitionedBy(F.col(quoted(column)))
         writer.createOrReplace()
@@ -221,9 +329,9 @@ def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, option
     if fmt in ANY_SCHEMA:
         name, value = map(text_literal, ANY_SCHEMA[fmt])
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({name} = {value})")
-    if replace == "rows":
+    if mode == "rows":
         writer.overwrite(F.lit(True))
-    elif replace == "partitions":
+    elif mode == "partitions":
         if column not in partition_columns(spark, table):
             raise ValueError(f"{table} is not partitioned by {column}")
         writer.overwritePartitions()
@@ -240,6 +348,7 @@ def land(
     recreate: bool = False,
     truncate: bool = False,
     partition_overwrite: bool = False,
+    widen: bool = False,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> Landed:
@@ -247,7 +356,8 @@ def land(
 
     Default is append. ``recreate`` replaces table and schema, ``truncate`` replaces the rows,
     ``partition_overwrite`` replaces only the partitions that occur in the frame, which makes a repeat
-    harmless. A plain append can duplicate rows if the process dies between the landing and the
+    harmless. ``widen``, or the option of that name, lets a load rewrite a table of a file format whose types are too
+    narrow. A table keeps its location, comments, properties and options. A plain append can duplicate rows if the process dies between the landing and the
     watermark, and the load is then repeated.
     """
     shaped = partitioned(df, partition_by, load_date)
@@ -261,9 +371,11 @@ def land(
     # A column with one value needs no shuffle: every task writes its rows where they are.
     varied = [c for c in by if not (shaped.constant and c == column)]
     rows, seen = _counted(spread(shaped.df, varied))
-    replace = "table" if recreate else "rows" if truncate else None
-    if replace is None and partition_overwrite and column:
-        replace = "partitions"
+    mode = "table" if recreate else "rows" if truncate else None
+    if mode is None and partition_overwrite and column:
+        mode = "partitions"
+    given = dict(options or {})
+    widen = given.pop(WIDEN, "").lower() in ("y", "yes", "true") or widen
     write = _land_atomic if fmt in ATOMIC_FORMATS else _land_files
-    write(rows, table, fmt, column, options or {}, replace)
+    write(rows, table, fmt, column, given, mode, widen)
     return Landed(seen.get["rows"], len(df.columns), shaped.load_date)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.landing import SchemaConflict, _land_atomic, land, partition_columns
 from millrace.operators.partitions import inside_parentheses, partitioned
-from millrace.session import scratch_table
+from millrace.session import scratch_table, shared_dir
 
 DAY = "20240102"
 
@@ -105,11 +105,11 @@ def test_partition_column_in_other_case(spark, target):
 
 
 @pytest.mark.parametrize(
-    ("exists", "replace", "call"),
+    ("exists", "mode", "call"),
     [(False, None, "createOrReplace"), (True, "table", "createOrReplace"), (True, "rows", "overwrite"),
      (True, "partitions", "overwritePartitions"), (True, None, "append")],
 )
-def test_atomic_formats_choose_their_write(spark, exists, replace, call):
+def test_atomic_formats_choose_their_write(spark, exists, mode, call):
     """Only the choice of the write; the connectors are not installed here."""
     df = MagicMock()
     df.sparkSession.catalog.tableExists.return_value = exists
@@ -117,7 +117,7 @@ def test_atomic_formats_choose_their_write(spark, exists, replace, call):
     df.sparkSession.sql.return_value.collect.return_value = [SimpleNamespace(col_name=line) for line in lines]
     writer = df.writeTo.return_value.using.return_value.options.return_value
     writer.partitionedBy.return_value = writer
-    _land_atomic(df, "c.s.t", "iceberg", "p", {}, replace)
+    _land_atomic(df, "c.s.t", "iceberg", "p", {}, mode)
     assert getattr(writer, call).call_count == 1
     others = {"createOrReplace", "overwrite", "overwritePartitions", "append"} - {call}
     assert not any(getattr(writer, other).called for other in others)
@@ -145,15 +145,62 @@ def test_types_that_do_not_fit_are_refused(spark, target):
             land(frame(spark, [(value,)], schema), target, load_date=DAY)
     with pytest.raises(PySparkException):
         land(frame(spark, [(Decimal(10**37),)], "d decimal(38,0)"), target, load_date=DAY)
+    with pytest.raises(SchemaConflict, match="does not fit"):
+        land(frame(spark, [(Decimal(1) / 2**20,)], "id decimal(30,20)"), target, load_date=DAY)
     assert rows(spark, target) == [(1, Decimal("1.50")), (2, Decimal("7.00"))]
 
 
+def test_decimals_widen_on_both_sides_of_the_point(spark, target):
+    land(frame(spark, [(Decimal("999.99"), 1)], "d decimal(5,2), n int"), target, load_date=DAY)
+    wide = frame(spark, [(Decimal("123456789012345678.5"), 2**40)], "d decimal(20,1), n bigint")
+    with pytest.raises(SchemaConflict, match="millrace.widen"):
+        land(wide, target, load_date=DAY)
+    assert rows(spark, target) == [(Decimal("999.99"), 1)]
+    land(wide, target, load_date=DAY, options={"millrace.widen": "true"})
+    assert dict(spark.table(target).dtypes) == {"d": "decimal(21,2)", "n": "bigint"}
+    assert rows(spark, target) == [(Decimal("123456789012345678.50"), 2**40), (Decimal("999.99"), 1)]
+
+
+def described(spark, table):
+    lines = [(row.col_name, row.data_type, row.comment) for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    moving = {"Created Time", "Last Access", "Statistics", "Created By", "Table Properties", "Database", "Table"}
+    properties = {(r.key, r.value) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if "transient" not in r.key}
+    return [line for line in lines if line[0] not in moving], properties
+
+
+@pytest.mark.parametrize("external", [True, False])
+@pytest.mark.parametrize("mode", ["truncate", "recreate", "widen"])
+def test_replacing_keeps_the_definition(spark, target, external, mode):
+    place = f"LOCATION '{shared_dir(spark, 'ext')}'" if external else ""
+    spark.sql(f"""CREATE TABLE {target} (id INT COMMENT 'the id', p STRING) USING parquet OPTIONS ('compression' = 'gzip')
+                  PARTITIONED BY (p) {place} COMMENT 'a table' TBLPROPERTIES ('owner.team' = 'x')""")
+    land(frame(spark, [(1, "a"), (2, "b")]), target, load_date=DAY, partition_by="p")
+    before = described(spark, target)
+    if mode == "widen":
+        land(frame(spark, [(2**40, "c")], "id bigint, p string"), target, load_date=DAY, partition_by="p", widen=True)
+        assert rows(spark, target) == [(1, "a"), (2**40, "c"), (2, "b")]
+    else:
+        columns = spark.table(target).schema  # with comments
+        df = spark.createDataFrame([(3, "b")], columns)
+        land(df, target, load_date=DAY, partition_by="p", **{mode: True})
+        assert rows(spark, target) == [(3, "b")]
+    after = described(spark, target)
+    if mode != "widen":
+        assert after == before
+    assert ("id", "bigint" if mode == "widen" else "int", "the id") in after[0]
+    assert after[1] == before[1]
+    if external:
+        path = next(kind for name, kind, _ in after[0] if name == "Location")
+        assert spark.read.parquet(path).count() == spark.table(target).count()
+    assert not spark.catalog.tableExists(f"{target}__staged")
+
+
 @pytest.mark.parametrize("spec", [None, "p"])
 def test_types_are_widened(spark, target, spec):
     """A number without fractions so far, then with some, then with longer ones."""
     def load(value, kind, **mode):
         df = frame(spark, [(value, "a")], f"n {kind}, p string")
-        assert land(df, target, load_date=DAY, partition_by=spec, **mode).rows == 1
+        assert land(df, target, load_date=DAY, partition_by=spec, widen=True, **mode).rows == 1
 
     load(1, "int")
     load(2**40, "bigint")
