@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.tables import source, table
 from millrace.functions.timekeys import hour_key
-from millrace.model import TRACKER_SCHEMA, TableJob
+from millrace.model import TRACKER_SCHEMA, RunContext, TableJob
 from millrace.operators.cdc import (
     KeyRange,
     changed_rows,
@@ -21,8 +21,10 @@ from millrace.operators.cdc import (
     watermarks,
 )
 from millrace.operators.landing import create_table, insert
+from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_table
 from millrace.sources.extract import Extract
+from millrace.sources.lake import LakeSource
 
 WATERMARK = "2024010106"
 RUN_TS = datetime(2024, 1, 2, 12, 34, 56)
@@ -61,6 +63,32 @@ def append_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_rows(events, KeyRange("event_id", 2500, key_maximum(events, "event_id").first().max_value))
 
 
+def append_key_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads by a key with fractions, of which the first sees half of the rows."""
+    events = table(spark, sf_dir, "events").withColumn("key", F.expr("event_id + (event_id % 8) / 8D"))
+    schema, landed = scratch_table(spark, "fractions").split(".")
+    job = TableJob("J3", "web", "events", schema, landed, load_type="INCREMENTAL", cdc_type="APPEND_KEY",
+                   cdc_append_key_column="key")
+    target = Target(spark, scratch_table(spark, "tracker"))
+    for known in (events.where("event_id % 8 < 4 AND ts < TIMESTAMP_NTZ'2024-01-15 00:00:00'"), events):
+        load_table(job, LakeSource(spark, lambda schema, name, known=known: known), target,
+                   RunContext.start(spark, "daily", RUNS[2]))
+    return spark.table(target.table(job)).select("event_id", "key")
+
+
+def watermark_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks written as day, hour, second and timestamp, all in one untyped column."""
+    tracker = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("job_id"),
+        F.col("o_orderstatus").alias("source_table"),
+        F.expr("""CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyyMMdd')
+                  WHEN 1 THEN date_format(o_orderdate, 'yyyyMMddHH')
+                  WHEN 2 THEN date_format(o_orderdate, 'yyyyMMddHHmmss')
+                  ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END""").alias("updated_at"),
+    )
+    return watermarks(tracker).select("job_id", "source_table", "ts_hour", "bad_hours")
+
+
 def watermark_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tracker = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("job_id"),
@@ -68,7 +96,8 @@ def watermark_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         hour_key("o_orderdate").alias("ts_hour"),
         F.col("o_orderkey").alias("key_value"),
     )
-    return watermarks(tracker)
+    known = watermarks(tracker).withColumn("key_value", F.col("key_value").cast("long"))
+    return known.select("job_id", "source_table", "ts_hour", "key_value")
 
 
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +109,7 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
         window = plan_window(KEYED, spark.table(tracker), run_ts,
                              lambda: key_maximum(known, "event_id").first().max_value)
         insert(watermark_row(spark.table(tracker), KEYED, window), tracker)
-    return spark.table(tracker)
+    return spark.table(tracker).withColumn("key_value", F.col("key_value").cast("long"))
 
 
 def tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +133,9 @@ QUERIES = {
     "cdc_ts_first": ts_first,
     "cdc_ts_window_or": ts_window_or,
     "cdc_append_key": append_key,
+    "cdc_append_key_decimal": append_key_decimal,
     "watermark_lookup": watermark_lookup,
+    "watermark_texts": watermark_texts,
     "watermark_advance": watermark_advance,
     "cdc_tiling": tiling,
     "hour_key": hour_keys,
@@ -127,6 +158,18 @@ ORACLES = {
                AND strftime(o_orderdate, '%Y%m%d%H') < '1998030100')""",
     "cdc_append_key": """
         SELECT * FROM events WHERE event_id > 2500 AND event_id <= (SELECT max(event_id) FROM events)""",
+    # The first load ends at the largest key that it saw; the second brings what lies above.
+    "cdc_append_key_decimal": """
+        WITH keyed AS (SELECT event_id, event_id + (event_id % 8) / 8.0::DOUBLE AS key, ts FROM events),
+        early AS (SELECT * FROM keyed WHERE event_id % 8 < 4 AND ts < TIMESTAMP '2024-01-15 00:00:00')
+        SELECT event_id, key FROM early
+        UNION ALL
+        SELECT event_id, key FROM keyed WHERE key > (SELECT max(key) FROM early)""",
+    "watermark_texts": """
+        SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_orderstatus AS source_table,
+               max(CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y%m%d') || '00'
+                   ELSE strftime(o_orderdate, '%Y%m%d%H') END) AS ts_hour, CAST(0 AS BIGINT) AS bad_hours
+        FROM orders GROUP BY o_custkey, o_orderstatus""",
     "watermark_lookup": """
         SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_orderstatus AS source_table,
                max(strftime(o_orderdate, '%Y%m%d%H')) AS ts_hour, max(o_orderkey) AS key_value

@@ -19,6 +19,10 @@ HOUR_FORMAT = "yyyyMMddHH"
 DAY_FORMAT = "yyyyMMdd"
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Append keys of the tracker: whole numbers of 20 digits, and fractions as exact as a double's shortest text.
+KEY_TYPE = T.DecimalType(38, 18)
+
+# The columns of the ledger.
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -46,7 +50,7 @@ TRACKER_SCHEMA = T.StructType(
         T.StructField("job_id", T.StringType()),
         T.StructField("source_table", T.StringType()),
         T.StructField("ts_hour", T.StringType()),
-        T.StructField("key_value", T.LongType()),
+        T.StructField("key_value", KEY_TYPE),
     ]
 )
 
@@ -58,6 +62,11 @@ CATALOGUE_SCHEMA = T.StructType(
     ]
 )
 
+# With the digits that a number is declared with.
+DECLARED_SCHEMA = T.StructType(
+    [*CATALOGUE_SCHEMA.fields, T.StructField("data_precision", T.IntegerType()), T.StructField("data_scale", T.IntegerType())]
+)
+
 PATTERN_SCHEMA = T.StructType(
     [
         T.StructField("prio", T.IntegerType()),
@@ -77,7 +86,7 @@ LOG_SCHEMA = T.StructType(
 
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
-# Settings of a pipeline. Those of mail delivery are kept for existing tables and not used.
+# The columns of the settings and of the ingestion config. Settings of a pipeline: those of mail delivery are kept for existing tables and not used.
 ALERT_CONFIG_SCHEMA = T.StructType(
     [
         T.StructField("app_pipeline", T.StringType()),
@@ -279,4 +288,4 @@ class PipelineConfig:
     def report_folder(self, run: RunContext) -> str:
         """Where the reports of a batch go."""
         day = run.load_date
-        return f"{self.log_folder}{self.app_pipeline}/{day}/SummaryReport/{run.batch_id}/{run.run_id}"
+        return f"{self.log_folder}{self.app_pipeline}/{day}/reports/{run.batch_id}/{run.run_id}"

@@ -7,8 +7,10 @@ null belong to no window.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -17,7 +19,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.timekeys import ceil_day, floor_hour, format_hour, parse_hour
-from millrace.model import HOUR_FORMAT, TRACKER_SCHEMA, TableJob
+from millrace.model import HOUR_FORMAT, KEY_TYPE, TRACKER_SCHEMA, TableJob
+
+Key = int | float | Decimal
+
+
+def column_type(schema: T.StructType, name: str) -> T.DataType:
+    dtype = next((f.dataType for f in schema.fields if f.name.lower() == name.lower()), None)
+    if dtype is None:
+        raise ValueError(f"the change column {name} is not in the table")
+    return dtype
+
+
+def exact_key(value: Key) -> Decimal:
+    """A key as the tracker keeps it, without loss; a key that it cannot hold is an error."""
+    key = Decimal(repr(value)) if isinstance(value, float) else Decimal(value)
+    whole = KEY_TYPE.precision - KEY_TYPE.scale
+    if not key.is_finite() or abs(key) >= 10**whole or key.normalize().as_tuple().exponent < -KEY_TYPE.scale:
+        raise ValueError(f"the tracker cannot hold the key {value} exactly")
+    return key
+
+
+def plain_key(value: Decimal | None) -> Key | None:
+    """A whole key as int."""
+    return int(value) if value is not None and value == value.to_integral_value() else value
 
 
 @dataclass(frozen=True)
@@ -37,9 +62,7 @@ class HourWindow:
         return reduce(or_, (self._one(name, schema) for name in self.columns))
 
     def _one(self, name: str, schema: T.StructType) -> Column:
-        dtype = next((f.dataType for f in schema.fields if f.name.lower() == name.lower()), None)
-        if dtype is None:
-            raise ValueError(f"the change column {name} is not in the table")
+        dtype = column_type(schema, name)
 
         def bound(ts: datetime) -> Column:
             if isinstance(dtype, T.DateType):
@@ -56,19 +79,31 @@ class HourWindow:
 
 @dataclass(frozen=True)
 class KeyRange:
-    """``lo < key <= hi``; without ``lo`` everything up to ``hi``."""
+    """``lo < key <= hi``; without ``lo`` everything up to ``hi``, the source's own largest key."""
 
     column: str
-    lo: int | None
-    hi: int
+    lo: Key | None
+    hi: Key
 
     def predicate(self, schema: T.StructType) -> Column:
-        upper = F.col(self.column) <= F.lit(self.hi)
-        return upper if self.lo is None else (F.col(self.column) > F.lit(self.lo)) & upper
+        dtype = column_type(schema, self.column)
+        upper = F.col(self.column) <= self._bound(self.hi, dtype)
+        return upper if self.lo is None else (F.col(self.column) > self._bound(self.lo, dtype)) & upper
+
+    @staticmethod
+    def _bound(value: Key, dtype: T.DataType) -> Column:
+        """In the column's own type where that keeps the value, so that the comparison reaches the scan."""
+        if isinstance(dtype, T.IntegralType):
+            return F.lit(math.floor(value))  # the same rows of a whole column lie on either side of it
+        if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+            return F.lit(float(value)).cast(dtype)
+        exact = Decimal(repr(value)) if isinstance(value, float) else Decimal(value)
+        fits = isinstance(dtype, T.DecimalType) and exact.normalize().as_tuple().exponent >= -dtype.scale
+        return F.lit(exact).cast(dtype) if fits else F.lit(exact)
 
     @property
     def watermark(self) -> dict:
-        return {"ts_hour": None, "key_value": self.hi}
+        return {"ts_hour": None, "key_value": exact_key(self.hi)}
 
 
 Window = HourWindow | KeyRange
@@ -89,40 +124,85 @@ def key_maximum(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("max_value"))
 
 
+def hour_mark(text: Column) -> Column:
+    """The hour that a watermark's text names, null for a text of no known form.
+
+    Known are 8 digits (a day), 10 (an hour), 14 (a second) and a timestamp's text. Parts of an hour are cut, so a window may
+    begin earlier than its mark but never later.
+    """
+    digits = (
+        F.when(text.rlike("^[0-9]{8}$"), F.concat(text, F.lit("00")))
+        .when(text.rlike("^[0-9]{10}([0-9]{4})?$"), F.substring(text, 1, 10))
+        .when(
+            text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"),
+            F.date_format(text.try_cast("timestamp_ntz"), HOUR_FORMAT),
+        )
+    )
+    return F.when(F.try_to_timestamp(digits, F.lit(HOUR_FORMAT)).isNotNull(), digits)
+
+
 def tracker_rows(tracker: DataFrame) -> DataFrame:
-    """Tracker rows with typed watermarks, also of a tracker that keeps one untyped ``updated_at``."""
-    if "updated_at" not in tracker.columns:
-        return tracker
-    if dict(tracker.dtypes)["updated_at"].startswith(("timestamp", "date")):
-        hour, key = F.date_format("updated_at", HOUR_FORMAT), F.lit(None).cast("long")
-    else:
-        text = F.col("updated_at").cast("string")
-        hour, key = F.rpad(text, 10, "0"), text.try_cast("long")
-    typed = {"ts_hour": hour, "key_value": key}
+    """Tracker rows with typed watermarks, also of a tracker that keeps one untyped ``updated_at``.
+
+    ``bad_hour`` and ``bad_key`` mark a text that cannot be read as the one or the other. A number that
+    names an hour is no key: the tracker does not say which it is.
+    """
+    untyped = F.lit(None).cast("string")
+    if "updated_at" in tracker.columns:
+        kind = dict(tracker.dtypes)["updated_at"]
+        untyped = F.col("updated_at").cast("string")
+        if kind.startswith(("timestamp", "date")):
+            untyped = F.date_format("updated_at", HOUR_FORMAT)
+        elif kind != "string":
+            untyped = F.regexp_replace(untyped, "[.]0*$", "")
+    hours = F.coalesce("ts_hour", untyped) if "ts_hour" in tracker.columns else untyped
+    typed = F.col("key_value").cast(KEY_TYPE) if "key_value" in tracker.columns else F.lit(None).cast(KEY_TYPE)
+    read_key = F.when(hour_mark(untyped).isNull(), untyped.try_cast(KEY_TYPE))
     return tracker.select(
         "job_id",
         "source_table",
-        *[(F.coalesce(c, old) if c in tracker.columns else old).alias(c) for c, old in typed.items()],
+        hour_mark(hours).alias("ts_hour"),
+        F.coalesce(typed, read_key).alias("key_value"),
+        (hours.isNotNull() & hour_mark(hours).isNull()).alias("bad_hour"),
+        (untyped.isNotNull() & typed.isNull() & read_key.isNull()).alias("bad_key"),
     )
 
 
 def watermarks(tracker: DataFrame) -> DataFrame:
-    """The current watermark of every job, in one pass over the tracker.
+    """The current watermark of every job, in one pass over the tracker, and how many texts are none.
 
-    Hour keys all have ten digits, so their maximum is taken as a number, which Spark aggregates by
+    Hour marks all have ten digits, so their maximum is taken as a number, which Spark aggregates by
     hash; text it would sort first.
     """
     return tracker_rows(tracker).groupBy("job_id", "source_table").agg(
-        F.max(F.col("ts_hour").try_cast("long")).cast("string").alias("ts_hour"),
+        F.max(F.col("ts_hour").cast("long")).cast("string").alias("ts_hour"),
         F.max("key_value").alias("key_value"),
+        F.count_if("bad_hour").alias("bad_hours"),
+        F.count_if("bad_key").alias("bad_keys"),
     )
 
 
-def watermark_of(tracker: DataFrame, job: TableJob) -> tuple[str | None, int | None]:
-    """The hour and the key watermark of one job, None where it never ran."""
-    own = tracker.where((F.col("job_id") == job.job_id) & (F.col("source_table") == job.source_table))
-    row = watermarks(own).first()
-    return (row.ts_hour, row.key_value) if row else (None, None)
+@dataclass(frozen=True)
+class Mark:
+    """What the tracker knows of a job; nothing where it never ran."""
+
+    ts_hour: str | None = None
+    key_value: Key | None = None
+    bad_hours: int = 0
+    bad_keys: int = 0
+
+
+def marks(tracker: DataFrame, jobs: list[TableJob]) -> dict[tuple[str, str], Mark]:
+    """The marks of the given jobs, by job and source table, in one aggregate; a row per job reaches the driver."""
+    own = tracker.where(F.col("job_id").isin([job.job_id for job in jobs]))
+    return {
+        (row.job_id, row.source_table): Mark(row.ts_hour, plain_key(row.key_value), row.bad_hours, row.bad_keys)
+        for row in watermarks(own).collect()
+    }
+
+
+def watermark_of(tracker: DataFrame, job: TableJob) -> Mark:
+    return marks(tracker, [job]).get((job.job_id, job.source_table), Mark())
 
 
 def watermark_row(tracker: DataFrame, job: TableJob, window: Window) -> DataFrame:
@@ -131,17 +211,32 @@ def watermark_row(tracker: DataFrame, job: TableJob, window: Window) -> DataFram
     return tracker.sparkSession.createDataFrame([values], TRACKER_SCHEMA)
 
 
-def plan_window(job: TableJob, tracker: DataFrame, run_ts: datetime, key_max) -> Window | None:
+def plan_window(job: TableJob, known: DataFrame | Mark, run_ts: datetime, key_max) -> Window | None:
     """The window of an incremental job, None where the whole table is to be read.
 
-    ``key_max`` is called only for an append key; it returns the source's largest key, which is None
-    for a source without any.
+    ``known`` is the tracker, or what it says of the job. A mark that cannot be read by the job's rule
+    is an error: taken as none, it would load the table again. ``key_max`` is called only for an append
+    key; it returns the source's largest key, which is None for a source without any.
     """
     if job.change_rule is None:
         return None
-    ts_hour, key_value = watermark_of(tracker, job)
+    mark = known if isinstance(known, Mark) else watermark_of(known, job)
     if job.change_rule == "TIMESTAMP":
+        if mark.bad_hours:
+            raise ValueError(f"the tracker has {mark.bad_hours} watermarks of {job.job_id} that name no hour")
         columns = [job.cdc_modified_date_column, job.cdc_created_date_column]
-        return hour_window(columns, ts_hour, run_ts)
+        return hour_window(columns, mark.ts_hour, run_ts)
+    if mark.bad_keys:
+        raise ValueError(
+            f"the tracker has {mark.bad_keys} watermarks of {job.job_id} that are no key, or name an hour; "
+            "write them to key_value"
+        )
     largest = key_max()
-    return None if largest is None else KeyRange(job.cdc_append_key_column, key_value, int(largest))
+    return None if largest is None else KeyRange(job.cdc_append_key_column, mark.key_value, plain_key_of(largest))
+
+
+def plain_key_of(value) -> Key:
+    """A source's key as it comes, whole decimals as int; anything but a number is an error."""
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal)):
+        raise ValueError(f"an append key must be a number, not {value!r}")
+    return plain_key(value) if isinstance(value, Decimal) else value

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -13,11 +14,13 @@ from millrace.model import TRACKER_SCHEMA, TableJob
 from millrace.operators.cdc import (
     HourWindow,
     KeyRange,
+    Mark,
     changed_rows,
     hour_window,
     plan_window,
     watermark_of,
     watermark_row,
+    watermarks,
 )
 
 HOUR = datetime(2024, 1, 2, 5)
@@ -113,7 +116,7 @@ def test_plan_without_rule(spark):
 def test_first_key_load_reads_everything_up_to_the_maximum(spark):
     keyed = job(cdc_type="append_key", cdc_append_key_column="ID")
     assert plan_window(keyed, tracker(spark), HOUR, lambda: 123) == KeyRange("ID", None, 123)
-    known = tracker(spark, ("J1", "t", None, 999), ("J1", "t", None, 1000), ("J2", "t", None, 5000))
+    known = tracker(spark, ("J1", "t", None, Decimal(999)), ("J1", "t", None, Decimal(1000)), ("J2", "t", None, Decimal(5000)))
     assert plan_window(keyed, known, HOUR, lambda: 2000) == KeyRange("ID", 1000, 2000)
     assert plan_window(keyed, known, HOUR, lambda: None) is None
 
@@ -125,23 +128,82 @@ def test_timestamp_plan_uses_the_latest_watermark(spark):
     window = plan_window(stamped, known, datetime(2024, 1, 2, 5, 30), None)
     assert window == HourWindow(("M", "C"), datetime(2024, 1, 1, 3), HOUR)
     after = known.union(watermark_row(known, stamped, window))
-    assert watermark_of(after, stamped) == ("2024010205", None)
+    assert watermark_of(after, stamped) == Mark("2024010205")
+
+
+STAMPED = job(cdc_type="TIMESTAMP", cdc_modified_date_column="m")
+KEYED = job(cdc_type="APPEND_KEY", cdc_append_key_column="k")
+
+
+def untyped(spark, kind, values):
+    return spark.createDataFrame([("J1", "t", v) for v in values], f"job_id string, source_table string, updated_at {kind}")
 
 
 @pytest.mark.parametrize(
-    ("kind", "values", "expected"),
+    ("kind", "values", "hour"),
     [
-        ("string", ["2024123112", "20250101", None], ("2025010100", 2024123112)),
-        ("bigint", [999, 1000], ("9990000000", 1000)),
-        ("timestamp", [datetime(2024, 12, 31, 12, 30)], ("2024123112", None)),
-        ("string", ["n/a"], (None, None)),
+        ("string", ["2024123112", "20250101", None], datetime(2025, 1, 1)),
+        ("string", ["20241231120500"], datetime(2024, 12, 31, 12)),
+        ("string", ["2024-01-02 06:00:00", "2024-01-02T05:59:59.5", "2024-01-01"], datetime(2024, 1, 2, 6)),
+        ("bigint", [2024010106, 20240102], datetime(2024, 1, 2)),
+        ("timestamp", [datetime(2024, 12, 31, 12, 30)], datetime(2024, 12, 31, 12)),
+        ("string", [None], None),
     ],
 )
-def test_untyped_watermarks(spark, kind, values, expected):
-    """The hour is read by a timestamp rule and the number by a key rule; the other is never looked at."""
-    schema = f"job_id string, source_table string, updated_at {kind}"
-    old = spark.createDataFrame([("J1", "t", v) for v in values], schema)
-    assert watermark_of(old, job()) == expected
+def test_untyped_hour_marks(spark, kind, values, hour):
+    window = plan_window(STAMPED, untyped(spark, kind, values), datetime(2025, 2, 1), None)
+    assert window.lo == hour
+
+
+@pytest.mark.parametrize("value", ["n/a", "2024", "2024013", "2024013125", "20241301", "2024-13-01 00:00:00", ""])
+def test_unknown_hour_marks_are_an_error(spark, value):
+    with pytest.raises(ValueError, match="name no hour"):
+        plan_window(STAMPED, untyped(spark, "string", [value, "2024010106"]), HOUR, None)
+
+
+def test_untyped_key_marks(spark):
+    window = plan_window(KEYED, untyped(spark, "string", ["999", "1000.25", "7"]), HOUR, lambda: Decimal("2000.50"))
+    assert (window.lo, window.hi) == (Decimal("1000.25"), Decimal("2000.50"))
+    assert plan_window(KEYED, untyped(spark, "decimal(20,4)", [Decimal("999")]), HOUR, lambda: 2000).lo == 999
+    for value in ("n/a", "2024010206", "20240102"):  # an hour, or a key: the tracker does not say
+        with pytest.raises(ValueError, match="write them to key_value"):
+            plan_window(KEYED, untyped(spark, "string", [value]), HOUR, lambda: 2000)
+
+
+def test_keys_keep_their_fractions(spark):
+    rows = [(0, 1.0), (1, 2.0), (2, 3.5), (3, 0.1 + 0.2), (4, None)]
+    for kind in ("double", "decimal(20,17)", "float"):
+        df = spark.createDataFrame(rows, "id int, v double").selectExpr("id", f"CAST(v AS {kind}) AS k")
+        first = plan_window(KEYED, tracker(spark), HOUR, lambda df=df: df.agg({"k": "max"}).first()[0])
+        assert ids(changed_rows(df, first)) == [0, 1, 2, 3]
+        known = watermark_row(tracker(spark), KEYED, first)
+        more = df.union(spark.createDataFrame([(5, 3.75)], "id int, v double").selectExpr("id", f"CAST(v AS {kind})"))
+        again = plan_window(KEYED, known, HOUR, lambda more=more: more.agg({"k": "max"}).first()[0])
+        assert ids(changed_rows(more, again)) == [5]
+        low = plan_window(KEYED, watermark_row(tracker(spark), KEYED, KeyRange("k", None, df.agg({"k": "min"}).first()[0])),
+                          HOUR, lambda df=df: df.agg({"k": "max"}).first()[0])
+        assert ids(changed_rows(df, low)) == [0, 1, 2]
+
+
+def test_whole_columns_with_marks_between_keys(spark):
+    df = spark.createDataFrame([(i, i) for i in range(5)], "id int, k bigint")
+    assert ids(changed_rows(df, KeyRange("k", Decimal("1.5"), Decimal("3.5")))) == [2, 3]
+
+
+@pytest.mark.parametrize("key", [10**20, Decimal("1e-19"), 1e-300, float("nan"), float("inf")])
+def test_keys_that_the_tracker_cannot_hold(key):
+    with pytest.raises(ValueError, match="exactly"):
+        KeyRange("k", None, key).watermark  # noqa: B018
+
+
+def test_keys_that_are_no_numbers(spark):
+    with pytest.raises(ValueError, match="must be a number"):
+        plan_window(KEYED, tracker(spark), HOUR, lambda: "abc")
+
+
+def test_one_aggregate_by_hash(spark):
+    plan = watermarks(tracker(spark, ("J1", "t", "2024010106", None)))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_window_equals_the_comparison_of_hour_keys(spark):
