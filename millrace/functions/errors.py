@@ -25,9 +25,6 @@ DEFAULT_CLASS = ("NON_CRITICAL", "Error occurred")
 # Text without any character that a regular expression reads otherwise.
 PLAIN_TEXT = re.compile("[A-Za-z0-9 _/,:-]+")
 
-# Beyond this many rows a pattern table is joined instead of written into the expression.
-INLINE_PATTERNS = 200
-
 
 def scrubbed(message: Column | str) -> Column:
     """Single quotes removed, line ends turned into spaces."""
@@ -51,8 +48,10 @@ def error_class(message: Column, patterns: list[tuple] = ERROR_PATTERNS) -> Colu
 
     One CASE over the patterns, so neither a join nor a shuffle is needed.
     """
-    def entry(error_type: str, description: str) -> Column:
-        return F.struct(F.lit(error_type).alias("error_type"), F.lit(description).alias("description"))
+    def entry(error_type: str | None, description: str | None) -> Column:
+        given = [DEFAULT_CLASS[0] if error_type is None else error_type,
+                 DEFAULT_CLASS[1] if description is None else description]
+        return F.struct(F.lit(given[0]).alias("error_type"), F.lit(given[1]).alias("description"))
 
     default = entry(*DEFAULT_CLASS)
     chain = F.when(message.isNull(), default)
@@ -68,23 +67,20 @@ def classify(df: DataFrame, message: str, patterns: list[tuple] = ERROR_PATTERNS
     )
 
 
-def classify_by_table(df: DataFrame, message: str, patterns: DataFrame,
-                      inline_limit: int = INLINE_PATTERNS) -> DataFrame:
-    """``classify`` with the patterns of a table (prio, pattern, error_type, description).
+def classify_by_table(df: DataFrame, message: str, patterns: DataFrame) -> DataFrame:
+    """``classify`` with the patterns of a config table (prio, pattern, error_type, description).
 
-    A table of checked size becomes a CASE. A longer one is matched by a regex join on the distinct
-    messages only; the best priority is a minimum with a map-side part.
+    The table enters the plan as one sorted array, by a scalar subquery, and each distinct message takes its
+    first match: one way at any size, without a regex join. Priority and pattern must be given; a
+    pattern without type or description takes the default's.
     """
     table = patterns.select(*PATTERN_SCHEMA.fieldNames())
-    rows = table.limit(inline_limit + 1).collect()
-    if len(rows) <= inline_limit:
-        return classify(df, message, [tuple(row) for row in rows])
-
+    if not table.where("prio IS NULL OR pattern IS NULL").isEmpty():
+        raise ValueError("an error pattern needs both a priority and a pattern")
+    ordered = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("patterns"))
     texts = df.select(F.col(message).alias("_message")).where("_message IS NOT NULL").distinct()
-    best = (
-        texts.join(table, F.expr("_message RLIKE pattern"))
-        .groupBy("_message")
-        .agg(F.min(F.struct("prio", "pattern", "error_type", "description")).alias("_class"))
+    best = texts.withColumn("_patterns", ordered.scalar()).select(
+        "_message", F.expr("get(filter(_patterns, p -> _message RLIKE p.pattern), 0)").alias("_class")
     )
     return df.join(best, F.col(message) == F.col("_message"), "left").select(
         *[df[c] for c in df.columns],

@@ -37,10 +37,30 @@ def test_classify_first_pattern_wins(spark):
     check(classify(frame(spark), "message"))
 
 
-@pytest.mark.parametrize("inline_limit", [200, 2])
-def test_pattern_table_inline_and_joined(spark, inline_limit):
-    patterns = spark.createDataFrame(ERROR_PATTERNS[::-1], PATTERN_SCHEMA)
-    check(classify_by_table(frame(spark), "message", patterns, inline_limit))
+@pytest.mark.parametrize("more", [0, 1000])
+def test_pattern_table_of_any_size(spark, more):
+    """Patterns that match nothing change neither the classes nor the plan."""
+    others = [(-i, f"no such text {i}", None, None) for i in range(1, more + 1)]
+    patterns = spark.createDataFrame(ERROR_PATTERNS[::-1] + others, PATTERN_SCHEMA)
+    found = classify_by_table(frame(spark), "message", patterns)
+    check(found)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_pattern_without_type_takes_the_default(spark):
+    given = [(1, "timeout", None, "slow"), (2, "disk", "CRITICAL", None)]
+    patterns = spark.createDataFrame(given, PATTERN_SCHEMA)
+    texts = spark.createDataFrame([("timeout",), ("disk full",)], "message string")
+    expected = {("NON_CRITICAL", "slow"), ("CRITICAL", "Error occurred")}
+    for found in (classify_by_table(texts, "message", patterns), classify(texts, "message", given)):
+        assert {(row.error_type, row.description) for row in found.collect()} == expected
+
+
+@pytest.mark.parametrize("row", [(None, "x", "A", "B"), (1, None, "A", "B")])
+def test_pattern_needs_priority_and_pattern(spark, row):
+    with pytest.raises(ValueError, match="both a priority and a pattern"):
+        classify_by_table(frame(spark), "message", spark.createDataFrame([row], PATTERN_SCHEMA))
 
 
 @pytest.mark.parametrize("pattern", ["a|b c", "a.c", "x+|ORA-1", "^a", "a||b", "(?i)ora-1", "a/b", "", "a|b$"])
