@@ -33,6 +33,14 @@ HEADLINE = [
     "rerun_latest",
     "batch_summary",
     "job_report",
+    "run_batch",
+    "ledger_write",
+    "land_evolve",
+    "land_widen",
+    "land_partition_overwrite",
+    "log_sink",
+    "select_list_text",
+    "classify_errors_table",
 ]
 REPEATS = 3
 

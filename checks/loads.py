@@ -12,6 +12,7 @@ from millrace.model import ALERT_CONFIG_SCHEMA, INGEST_CONFIG_SCHEMA, RunContext
 from millrace.plans.batch import run_batch
 from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table
+from millrace.sources.lake import LakeSource
 
 RUNS = [datetime(2024, 1, 12, 8, 30), datetime(2024, 1, 31, 23, 5)]
 
@@ -62,6 +63,21 @@ def load_append_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load(spark, sf_dir, job, RUNS)
 
 
+def load_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, then orders without a column and with another: what the second load reports."""
+    orders = source(spark, sf_dir).read("given", "orders")
+    other = orders.drop("o_orderpriority").withColumn("o_note", F.col("o_orderstatus"))
+    schema, table = scratch_table(spark, "changing").split(".")
+    job = TableJob("J1", "given", "orders", schema, table, target_partition_by="SNAPSHOT_DATE")
+    target = Target(spark, scratch_table(spark, "tracker"))
+    outcomes = [
+        load_table(job, LakeSource(spark, lambda schema, name, rows=rows: rows), target, RunContext.start(spark, "daily", ts))
+        for rows, ts in zip((orders, other), RUNS, strict=True)
+    ]
+    found = [(i, o.records_processed, o.column_count, o.comments) for i, o in enumerate(outcomes)]
+    return spark.createDataFrame(found, "load int, records_processed bigint, column_count int, comments string")
+
+
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tables of one pipeline, of which one does not exist and one is disabled."""
     database = scratch_database(spark)
@@ -97,6 +113,7 @@ QUERIES = {
     "load_full": load_full,
     "load_incremental": load_incremental,
     "load_append_key": load_append_key,
+    "load_schema_change": load_schema_change,
     "run_batch": batch,
 }
 
@@ -109,6 +126,11 @@ ORACLES = {
                   AS SNAPSHOT_DATE
         FROM events WHERE strftime(ts, '%Y%m%d%H') < '2024013123'""",
     "load_append_key": "SELECT * FROM events WHERE event_type = 'click' OR event_type = 'error'",
+    "load_schema_change": """
+        SELECT CAST(0 AS INTEGER) AS load, count(*) AS records_processed, CAST(6 AS INTEGER) AS column_count,
+               'No schema changes detected.' AS comments FROM orders
+        UNION ALL
+        SELECT 1, count(*), 6, 'ADDED o_note; DROPPED o_orderpriority' FROM orders""",
     "run_batch": """
         SELECT job_id, '2024011208' AS batch_id, 'daily' AS run_group, 'staging' AS dlh_layer, status,
                CAST(column_count AS INTEGER) AS column_count, records_processed,

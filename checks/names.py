@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import SOURCE_TYPES, table
-from millrace.functions.names import rename_safe, sanitized, with_select_items
+from millrace.functions.names import rename_safe, sanitized, select_lists, with_select_items
 from millrace.functions.typemap import numeric_scale_profile, schema_map
 from millrace.model import CATALOGUE_SCHEMA
 from millrace.operators.schema_diff import schema_diff
@@ -26,6 +26,16 @@ def safe_select_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_select_items(pages, ["table_name"])
 
 
+def select_list_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a table, and its few lines are the columns."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("table_key"),
+        F.concat(F.lit("Col-"), (F.col("l_partkey") % 5).cast("string"), F.lit("]")).alias("column_name"),
+        F.col("l_linenumber").alias("ordinal_position"),
+    )
+    return select_lists(lines, ["table_key"])
+
+
 def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     awkward = part.toDF("Part Key", "part-key", "p@brand", "  type  ", "size (cm)", "Größe/Preis")
@@ -59,6 +69,7 @@ def diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "sanitize_names": sanitize_names,
     "safe_select_list": safe_select_list,
+    "select_list_text": select_list_text,
     "rename_safe": renamed,
     "numeric_scale_profile": scale_profile,
     "schema_map": mapped_schema,
@@ -112,6 +123,20 @@ ORACLES = {
                         ELSE plain || '__' || CAST(ordinal_position AS VARCHAR) END AS safe_name
             FROM ranked)
         SELECT *, '[' || replace(column_name, ']', ']]') || '] as ' || safe_name AS select_item FROM safe""",
+    # The given lines repeat some numbers of an order, so the text decides between them.
+    "select_list_text": """
+        WITH named AS (
+            SELECT l_orderkey AS table_key, l_linenumber AS ordinal_position,
+                   CAST(l_partkey % 5 AS VARCHAR) AS digit FROM lineitem),
+        ranked AS (
+            SELECT *, min(ordinal_position) OVER (PARTITION BY table_key, digit) AS first_ordinal FROM named),
+        items AS (
+            SELECT table_key, ordinal_position, '[Col-' || digit || ']]] as Col_' || digit
+                   || CASE WHEN ordinal_position = first_ordinal THEN ''
+                           ELSE '__' || CAST(ordinal_position AS VARCHAR) END AS item
+            FROM ranked)
+        SELECT table_key, string_agg(item, ',' ORDER BY ordinal_position, item) AS select_list
+        FROM items GROUP BY table_key""",
     "rename_safe": """
         SELECT p_partkey AS Part_Key, p_name AS part_key__2, p_brand AS p_brand, p_type AS type,
                p_size AS size_cm, p_retailprice AS Gr_e_Preis FROM part""",

@@ -24,7 +24,8 @@ def config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return job_report(ledger(spark, sf_dir), config(spark, sf_dir))
+    """The config lacks a seventh of the jobs; their lines stay."""
+    return job_report(ledger(spark, sf_dir), config(spark, sf_dir).where("CAST(job_id AS BIGINT) % 7 <> 0"))
 
 
 def through_csv(df: DataFrame, purpose: str) -> DataFrame:
@@ -95,13 +96,15 @@ def _elapsed(seconds: str) -> str:
 
 
 REPORT = f"""
-    SELECT l.job_id, c.c_mktsegment AS source_schema, c.c_name AS source_table, 'lake' AS target_schema,
+    SELECT l.job_id, c.c_mktsegment AS source_schema, c.c_name AS source_table,
+           CASE WHEN c.c_name IS NOT NULL THEN 'lake' END AS target_schema,
            lower(c.c_name) AS target_table, batch_id, run_id, spark_app_id, records_processed, status,
            strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
            strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time,
            {_elapsed("date_diff('second', start_time, end_time)")} AS elapsed_time,
            CASE WHEN error_message = '' THEN 'N/A' ELSE error_message END AS failure_reason
-    FROM ({LEDGER}) l JOIN customer c ON l.job_id = CAST(c.c_custkey AS VARCHAR)"""
+    FROM ({LEDGER}) l LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) c
+         ON l.job_id = CAST(c.c_custkey AS VARCHAR)"""
 
 
 def _log(columns: str) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,13 +53,7 @@ def with_nothing_added(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [
-        table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(name).alias("table_name"), "num_rows"
-        )
-        for name in NAMES
-    ]
-    return reduce(DataFrame.union, counts)
+    return source(spark, sf_dir).row_counts("given", NAMES)
 
 
 def fetch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

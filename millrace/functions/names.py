@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,16 +49,17 @@ def with_safe_names(catalogue: DataFrame, table_keys: list[str]) -> DataFrame:
     plain = F.coalesce(F.nullif(sanitized("column_name"), F.lit("")), F.lit(NAMELESS))
     named = catalogue.withColumn("_plain", plain).withColumn("_key", F.lower("_plain"))
     keys = [*table_keys, "_key"]
-    first = named.groupBy(*keys).agg(F.min("ordinal_position").alias("_first"))
+    first = named.groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys]).agg(F.min("ordinal_position").alias("_first"))
+    same = reduce(and_, (named[k].eqNullSafe(first[f"_first_{k}"]) for k in keys))
     return (
-        named.join(first, keys)
+        named.join(first, same)
         .withColumn(
             "safe_name",
             F.when(F.col("ordinal_position") == F.col("_first"), F.col("_plain")).otherwise(
                 F.concat("_plain", F.lit("__"), F.col("ordinal_position").cast("string"))
             ),
         )
-        .drop("_plain", "_key", "_first")
+        .drop("_plain", "_key", "_first", *[f"_first_{k}" for k in keys])
     )
 
 
@@ -68,6 +71,14 @@ def with_select_items(catalogue: DataFrame, table_keys: list[str]) -> DataFrame:
     )
 
 
+def select_lists(catalogue: DataFrame, table_keys: list[str]) -> DataFrame:
+    """One joined ``select_list`` per table, in ordinal order; a table has few columns."""
+    items = F.array_sort(F.collect_list(F.struct("ordinal_position", "select_item")))
+    return with_select_items(catalogue, table_keys).groupBy(*table_keys).agg(
+        F.array_join(F.transform(items, lambda x: x.select_item), ",").alias("select_list")
+    )
+
+
 def select_list(names: list[str]) -> str:
     """The T-SQL select list of one table; empty where it has no columns."""
     pairs = zip(names, safe_names(names))

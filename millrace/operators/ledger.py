@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.errors import scrubbed
@@ -98,56 +100,67 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def _picked(df: DataFrame, keys: list[str], at: Column, rest: list[str], latest: bool = True) -> DataFrame:
+    """One row per key: that of the latest (or earliest) time, of equal ones that with the largest (smallest) ``rest``.
+
+    The time is aggregated as a long, which Spark does by hash and map-side, so a key with very many
+    rows shrinks before any sort; only rows of the picked time are ordered. A missing time is the earliest.
+    """
+    df = df.withColumn("_at", F.coalesce(F.unix_micros(at.cast("timestamp")), F.lit(-(2**63) + 1)))
+    pick = F.max if latest else F.min
+    times = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(pick("_at").alias("_picked"))
+    same = reduce(and_, (df[k].eqNullSafe(times[f"_{k}"]) for k in keys))
+    near = df.join(times, same & (df["_at"] == times["_picked"])).drop("_picked", *[f"_{k}" for k in keys])
+    order = [F.desc_nulls_last(c) if latest else F.asc_nulls_first(c) for c in rest]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return near.withColumn("_number", number).where("_number = 1").drop("_number", "_at")
+
+
 def consolidate(initial: DataFrame, updated: DataFrame) -> DataFrame:
     """One row per run, batch and job, each column from the updated row where it has a value.
 
-    Equals a full outer join of the two sides with ``coalesce``, done as one aggregate over their
-    union: one shuffle, and a job reported many times shrinks to one row before it. Of several
-    rows of a side the latest counts.
+    Of several rows of a side the latest counts; the two sides meet in a full outer join on the key.
     """
-    rest = [name for name in LEDGER_SCHEMA.fieldNames() if name not in LEDGER_KEY]
-    both = initial.select(*LEDGER_KEY, *rest, F.lit(False).alias("_final")).union(
-        updated.select(*LEDGER_KEY, *rest, F.lit(True).alias("_final"))
-    )
-    row = F.struct(F.coalesce("end_time", "start_time").alias("_at"), *rest)
-    latest = both.groupBy(*LEDGER_KEY).agg(
-        F.max(F.when(F.col("_final"), row)).alias("_updated"),
-        F.max(F.when(~F.col("_final"), row)).alias("_initial"),
-    )
-    values = {name: F.coalesce(F.col(f"_updated.{name}"), F.col(f"_initial.{name}")) for name in rest}
-    return latest.select(
-        *[values[name].alias(name) if name in values else F.col(name) for name in LEDGER_SCHEMA.fieldNames()]
+    names = LEDGER_SCHEMA.fieldNames()
+    rest = [name for name in names if name not in LEDGER_KEY]
+    at = F.coalesce("end_time", "start_time")
+    sides = [_picked(side.select(*names), LEDGER_KEY, at, rest) for side in (initial, updated)]
+    old, new = (side.select(*LEDGER_KEY, *[F.col(n).alias(f"_{i}_{n}") for n in rest]) for i, side in enumerate(sides))
+    both = old.join(new, LEDGER_KEY, "full_outer")
+    return both.select(
+        *[F.col(n) if n in LEDGER_KEY else F.coalesce(f"_1_{n}", f"_0_{n}").alias(n) for n in names]
     )
 
 
 def run_id_of_batch(ledger: DataFrame) -> DataFrame:
     """The run that started first, for every batch."""
-    return ledger.groupBy("batch_id").agg(F.min_by("run_id", F.struct("start_time", "run_id")).alias("run_id"))
+    rows = ledger.select("batch_id", "run_id", "start_time")
+    return _picked(rows, ["batch_id"], F.col("start_time"), ["run_id"], latest=False).select("batch_id", "run_id")
 
 
 def failed_jobs(ledger: DataFrame, run_group: str) -> DataFrame:
     """Jobs of a run group with any failure, with their largest batch and application."""
     failed = ledger.where((F.col("run_group") == run_group) & (F.col("status") == FAILED))
-    return failed.groupBy("job_id").agg(
-        F.max("batch_id").alias("batch_id"), F.max("spark_app_id").alias("spark_app_id")
-    )
-
+    own = Window.partitionBy("job_id")
+    found = failed.select("job_id", "batch_id", "spark_app_id").distinct()
+    return found.select(
+        "job_id", F.max("batch_id").over(own).alias("batch_id"), F.max("spark_app_id").over(own).alias("spark_app_id")
+    ).distinct()
 
-def jobs_failed_last(ledger: DataFrame, run_group: str) -> DataFrame:
-    """Jobs of a run group whose latest row is a failure.
 
-    The latest row is a maximum with a map-side part, so a job with very many rows is no hot spot.
-    """
-    row = F.struct("start_time", "batch_id", "run_id", "status", "spark_app_id")
-    latest = ledger.where(F.col("run_group") == run_group).groupBy("job_id").agg(F.max(row).alias("_last"))
-    return latest.where(F.col("_last.status") == FAILED).select(
-        "job_id", "_last.batch_id", "_last.spark_app_id"
-    )
+def jobs_failed_last(ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:
+    """Jobs of a run group whose latest row is a failure, of the batches from ``since`` on."""
+    own = ledger.where(F.col("run_group") == run_group)
+    if since is not None:
+        own = own.where(F.col("batch_id") >= since)  # a partition column: earlier batches are not read
+    order = ["batch_id", "run_id", "status", "spark_app_id"]
+    latest = _picked(own.select("job_id", "start_time", *order), ["job_id"], F.col("start_time"), order)
+    return latest.where(F.col("status") == FAILED).select("job_id", "batch_id", "spark_app_id")
 
 
-def jobs_to_rerun(config: DataFrame, ledger: DataFrame, run_group: str) -> DataFrame:
+def jobs_to_rerun(config: DataFrame, ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:
     """The config rows of jobs that failed last."""
-    return config.join(jobs_failed_last(ledger, run_group), "job_id", "left_semi")
+    return config.join(jobs_failed_last(ledger, run_group, since), "job_id", "left_semi")
 
 
 def batch_summary(ledger: DataFrame) -> DataFrame:

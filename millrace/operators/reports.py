@@ -17,12 +17,13 @@ LOG_LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
 def job_report(ledger: DataFrame, config: DataFrame) -> DataFrame:
     """One line per ledger row with its source, target, counts, times and reason of failure.
 
+    A job that the config no longer has keeps its line, without names.
     Spark broadcasts the config if it is known to be small; otherwise the adaptive join splits a job
     with very many rows.
     """
     names = config.select("job_id", "source_schema", "source_table", "target_schema", "target_table")
     seconds = elapsed_seconds("start_time", "end_time")
-    return ledger.join(names, "job_id").select(
+    return ledger.join(names, "job_id", "left").select(
         "job_id",
         "source_schema",
         "source_table",
@@ -61,10 +62,10 @@ def log_lines(entries: DataFrame) -> DataFrame:
 
 
 def write_log(entries: DataFrame, path: str) -> None:
-    """Appends log lines as text, one folder per day."""
-    lines = log_lines(entries).select(F.date_format("ts", DAY_FORMAT).alias("log_date"), "line")
-    spread = lines.hint("rebalance", F.col("log_date"))
-    spread.write.mode("append").partitionBy("log_date").text(path)
+    """Appends log lines as text, one folder per day; the lines of a file are in order of time."""
+    lines = log_lines(entries).select(F.date_format("ts", DAY_FORMAT).alias("log_date"), "ts", "line")
+    spread = lines.hint("rebalance", F.col("log_date")).sortWithinPartitions("log_date", "ts")
+    spread.drop("ts").write.mode("append").partitionBy("log_date").text(path)
 
 
 class RunLog:

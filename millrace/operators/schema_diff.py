@@ -13,15 +13,15 @@ def schema_diff(previous: DataFrame, current: DataFrame, keys: list[str]) -> Dat
 
     Both lists have the key columns and ``data_type``, one row per column.
     """
-    old = previous.select(*keys, F.col("data_type").alias("old_type"))
-    new = current.select(*keys, F.col("data_type").alias("new_type"))
+    old = previous.select(*keys, F.col("data_type").alias("old_type"), F.lit(True).alias("_had"))
+    new = current.select(*keys, F.col("data_type").alias("new_type"), F.lit(True).alias("_has"))
     change = (
-        F.when(F.col("old_type").isNull(), "ADDED")
-        .when(F.col("new_type").isNull(), "DROPPED")
-        .when(F.col("old_type") != F.col("new_type"), "TYPE_CHANGED")
+        F.when(F.col("_had").isNull(), "ADDED")
+        .when(F.col("_has").isNull(), "DROPPED")
+        .when(~F.col("old_type").eqNullSafe(F.col("new_type")), "TYPE_CHANGED")
         .otherwise("SAME")
     )
-    return old.join(new, keys, "full_outer").withColumn("change", change)
+    return old.join(new, keys, "full_outer").withColumn("change", change).drop("_had", "_has")
 
 
 def change_text(diff: DataFrame) -> str:

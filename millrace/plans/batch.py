@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.errors import classify
 from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob, is_yes
+from millrace.operators.cdc import Mark
 from millrace.operators.ledger import (
     batch_summary,
     completion_rows,
@@ -34,11 +35,12 @@ class BatchResult:
     log: RunLog
 
 
-def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log: RunLog) -> Outcome:
+def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log: RunLog,
+            mark: Mark | None = None) -> Outcome:
     """The outcome of a load; a failure is one too, so that the other tables go on."""
     started = datetime.now()
     try:
-        outcome = load_table(job, source, target, run)
+        outcome = load_table(job, source, target, run, mark)
         log.log(f"{job.job_id}: {outcome.records_processed} rows landed in {target.table(job)}")
         return outcome
     except Exception as error:
@@ -68,10 +70,16 @@ def run_jobs(
 ) -> DataFrame:
     """Loads every job, writes the ledger and returns the run's ledger rows.
 
-    Threads only submit Spark jobs.
+    The watermarks of all jobs are looked up at once. Threads only submit Spark jobs.
     """
+    changing = [job for job in jobs if job.change_rule]
+    known = target.tracked(changing) if changing else {}
+
+    def run_one(job: TableJob) -> Outcome:
+        return attempt(job, source, target, run, log, known.get((job.job_id, job.source_table), Mark()))
+
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        outcomes = list(pool.map(lambda job: attempt(job, source, target, run, log), jobs))
+        outcomes = list(pool.map(run_one, jobs))
     write_ledger(ledger_of(spark, outcomes, run), ledger_table, target.fmt)
     own = (F.col("batch_id") == run.batch_id) & (F.col("run_id") == run.run_id)
     return spark.table(ledger_table).where(own)
@@ -84,12 +92,15 @@ def run_batch(
     run_group: str,
     *,
     rerun: bool = False,
+    rerun_since: str | None = None,
     source: Source | None = None,
     fmt: str = "parquet",
     run_ts: datetime | None = None,
 ) -> BatchResult:
     """Runs the active pipeline of a run group; with ``rerun`` only the tables that failed last.
 
+    ``rerun_since`` is the first batch that a rerun looks at; the ledger's earlier partitions are not read.
+
     ``alerts`` names the table of pipeline settings. The code is 0 when the batch ran, whatever became
     of single tables, and 1 when it could not run. The config rows are the one thing that the driver
     holds.
@@ -104,10 +115,11 @@ def run_batch(
         ledger_table = pipeline.table(pipeline.job_status_tbl)
         config = enabled_jobs(spark.table(pipeline.table(pipeline.ingest_tbl)), app_pipeline, run_group)
         if rerun:
-            config = jobs_to_rerun(config, spark.table(ledger_table), run_group)
+            config = jobs_to_rerun(config, spark.table(ledger_table), run_group, rerun_since)
         # Read once: a rerun's selection changes as soon as the new ledger rows are written.
-        config = spark.createDataFrame(config.collect(), config.schema)
-        jobs = [TableJob.from_row(row) for row in config.collect()]
+        rows = config.collect()
+        config = spark.createDataFrame(rows, config.schema)
+        jobs = [TableJob.from_row(row) for row in rows]
         if not jobs:
             log.log("nothing to rerun" if rerun else "no enabled jobs")
         else:

@@ -8,10 +8,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.model import TRACKER_SCHEMA, RunContext, TableJob, is_yes
-from millrace.operators.cdc import plan_window, watermark_row
-from millrace.operators.landing import add_columns, create_table, insert, land
-from millrace.operators.schema_diff import NO_CHANGE, change_text, column_list, schema_diff
+from millrace.model import KEY_TYPE, TRACKER_SCHEMA, RunContext, TableJob, is_yes
+from millrace.operators.cdc import Mark, marks, plan_window, watermark_row
+from millrace.operators.landing import ATOMIC_FORMATS, add_columns, create_table, insert, land, partition_columns
+from millrace.operators.schema_diff import NO_CHANGE, change_text, schema_diff
 from millrace.sources.extract import Extract
 from millrace.sources.lake import Source
 
@@ -40,6 +40,10 @@ class Outcome:
         )
 
 
+#: Files of the tracker beyond which a batch writes it anew, as each load adds one.
+TRACKER_FILES = 64
+
+
 @dataclass
 class Target:
     """Where the tables of a batch land. File formats take one writer per table at a time."""
@@ -61,23 +65,51 @@ class Target:
         return ".".join(part for part in (self.catalog, job.target_schema, job.target_table) if part)
 
     def ensure_tracker(self) -> None:
-        """The tracker, with the columns that an older one may lack."""
+        """The tracker, with the columns and types that an older one may lack."""
+        spark = self.spark
         with self.lock(self.tracker):
-            create_table(self.spark, self.tracker, TRACKER_SCHEMA, self.fmt, [])
-            known = self.spark.table(self.tracker).columns
-            add_columns(self.spark, self.tracker, [f for f in TRACKER_SCHEMA.fields if f.name not in known])
+            create_table(spark, self.tracker, TRACKER_SCHEMA, self.fmt, [])
+            known = {f.name: f.dataType for f in spark.table(self.tracker).schema.fields}
+            add_columns(spark, self.tracker, [f for f in TRACKER_SCHEMA.fields if f.name not in known])
+            if known.get("key_value", KEY_TYPE) != KEY_TYPE and self.fmt not in ATOMIC_FORMATS:
+                none = spark.createDataFrame([], TRACKER_SCHEMA)
+                land(none, self.tracker, load_date="", widen=True, fmt=self.fmt)
+
+    def tracked(self, jobs: list[TableJob]) -> dict[tuple[str, str], Mark]:
+        """The marks of all jobs, by one aggregate over the tracker, which is written anew where it has many files."""
+        self.ensure_tracker()
+        with self.lock(self.tracker):
+            rows = self.spark.table(self.tracker)
+            if self.fmt not in ATOMIC_FORMATS and len(rows.inputFiles()) > TRACKER_FILES:
+                land(rows.coalesce(1), self.tracker, load_date="", truncate=True, fmt=self.fmt)
+            return marks(self.spark.table(self.tracker), jobs)
+
 
+def changes(before: list[tuple[str, str]] | None, incoming: DataFrame, after: DataFrame, derived: list[str]) -> str:
+    """What a load found changed: columns of the target that the source no longer has, new ones, other types.
 
-def changes(before: DataFrame | None, after: DataFrame) -> str:
-    """What a load changed in the columns of its target."""
-    if before is None or before.dtypes == after.dtypes:
+    ``before`` has the target's columns and types before the load. Columns that the landing derives are
+    left aside.
+    """
+    if before is None:
+        return NO_CHANGE
+    has = {name.lower() for name in incoming.columns}
+    aside = {name.lower() for name in derived} - has
+    now = {name.lower(): kind for name, kind in after.dtypes}
+    old = [(name.lower(), kind) for name, kind in before if name.lower() not in aside]
+    new = [(name, now[name]) for name in sorted(has)]
+    if sorted(old) == new:
         return NO_CHANGE
-    return change_text(schema_diff(column_list(before), column_list(after), ["column_name"]))
+    schema = "column_name string, data_type string"
+    spark = after.sparkSession
+    return change_text(schema_diff(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), ["column_name"]))
 
 
-def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -> Outcome:
+def load_table(job: TableJob, source: Source, target: Target, run: RunContext, mark: Mark | None = None) -> Outcome:
     """Loads one table in full or by its change window.
 
+    ``mark`` is what the tracker knows of the job, where the batch has looked it up with those of the others.
+
     The watermark is written after the landing has committed, and holds the upper bound that the
     window used. The rows of a window are added to those of earlier ones, so partitions are
     overwritten only by a load that reads the whole table.
@@ -88,13 +120,16 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
         raise ValueError(f"{job.source_schema}.{job.source_table} has no columns")
     window = None
     if job.change_rule:
-        target.ensure_tracker()
-        window = plan_window(job, spark.table(target.tracker), run.run_ts, lambda: source.key_max(job))
+        if mark is None:
+            mark = target.tracked([job]).get((job.job_id, job.source_table), Mark())
+        window = plan_window(job, mark, run.run_ts, lambda: source.key_max(job))
     df = source.extract(job, Extract(job.source_fields, job.source_where_clause, window))
 
     table = target.table(job)
     with target.lock(table):
-        before = spark.table(table) if spark.catalog.tableExists(table) else None
+        exists = spark.catalog.tableExists(table)
+        before = spark.table(table).dtypes if exists else None
+        derived = partition_columns(spark, table) if exists else []
         landed = land(
             df,
             table,
@@ -106,7 +141,8 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext) -
             fmt=target.fmt,
             options=job.target_table_options,
         )
-        comments = changes(before, spark.table(table))
+        derived += partition_columns(spark, table)
+        comments = changes(before, df, spark.table(table), derived)
     if window is not None:
         with target.lock(target.tracker):
             insert(watermark_row(spark.table(target.tracker), job, window), target.tracker)

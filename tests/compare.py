@@ -33,7 +33,7 @@ def rows_of(columns: list[str], rows) -> Counter:
 
 
 SPARK_KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
-              "timestamp_ntz": "TIMESTAMP", "decimal(38,2)": "DECIMAL(38,2)"}
+              "timestamp_ntz": "TIMESTAMP", "array<bigint>": "BIGINT[]"}
 
 
 def differences(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
@@ -46,7 +46,7 @@ def differences(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> list[
     if sorted(df.columns) != sorted(names):
         return [f"columns {sorted(df.columns)} against {sorted(names)}"]
     for name, kind in df.dtypes:
-        if SPARK_KIND.get(kind, kind) != kinds[name]:
+        if SPARK_KIND.get(kind, kind.upper() if kind.startswith("decimal") else kind) != kinds[name]:
             problems.append(f"type of {name}: {kind} against {kinds[name]}")
     ours, theirs = rows_of(df.columns, df.collect()), rows_of(names, expected)
     if ours != theirs:

@@ -235,4 +235,26 @@ def test_a_job_reported_very_often_is_one_row(spark):
     assert [(r.job_id, r.status) for r in found.where("job_id = 'hot'").collect()] == [("hot", "FAILED")]
     assert [r.job_id for r in jobs_failed_last(rows, "daily").collect()] == ["hot"]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "partial_max" in plan
+    assert "partial_max" in plan and "SortAggregate" not in plan
+
+
+def test_ledger_aggregates_by_hash(spark):
+    rows = ledger(spark)
+    frames = [consolidate(rows, rows), jobs_failed_last(rows, "daily"), failed_jobs(rows, "daily"), run_id_of_batch(rows)]
+    for found in frames:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rerun_reads_from_a_stated_batch(spark):
+    old, new = (ledger_rows(spark.sql(f"""SELECT 'r' AS run_id, '{batch}' AS batch_id, 'daily' AS run_group, '{job}' AS job_id,
+        'FAILED' AS status, TIMESTAMP'2025-01-01 00:00:00' AS start_time""")) for batch, job in (("2025010100", "A"), ("2025020100", "B")))
+    rows = old.union(new)
+    assert {r.job_id for r in jobs_failed_last(rows, "daily").collect()} == {"A", "B"}
+    assert {r.job_id for r in jobs_failed_last(rows, "daily", "2025010200").collect()} == {"B"}
+
+
+def test_presence_of_a_column_is_not_its_type(spark):
+    old = spark.createDataFrame([("a", None), ("b", "int")], "column_name string, data_type string")
+    new = spark.createDataFrame([("a", None), ("b", None)], "column_name string, data_type string")
+    assert {r.column_name: r.change for r in schema_diff(old, new, ["column_name"]).collect()} == {"a": "SAME", "b": "TYPE_CHANGED"}

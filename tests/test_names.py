@@ -6,7 +6,15 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from millrace.functions.names import rename_safe, safe_names, sanitize_name, sanitized, select_list, with_select_items
+from millrace.functions.names import (
+    rename_safe,
+    safe_names,
+    sanitize_name,
+    sanitized,
+    select_list,
+    select_lists,
+    with_select_items,
+)
 
 GOLDEN = [
     ("First Name", "First_Name"),
@@ -67,6 +75,14 @@ def test_catalogue_form_agrees_with_list_form(spark):
         assert ",".join(row.select_item for row in own) == select_list(names)
 
 
+def test_null_table_key_keeps_its_rows(spark):
+    rows = [(None, "a b", 2), (None, "a-b", 1), ("t", "x", 1)]
+    df = spark.createDataFrame(rows, "table_name string, column_name string, ordinal_position int")
+    assert sorted(row.safe_name for row in with_select_items(df, ["table_name"]).collect()) == ["a_b", "a_b__2", "x"]
+    lists = {row.table_name: row.select_list for row in select_lists(df, ["table_name"]).collect()}
+    assert lists == {None: "[a-b] as a_b,[a b] as a_b__2", "t": "[x] as x"}
+
+
 def test_rename_safe(spark):
     df = spark.createDataFrame([(1, 2)], "`a b` int, `a-b` int")
     assert rename_safe(df).columns == ["a_b", "a_b__2"]

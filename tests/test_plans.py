@@ -8,6 +8,7 @@ import pytest
 
 from millrace.model import INGEST_CONFIG_SCHEMA, RunContext, TableJob
 from millrace.plans import batch as batch_module
+from millrace.plans import table_load
 from millrace.plans.batch import run_batch
 from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table, shared_dir
@@ -128,6 +129,43 @@ def test_schema_changes_are_reported(spark, place):
     first = load(target, job, source(spark, t=spark.range(3).toDF("id")), RUNS[0])
     grown = load(target, job, source(spark, t=spark.range(3).selectExpr("id", "'x' AS note")), RUNS[0])
     assert first.comments == "No schema changes detected." and grown.comments == "ADDED note"
+    gone = load(target, job, source(spark, t=spark.range(3).selectExpr("'y' AS note", "1 AS more")), RUNS[0])
+    assert gone.comments == "DROPPED id; ADDED more"
+
+
+def test_derived_columns_are_no_schema_change(spark, place):
+    target, schema, table = place
+    for spec in ("SNAPSHOT_DATE", "SNAPSHOT_DATE"):
+        job = TableJob("J", "s", "t", schema, table, target_partition_by=spec)
+        assert load(target, job, source(spark, t=spark.range(3).toDF("id")), RUNS[0]).comments == "No schema changes detected."
+
+
+def test_one_tracker_aggregate_for_a_batch(spark, place, monkeypatch):
+    target, schema, table = place
+    jobs = [TableJob(f"J{i}", "s", "ev", schema, f"{table}_{i}", load_type="INCREMENTAL", cdc_type="TIMESTAMP",
+                     cdc_modified_date_column="ts") for i in range(3)]
+    data = source(spark, ev=stamped(spark, "09:00:00", "10:00:00", "11:59:59"))
+    seen = []
+    real = table_load.marks
+    monkeypatch.setattr(table_load, "marks", lambda rows, wanted: seen.append(len(wanted)) or real(rows, wanted))
+    monkeypatch.setattr(table_load, "TRACKER_FILES", 2)
+    for i, run_ts in enumerate(RUNS[:2]):
+        run = RunContext(f"r{i}", "b", "a", "daily", run_ts)
+        batch_module.run_jobs(spark, jobs, data, target, run, f"{target.tracker}_ledger", batch_module.RunLog())
+    assert seen == [3, 3]
+    assert [spark.table(target.table(job)).count() for job in jobs] == [3, 3, 3]
+    assert spark.table(target.tracker).count() == 6
+    target.tracked(jobs)
+    assert len(spark.table(target.tracker).inputFiles()) == 1 and spark.table(target.tracker).count() == 6
+
+
+def test_tracker_of_whole_keys_takes_fractions(spark, place):
+    target, schema, table = place
+    spark.sql(f"CREATE TABLE {target.tracker} (job_id string, source_table string, ts_hour string, key_value bigint) USING parquet")
+    spark.sql(f"INSERT INTO {target.tracker} VALUES ('J', 't', NULL, 2)")
+    job = TableJob("J", "s", "t", schema, table, load_type="INCREMENTAL", cdc_type="APPEND_KEY", cdc_append_key_column="k")
+    rows = spark.createDataFrame([(1.0,), (2.0,), (3.5,)], "k double")
+    assert [load(target, job, source(spark, t=rows), RUNS[0]).records_processed for _ in range(2)] == [1, 0]
 
 
 def test_no_columns(spark, place):
@@ -185,9 +223,9 @@ def test_batch_isolates_failures_and_reruns_only_them(spark, pipeline):
 
     lines = [row.value for row in spark.read.text(logs + "log_date=*").collect()]
     assert sum("Successful: 2 Fail: 1 Total: 3" in line for line in lines) == 1
-    reports = spark.read.option("header", True).csv(logs + "p/20240101/SummaryReport/*/*/jobs")
+    reports = spark.read.option("header", True).csv(logs + "p/20240101/reports/*/*/jobs")
     assert reports.count() == 4 and reports.where("failure_reason <> 'N/A'").count() == 1
-    tables = spark.read.option("header", True).csv(logs + "p/20240101/SummaryReport/*/*/tables")
+    tables = spark.read.option("header", True).csv(logs + "p/20240101/reports/*/*/tables")
     assert tables.count() == 4
 
 

@@ -39,6 +39,24 @@ def test_job_report(spark):
     assert (two.elapsed_time, two.end_time, two.failure_reason) == (None, None, "bad")
 
 
+def test_job_that_left_the_config_keeps_its_line(spark):
+    row = tuple({"job_id": "J9", "status": "FAILED"}.get(name) for name in LEDGER_SCHEMA.fieldNames())
+    names = "job_id string, source_schema string, source_table string, target_schema string, target_table string"
+    (line,) = job_report(spark.createDataFrame([row], LEDGER_SCHEMA), spark.createDataFrame([], names)).collect()
+    assert (line.job_id, line.status, line.source_table) == ("J9", "FAILED", None)
+
+
+def test_log_files_are_in_order_of_time(spark):
+    path = shared_dir(spark, "log")
+    rows = [(START + timedelta(seconds=(i * 7919) % 5000), "INFO", "m") for i in range(5000)]
+    write_log(spark.createDataFrame(rows, LOG_SCHEMA).repartition(8), path)
+    files = spark.read.text(path).inputFiles()
+    assert files
+    for file in files:
+        lines = [row.value for row in spark.read.text(file).collect()]
+        assert lines == sorted(lines)
+
+
 def test_run_log(spark):
     log = RunLog()
     log.log("Test message", "INFO")
