@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import identified, min_labels, same_row, saved, small
-from millrace.llm.tokens import mixed, pieces, shingle_sets
+from millrace.llm.tokens import groups, mixed, pieces, shingle_sets
 
 BUCKETS, CHUNK = 1 << 20, 1 << 10
 #: Parts of the token space whose sizes bound an overlap (the suffix filter).
-PARTS = 32
-#: A gram in more prefixes than this is first joined with one document of it instead of all.
+PARTS = 64
+#: A gram in more prefixes than this is first joined with one document of it, and what that leaves is filtered in blocks.
 HOT = 64
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -49,10 +50,15 @@ def gram_counts(docs: DataFrame, k: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total, waiting = np.zeros(BUCKETS, dtype=np.int64), []
         for batch in batches:
             for piece in pieces(batch):
-                total += np.bincount(_bucket(shingle_sets(piece.column("text"), k)[1]), minlength=BUCKETS)
+                waiting.append(_bucket(shingle_sets(piece.column("text"), k)[1]).astype(np.int32))
+                if sum(map(len, waiting)) >= BUCKETS:
+                    total += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
+                    waiting = []
+        if waiting:
+            total += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
         yield rows({i: total[i * CHUNK : (i + 1) * CHUNK] for i in range(BUCKETS // CHUNK)})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +168,44 @@ def _candidates(one: DataFrame, other: DataFrame, rule: Jaccard, more: Column) -
     return joined.select(F.least("o.rid", "p.rid").alias("a"), F.greatest("o.rid", "p.rid").alias("b")).distinct()
 
 
+def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard) -> DataFrame:
+    """Pairs of different components in one frequent gram that pass every filter, at the first gram that they share.
+
+    A gram's rows are dealt to blocks, and each pair of blocks is compared in a task, so that only pairs that pass leave it.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ("gram", "i", "j")):
+            column = lambda c: group.column(c).to_numpy()  # noqa: E731, B023
+            rid, n, pos, comp, own = (column(c) for c in ("rid", "n", "pos", "comp", "own"))
+            parts = group.column("parts").chunk(0).flatten().to_numpy().reshape(-1, PARTS)
+            before = [frozenset(p[:k]) for p, k in zip(group.column("prefix").to_pylist(), pos.tolist(), strict=True)]
+            within = column("i")[0] == column("j")[0]
+            first = np.lexsort((rid, n))
+            found = []
+            for at, x in enumerate(first):  # x is the shorter set
+                y = first[at + 1 :]
+                y = y[(comp[y] != comp[x]) & (within | (own[y] != own[x]))]
+                total = rule.num * (n[x] + n[y])
+                rest = 1 + np.minimum(n[x] - pos[x] - 1, n[y] - pos[y] - 1)
+                y = y[(n[x] * rule.den >= n[y] * rule.num) & (rest * (rule.num + rule.den) >= total)]
+                if not len(y) or (n[x] - pos[x]) * (rule.num + rule.den) < 2 * rule.num * n[x]:
+                    continue
+                overlap = np.minimum(parts[x], parts[y]).sum(axis=1)
+                y = y[overlap * (rule.num + rule.den) >= rule.num * (n[x] + n[y])]
+                found += [(min(rid[x], rid[j]), max(rid[x], rid[j])) for j in y if before[x].isdisjoint(before[j])]
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    dealt = rows.withColumn("blocks", F.ceil(F.col("cnt") / BLOCK))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit(2), "rid"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
+        "gram", "rid", "n", "pos", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    full = dealt.join(sets.select("rid", "prefix", "parts"), "rid").repartition("gram", "i", "j")
+    return full.sortWithinPartitions("gram", "i", "j").mapInArrow(compare, "a long, b long").distinct()
+
+
 def jaccard_join(
     docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text",
     star_rounds: int = 2,
@@ -176,7 +220,8 @@ def jaccard_join(
     compared by 64-bit hash: two sets of n shingles differ from the truth with a chance of about n * n / 2**64. Equal sets are one
     class. Grams are ordered rare first by counts over all documents. Grams in more than HOT prefixes are first
     joined with one of their documents (a star), so a large group of near copies is found in about as many pairs as
-    it has members; then every pair that shares a prefix gram and is not in one component yet is looked at.
+    it has members; then every pair that shares a prefix gram and is not in one component yet is looked at, those of
+    frequent grams in blocks.
     Null and empty texts have no shingles and link with nothing; null ids link with nothing and have null ids of class and
     component; rows of equal id are one node; repeated rows repeat; an empty table gives empty frames.
     """
@@ -208,7 +253,11 @@ def jaccard_join(
     mixed_grams = grams.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     rows = saved(grams.join(mixed_grams.select("gram", "low"), "gram"), "mixed")
     once = (F.col("o.comp") != F.col("p.comp")) & ((F.col("p.comp") == F.col("p.low")) | (F.col("o.rid") < F.col("p.rid")))
-    pairs = _candidates(rows.where("comp <> low"), rows, rule, once)
+    rare = rows.where(F.col("cnt") <= HOT)
+    pairs = _candidates(rare.where("comp <> low"), rare, rule, once)
+    many = rows.where(F.col("cnt") > HOT)
+    if not many.isEmpty():
+        pairs = pairs.unionAll(_block_candidates(many, sets, rule)).distinct()
     links.append(_links(saved(pairs, "candidates"), sets, texts, rule))
     links = _union(links).distinct()
     labels = min_labels(links)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -92,6 +92,21 @@ def pieces(batch: pa.RecordBatch, size: int = 2 * BLOCK, texts: tuple[str, ...]
         i = j
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Whole groups of equal keys, one after the other, of batches sorted by them; each in one chunk."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        rest = pa.concat_tables([*([rest] if rest is not None else []), pa.Table.from_batches([batch])])
+        values = [rest.column(k).to_numpy() for k in keys]
+        new = np.logical_or.reduce([v[1:] != v[:-1] for v in values]) if rest.num_rows > 1 else np.zeros(0, dtype=bool)
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        for i, j in zip(starts[:-1], starts[1:], strict=True):
+            yield rest.slice(i, j - i).combine_chunks()
+        rest = rest.slice(starts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
+
+
 def doc_words(column: pa.Array, lower: bool = False, kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and for each text the number of its first word (one more at the end)."""
     data, offsets = text_bytes(column)
