@@ -65,8 +65,10 @@ def drop_repeated_lines(
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = identified(docs, id_col, text_col).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     owner = F.coalesce("rid", F.lit(2**63 - 1)).alias("owner")
-    cuts = docs.select(F.col(id_col).cast("double").alias("rid")).approxQuantile(
-        "rid", [i / batches for i in range(1, batches)], 0.01)
+    cuts = []
+    if batches > 1:
+        shares = [i / batches for i in range(1, batches)]
+        cuts = docs.agg(F.percentile_approx(F.col(id_col).cast("long"), shares).alias("cuts")).first().cuts or []
     batch = sum((F.coalesce((F.col("owner") >= F.lit(c)).cast("int"), F.lit(1)) for c in sorted(set(cuts))), F.lit(0))
     stripped = F.btrim(F.col("line"), F.lit(BLANK))
     found = rows.select("rid", "t1", "t2", owner, F.posexplode("lines").alias("pos", "line")).select(
