@@ -22,6 +22,8 @@ from millrace.llm.tokens import doc_words, mixed, pieces, runs_of
 ANCHOR = 5
 #: Suffixes that one subtree may hold; above, a longer prefix splits it.
 GROUP = 4096
+#: Windows that follow each other under one anchor travel as one row, marked by the bits of an int.
+SPAN = 31
 
 
 def _windows(column: pa.Array, window: int) -> tuple[np.ndarray, ...]:
@@ -65,7 +67,7 @@ def _suffixes(window: int):
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
-                docs, starts, hashes, anchor, place = _windows(piece.column("text"), window)
+                docs, starts, hashes, anchor, _ = _windows(piece.column("text"), window)
                 repeated = piece.column("repeated")
                 owner = np.repeat(np.arange(piece.num_rows), np.diff(repeated.offsets.to_numpy()))
                 known = repeated.flatten()
@@ -74,16 +76,17 @@ def _suffixes(window: int):
                 hot = keys[known.field("hot").to_numpy(zero_copy_only=False).astype(bool)]
                 mine = salted(docs, anchor)
                 keep = np.isin(mine, keys)
-                docs, starts, hashes, anchor, place, mine = (
-                    x[keep] for x in (docs, starts, hashes, anchor, place, mine))
-                new = np.ones(len(place), dtype=bool)
-                new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
+                docs, starts, hashes, anchor, mine = (x[keep] for x in (docs, starts, hashes, anchor, mine))
+                new = np.ones(len(anchor), dtype=bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1) | (docs[1:] != docs[:-1])
+                begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+                new |= (np.arange(len(new)) - begin) % SPAN == 0
                 at = np.flatnonzero(new)
                 column = lambda name: piece.column(name).to_numpy(zero_copy_only=False)[docs[at]]  # noqa: E731, B023
                 yield pa.RecordBatch.from_pydict({
                     "anchor": anchor[at].view(np.int64), "hot": np.isin(mine[at], hot), "dk": column("dk"),
                     "owner": column("owner"), "t1": column("t1"), "start": starts[at].astype(np.int32),
-                    "hashes": pa.ListArray.from_arrays(pa.array(np.append(at, len(place)), pa.int32()),
+                    "hashes": pa.ListArray.from_arrays(pa.array(np.append(at, len(anchor)), pa.int32()),
                                                        pa.array(hashes.view(np.int64)))})
 
     return suffixes
@@ -131,6 +134,26 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield repeats(rest)
 
 
+def _large_groups(suffixes: DataFrame) -> DataFrame:
+    """Marks of the groups that are too large for one task: rows of equal windows are reduced to one before they meet.
+
+    Of the rows of one shape only the first can hold a window's first place; the others lose all of their windows.
+    """
+    rows = suffixes.select("anchor", F.xxhash64("hashes").alias("shape"), "hashes", "dk", "start",
+                           F.struct("owner", "t1", "start").alias("place"))
+    shapes = rows.groupBy("anchor", "shape").agg(F.min("place").alias("first"), F.max("hashes").alias("hashes"))
+    shapes = saved(shapes, "shapes")
+    leaves = shapes.select("anchor", "shape", F.posexplode("hashes").alias("i", "leaf"), F.struct(
+        "first.owner", "first.t1", (F.col("first.start") + F.col("i")).alias("start")).alias("place"))
+    heads = leaves.groupBy("anchor", "leaf").agg(F.min("place").alias("head"))
+    below = leaves.join(heads, ["anchor", "leaf"]).groupBy("anchor", "shape").agg(
+        F.sum(F.when(F.col("place") != F.col("head"), F.expr("shiftleft(1L, i)")).otherwise(0)).alias("first_mask"))
+    known = shapes.select("anchor", "shape", "first", F.expr("shiftleft(1L, size(hashes)) - 1").alias("whole"))
+    marked = rows.drop("hashes").join(known.join(below, ["anchor", "shape"]), ["anchor", "shape"])
+    mask = F.when(F.col("place") == F.col("first"), F.col("first_mask")).otherwise(F.col("whole"))
+    return marked.select("dk", "start", mask.cast("int").alias("mask")).where("mask <> 0")
+
+
 def _kept(window: int):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,11 +210,7 @@ def drop_repeated_windows(
     grouped = suffixes.where("NOT hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor")
     marks = grouped.mapInArrow(_subtrees, "dk long, start int, mask int")
     if not counts.where("hot").isEmpty():
-        leaves = suffixes.where("hot").select("anchor", "dk", "owner", "t1", "start", F.posexplode("hashes").alias("i", "leaf"))
-        leaves = leaves.select("anchor", "leaf", "dk", F.struct("owner", "t1", (F.col("start") + F.col("i")).alias("at")).alias("place"))
-        heads = leaves.groupBy("anchor", "leaf").agg(F.min("place").alias("head"))
-        below = leaves.join(heads, ["anchor", "leaf"]).where("place <> head")
-        marks = marks.unionAll(below.select("dk", F.col("place.at").alias("start"), F.lit(1).alias("mask")))
+        marks = marks.unionAll(_large_groups(suffixes.where("hot")))
     by_doc = marks.groupBy("dk").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
     cleaned = firsts.join(by_doc.hint("merge"), "dk", "left").select("rid", "text", "marks")
     schema = "rid long, n_words long, n_removed long, kept string"
