@@ -5,8 +5,9 @@ from decimal import Decimal
 
 import pytest
 
+from millrace.functions import typemap
 from millrace.functions.typemap import numeric_scale_profile, schema_ddl, schema_map
-from millrace.model import CATALOGUE_SCHEMA
+from millrace.model import CATALOGUE_SCHEMA, DECLARED_SCHEMA
 from millrace.sources.extract import typed
 
 PROFILE = "column_name string, fractional_rows bigint, scale int, max_abs double"
@@ -97,3 +98,29 @@ def test_typed_reads_named_columns(spark):
     read = typed(df, "price DECIMAL(38, 2), other LONG")
     assert read.dtypes == [("Price", "decimal(38,2)"), ("name", "string")]
     assert read.first().Price == Decimal("1.25")
+
+
+def test_digits_by_arithmetic_are_those_of_the_text(spark, monkeypatch):
+    """Short fractions take the arithmetic; without it every double takes its text, with the same result."""
+    rnd = random.Random(11)
+    values = [round(rnd.uniform(-1, 1) * 10 ** rnd.randrange(12), rnd.randrange(8)) for _ in range(3000)]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randrange(-8, 12) for _ in range(1000)] + [0.1 + 0.2, 1e10 + 0.5, -0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+
+    def digits():
+        return [r.d for r in df.select(typemap._fraction_digits(df.v, df.schema["v"].dataType).alias("d")).collect()]
+
+    short = digits()
+    monkeypatch.setattr(typemap, "SHORT_LIMIT", 0.0)
+    assert short == digits()
+
+
+@pytest.mark.parametrize(
+    ("precision", "scale", "expected"),
+    [(12, 0, "LONG"), (18, None, "LONG"), (19, 0, "DECIMAL(38, 0)"), (38, 0, "DECIMAL(38, 0)"), (10, 2, "DECIMAL(38, 2)"),
+     (None, None, "DECIMAL(38, 3)"), (None, 0, "DECIMAL(38, 3)"), (5, -2, "LONG"), (18, -3, "DECIMAL(38, 0)")],
+)
+def test_declared_digits_come_before_the_profile(spark, precision, scale, expected):
+    catalogue = spark.createDataFrame([("C", "NUMBER", 1, precision, scale)], DECLARED_SCHEMA)
+    profile = spark.createDataFrame([("C", 1, 3, 9.5)], PROFILE)
+    assert schema_map(catalogue, profile).first().spark_type == expected
