@@ -98,12 +98,11 @@ def running_total(df: DataFrame, group: str, order: list[str], value: str, purpo
     A group may hold most rows: rows are dealt by range, each range sums its own rows, and only the sums
     of the ranges are put in one order.
     """
-    dealt = saved(df.repartitionByRange(group, *order).withColumn("part", F.spark_partition_id()), purpose)
-    sums = dealt.groupBy(group, "part").agg(F.sum(value).alias("part_sum"))
-    earlier = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select(F.col(group).alias("g"), F.col("part").alias("p"),
-                       F.coalesce(F.sum("part_sum").over(earlier), F.lit(0)).alias("base"))
-    within = W.partitionBy(group, "part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    joined = dealt.join(sums, dealt[group].eqNullSafe(sums.g) & (dealt.part == sums.p))
-    return joined.withColumn("before", F.col("base") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop(
-        "g", "p", "part", "base")
+    dealt = saved(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()), purpose)
+    sums = dealt.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_number")).agg(F.sum(value).alias("_sum"))
+    earlier = W.partitionBy("_group").orderBy("_number").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select("_group", "_number", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    within = W.partitionBy(group, "_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    joined = dealt.join(sums, dealt[group].eqNullSafe(sums["_group"]) & (dealt["_part"] == sums["_number"]))
+    before = F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))
+    return joined.withColumn("before", before).drop("_group", "_number", "_part", "_base")

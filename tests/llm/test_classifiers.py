@@ -150,7 +150,7 @@ def test_spans_are_added_where_a_base_match_swallowed_them(spark):
 
 
 def test_boosted_trees_learn_and_are_sql(spark):
-    cells = [{"x": x, "y": y, "n": 10, "good": 10 if (x > 2) != (y > 1) else 0} for x in range(6) for y in range(4)]
+    cells = [{"x": x, "y": y, "n": 10, "good": 10 if (x > 3) or (x > 1 and y > 1) else 0} for x in range(6) for y in range(4)]
     model = boosted(cells, names=("x", "y"))
     assert all((model.score(c) > 0) == (c["good"] > 0) for c in cells)
     df = spark.createDataFrame([(c["x"], c["y"], model.score(c)) for c in cells], "x int, y int, score double")
