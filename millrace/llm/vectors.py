@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import min_labels, saved, small
+from millrace.llm.tokens import groups
 
 #: Members of a list that are compared as one block; a longer list is compared block by block.
 BLOCK = 1024
@@ -102,26 +103,12 @@ def _link_counts(vectors: DataFrame, points: np.ndarray, min_cos: float, prefix:
                                                           prefix).cast(pa.list_(pa.int32()))})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            ids = [rest.column(c).to_numpy() for c in ("list", "i", "j")]
-            if not len(ids[0]):
-                continue
-            new = np.ones(len(ids[0]), dtype=bool)
-            new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in ids])
-            starts = np.flatnonzero(new)
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                yield from block(rest.slice(a, b - a))
-            rest = rest.slice(starts[-1])
-        if rest is not None and rest.num_rows:
-            yield from block(rest)
+        for group in groups(batches, ("list", "i", "j")):
+            yield from block(group)
 
     def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             return
-        rows = rows.combine_chunks()
         column = lambda c: rows.column(c).to_numpy()
         unit = rows.column("unit").chunk(0).flatten().to_numpy().reshape(rows.num_rows, -1)
         near = rows.column("near").chunk(0).flatten().to_numpy().reshape(rows.num_rows, -1)
