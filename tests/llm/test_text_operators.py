@@ -47,8 +47,7 @@ def components(rows, k, num, den):
     return {i: root(i) for i in label}
 
 
-@pytest.mark.parametrize(("hot", "block"), [(64, 512), (2, 4)])
-@pytest.mark.parametrize(("k", "num", "den"), [(4, 85, 100), (5, 4, 5)])
+@pytest.mark.parametrize(("hot", "block", "k", "num", "den"), [(64, 512, 5, 4, 5), (2, 4, 4, 85, 100)])
 def test_jaccard_join(spark, awkward, monkeypatch, hot, block, k, num, den):
     monkeypatch.setattr(ngram_join, "HOT", hot)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
