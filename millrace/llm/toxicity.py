@@ -167,10 +167,12 @@ def score_toxicity(
     repeated rows repeat; an empty table gives an empty frame.
     """
     training = training_rows(docs, labels, label_col, fit_rows, folds, held_fold, id_col, text_col)
-    lexicon = docs.sparkSession.sparkContext.broadcast(learn_lexicon(training, exceptions=exceptions))
+    learnt = learn_lexicon(training, exceptions=exceptions)
+    parts_of = docs.sparkSession.sparkContext.broadcast((learnt.weights, learnt.exceptions, learnt.curve))
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, curve = lexicon.value.automaton(), lexicon.value.curve
+        lexicon = Lexicon(*parts_of.value)
+        found, curve = lexicon.automaton(), lexicon.curve
         for part in parts:
             logits = [curve[0] + sum(c * x for c, x in zip(curve[1:], evidence(text, found), strict=True))
                       for text in part["text"]]
