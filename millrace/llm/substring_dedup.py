@@ -70,13 +70,10 @@ def _suffixes(window: int):
                 docs, starts, hashes, anchor, _ = _windows(piece.column("text"), window)
                 repeated = piece.column("repeated")
                 owner = np.repeat(np.arange(piece.num_rows), np.diff(repeated.offsets.to_numpy()))
-                known = repeated.flatten()
                 salted = lambda d, a: mixed(a + mixed(d.astype(np.uint64) + np.uint64(1)))
-                keys = salted(owner, known.field("anchor").to_numpy().view(np.uint64))
-                hot = keys[known.field("hot").to_numpy(zero_copy_only=False).astype(bool)]
-                mine = salted(docs, anchor)
-                keep = np.isin(mine, keys)
-                docs, starts, hashes, anchor, mine = (x[keep] for x in (docs, starts, hashes, anchor, mine))
+                known = salted(owner, repeated.flatten().to_numpy().view(np.uint64))
+                keep = np.isin(salted(docs, anchor), known)
+                docs, starts, hashes, anchor = (x[keep] for x in (docs, starts, hashes, anchor))
                 new = np.ones(len(anchor), dtype=bool)
                 new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1) | (docs[1:] != docs[:-1])
                 begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
@@ -84,7 +81,7 @@ def _suffixes(window: int):
                 at = np.flatnonzero(new)
                 column = lambda name: piece.column(name).to_numpy(zero_copy_only=False)[docs[at]]  # noqa: E731, B023
                 yield pa.RecordBatch.from_pydict({
-                    "anchor": anchor[at].view(np.int64), "hot": np.isin(mine[at], hot), "dk": column("dk"),
+                    "anchor": anchor[at].view(np.int64), "dk": column("dk"),
                     "owner": column("owner"), "t1": column("t1"), "start": starts[at].astype(np.int32),
                     "hashes": pa.ListArray.from_arrays(pa.array(np.append(at, len(anchor)), pa.int32()),
                                                        pa.array(hashes.view(np.int64)))})
@@ -93,7 +90,10 @@ def _suffixes(window: int):
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor: whole groups at a time, the windows that also start earlier, as a bit mask per row."""
+    """Rows sorted by anchor: whole groups at a time, the windows that also start earlier, as a bit mask per row.
+
+    Small groups go together, as many as came with a batch.
+    """
     rest: pa.Table | None = None
 
     def repeats(rows: pa.Table) -> pa.RecordBatch:
@@ -205,12 +205,16 @@ def drop_repeated_windows(
     per_doc = saved(per_doc, "anchors")
 
     # Both joins deal the texts by the same key, so Spark shuffles them once.
-    suffixes = firsts.join(per_doc.hint("merge"), "dk").mapInArrow(
-        _suffixes(window), "anchor long, hot boolean, dk long, owner long, t1 long, start int, hashes array<long>")
-    grouped = suffixes.where("NOT hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor")
+    schema = "anchor long, dk long, owner long, t1 long, start int, hashes array<long>"
+    cold = per_doc.select("dk", F.expr("transform(filter(repeated, x -> NOT x.hot), x -> x.anchor)").alias("repeated"))
+    suffixes = firsts.join(cold.hint("merge"), "dk").mapInArrow(_suffixes(window), schema)
+    grouped = suffixes.repartition("anchor").sortWithinPartitions("anchor")
     marks = grouped.mapInArrow(_subtrees, "dk long, start int, mask int")
-    if not counts.where("hot").isEmpty():
-        marks = marks.unionAll(_large_groups(suffixes.where("hot")))
+    hot = per_doc.select("dk", F.expr("transform(filter(repeated, x -> x.hot), x -> x.anchor)").alias("repeated"))
+    hot = hot.where(F.size("repeated") > 0)
+    held = hot.agg(F.sum(F.size("repeated"))).first()[0]
+    if held:
+        marks = marks.unionAll(_large_groups(firsts.join(small(hot, held), "dk").mapInArrow(_suffixes(window), schema)))
     by_doc = marks.groupBy("dk").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
     cleaned = firsts.join(by_doc.hint("merge"), "dk", "left").select("rid", "text", "marks")
     schema = "rid long, n_words long, n_removed long, kept string"
