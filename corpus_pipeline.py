@@ -56,11 +56,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns with shard (0 to 23) and slot, a place in the shard; columns of these names are replaced."""
-    placed = shard_documents(docs)
-    places = placed.groupBy("rid", "t1", "t2").agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("places"))
-    rows = packed(docs, "doc_id", "text")
-    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("rid", "t1", "t2").orderBy("t1")))
-    joined = rows.join(places, same_row(rows, places)).select("row", F.get("places", F.col("copy") - 1).alias("place"))
+    # Without nulls in the key, the window and the join deal the texts alike, so they are shuffled once.
+    key = ["no_id", "id", "t1", "t2"]
+    parts = {"no_id": F.col("rid").isNull(), "id": F.coalesce("rid", F.lit(0))}
+    placed = shard_documents(docs).withColumns(parts)
+    places = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("places"))
+    rows = packed(docs, "doc_id", "text").withColumns(parts)
+    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy(*key).orderBy("t1")))
+    joined = rows.join(places, key).select("row", F.get("places", F.col("copy") - 1).alias("place"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")]
     return joined.select(*kept, "place.shard", "place.slot")
 
