@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import time
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,17 +101,12 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 def _picked(df: DataFrame, keys: list[str], at: Column, rest: list[str], latest: bool = True) -> DataFrame:
     """One row per key: that of the latest (or earliest) time, of equal ones that with the largest (smallest) ``rest``.
 
-    The time is aggregated as a long, which Spark does by hash and map-side, so a key with very many
-    rows shrinks before any sort; only rows of the picked time are ordered. A missing time is the earliest.
+    The first row of a window is limited map-side too, so a key with very many rows shrinks before the shuffle. A missing
+    time is the earliest.
     """
-    df = df.withColumn("_at", F.coalesce(F.unix_micros(at.cast("timestamp")), F.lit(-(2**63) + 1)))
-    pick = F.max if latest else F.min
-    times = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(pick("_at").alias("_picked"))
-    same = reduce(and_, (df[k].eqNullSafe(times[f"_{k}"]) for k in keys))
-    near = df.join(times, same & (df["_at"] == times["_picked"])).drop("_picked", *[f"_{k}" for k in keys])
-    order = [F.desc_nulls_last(c) if latest else F.asc_nulls_first(c) for c in rest]
+    order = [F.desc_nulls_last(c) if latest else F.asc_nulls_first(c) for c in ("_at", *rest)]
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return near.withColumn("_number", number).where("_number = 1").drop("_number", "_at")
+    return df.withColumn("_at", at).withColumn("_number", number).where("_number = 1").drop("_number", "_at")
 
 
 def consolidate(initial: DataFrame, updated: DataFrame) -> DataFrame:
