@@ -13,6 +13,8 @@ from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.quality import classify_quality
 from millrace.llm.sharding import shard_documents
 
+COPY_SEED = 3
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose posterior chance of good quality is below a half."""
@@ -44,10 +46,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words: not at all, once or twice, to the nearest whole text."""
+    """Each document as often as the mix takes its words: not at all, once or twice.
+
+    A part of a text that is left over becomes a whole copy with a chance of its size, drawn by the row's key, so that
+    documents of any length come up as often as their source's target asks on average.
+    """
     rows, _ = mix_sources(docs)
-    times = rows.where("size > 0").groupBy("rid", "t1", "t2").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("times"))
+    share = rows.where("size > 0").groupBy("rid", "t1", "t2").agg((F.sum("taken") / F.sum("size")).alias("share"))
+    drawn = F.pmod(F.xxhash64(F.lit(COPY_SEED), "rid", "t1", "t2"), F.lit(1 << 32)) / float(1 << 32)
+    whole = F.floor("share").cast("int")
+    times = share.select("rid", "t1", "t2", (whole + (drawn < F.col("share") - whole).cast("int")).alias("times"))
     times = saved(times.where("times > 0"), "times")
     whole, told = packed(docs, "doc_id", "text"), small(times, times.count())
     taken = whole.join(told, same_row(whole, told))

@@ -56,6 +56,23 @@ def test_mix_takes_documents_as_often_as_their_words(spark, sf_dir):
     assert sum(abs(taken[s] - goal[s]) for s in sizes) < 0.15 * sum(goal.values())
 
 
+def test_mix_keeps_the_share_of_long_documents(spark, sf_dir):
+    rows = [(i, f"a{i} " * 1950, f"s{i % 3 * 3}") for i in range(300)]
+    rows += [(1000 + i, "b", f"s{s}") for i, s in enumerate((1, 4, 5, 7, 8))]
+    rows += [(2000 + i, f"l{i} " * 2600, "s2") for i in range(80)] + [(3000 + i, f"k{i} " * 50, "s2") for i in range(400)]
+    sizes, words, taken, long = Counter(), {i: len(t.split()) for i, t, _ in rows}, Counter(), 0
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    for r in STAGE["mixing"](spark, documents(spark, rows), sf_dir).select("doc_id", "source").collect():
+        taken[r.source] += words[r.doc_id]
+        long += words[r.doc_id] if 2000 <= r.doc_id < 3000 else 0
+    goal = shared_out(sizes)
+    ratio = goal["s2"] / sizes["s2"]
+    assert ratio < 0.5
+    assert long == pytest.approx(ratio * 80 * 2600, rel=0.3)
+    assert [taken[s] for s in ("s0", "s2", "s3", "s6")] == pytest.approx([goal[s] for s in ("s0", "s2", "s3", "s6")], rel=0.3)
+
+
 def test_run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for _, stage in STAGES[:-1]:
