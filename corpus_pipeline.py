@@ -51,7 +51,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A part of a text that is left over becomes a whole copy with a chance of its size, drawn by the row's key, so that
     documents of any length come up as often as their source's target asks on average.
     """
-    rows, _ = mix_sources(docs)
+    rows, _ = mix_sources(docs, pack=False)
     share = rows.where("size > 0").groupBy("rid", "t1", "t2").agg((F.sum("taken") / F.sum("size")).alias("share"))
     drawn = F.pmod(F.xxhash64(F.lit(COPY_SEED), "rid", "t1", "t2"), F.lit(1 << 32)) / float(1 << 32)
     whole = F.floor("share").cast("int")

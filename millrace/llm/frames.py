@@ -14,10 +14,11 @@ BROADCAST_ROWS = 200_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def saved(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
+def saved(df: DataFrame, purpose: str, partition_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
     """Cuts the lineage: the frame written to the cluster's shared folder and read again."""
     path = shared_dir(df.sparkSession, purpose)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer = writer.option("compression", codec) if codec else writer
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from millrace.llm.frames import running_total, saved, small, text_key
-from millrace.llm.tokens import mixed
+from millrace.llm.tokens import mixed, pieces, text_bytes, word_bounds
 
 BLOCK_WORDS = 256
 SLOTS_PER_SHARD = 4096
@@ -75,23 +76,32 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, most: fl
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS,
+    pack: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Takes words of all sources so that each source's come to its target.
+    """Takes words of all sources so that each source's come to its target, and packs them in the slots of shards.
 
     A source's documents, in order of id, form one stream of words cut into blocks. A source has as many slots
     as its target has blocks. Each slot draws its output shard, so a shard's counts of sources are multinomial
     about the target weights; slot j of an epoch takes the block at place j of that epoch's own permutation, and the last
     slot is cut where the target is met. So no block, and no document, comes up more often than ``most`` times.
 
-    Returns (rows, slots). rows has every row of documents: rid, t1, t2 (the text's key), number (its source's), source,
-    size, before (its place in the source's stream), source_size, target, taken. slots has shard, number, epoch, slot,
-    block, words. Null and empty texts have size 0; null sources are one source, the last; null ids come first;
+    Returns (rows, slots). rows has every row of documents: row (a number of its own), rid, t1, t2 (the text's key),
+    number (its source's), source, size, before (its place in the source's stream), source_size, target, taken (its words
+    in all slots). slots is the mix, written with all of a shard in one file and the shard's slots in a drawn order: shard,
+    number, epoch, slot, block, words (their number), text (the words, as they stand in the documents; a newline
+    between two documents), pieces (row and n, the words of each document, in order). Without ``pack`` no text
+    is written, slots ends at words, and taken is counted from the same cuts.
+
+    Null and empty texts have size 0; null sources are one source, the last; null ids come first;
     repeated rows are rows of their own; an empty table gives empty frames.
     """
     text = F.col(text_col)
     docs = saved(docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("rid"), *text_key(text), F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")), "sizes")
+        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
+        *([text.alias("text")] if pack else [])), "sizes", codec="zstd")
+    texts, docs = docs, docs.drop("text")
     plan = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     plan = saved(plan.withColumns({
         "take": F.round("target").cast("long"),
@@ -102,18 +112,59 @@ def mix_sources(
     rows = saved(running_total(numbered, "number", ["rid", "t1", "t2"], "size", "streams"), "placed")
 
     slots = saved(_slots(plan, seed, block_words), "slots")
+    cuts = saved(_cuts(rows, slots, block_words), "cuts")
+    held = cuts
+    if pack:
+        slots = saved(_packed(texts, cuts, seed), "mixed", codec="zstd")
+        held = slots.select(F.inline("pieces"))
+    taken = held.groupBy(F.col("row").alias("r")).agg(F.sum("n").alias("taken"))
+    joined = rows.join(taken, rows["row"] == taken.r, "left")
+    return joined.select(
+        "row", "rid", "t1", "t2", "number", "source", "size", "before", "source_size", "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), slots
+
+
+def _cuts(rows: DataFrame, slots: DataFrame, block_words: int) -> DataFrame:
+    """What each slot takes of each document: ``n`` words after its first ``skip``, put at place ``at`` of the slot."""
     first, last = F.expr(f"before div {block_words}"), F.expr(f"(before + size - 1) div {block_words}")
-    pieces = rows.where("size > 0").select("number", "before", "size", F.explode(F.sequence(first, last)).alias("block"))
+    spans = rows.where("size > 0").select("row", "number", "before", "size", F.explode(F.sequence(first, last)).alias("block"))
     start = F.greatest(F.lit(0), F.col("before") - F.col("block") * block_words)
     end = F.least(F.lit(block_words), F.col("before") + F.col("size") - F.col("block") * block_words)
-    used = pieces.join(slots.select("number", "block", "words"), ["number", "block"])
-    overlap = F.greatest(F.lit(0), F.least(end, F.col("words")) - start)
-    taken = used.groupBy("number", "before").agg(F.sum(overlap).alias("taken"))
-    taken = taken.select(F.col("number").alias("m"), F.col("before").alias("b"), "taken")
-    joined = rows.join(taken, (rows.number == taken.m) & (rows.before == taken.b) & (rows["size"] > 0), "left")
-    return joined.select(
-        "rid", "t1", "t2", "number", "source", "size", "before", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), slots
+    used = spans.join(slots, ["number", "block"]).withColumns({
+        "at": start, "skip": F.col("block") * block_words + start - F.col("before"),
+        "n": F.least(end, F.col("words")) - start})
+    return used.where("n > 0").select(*slots.columns, "row", "at", "skip", "n")
+
+
+def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
+    """The slots with their words: each text is cut once, and the cuts meet in their shard."""
+    slot = ["shard", "number", "epoch", "slot", "block", "words"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                data, offsets = text_bytes(piece.column("text"))
+                starts, ends, firsts = word_bounds(data, offsets)
+                lists = piece.column("cuts")
+                owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                fields = dict(zip([f.name for f in lists.type.value_type], lists.flatten().flatten(), strict=True))
+                low = firsts[owner] + fields["skip"].to_numpy()
+                begin, stop = starts[low], ends[low + fields["n"].to_numpy() - 1]
+                words = [data[i:j].tobytes() for i, j in zip(begin.tolist(), stop.tolist(), strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    **{k: v for k, v in fields.items() if k != "skip"},
+                    "row": piece.column("row").take(pa.array(owner)), "text": pa.array(words, pa.binary()).view(pa.string())})
+
+    wanted = cuts.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct(*slot, "at", "skip", "n")).alias("cuts"))
+    wanted = small(wanted, cuts.count())
+    held = texts.select("row", "text").join(wanted, F.col("row") == F.col("r")).drop("r")
+    kinds = dict(cuts.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*slot, "at", "n", "row"]) + ", text string"
+    dealt = held.mapInArrow(cut, schema).repartition("shard")
+    blocks = dealt.groupBy(*slot).agg(F.array_sort(F.collect_list(F.struct("at", "row", "n", "text"))).alias("parts"))
+    return blocks.sortWithinPartitions("shard", F.xxhash64(F.lit(seed + 1), "number", "epoch", "slot")).select(
+        *slot, F.concat_ws("\n", F.col("parts.text")).alias("text"),
+        F.transform("parts", lambda p: F.struct(p["row"].alias("row"), p["n"].alias("n"))).alias("pieces"))
 
 
 def _slots(plan: DataFrame, seed: int, block_words: int) -> DataFrame:

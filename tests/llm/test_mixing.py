@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import documents
@@ -7,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import mixing
+from millrace.llm.frames import text_key
 from millrace.llm.mixing import mix_sources, permuted, targets
 
 
@@ -71,6 +74,30 @@ def test_mix(spark, awkward, monkeypatch, block):
     assert slots.agg({"words": "sum"}).first()[0] == sum(r.taken for r in found)
 
 
+@pytest.mark.parametrize("block", [7, 256])
+def test_slots_hold_the_words_of_their_blocks(spark, awkward, block):
+    docs = documents(spark, [(i, t, f"s{(i or 0) % 3}") for i, t in awkward])
+    rows, slots = mix_sources(docs, block_words=block)
+    texts = {(r.t1, r.t2): r.text for r in docs.select("text", *text_key(docs.text)).collect()}
+    rows = rows.collect()
+    streams = {}
+    for r in sorted(rows, key=lambda r: (r.number, r.before)):
+        words = (texts[r.t1, r.t2] or "").encode().split()
+        streams.setdefault(r.number, []).extend((w, r.row) for w in words)
+    taken, slots = Counter(), slots.collect()
+    for s in slots:
+        expected = streams[s.number][s.block * block : s.block * block + s.words]
+        assert s.text.encode().split() == [w for w, _ in expected] and len(expected) == s.words
+        assert [p.row for p in s.pieces for _ in range(p.n)] == [row for _, row in expected]
+        taken.update(row for _, row in expected)
+    assert len({(s.number, s.epoch, s.slot) for s in slots}) == len(slots)
+    assert {r.row: r.taken for r in rows if r.taken} == taken
+    lean, bare = mix_sources(docs, block_words=block, pack=False)
+    key = lambda r: (r.rid or -1, r.t1, r.before, r.taken)
+    assert sorted(map(key, lean.collect())) == sorted(map(key, rows))
+    assert bare.count() == len(slots) and "text" not in bare.columns
+
+
 def test_shards_hold_all_sources(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 100)
     rows = [(i, "a b c d " * 10, f"s{i % 3}") for i in range(600)]
