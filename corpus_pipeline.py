@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without words and rows without id belong to no group and stay. Of rows equal in id and text one stays.
     """
-    members, _ = jaccard_join(docs, k=5, num=4, den=5)
+    members, _ = jaccard_join(docs, k=5, num=4, den=5, with_links=False)
     members = saved(members, "members")
     left = without(docs, members.where("component_id <> rid"))
     again = members.where("n_shingles > 0 AND rid IS NOT NULL").groupBy("rid", "t1", "t2").agg(

@@ -168,11 +168,13 @@ def _candidates(one: DataFrame, other: DataFrame, rule: Jaccard, more: Column) -
     return joined.select(F.least("o.rid", "p.rid").alias("a"), F.greatest("o.rid", "p.rid").alias("b")).distinct()
 
 
-def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard) -> DataFrame:
+def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard, texts: DataFrame | None = None) -> DataFrame:
     """Pairs of different components in one frequent gram that pass every filter, at the first gram that they share.
 
     A gram's rows are dealt to blocks, and each pair of blocks is compared in a task, so that only pairs that pass leave it.
+    With ``texts``, pairs of one component are compared too, and each is verified on its whole sets in the block.
     """
+    whole = texts is not None
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ("gram", "i", "j")):
@@ -182,10 +184,13 @@ def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard) -> DataFr
             before = [frozenset(p[:k]) for p, k in zip(group.column("prefix").to_pylist(), pos.tolist(), strict=True)]
             within = column("i")[0] == column("j")[0]
             first = np.lexsort((rid, n))
+            if whole:
+                owner, hashes = shingle_sets(group.column("text").chunk(0), rule.k)
+                bounds, grams = np.searchsorted(owner, np.arange(len(rid) + 1)), np.unique(hashes, return_inverse=True)[1]
             found = []
             for at, x in enumerate(first):  # x is the shorter set
                 y = first[at + 1 :]
-                y = y[(comp[y] != comp[x]) & (within | (own[y] != own[x]))]
+                y = y[((rid[y] != rid[x]) if whole else (comp[y] != comp[x])) & (within | (own[y] != own[x]))]
                 total = rule.num * (n[x] + n[y])
                 rest = 1 + np.minimum(n[x] - pos[x] - 1, n[y] - pos[y] - 1)
                 y = y[(n[x] * rule.den >= n[y] * rule.num) & (rest * (rule.num + rule.den) >= total)]
@@ -193,6 +198,12 @@ def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard) -> DataFr
                     continue
                 overlap = np.minimum(parts[x], parts[y]).sum(axis=1)
                 y = y[overlap * (rule.num + rule.den) >= rule.num * (n[x] + n[y])]
+                if whole and len(y):
+                    held = np.zeros(len(grams), dtype=bool)
+                    held[grams[bounds[x] : bounds[x + 1]]] = True
+                    upto = np.concatenate([[0], np.cumsum(held[grams])])
+                    shared = upto[bounds[y + 1]] - upto[bounds[y]]
+                    y = y[rule.den * shared >= rule.num * (n[x] + n[y] - shared)]
                 found += [(min(rid[x], rid[j]), max(rid[x], rid[j])) for j in y if before[x].isdisjoint(before[j])]
             if found:
                 a, b = zip(*found, strict=True)
@@ -200,28 +211,47 @@ def _block_candidates(rows: DataFrame, sets: DataFrame, rule: Jaccard) -> DataFr
 
     dealt = rows.withColumn("blocks", F.ceil(F.col("cnt") / BLOCK))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit(2), "rid"), F.col("blocks")))
+    key = ["rid", "t1", "t2"] if whole else ["rid"]
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
-        "gram", "rid", "n", "pos", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    full = dealt.join(sets.select("rid", "prefix", "parts"), "rid").repartition("gram", "i", "j")
+        "gram", *key, "n", "pos", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    full = dealt.join(sets.select(*key, "prefix", "parts"), key)
+    if whole:
+        wanted = texts.join(rows.select(*key).distinct(), key, "left_semi").dropDuplicates(key)
+        full = full.join(saved(wanted.select(*key, "text"), "block-texts"), key)
+    full = full.repartition("gram", "i", "j")
     return full.sortWithinPartitions("gram", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
+def _all_links(sets: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
+    """All pairs of classes that link, also within a component: as many as there are, which a large group squares."""
+    grams = sets.select(F.posexplode("prefix").alias("pos", "gram"), "rid", "t1", "t2", "n")
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+    grams = saved(grams.join(shared, "gram").withColumn("comp", F.col("rid")), "all-grams")
+    rare = grams.where(F.col("cnt") <= HOT)
+    pairs = saved(_candidates(rare, rare, rule, F.col("o.rid") < F.col("p.rid")), "all-candidates")
+    links = _links(pairs, sets, texts, rule)
+    many = grams.where(F.col("cnt") > HOT)
+    if many.isEmpty():
+        return links
+    return saved(links.unionAll(_block_candidates(many, sets, rule, texts)).distinct(), "all-links")
+
+
 def jaccard_join(
     docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text",
-    star_rounds: int = 2,
-) -> tuple[DataFrame, DataFrame]:
+    star_rounds: int = 2, with_links: bool = True,
+) -> tuple[DataFrame, DataFrame | None]:
     """Documents whose sets of k-word shingles have a Jaccard similarity of num / den or more.
 
     Returns (members, links). members has every row's rid, t1, t2 (the text's key), n_shingles, class_id (the smallest
-    id of its equal set) and component_id (the smallest id reachable by links). links (a, b) joins different classes:
-    all pairs that link, but for pairs of one component in which a frequent gram has already put both.
+    id of its equal set) and component_id (the smallest id reachable by links). links (a, b) are all pairs of different classes that link, by their class ids; a large group
+    has as many as its square. Without ``with_links`` they are None, and only pairs that components need are looked at.
 
     Words are runs without ASCII blanks, A-Z lower-cased; a text of fewer than k words is one shingle. Shingles are
     compared by 64-bit hash: two sets of n shingles differ from the truth with a chance of about n * n / 2**64. Equal sets are one
     class. Grams are ordered rare first by counts over all documents. Grams in more than HOT prefixes are first
     joined with one of their documents (a star), so a large group of near copies is found in about as many pairs as
     it has members; then every pair that shares a prefix gram and is not in one component yet is looked at, those of
-    frequent grams in blocks.
+    frequent grams in blocks. That short cut holds for components; for links, pairs of all frequent grams are verified in blocks.
     Null and empty texts have no shingles and link with nothing; null ids link with nothing and have null ids of class and
     component; rows of equal id are one node; repeated rows repeat; an empty table gives empty frames.
     """
@@ -269,7 +299,7 @@ def jaccard_join(
     # Rows of one id are one node, also where their texts are of two classes.
     return members.select(
         "rid", "t1", "t2", "n_shingles", F.coalesce("class_id", "rid").alias("class_id"),
-        F.coalesce("component_id", "rid").alias("component_id")), links
+        F.coalesce("component_id", "rid").alias("component_id")), _all_links(sets, texts, rule) if with_links else None
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -22,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, _ = jaccard_join(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+    members, _ = jaccard_join(_table(spark, sf_dir, "documents"), k=4, num=85, den=100, with_links=False)
     return members.select(F.col("rid").alias("doc_id"), "n_shingles", "component_id")
 
 

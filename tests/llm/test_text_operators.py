@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -63,6 +64,30 @@ def test_jaccard_join(spark, awkward, monkeypatch, hot, block, k, num, den):
         assert a < b and (a == 10 or den * len(s & t) >= num * len(s | t))
 
 
+@pytest.mark.parametrize("block", [16, 512])
+def test_all_links_of_a_large_group(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rnd = random.Random(2)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        near = list(base)
+        for _ in range(i % 4):
+            near[rnd.randrange(300)] = f"x{rnd.randrange(9)}"
+        rows.append((i, " ".join(near)))
+    rows += [(200 + i, " ".join(f"v{i}{j}" for j in range(40)) + " tail" * (i % 2)) for i in range(5)]
+    classes = {}
+    for i, t in rows:
+        classes.setdefault(frozenset(shingles(t, 5)), i)
+    expected = {(i, j) for s, i in classes.items() for t, j in classes.items() if i < j and 5 * len(s & t) >= 4 * len(s | t)}
+    members, links = jaccard_join(documents(spark, rows))
+    assert len(classes) > ngram_join.HOT and len(expected) > 2000
+    found = sorted(map(tuple, links.collect()))
+    assert len(found) == len(expected) and found == sorted(expected)
+    lean, none = jaccard_join(documents(spark, rows), with_links=False)
+    assert none is None and sorted(lean.collect()) == sorted(members.collect())
+
+
 def test_jaccard_join_of_nothing(spark):
     members, links = jaccard_join(documents(spark, []))
     assert members.count() == links.count() == 0
