@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.conversations import damaged, digest, repair_conversations
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import mix_sources
@@ -81,6 +82,15 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, report = repair_conversations(damaged(_table(spark, sf_dir, "conversations")), copies_col="copies")
+    told = digest(turns).withColumnRenamed("conv_id", "told_id")
+    found = report.join(told, F.col("conv_id").eqNullSafe(F.col("told_id")), "left")
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_ngram_join": ngram_join,
     "op2_line_dedup": line_dedup,
@@ -92,6 +102,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup,
     "op9_pii": pii,
     "op10_sharding": sharding,
+    "op11_conversation_repair": conversation_repair,
 }
 
 ORACLES = {
@@ -179,4 +190,69 @@ ORACLES = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
                sha256(coalesce(t, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (doc_id)""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(4294967295, list_reduce(list_transform(range(1, length(k) + 1), lambda i: ord(substr(k, i, 1))::BIGINT),
+                       lambda c, b: list_reduce(range(8), lambda x, j: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384)
+                                                ELSE x >> 1 END, xor(c, b)), 4294967295)) % 20 AS rule
+            FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations)),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN rule = 4 THEN 'user' ELSE role END AS role,
+                   CASE rule WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(range(CASE WHEN rule = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM given WHERE rule <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, line, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, line, copy) AS copies,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+            FROM (SELECT *, md5(length(role) || ':' || role || text) AS line FROM damaged)),
+        faults AS (
+            SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN copies > 1 THEN 'duplicate'
+                           WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+                   substr(role, 1, 1) AS c, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed),
+        inserts(s, word, mid, cost, added) AS (
+            SELECT s, '', s, 0, CAST([] AS VARCHAR[]) FROM range(4) t(s)
+            UNION ALL SELECT s, 'I', CASE s WHEN 2 THEN 3 ELSE 2 END, 2, [CASE s WHEN 2 THEN 'assistant:' ELSE 'user:' END]
+            FROM range(4) t(s)
+            UNION ALL SELECT s, 'II', CASE s WHEN 2 THEN 2 ELSE 3 END, 4,
+                             CASE s WHEN 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END FROM range(4) t(s)),
+        letters(c, mid, letter, too, paid, name) AS (
+            SELECT CAST(NULL AS VARCHAR), mid, 'D', mid, 3, CAST(NULL AS VARCHAR) FROM range(4) t(mid)
+            UNION ALL SELECT NULL, mid, 'R', CASE mid WHEN 2 THEN 3 ELSE 2 END, 2, CASE mid WHEN 2 THEN 'assistant' ELSE 'user' END
+            FROM range(4) t(mid)
+            UNION ALL VALUES ('s', 0, 'K', 1, 0, NULL), ('u', 0, 'K', 2, 0, NULL), ('u', 1, 'K', 2, 0, NULL),
+                             ('u', 3, 'K', 2, 0, NULL), ('a', 2, 'K', 3, 0, NULL)),
+        paths AS (
+            SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS cost, '' AS audit,
+                   CAST([] AS VARCHAR[]) AS lines FROM conversations
+            UNION ALL
+            SELECT conv_id, i, too, min({'cost': cost, 'audit': audit}).cost, min({'cost': cost, 'audit': audit}).audit,
+                   arg_min(lines, {'cost': cost, 'audit': audit})
+            FROM (SELECT p.conv_id, f.i, CAST(l.too AS BIGINT) AS too,
+                         CAST(p.cost + n.cost + l.paid + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END AS BIGINT) AS cost,
+                         p.audit || n.word || l.letter AS audit,
+                         list_concat(p.lines, n.added, CASE letter WHEN 'D' THEN CAST([] AS VARCHAR[])
+                                     ELSE [coalesce(l.name, f.role) || ':' || f.text] END) AS lines
+                  FROM paths p JOIN faults f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1
+                  JOIN inserts n ON n.s = p.s
+                  JOIN letters l ON l.mid = n.mid AND (l.c IS NULL OR l.c = f.c)
+                                 AND (l.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate')))
+            GROUP BY conv_id, i, too),
+        ends AS (
+            SELECT conv_id, min({'cost': p.cost + n.cost, 'audit': audit || word}) AS best,
+                   arg_min(array_to_string(list_concat(lines, added), chr(10)), {'cost': p.cost + n.cost, 'audit': audit || word}) AS text
+            FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS last FROM paths) p JOIN inserts n ON n.s = p.s
+            WHERE i = last AND (n.mid = 3 OR (n.mid = 0 AND n.word = '')) GROUP BY conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faults GROUP BY conv_id)
+        SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+               sha256(text) AS repaired_sha256
+        FROM ends LEFT JOIN counts ON ends.conv_id IS NOT DISTINCT FROM counts.conv_id""",
 }
