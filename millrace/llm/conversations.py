@@ -8,14 +8,13 @@ costs. Tables of stretches are joined along a conversation, and a stretch whose
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import saved
-from millrace.llm.tokens import groups
 
 BLANKS = " \t\n\x0b\x0c\r"
 STATES = range(4)
@@ -152,99 +151,115 @@ def _written(word: str, state: int, symbol: int) -> tuple[list[str], int]:
     return roles, state
 
 
-STRETCH = ("conv long, none boolean, part long, n long, blank long, duplicate long, truncated long, illegal long, spare long, "
-           "low long, high long, turns long, first long, last long, costs array<long>, ranks array<long>")
-
-
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per conversation and part of the order: counts, and the table of costs and ranks."""
-    for rows in groups(batches, ("conv", "none", "part")):
-        copies, symbols = rows.column("copies").to_pylist(), rows.column("symbol").to_pylist()
-        turns, blank = rows.column("turn").to_pylist(), rows.column("blank").to_pylist()
-        real = [i for i, c in enumerate(copies) if c]
-        n, spare = sum(copies), sum(copies[i] - 1 for i in real)
-        forced = [i for i in real if symbols[i] % 3 == FORCED]
-        again = sum(copies[i] for i in forced if not blank[i]) + sum(copies[i] - 1 for i in real if symbols[i] % 3 != FORCED)
-        known = [turns[i] for i in real if turns[i] is not None]
-        kinds = [symbols[i] // 3 for i in real]
-        odd = sum(not _legal(a, b) for a, b in zip(kinds, kinds[1:])) + spare
-        path = bytes(symbols[i] for i in real)
-        tables = [forward(path, start(s)) for s in STATES]
-        yield pa.RecordBatch.from_pydict({
-            **{c: [rows.column(c)[0].as_py()] for c in ("conv", "none", "part")}, "n": [n],
-            "blank": [sum(copies[i] for i in forced if blank[i])], "duplicate": [again],
-            "truncated": [sum(symbols[i] % 3 == CUT for i in real)], "illegal": [odd], "spare": [spare],
-            "low": pa.array([min(known, default=None)], pa.int64()), "high": pa.array([max(known, default=None)], pa.int64()),
-            "turns": [len(set(known))], "first": [kinds[0] if real else -1], "last": [kinds[-1] if real else -1],
-            "costs": [[min(FAR, total + c) if c < FAR else FAR for total, v in tables for c, _ in v]],
-            "ranks": [[r for _, v in tables for _, r in v]],
-        })
+KEYS = {"conv": pa.int64(), "none": pa.bool_(), "part": pa.int64()}
+COUNTS = ["n", "blank", "duplicate", "truncated", "illegal"]
+STRETCH = pa.schema({**KEYS, **dict.fromkeys([*COUNTS, "spare", "low", "high", "turns", "first", "last"], pa.int64()),
+                     "costs": pa.list_(pa.int64()), "ranks": pa.list_(pa.int64())})
+PLAN = pa.schema({**KEYS, "enter": pa.int32(), "leave": pa.int32(), "tail": pa.string(), "head": pa.bool_(),
+                  **dict.fromkeys([*COUNTS, "gaps", "cost"], pa.int64())})
+SOLVED = pa.schema({"at": pa.int64(), "edits": pa.string(), "before": pa.list_(pa.string()), "own": pa.string(),
+                    "after": pa.list_(pa.string())})
+
+
+def _by_group(keys: tuple[str, ...], solve: Callable[[dict[str, list]], list[dict]], schema: pa.Schema):
+    """A function for ``mapInArrow`` over rows sorted by keys: the rows that ``solve`` gives for each whole group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+        for batch in batches:
+            out, columns = [], batch.to_pydict()
+            ids = list(zip(*(columns[k] for k in keys), strict=True))
+            starts = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
+            for i, j in zip(starts, [*starts[1:], len(ids)], strict=True):
+                part = {c: values[i:j] for c, values in columns.items()}
+                if ids[i] == key:
+                    for c, values in part.items():
+                        held[c] += values
+                    continue
+                if key is not None:
+                    out += solve(held)
+                key, held = ids[i], part
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+        if key is not None:
+            yield pa.RecordBatch.from_pylist(solve(held), schema=schema)
+
+    return run
+
+
+def _stretch(rows: dict[str, list]) -> list[dict]:
+    """Counts of one part of a conversation, and its table of costs and ranks."""
+    real = [i for i, c in enumerate(rows["copies"]) if c]
+    copies, symbols, blank = ([rows[c][i] for i in real] for c in ("copies", "symbol", "blank"))
+    spare = sum(copies) - len(real)
+    again = sum(c if s % 3 == FORCED else c - 1 for c, s, b in zip(copies, symbols, blank, strict=True) if not b)
+    known = [rows["turn"][i] for i in real if rows["turn"][i] is not None]
+    kinds = [s // 3 for s in symbols]
+    tables = [forward(bytes(symbols), start(s)) for s in STATES]
+    return [{
+        **{c: rows[c][0] for c in KEYS}, "n": sum(copies), "blank": sum(c for c, b in zip(copies, blank, strict=True) if b),
+        "duplicate": again, "truncated": sum(s % 3 == CUT for s in symbols), "spare": spare,
+        "illegal": sum(not _legal(a, b) for a, b in zip(kinds, kinds[1:])) + spare,
+        "low": min(known, default=None), "high": max(known, default=None), "turns": len(set(known)),
+        "first": kinds[0] if kinds else None, "last": kinds[-1] if kinds else None,
+        "costs": [total + c if c < FAR else FAR for total, v in tables for c, _ in v],
+        "ranks": [r for _, v in tables for _, r in v],
+    }]
 
 
 def _legal(a: int, b: int) -> bool:
     return CLASSES[a] + CLASSES[b] in ("su", "ua", "au")
 
 
-PLAN = ("conv long, none boolean, part long, enter int, leave int, tail string, head boolean, n long, gaps long, blank long, "
-        "duplicate long, truncated long, illegal long, cost long")
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins the stretches of each conversation: the states between them, and the conversation's report."""
-    for rows in groups(batches, ("conv", "none")):
-        every = rows.to_pylist()
-        parts = [p for p in every if p["n"]]
-        vector, came = start(0), []
-        for p in parts:
-            best: dict[int, tuple] = {}
-            for s, (cost, rank) in enumerate(vector):
-                for t in STATES:
-                    if cost < FAR and p["costs"][4 * s + t] < FAR:
-                        new = (cost + p["costs"][4 * s + t], rank, p["ranks"][4 * s + t], s)
-                        best[t] = min(best.get(t, new), new)
-            order = sorted(best, key=lambda t: best[t][1:3])
-            came.append({t: best[t][3] for t in best})
-            vector = tuple((best[t][0], order.index(t)) if t in best else (FAR, 9) for t in STATES)
-        end = min(STATES, key=lambda t: (vector[t][0] + TAIL[t][1], vector[t][1]))
-        cost = vector[end][0] + TAIL[end][1] + 3 * sum(p["spare"] for p in parts)
-        states = [end]
-        for step in reversed(came):
-            states.append(step[states[-1]])
-        states.reverse()
-        known = [p for p in parts if p["low"] is not None]
-        turns = sum(p["turns"] for p in known) - sum(a["high"] == b["low"] for a, b in zip(known, known[1:]))
-        gaps = min(2**63 - 1, known[-1]["high"] - known[0]["low"] + 1 - turns) if known else 0
-        odd = sum(p["illegal"] for p in parts) + sum(not _legal(a["last"], b["first"]) for a, b in zip(parts, parts[1:]))
-        told = {"n": sum(p["n"] for p in parts), "gaps": gaps, "illegal": odd, "cost": cost if parts else 0,
-                **{c: sum(p[c] for p in parts) for c in ("blank", "duplicate", "truncated")}}
-        shown = parts or every[:1]
-        yield pa.RecordBatch.from_pylist([
-            {"conv": p["conv"], "none": p["none"], "part": p["part"], "enter": states[i], "leave": states[min(i + 1, len(states) - 1)],
-             "tail": TAIL[end][0] if p is shown[-1] else "", "head": i == 0, **told} for i, p in enumerate(shown)
-        ], schema=pa.schema([("conv", pa.int64()), ("none", pa.bool_()), ("part", pa.int64()), ("enter", pa.int32()),
-                             ("leave", pa.int32()), ("tail", pa.string()), ("head", pa.bool_()),
-                             *[(c, pa.int64()) for c in ("n", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")]]))
-
-
-def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per row that counts: its edits, and the roles that it writes ("" its own), those after it last."""
-    for rows in groups(batches, ("conv", "none", "part")):
-        symbols, copies = bytes(rows.column("symbol").to_pylist()), rows.column("copies").to_pylist()
-        state, end, tail = (rows.column(c)[0].as_py() for c in ("enter", "leave", "tail"))
-        words = _edits(symbols, state, end)
-        audit, roles = [], []
-        for word, symbol, times in zip(words, symbols, copies, strict=True):
-            written, state = _written(word, state, symbol)
-            audit.append(word + "D" * (times - 1))
-            roles.append((written, "K" in word or "R" in word))
-        audit[-1] += tail
-        more, _ = _written(tail, state, 0)
-        yield pa.RecordBatch.from_pydict({
-            "at": rows.column("at").combine_chunks(), "edits": audit,
-            "before": pa.array([w[:-1] if own else w for w, own in roles], pa.list_(pa.string())),
-            "own": pa.array([w[-1] if own else None for w, own in roles], pa.string()),
-            "after": pa.array([[]] * (len(roles) - 1) + [more], pa.list_(pa.string())),
-        })
+def _joined(rows: dict[str, list]) -> list[dict]:
+    """The parts of one conversation joined: the states between them, and on the first part the report."""
+    every = [dict(zip(rows, values, strict=True)) for values in zip(*rows.values(), strict=True)]
+    parts = [p for p in every if p["n"]]
+    vector, came = start(0), []
+    for p in parts:
+        best: dict[int, tuple] = {}
+        for s, (cost, rank) in enumerate(vector):
+            for t in STATES:
+                if cost < FAR and p["costs"][4 * s + t] < FAR:
+                    new = (cost + p["costs"][4 * s + t], rank, p["ranks"][4 * s + t], s)
+                    best[t] = min(best.get(t, new), new)
+        order = sorted(best, key=lambda t: best[t][1:3])
+        came.append({t: best[t][3] for t in best})
+        vector = tuple((best[t][0], order.index(t)) if t in best else (FAR, 9) for t in STATES)
+    end = min(STATES, key=lambda t: (vector[t][0] + TAIL[t][1], vector[t][1]))
+    states = [end]
+    for step in reversed(came):
+        states.append(step[states[-1]])
+    states.reverse()
+    known = [p for p in parts if p["low"] is not None]
+    turns = sum(p["turns"] for p in known) - sum(a["high"] == b["low"] for a, b in zip(known, known[1:]))
+    told = {c: sum(p[c] for p in parts) for c in COUNTS}
+    told["illegal"] += sum(not _legal(a["last"], b["first"]) for a, b in zip(parts, parts[1:]))
+    told["gaps"] = min(2**63 - 1, known[-1]["high"] - known[0]["low"] + 1 - turns) if known else 0
+    told["cost"] = vector[end][0] + TAIL[end][1] + 3 * sum(p["spare"] for p in parts) if parts else 0
+    shown = parts or every[:1]
+    return [{**{c: p[c] for c in KEYS}, "enter": states[i], "leave": states[min(i + 1, len(states) - 1)],
+             "tail": TAIL[end][0] if p is shown[-1] else "", "head": i == 0, **told} for i, p in enumerate(shown)]
+
+
+def _solved(rows: dict[str, list]) -> list[dict]:
+    """Of each row of one part its edits, and the roles that it writes: before its own, its own ("" as it is), after."""
+    state, tail = rows["enter"][0], rows["tail"][0]
+    out = []
+    for at, symbol, times, word in zip(rows["at"], rows["symbol"], rows["copies"],
+                                       _edits(bytes(rows["symbol"]), state, rows["leave"][0]), strict=True):
+        written, state = _written(word, state, symbol)
+        own = written.pop() if word[-1] in "KR" else None
+        out.append({"at": at, "edits": word + "D" * (times - 1), "before": written, "own": own, "after": []})
+    out[-1]["edits"] += tail
+    out[-1]["after"] = _written(tail, state, 0)[0]
+    return out
+
+
+def _names(schema: pa.Schema) -> str:
+    """The schema as Spark writes it."""
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.string(): "string",
+             pa.list_(pa.int64()): "array<long>", pa.list_(pa.string()): "array<string>"}
+    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
 
 
 def repair_conversations(
@@ -296,12 +311,13 @@ def repair_conversations(
 
     keys = ["conv", "none", "part"]
     spread = coded.repartition(*keys).sortWithinPartitions(*keys, "at")
-    stretches = spread.mapInArrow(_stretches, STRETCH)
-    plans = stretches.repartition("conv", "none").sortWithinPartitions(*keys).mapInArrow(_joined, PLAN)
+    stretches = spread.mapInArrow(_by_group(tuple(keys), _stretch, STRETCH), _names(STRETCH))
+    plans = stretches.repartition("conv", "none").sortWithinPartitions(*keys).mapInArrow(
+        _by_group(("conv", "none"), _joined, PLAN), _names(PLAN))
     plans = saved(plans, "turn-plans")
     placed = coded.where("copies > 0").join(plans.select(*keys, "enter", "leave", "tail"), keys)
     placed = placed.repartition(*keys).sortWithinPartitions(*keys, "at")
-    solved = placed.mapInArrow(_solved, "at long, edits string, before array<string>, own string, after array<string>")
+    solved = placed.mapInArrow(_by_group(tuple(keys), _solved, SOLVED), _names(SOLVED))
 
     def empty(roles: str) -> Column:
         return F.transform(roles, lambda r: F.struct(r.alias("role"), F.lit("").alias("text")))
