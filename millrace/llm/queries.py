@@ -16,6 +16,7 @@ from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
 from millrace.llm.toxicity import score_toxicity
 from millrace.llm.vectors import near_vectors
+from millrace.llm.whitening import whiten_embeddings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +92,14 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten_embeddings(_table(spark, sf_dir, "embeddings"), components=4)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "value")
+    found = found.select("vid", "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error", each)
+    return found.select(F.col("vid").alias("vec_id"), (F.col("place") + 1).alias("component"), "n", "deviation",
+                        F.col("value.whitened").alias("whitened"), F.col("value.explained").alias("explained"), "identity_error")
+
+
 QUERIES = {
     "op1_ngram_join": ngram_join,
     "op2_line_dedup": line_dedup,
@@ -103,6 +112,7 @@ QUERIES = {
     "op9_pii": pii,
     "op10_sharding": sharding,
     "op11_conversation_repair": conversation_repair,
+    "op13_whitening": whitening,
 }
 
 ORACLES = {
