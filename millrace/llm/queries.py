@@ -12,6 +12,8 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import jaccard_join
 from millrace.llm.pii import KINDS, personal_data, span_text
 from millrace.llm.quality import classify_quality
+from millrace.llm.secrets import KINDS as SECRET_KINDS
+from millrace.llm.secrets import scan_secrets, secret_text
 from millrace.llm.sharding import shard_documents
 from millrace.llm.substring_dedup import drop_repeated_windows
 from millrace.llm.toxicity import score_toxicity
@@ -92,6 +94,14 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda b, k=k: b.kind == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(SECRET_KINDS[:3])]
+    return found.select(F.col("rid").alias("doc_id"), *counts, F.sha2(secret_text("base").cast("binary"), 256).alias("base_sha256"),
+                        secret_text("spans").alias("spans"))
+
+
 def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whiten_embeddings(_table(spark, sf_dir, "embeddings"), components=4)
     each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "value")
@@ -112,6 +122,7 @@ QUERIES = {
     "op9_pii": pii,
     "op10_sharding": sharding,
     "op11_conversation_repair": conversation_repair,
+    "op12_secrets": secrets,
     "op13_whitening": whitening,
 }
 

@@ -15,6 +15,6 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 12)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLES) <= set(entry_points.oracle_sql())
