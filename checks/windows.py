@@ -20,6 +20,7 @@ from millrace.operators.cdc import (
     watermark_row,
     watermarks,
 )
+from millrace.operators.filelog import compact
 from millrace.operators.landing import create_table, insert
 from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_table
@@ -109,7 +110,46 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
         window = plan_window(KEYED, spark.table(tracker), run_ts,
                              lambda: key_maximum(known, "event_id").first().max_value)
         insert(watermark_row(spark.table(tracker), KEYED, window), tracker)
-    return spark.table(tracker).withColumn("key_value", F.col("key_value").cast("long"))
+    return spark.table(tracker).select("job_id", "source_table", "ts_hour", F.col("key_value").cast("long").alias("key_value"))
+
+
+def append_key_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads by a key of up to 27 digits, then one that finds nothing; the rows, and the mark that the tracker holds."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "key", F.expr("CAST(event_id AS DECIMAL(15,0)) * 10000000000000000000000").cast("decimal(38,0)"))
+    schema, landed = scratch_table(spark, "wide").split(".")
+    job = TableJob("J4", "web", "events", schema, landed, load_type="INCREMENTAL", cdc_type="APPEND_KEY",
+                   cdc_append_key_column="key")
+    target = Target(spark, scratch_table(spark, "tracker"))
+    for known in (events.where("ts < TIMESTAMP_NTZ'2024-01-15 00:00:00'"), events, events):
+        load_table(job, LakeSource(spark, lambda schema, name, known=known: known), target,
+                   RunContext.start(spark, "daily", RUNS[2]))
+    mark = target.tracked([job])[job.job_id, job.source_table].key_value
+    return spark.table(target.table(job)).select("event_id", "key", F.lit(str(mark)).alias("mark"))
+
+
+def _added(target: Target, job: TableJob, *marks: int) -> None:
+    for key in marks:
+        target.mark(job, None, str(key), None)
+
+
+def tracker_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tracker of many files, compacted while another batch adds marks, and once more; the marks and the files left."""
+    events = table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    other = TableJob("J5", "web", "clicks", "lake", "clicks", load_type="INCREMENTAL", cdc_type="APPEND_KEY",
+                     cdc_append_key_column="event_id")
+    target = Target(spark, scratch_table(spark, "tracker"))
+    target.ensure_tracker()
+    _added(target, KEYED, low, low + 1, low + 2)
+    steps = {"read": lambda: _added(target, other, high), "written": lambda: _added(target, KEYED, high - 1)}
+    compact(spark, target.tracker, 2, DataFrame.distinct, lambda step: steps.get(step, lambda: None)())
+    files = len(spark.table(target.tracker).inputFiles())
+    found = target.tracked([KEYED, other])
+    compact(spark, target.tracker, 2, DataFrame.distinct)
+    left = len(spark.table(target.tracker).inputFiles())
+    rows = [(*own, int(mark.key_value), files, left) for own, mark in found.items()]
+    return spark.createDataFrame(rows, "job_id string, source_table string, key_value long, files int, files_left int")
 
 
 def tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +177,8 @@ QUERIES = {
     "watermark_lookup": watermark_lookup,
     "watermark_texts": watermark_texts,
     "watermark_advance": watermark_advance,
+    "append_key_wide": append_key_wide,
+    "tracker_compact": tracker_compact,
     "cdc_tiling": tiling,
     "hour_key": hour_keys,
 }
@@ -180,6 +222,19 @@ ORACLES = {
         FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
         UNION ALL
         SELECT 'J2', 'events', CAST(NULL AS VARCHAR), max(event_id) FROM events""",
+    "append_key_wide": """
+        WITH keyed AS (SELECT event_id, CAST(event_id::HUGEINT * 10000000000000000000000::HUGEINT AS DECIMAL(38, 0)) AS key, ts
+                       FROM events),
+        early AS (SELECT * FROM keyed WHERE ts < TIMESTAMP '2024-01-15 00:00:00'),
+        landed AS (SELECT event_id, key FROM early
+                   UNION ALL SELECT event_id, key FROM keyed WHERE key > (SELECT max(key) FROM early))
+        SELECT event_id, key, (SELECT CAST(max(key) AS VARCHAR) FROM keyed) AS mark FROM landed""",
+    # Of the four files the three that were read have become one; the two that came meanwhile stay, and are read the next time.
+    "tracker_compact": """
+        SELECT 'J2' AS job_id, 'events' AS source_table, max(event_id) - 1 AS key_value, CAST(3 AS INTEGER) AS files,
+               CAST(1 AS INTEGER) AS files_left FROM events
+        UNION ALL
+        SELECT 'J5', 'clicks', max(event_id), 3, 1 FROM events""",
     "cdc_tiling": """
         SELECT event_id, ts,
                CASE WHEN ts < TIMESTAMP '2024-01-10 00:00:00' THEN '2024011000'

@@ -7,7 +7,8 @@ from dataclasses import dataclass, field, fields
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # States, layer name and time formats of the ledger.
@@ -19,7 +20,8 @@ HOUR_FORMAT = "yyyyMMddHH"
 DAY_FORMAT = "yyyyMMdd"
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Append keys of the tracker: whole numbers of 20 digits, and fractions as exact as a double's shortest text.
+# Append keys of the tracker: whole numbers of 20 digits, and fractions as exact as a double's shortest text. Other keys are
+# kept as text.
 KEY_TYPE = T.DecimalType(38, 18)
 
 # The columns of the ledger.
@@ -51,9 +53,20 @@ TRACKER_SCHEMA = T.StructType(
         T.StructField("source_table", T.StringType()),
         T.StructField("ts_hour", T.StringType()),
         T.StructField("key_value", KEY_TYPE),
+        T.StructField("key_text", T.StringType()),
+        T.StructField("load_id", T.StringType()),
     ]
 )
 
+# What appending loads were about to do.
+LOADS_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.StringType())
+        for name in ("load_id", "job_id", "source_table", "target_table", "state", "ts_hour", "key_text")
+    ]
+    + [T.StructField("at", T.TimestampType())]
+)
+
 CATALOGUE_SCHEMA = T.StructType(
     [
         T.StructField("column_name", T.StringType()),
@@ -162,6 +175,13 @@ OUTCOME_SCHEMA = T.StructType(
 )
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: tuple) -> DataFrame:
+    """One row of literals, which needs no Python worker."""
+    return spark.range(1, numPartitions=1).select(
+        *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in zip(schema.fields, values, strict=True)]
+    )
+
+
 def is_yes(flag: Any) -> bool:
     return flag is not None and str(flag).strip().upper() == "Y"
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from datetime import datetime
-from decimal import Decimal
+from decimal import Context, Decimal
 from functools import reduce
 from operator import or_
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.timekeys import ceil_day, floor_hour, format_hour, parse_hour
-from millrace.model import HOUR_FORMAT, KEY_TYPE, TRACKER_SCHEMA, TableJob
+from millrace.model import HOUR_FORMAT, KEY_TYPE, TRACKER_SCHEMA, TableJob, one_row
 
 Key = int | float | Decimal
 
@@ -32,14 +32,29 @@ def column_type(schema: T.StructType, name: str) -> T.DataType:
 
 
 def exact_key(value: Key) -> Decimal:
-    """A key as the tracker keeps it, without loss; a key that it cannot hold is an error."""
+    """A key without loss, a double by its shortest text; one that is no number is an error."""
     key = Decimal(repr(value)) if isinstance(value, float) else Decimal(value)
-    whole = KEY_TYPE.precision - KEY_TYPE.scale
-    if not key.is_finite() or abs(key) >= 10**whole or key.normalize().as_tuple().exponent < -KEY_TYPE.scale:
-        raise ValueError(f"the tracker cannot hold the key {value} exactly")
+    if not key.is_finite():
+        raise ValueError(f"the tracker cannot hold the key {value}")
     return key
 
 
+def key_text(value: Key) -> str:
+    """A key in plain digits, the same text for equal keys."""
+    text = format(exact_key(value), "f")
+    return text.rstrip("0").rstrip(".") if "." in text else text
+
+
+def holds(dtype: T.DataType, key: Decimal) -> bool:
+    """Whether a column of a whole or decimal type keeps the key exactly."""
+    if isinstance(dtype, T.DecimalType):
+        digits = 10 ** (dtype.precision - dtype.scale)
+        scaled = key.scaleb(dtype.scale, Context(prec=1000))
+        return abs(key) < digits and scaled == scaled.to_integral_value(context=Context(prec=1000))
+    bits = {T.ByteType(): 7, T.ShortType(): 15, T.IntegerType(): 31, T.LongType(): 63}.get(dtype)
+    return bits is not None and key == int(key) and abs(key) < 2**bits
+
+
 def plain_key(value: Decimal | None) -> Key | None:
     """A whole key as int."""
     return int(value) if value is not None and value == value.to_integral_value() else value
@@ -145,7 +160,7 @@ def tracker_rows(tracker: DataFrame) -> DataFrame:
     """Tracker rows with typed watermarks, also of a tracker that keeps one untyped ``updated_at``.
 
     ``bad_hour`` and ``bad_key`` mark a text that cannot be read as the one or the other. A number that
-    names an hour is no key: the tracker does not say which it is.
+    names an hour is no key: the tracker does not say which it is. Keys beyond ``KEY_TYPE`` stay text (``key_text``).
     """
     untyped = F.lit(None).cast("string")
     if "updated_at" in tracker.columns:
@@ -158,18 +173,28 @@ def tracker_rows(tracker: DataFrame) -> DataFrame:
     hours = F.coalesce("ts_hour", untyped) if "ts_hour" in tracker.columns else untyped
     typed = F.col("key_value").cast(KEY_TYPE) if "key_value" in tracker.columns else F.lit(None).cast(KEY_TYPE)
     read_key = F.when(hour_mark(untyped).isNull(), untyped.try_cast(KEY_TYPE))
+    text = F.col("key_text") if "key_text" in tracker.columns else F.lit(None).cast("string")
     return tracker.select(
         "job_id",
         "source_table",
         hour_mark(hours).alias("ts_hour"),
         F.coalesce(typed, read_key).alias("key_value"),
         (hours.isNotNull() & hour_mark(hours).isNull()).alias("bad_hour"),
-        (untyped.isNotNull() & typed.isNull() & read_key.isNull()).alias("bad_key"),
+        F.when(text.try_cast("double").isNotNull(), text).alias("key_text"),
+        ((untyped.isNotNull() & typed.isNull() & read_key.isNull())
+         | (text.isNotNull() & text.try_cast("double").isNull())).alias("bad_key"),
     )
 
 
+def _by_size(text: Column) -> Column:
+    """What orders keys in plain digits as numbers: as doubles, then by all digits before the point, then after it."""
+    fraction = F.concat(F.lit("0."), F.regexp_extract(text, r"[.]([0-9]+)$", 1), F.lit("0")).try_cast("decimal(38,38)")
+    whole = F.substring_index(text, ".", 1).try_cast("decimal(38,0)")
+    return F.struct(text.try_cast("double"), whole, F.when(text.startswith("-"), -fraction).otherwise(fraction))
+
+
 def watermarks(tracker: DataFrame) -> DataFrame:
-    """The current watermark of every job, in one pass over the tracker, and how many texts are none.
+    """The current watermark of every job, in one pass over the tracker, how many texts are none, and how many keys are text.
 
     Hour marks all have ten digits, so their maximum is taken as a number, which Spark aggregates by
     hash; text it would sort first.
@@ -177,6 +202,7 @@ def watermarks(tracker: DataFrame) -> DataFrame:
     return tracker_rows(tracker).groupBy("job_id", "source_table").agg(
         F.max(F.col("ts_hour").cast("long")).cast("string").alias("ts_hour"),
         F.max("key_value").alias("key_value"),
+        F.count("key_text").alias("text_keys"),
         F.count_if("bad_hour").alias("bad_hours"),
         F.count_if("bad_key").alias("bad_keys"),
     )
@@ -195,20 +221,48 @@ class Mark:
 def marks(tracker: DataFrame, jobs: list[TableJob]) -> dict[tuple[str, str], Mark]:
     """The marks of the given jobs, by job and source table, in one aggregate; a row per job reaches the driver."""
     own = tracker.where(F.col("job_id").isin([job.job_id for job in jobs]))
+    rows = watermarks(own).collect()
+    texts = {}
+    if any(row.text_keys for row in rows):
+        texts = {(row.job_id, row.source_table): row.key_text for row in text_marks(own).collect()}
     return {
-        (row.job_id, row.source_table): Mark(row.ts_hour, plain_key(row.key_value), row.bad_hours, row.bad_keys)
-        for row in watermarks(own).collect()
+        own: Mark(row.ts_hour, _largest(row.key_value, texts.get(own)), row.bad_hours, row.bad_keys)
+        for row in rows for own in [(row.job_id, row.source_table)]
     }
 
 
+def text_marks(tracker: DataFrame) -> DataFrame:
+    """The largest of each job's keys that are kept as text."""
+    kept = tracker_rows(tracker).where("key_text IS NOT NULL")
+    return kept.groupBy("job_id", "source_table").agg(F.max_by("key_text", _by_size(F.col("key_text"))).alias("key_text"))
+
+
+def _largest(value: Decimal | None, text: str | None) -> Key | None:
+    keys = [Decimal(key) for key in (value, text) if key is not None]
+    return plain_key(max(keys, default=None))
+
+
 def watermark_of(tracker: DataFrame, job: TableJob) -> Mark:
     return marks(tracker, [job]).get((job.job_id, job.source_table), Mark())
 
 
-def watermark_row(tracker: DataFrame, job: TableJob, window: Window) -> DataFrame:
+def watermark_values(window: Window) -> tuple[str | None, str | None]:
+    """The upper bound of a window, as the text of an hour or of a key."""
+    mark = window.watermark
+    return mark["ts_hour"], None if mark["key_value"] is None else key_text(mark["key_value"])
+
+
+def mark_row(tracker: DataFrame, job: TableJob, ts_hour: str | None, key: str | None, load_id: str | None = None) -> DataFrame:
+    """A tracker row; a key that the tracker's own type does not hold goes in as text."""
+    dtype = column_type(tracker.schema, "key_value") if "key_value" in tracker.columns else None
+    typed = key is not None and dtype is not None and holds(KEY_TYPE, Decimal(key)) and holds(dtype, Decimal(key))
+    values = (job.job_id, job.source_table, ts_hour, Decimal(key) if typed else None, None if typed else key, load_id)
+    return one_row(tracker.sparkSession, TRACKER_SCHEMA, values)
+
+
+def watermark_row(tracker: DataFrame, job: TableJob, window: Window, load_id: str | None = None) -> DataFrame:
     """The tracker row that a landed window leaves behind: its own upper bound."""
-    values = (job.job_id, job.source_table, window.watermark["ts_hour"], window.watermark["key_value"])
-    return tracker.sparkSession.createDataFrame([values], TRACKER_SCHEMA)
+    return mark_row(tracker, job, *watermark_values(window), load_id)
 
 
 def plan_window(job: TableJob, known: DataFrame | Mark, run_ts: datetime, key_max) -> Window | None:
@@ -232,7 +286,10 @@ def plan_window(job: TableJob, known: DataFrame | Mark, run_ts: datetime, key_ma
             "write them to key_value"
         )
     largest = key_max()
-    return None if largest is None else KeyRange(job.cdc_append_key_column, mark.key_value, plain_key_of(largest))
+    if largest is None:
+        return None
+    exact_key(plain_key_of(largest))  # before anything is read or landed
+    return KeyRange(job.cdc_append_key_column, mark.key_value, plain_key_of(largest))
 
 
 def plain_key_of(value) -> Key:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.filelog import location, matching_files, remove
 from millrace.operators.partitions import partitioned
 from millrace.sources.dialects import text_literal
 
@@ -23,11 +24,15 @@ ANY_SCHEMA = {"iceberg": ("write.spark.accept-any-schema", "true")}
 # Table properties of a staged table: that it holds all of its rows, and where its target lay.
 COMPLETE = "millrace.complete"
 LOCATION = "millrace.location"
+# Table property: the last load whose rows came in by a replacement of the table.
+LOAD = "millrace.load"
 # Option of a job that allows a load to rewrite its table with wider types.
 WIDEN = "millrace.widen"
 PARTITION_HEADING = "# Partition Information"
 DYNAMIC = "'partitionOverwriteMode'='dynamic'"
 STATIC = "'partitionOverwriteMode'='static'"
+# Fixed value: the setting of a write that names its files.
+BASENAME = "mapreduce.output.basename"
 
 
 @dataclass(frozen=True)
@@ -170,7 +175,7 @@ def definition(spark: SparkSession, table: str) -> Definition:
     told = dict(lines[start:])
     given = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     ours = {key: value for key, value in given.items()
-            if key not in (COMPLETE, LOCATION) and not key.startswith(("spark.sql.", "transient_", "option."))}
+            if key not in (COMPLETE, LOCATION, LOAD) and not key.startswith(("spark.sql.", "transient_", "option."))}
     storage = told.get("Storage Properties", "").strip("[]")
     options = dict(pair.split("=", 1) for pair in storage.split(", ") if "=" in pair)
     options.pop("serialization.format", None)
@@ -205,11 +210,19 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, fmt: str
     spark.sql(" ".join(clauses))
 
 
-def insert(df: DataFrame, table: str, overwrite: list[str] | None = None) -> None:
-    """Adds rows by column name, or replaces the partitions of the given columns that occur in them."""
+def _files_of(load_id: str) -> str:
+    """How the names of a load's files begin."""
+    return f"load-{load_id}"
+
+
+def insert(df: DataFrame, table: str, overwrite: list[str] | None = None, load_id: str | None = None) -> None:
+    """Adds rows by column name, or replaces the partitions of the given columns that occur in them.
+
+    The names of the files begin with the load's id, where one is given.
+    """
     spark = df.sparkSession
     rows = aligned(df, spark.table(table).schema)
-    into = f"INTO {table}"
+    into = f"INTO {table}" + (f" WITH ('{BASENAME}'='{_files_of(load_id)}')" if load_id else "")
     if overwrite:
         # Spark would replace all rows of a table that is not partitioned.
         missing = set(overwrite) - set(partition_columns(spark, table))
@@ -227,25 +240,37 @@ def _rename(spark: SparkSession, staged: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{COMPLETE}', '{LOCATION}')")
 
 
+def _property(spark: SparkSession, table: str, name: str) -> str | None:
+    given = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return given.get(name)
+
+
 def _refill(spark: SparkSession, staged: str, table: str) -> None:
     """Replaces all rows of a table by those of the staged one; the table itself stays as it is."""
     rows = aligned(spark.table(staged), spark.table(table).schema)
     rows = spread(rows, partition_columns(spark, table))
     spark.sql(f"INSERT OVERWRITE {table} WITH ({STATIC}) SELECT * FROM {{rows}}", rows=rows)
+    load_id = _property(spark, staged, LOAD)
+    if load_id:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOAD}' = {text_literal(load_id)})")
     spark.sql(f"DROP TABLE {staged}")
 
 
-def _swap(spark: SparkSession, staged: str, table: str, fmt: str, kept: Definition, replace: str | None) -> None:
+def _swap(spark: SparkSession, staged: str, table: str, fmt: str, kept: Definition, replace: str | None,
+          load_id: str | None = None) -> None:
     """Puts the rows of a staged table in the place of the target's, marking it complete before.
 
-    Where only rows change, or the target has its own location, the target is filled again; otherwise the staged table
-    takes the target's name, which moves no row.
+    The staged table takes the target's name, which moves no row. A target with its own location is filled again from it, as
+    its files must lie there.
     """
-    marks = f"'{COMPLETE}' = {text_literal(replace or 'table')}"
+    marks = {COMPLETE: replace or "table"}
     if kept.location:
-        marks += f", '{LOCATION}' = {text_literal(kept.location)}"
-    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({marks})")
-    if replace == "rows":
+        marks[LOCATION] = kept.location
+    if load_id:
+        marks[LOAD] = load_id
+    pairs = ", ".join(f"'{key}' = {text_literal(value)}" for key, value in marks.items())
+    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({pairs})")
+    if replace == "rows" and kept.location:
         _refill(spark, staged, table)
         return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -276,8 +301,26 @@ def _recover(spark: SparkSession, staged: str, table: str, fmt: str) -> None:
         spark.sql(f"DROP TABLE {staged}")
 
 
+def undo_load(spark: SparkSession, table: str, load_id: str, fmt: str = "parquet") -> bool:
+    """Ends an appending load of a file table that broke off: removes its files, also half-written ones.
+
+    True where its rows came in whole by a replacement of the table, which holds the older rows too; they stay.
+    """
+    _recover(spark, f"{table}__staged", table, fmt)
+    if not spark.catalog.tableExists(table):
+        return False
+    if _property(spark, table, LOAD) == load_id:
+        return True
+    depth = "*/" * len(partition_columns(spark, table))
+    folder = location(spark, table)
+    # What a broken write has left beside the table would be taken along by the next one.
+    remove(spark, [f"{folder}/_temporary", *matching_files(spark, f"{folder}/{depth}{_files_of(load_id)}-*")])
+    spark.catalog.refreshTable(table)
+    return False
+
+
 def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
-                mode: str | None, widen: bool) -> None:
+                mode: str | None, widen: bool, load_id: str | None) -> None:
     """File formats such as parquet and ORC.
 
     A type that must be widened rewrites the table, old rows and new, beside itself; only if allowed.
@@ -289,7 +332,7 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
     overwrite = by if mode == "partitions" else None
     if not spark.catalog.tableExists(table):
         create_table(spark, table, df.schema, fmt, by, options)
-        insert(df, table)
+        insert(df, table, load_id=load_id)
         return
     schema, kept = df.schema, definition(spark, table)
     if mode != "table":
@@ -300,7 +343,7 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
         if not widened:
             add_columns(spark, table, schema.fields[len(old):])
             if mode != "rows":
-                insert(df, table, overwrite)
+                insert(df, table, overwrite, load_id)
                 return
         elif not widen:
             raise SchemaConflict(
@@ -313,11 +356,11 @@ def _land_files(df: DataFrame, table: str, fmt: str, column: str | None, options
     if mode in (None, "partitions"):
         insert(spread(spark.table(table), by), staged)
     insert(df, staged, overwrite)
-    _swap(spark, staged, table, fmt, kept, mode)
+    _swap(spark, staged, table, fmt, kept, mode, load_id)
 
 
 def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, options: Mapping[str, str],
-                 mode: str | None, widen: bool = True) -> None:
+                 mode: str | None, widen: bool = True, load_id: str | None = None) -> None:
     """Table formats with atomic commits; they are given by the cluster's catalog."""
     spark = df.sparkSession
     writer = df.writeTo(table).using(fmt).options(**{"mergeSchema": "true", **options})
@@ -351,14 +394,15 @@ def land(
     widen: bool = False,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    load_id: str | None = None,
 ) -> Landed:
     """Lands a frame in a table and returns the counts of the write.
 
     Default is append. ``recreate`` replaces table and schema, ``truncate`` replaces the rows,
     ``partition_overwrite`` replaces only the partitions that occur in the frame, which makes a repeat
     harmless. ``widen``, or the option of that name, lets a load rewrite a table of a file format whose types are too
-    narrow. A table keeps its location, comments, properties and options. A plain append can duplicate rows if the process dies between the landing and the
-    watermark, and the load is then repeated.
+    narrow. A table keeps its location, comments, properties and options. ``load_id`` marks what an append adds, so that
+    ``undo_load`` can take it back if the process dies before the load has ended.
     """
     shaped = partitioned(df, partition_by, load_date)
     names = {name.lower(): name for name in shaped.df.columns}
@@ -377,5 +421,5 @@ def land(
     given = dict(options or {})
     widen = given.pop(WIDEN, "").lower() in ("y", "yes", "true") or widen
     write = _land_atomic if fmt in ATOMIC_FORMATS else _land_files
-    write(rows, table, fmt, column, given, mode, widen)
+    write(rows, table, fmt, column, given, mode, widen, load_id if mode is None else None)
     return Landed(seen.get["rows"], len(df.columns), shaped.load_date)

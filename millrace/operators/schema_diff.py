@@ -24,15 +24,25 @@ def schema_diff(previous: DataFrame, current: DataFrame, keys: list[str]) -> Dat
     return old.join(new, keys, "full_outer").withColumn("change", change).drop("_had", "_has")
 
 
+def _sentence(changes: list[tuple[str, str, str | None, str | None]]) -> str:
+    """Of (name, change, old type, new type), in the order of names."""
+    parts = [f"{change} {name}" + (f" ({old} -> {new})" if change == "TYPE_CHANGED" else "")
+             for name, change, old, new in sorted(changes) if change != "SAME"]
+    return "; ".join(parts) or NO_CHANGE
+
+
 def change_text(diff: DataFrame) -> str:
     """The changes of one table as a sentence for the ledger."""
-    rows = diff.where("change <> 'SAME'").orderBy("column_name").collect()
-    parts = [
-        f"{row.change} {row.column_name}"
-        + (f" ({row.old_type} -> {row.new_type})" if row.change == "TYPE_CHANGED" else "")
-        for row in rows
-    ]
-    return "; ".join(parts) or NO_CHANGE
+    rows = diff.where("change <> 'SAME'").collect()
+    return _sentence([(row.column_name, row.change, row.old_type, row.new_type) for row in rows])
+
+
+def change_list(old: dict[str, str], new: dict[str, str]) -> str:
+    """The same for two column lists (name and type) that the driver holds already."""
+    changes = [(name, "DROPPED", kind, None) for name, kind in old.items() if name not in new]
+    changes += [(name, "ADDED", None, kind) for name, kind in new.items() if name not in old]
+    changes += [(name, "TYPE_CHANGED", old[name], kind) for name, kind in new.items() if name in old and old[name] != kind]
+    return _sentence(changes)
 
 
 def column_list(df: DataFrame) -> DataFrame:

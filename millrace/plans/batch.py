@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.errors import classify
 from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob, is_yes
 from millrace.operators.cdc import Mark
+from millrace.operators.intents import DONE, Intent
 from millrace.operators.ledger import (
     batch_summary,
     completion_rows,
@@ -36,11 +37,12 @@ class BatchResult:
 
 
 def attempt(job: TableJob, source: Source, target: Target, run: RunContext, log: RunLog,
-            mark: Mark | None = None) -> Outcome:
+            mark: Mark | None = None, pending: list[Intent] | None = None,
+            ended: list[Intent] | None = None) -> Outcome:
     """The outcome of a load; a failure is one too, so that the other tables go on."""
     started = datetime.now()
     try:
-        outcome = load_table(job, source, target, run, mark)
+        outcome = load_table(job, source, target, run, mark, pending, ended)
         log.log(f"{job.job_id}: {outcome.records_processed} rows landed in {target.table(job)}")
         return outcome
     except Exception as error:
@@ -70,16 +72,20 @@ def run_jobs(
 ) -> DataFrame:
     """Loads every job, writes the ledger and returns the run's ledger rows.
 
-    The watermarks of all jobs are looked up at once. Threads only submit Spark jobs.
+    The watermarks of all jobs are looked up at once, and so are loads that broke off. Threads only submit Spark jobs.
     """
     changing = [job for job in jobs if job.change_rule]
     known = target.tracked(changing) if changing else {}
+    pending = target.pending(jobs)
+    ended: list[Intent] = []
 
     def run_one(job: TableJob) -> Outcome:
-        return attempt(job, source, target, run, log, known.get((job.job_id, job.source_table), Mark()))
+        own = (job.job_id, job.source_table)
+        return attempt(job, source, target, run, log, known.get(own, Mark()), pending.get(own, []), ended)
 
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
         outcomes = list(pool.map(run_one, jobs))
+    target.note(ended, DONE)
     write_ledger(ledger_of(spark, outcomes, run), ledger_table, target.fmt)
     own = (F.col("batch_id") == run.batch_id) & (F.col("run_id") == run.run_id)
     return spark.table(ledger_table).where(own)

@@ -1,0 +1,172 @@
+"""Additions of single files, their compaction, and loads that broke off."""
+
+from __future__ import annotations
+
+import os
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
+import pytest
+from pyspark.sql import DataFrame
+
+from millrace.model import RunContext, TableJob
+from millrace.operators.filelog import add, compact, location, steady
+from millrace.operators.landing import create_table, land, undo_load
+from millrace.plans import batch as batch_module
+from millrace.plans.table_load import Target, load_table
+from millrace.session import scratch_table
+from millrace.sources.lake import LakeSource
+
+RUN = RunContext("r", "b", "a", "daily", datetime(2024, 1, 2, 3))
+
+
+@pytest.fixture
+def log(spark):
+    table = scratch_table(spark, "log")
+    create_table(spark, table, spark.range(0).schema, "parquet", [])
+    return table
+
+
+def numbers(spark, table):
+    return sorted(r.id for r in spark.table(table).collect())
+
+
+def test_additions_of_many_writers_are_all_kept(spark, log):
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: add(spark.range(10 * i, 10 * i + 10), log), range(8)))
+    assert numbers(spark, log) == list(range(80))
+    assert len(spark.table(log).inputFiles()) == 8
+
+
+def test_compaction_keeps_what_came_meanwhile(spark, log):
+    for i in range(4):
+        add(spark.range(i, i + 1), log)
+    extra = {"read": 100, "written": 200, "removed": 300}
+    assert compact(spark, log, 3, DataFrame.distinct, lambda step: add(spark.range(extra[step], extra[step] + 1), log))
+    assert numbers(spark, log) == [0, 1, 2, 3, 100, 200, 300]
+    assert not compact(spark, log, 4, DataFrame.distinct)
+
+
+def test_a_compaction_that_dies_leaves_rows_twice_at_most(spark, log):
+    for i in range(3):
+        add(spark.range(i, i + 1), log)
+
+    def die(step):
+        if step == "written":
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        compact(spark, log, 2, DataFrame.distinct, die)
+    assert numbers(spark, log) == [0, 0, 1, 1, 2, 2]
+    compact(spark, log, 2, DataFrame.distinct)
+    assert numbers(spark, log) == [0, 1, 2]
+
+
+def test_readers_try_again_when_a_file_has_gone(spark, log):
+    for i in range(3):
+        add(spark.range(i, i + 1), log)
+    calls = []
+
+    def read(rows):
+        if not calls:
+            calls.append(1)
+            frame = rows.select("id")
+            frame.inputFiles()
+            compact(spark, log, 1, DataFrame.distinct)
+            return frame.collect()
+        return rows.collect()
+
+    assert sorted(r.id for r in steady(spark, log, read)) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("by", [None, "p"])
+def test_undo_takes_back_only_its_own_load(spark, by):
+    table = scratch_table(spark, "undo")
+    rows = spark.range(20).selectExpr("id", "CAST(id % 3 AS STRING) AS p")
+    land(rows, table, load_date="", partition_by=by, load_id="aa")
+    land(rows, table, load_date="", partition_by=by, load_id="ab")
+    folder = location(spark, table).removeprefix("file:")
+    left = f"{folder}/_temporary/0/task_0" + (f"/{by}=1" if by else "")
+    os.makedirs(left)
+    rows.where("p = '1'").select("id").write.parquet(f"{left}/x")
+    assert undo_load(spark, table, "ab") is False
+    assert sorted(r.id for r in spark.table(table).collect()) == list(range(20))
+    assert not os.path.exists(f"{folder}/_temporary")
+    land(rows, table, load_date="", partition_by=by, load_id="ac")
+    assert spark.table(table).count() == 40
+    assert undo_load(spark, f"{table}_none", "ab") is False
+
+
+def loader(spark, job, target, rows, cut=None):
+    def step(name):
+        if name == cut:
+            raise KeyboardInterrupt(name)
+
+    target.progress = step
+    return load_table(job, LakeSource(spark, lambda schema, table: rows), target, RUN)
+
+
+@pytest.fixture
+def place(spark):
+    schema, table = scratch_table(spark, "once").split(".")
+    return Target(spark, scratch_table(spark, "tracker")), schema, table
+
+
+@pytest.mark.parametrize("cut", ["planned", "landed", "marked", "done"])
+def test_a_cut_append_key_load_lands_once(spark, place, cut):
+    target, schema, table = place
+    job = TableJob("J", "s", "t", schema, table, load_type="INCREMENTAL", cdc_type="APPEND_KEY", cdc_append_key_column="id")
+    for rows in (spark.range(10), spark.range(25)):
+        with pytest.raises(KeyboardInterrupt):
+            loader(spark, job, target, rows, cut)
+        assert loader(spark, job, target, rows).records_processed == (0 if cut in ("marked", "done") else 10 if rows.count() == 10 else 15)
+        assert numbers(spark, target.table(job)) == list(range(rows.count()))
+    assert target.pending([job]) == {}
+
+
+def test_whole_loads_append_once_each(spark, place):
+    """A load that broke off is done anew; one that ended stays, and the next run adds to it."""
+    target, schema, table = place
+    job = TableJob("J", "s", "t", schema, table)
+    with pytest.raises(KeyboardInterrupt):
+        loader(spark, job, target, spark.range(3), "landed")
+    loader(spark, job, target, spark.range(3))
+    assert numbers(spark, target.table(job)) == [0, 1, 2]
+    loader(spark, job, target, spark.range(3))
+    assert numbers(spark, target.table(job)) == [0, 0, 1, 1, 2, 2]
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_load_that_rewrote_its_table_is_taken_as_landed(spark, place, external):
+    target, schema, table = place
+    job = TableJob("J", "s", "t", schema, table, load_type="INCREMENTAL", cdc_type="APPEND_KEY", cdc_append_key_column="id",
+                   target_table_options={"millrace.widen": "Y"})
+    if external:
+        from millrace.session import shared_dir
+
+        spark.sql(f"CREATE TABLE {target.table(job)} (id INT) USING parquet LOCATION '{shared_dir(spark, 'once')}'")
+    loader(spark, job, target, spark.range(5).selectExpr("CAST(id AS INT) AS id"))
+    with pytest.raises(KeyboardInterrupt):
+        loader(spark, job, target, spark.range(9), "landed")
+    assert loader(spark, job, target, spark.range(12)).records_processed == 3
+    assert numbers(spark, target.table(job)) == list(range(12))
+
+
+def test_a_batch_notes_the_ends_of_its_loads_at_once(spark, place):
+    target, schema, table = place
+    jobs = [TableJob(f"J{i}", "s", "t", schema, f"{table}_{i}", load_type="INCREMENTAL", cdc_type="APPEND_KEY",
+                     cdc_append_key_column="id") for i in range(3)]
+    source = LakeSource(spark, lambda schema, name: spark.range(4))
+    batch_module.run_jobs(spark, jobs, source, target, RUN, f"{target.tracker}_ledger", batch_module.RunLog())
+    assert len(spark.table(target.loads).inputFiles()) == 4 and target.pending(jobs) == {}
+    assert [numbers(spark, target.table(job)) for job in jobs] == [[0, 1, 2, 3]] * 3
+
+
+def test_a_key_that_is_no_number_lands_nothing(spark, place):
+    target, schema, table = place
+    job = TableJob("J", "s", "t", schema, table, load_type="INCREMENTAL", cdc_type="APPEND_KEY", cdc_append_key_column="k")
+    rows = spark.createDataFrame([(1.0,), (float("nan"),)], "k double")
+    for _ in range(2):
+        with pytest.raises(ValueError):
+            loader(spark, job, target, rows)
+    assert not spark.catalog.tableExists(target.table(job))
