@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,18 @@ from checks.tables import NAMES, SOURCE_TYPES, source, table
 from millrace.functions.typemap import numeric_scale_profile, schema_ddl, schema_map
 from millrace.model import CATALOGUE_SCHEMA, TableJob
 from millrace.operators.cdc import key_maximum
+from millrace.sources.dialects import Dialect
 from millrace.sources.extract import Extract, typed
 from millrace.sources.jdbc import fetch_size
 from millrace.sources.lake import empty_like, enabled_jobs
+from millrace.sources.splits import DEALT, ROW_COLUMN, SPLIT_COLUMN, Histogram, even_parts
+
+class SparkSql(Dialect):
+    """Bounds as Spark writes them."""
+
+    def timestamp(self, ts: datetime) -> str:
+        return f"TIMESTAMP_NTZ '{ts}'"
+
 
 ORDERS = TableJob("J1", "sales", "orders", "lake", "orders")
 FIELDS = "o_orderkey, o_totalprice AS price, upper(o_orderpriority) AS priority"
@@ -34,6 +45,28 @@ def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
+def split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits of the lines by skewed keys: the parts that each line is in, and whether its part is within 1.5 times the mean.
+
+    The keys: powers with a third of all rows in one value and some null, and a date.
+    """
+    lines = f"(SELECT *, pmod(xxhash64(l_orderkey, l_linenumber, l_partkey), {DEALT}) AS {ROW_COLUMN} FROM parquet.`{sf_dir}/lineitem.parquet`)"
+    keys = {"power": "CASE WHEN l_orderkey % 3 = 0 THEN 5 WHEN l_orderkey % 11 > 0 THEN l_orderkey * l_orderkey * l_orderkey END",
+            "shipped": "l_shipdate"}
+    found = None
+    for name, key in keys.items():
+        histogram = Histogram(lambda query: spark.sql(query).collect(), SparkSql().literal, f"{lines} l", key)
+        parts = even_parts(histogram, key, 12, by_row=True).predicates
+        split = spark.sql(f"SELECT l_orderkey, l_linenumber, l_partkey, {key} AS {SPLIT_COLUMN}, {ROW_COLUMN} FROM {lines} l")
+        dealt = split.withColumn("parts", F.filter(F.array(*[F.when(F.expr(p), i) for i, p in enumerate(parts)]), F.isnotnull))
+        sizes = dealt.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+        even = sizes.select("part", (F.col("n") * len(parts) <= 1.5 * sizes.agg(F.sum("n")).scalar()).alias("even"))
+        one = dealt.join(even, F.col("parts")[0] == F.col("part")).select(
+            F.lit(name).alias("key"), "l_orderkey", "l_linenumber", F.size("parts").alias("n_parts"), "even")
+        found = one if found is None else found.unionAll(one)
+    return found
+
+
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     config = customer.select(
@@ -76,6 +109,7 @@ QUERIES = {
     "source_row_count": row_counts,
     "fetch_size_plan": fetch_sizes,
     "append_key_max": append_key_max,
+    "split_plan": split_plan,
 }
 
 COUNTS = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS num_rows FROM {name}" for name in NAMES)
@@ -101,4 +135,7 @@ ORACLES = {
                     ELSE 10000 END AS INTEGER) AS fetch_size
         FROM ({COUNTS})""",
     "append_key_max": "SELECT max(event_id) AS max_value FROM events",
+    "split_plan": """
+        SELECT key, l_orderkey, l_linenumber, CAST(1 AS INTEGER) AS n_parts, TRUE AS even
+        FROM lineitem, (VALUES ('power'), ('shipped')) keys(key)""",
 }

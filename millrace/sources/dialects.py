@@ -11,6 +11,7 @@ from decimal import Decimal
 from millrace.functions.typemap import LONG_MAX
 from millrace.operators.cdc import HourWindow, Key, KeyRange, Window
 from millrace.sources.extract import Extract
+from millrace.sources.splits import DEALT, ROW_COLUMN, SPLIT_COLUMN, Value
 
 
 def number_literal(value: Key) -> str:
@@ -21,10 +22,6 @@ def text_literal(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-# Name of the column that a scan is split by; the scan drops it again.
-SPLIT_COLUMN = "MILLRACE_SPLIT"
-
-
 class Dialect:
     """Shared SQL; a subclass gives the parts of one database."""
 
@@ -78,19 +75,30 @@ class Dialect:
             parts.append(f"({extract.where})")
         return " AND ".join(parts) or None
 
-    def extract_query(self, schema: str, table: str, extract: Extract, all_columns: str = "*",
-                      split: str | None = None) -> str:
-        """``split`` is an expression to add as the split column."""
+    def literal(self, value: Value) -> str:
+        """A bound of a split."""
+        return self.timestamp(value) if isinstance(value, datetime) else number_literal(value)
+
+    def relation(self, schema: str, table: str, extract: Extract) -> str:
+        """The rows to read, as what follows FROM."""
         condition = self.condition(extract)
-        plain = condition is None and not extract.fields
+        return self.table(schema, table) + (f" WHERE {condition}" if condition else "")
+
+    def extract_query(self, schema: str, table: str, extract: Extract, all_columns: str = "*",
+                      split: str | None = None, dealt: bool = False) -> str:
+        """``split`` is an expression to add as the split column; ``dealt`` adds the place of a row.
+
+        The table has no alias, so the fields and conditions of a job mean the same with and without a split.
+        """
+        plain = extract.window is None and not extract.where and not extract.fields
         hint = f"{self.plain_hint} " if plain and self.plain_hint else ""
-        tail = f" WHERE {condition}" if condition else ""
-        chosen, name = extract.fields or all_columns, self.table(schema, table)
+        chosen = extract.fields or all_columns
         if split:
             # A bare star takes no further column beside it.
-            chosen = "t.*" if chosen.strip() == "*" else chosen
-            chosen, name = f"{chosen}, {split} AS {SPLIT_COLUMN}", f"{name} t"
-        return f"SELECT {hint}{chosen} FROM {name}{tail}"
+            chosen = f"{self.table(schema, table)}.*" if chosen.strip() == "*" else chosen
+            chosen = f"{chosen}, {split} AS {SPLIT_COLUMN}"
+            chosen += f", {self.row_part(DEALT)} AS {ROW_COLUMN}" if dealt else ""
+        return f"SELECT {hint}{chosen} FROM {self.relation(schema, table, extract)}"
 
     def window_value(self, window: HourWindow) -> str:
         """Of several change columns the first whose value lies in the window, so that it is within its bounds."""
@@ -98,13 +106,6 @@ class Dialect:
         cases = " ".join(f"WHEN {self._hours(window, column)} THEN {column}" for column in others)
         return f"CASE {cases} ELSE {last} END" if others else last
 
-    def bounds_query(self, schema: str, table: str, extract: Extract, column: str) -> str:
-        """Smallest and largest value of a split expression among the rows to read."""
-        condition = self.condition(extract)
-        tail = f" WHERE {condition}" if condition else ""
-        selected = f"MIN({column}) AS LO, MAX({column}) AS HI"
-        return f"SELECT {selected} FROM {self.table(schema, table)}{tail}"
-
 
 class Oracle(Dialect):
     name = "ORACLE"

@@ -7,7 +7,6 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import timedelta
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +15,9 @@ from millrace.functions.names import select_list
 from millrace.functions.typemap import schema_ddl, schema_map
 from millrace.model import DECLARED_SCHEMA, TableJob
 from millrace.operators.cdc import HourWindow, Key, KeyRange
-from millrace.sources.dialects import SPLIT_COLUMN, Dialect, Oracle, SqlServer
+from millrace.sources.dialects import Dialect, Oracle, SqlServer
 from millrace.sources.extract import Extract
+from millrace.sources.splits import ROW_COLUMN, SPLIT_COLUMN, Histogram, Parts, even_parts
 
 # Fixed values: (largest row count of the tier, fetch size); above the last tier LARGEST_FETCH.
 FETCH_TIERS = [(0, 20), (100, 50), (500, 100), (5000, 200), (20000, 500), (50000, 1000), (100000, 5000)]
@@ -102,27 +102,6 @@ class SplitSettings:
                    int(config.get("rows_per_connection") or base.rows), columns)
 
 
-@dataclass(frozen=True)
-class Split:
-    """A range split of a scan by an expression. Rows outside the bounds or without a value go to the outer parts."""
-
-    expression: str
-    lo: object
-    hi: object
-    parts: int
-
-    def options(self) -> dict[str, str]:
-        lo, hi = self.lo, self.hi
-        if isinstance(lo, (int, float, Decimal)):  # the reader takes whole bounds
-            lo, hi = math.floor(lo), math.ceil(hi)
-        return {
-            "partitionColumn": SPLIT_COLUMN,
-            "lowerBound": str(lo),
-            "upperBound": str(hi),
-            "numPartitions": str(self.parts),
-        }
-
-
 class JdbcSource:
     """One database, read through Spark's JDBC reader."""
 
@@ -136,6 +115,12 @@ class JdbcSource:
     def scan(self, query: str, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.connection.options(query), **options).load()
 
+    def scan_parts(self, query: str, predicates: tuple[str, ...], **options: str) -> DataFrame:
+        """A scan of one task per condition."""
+        given = {**self.connection.options(query), **options}
+        url, table = given.pop("url"), given.pop("dbtable")
+        return self.spark.read.jdbc(url, table, predicates=list(predicates), properties=given)
+
     def catalogue(self, schema: str, table: str) -> DataFrame:
         """column_name, data_type, ordinal_position and the declared digits of one table."""
         found = self.scan(self.dialect.columns_query(schema, table))
@@ -200,27 +185,23 @@ class JdbcSource:
         return schema_ddl(schema_map(known, self.scale_profile(schema, table, numbers, extract)))
 
     def split(self, job: TableJob, extract: Extract, row_count: int | None, columns: list[str],
-              kind: str = "TABLE") -> Split | None:
+              kind: str = "TABLE") -> Parts | None:
         """A split of a scan that is worth several readers; an unknown row count is.
 
-        A key range splits by its width and an hour window by its days, on their own columns. A read without lower
-        bound splits on the key or change column of the job, else on the one set for the table, by the
-        values there are; a table that has none is dealt by the place of its rows.
+        A window splits on its own columns, a read without lower bound on the key or change column of the job, else on the
+        one set for the table: into parts of even size, by a histogram of the rows to read. A table that has no such column is dealt by
+        the place of its rows.
         """
         if extract.fields and GROUPING.search(extract.fields):
             return None
-        most = self.splits.connections
+        most, window = self.splits.connections, extract.window
         parts = most if row_count is None else min(most, math.ceil(row_count / self.splits.rows))
-        window = extract.window
-        if isinstance(window, KeyRange) and window.lo is not None:
-            width = (float(window.hi) - float(window.lo)) / self.splits.rows
-            parts = min(most, math.ceil(width))
-            return Split(window.column, window.lo, window.hi, parts) if parts > 1 else None
-        if parts <= 1 or most <= 1:
+        if isinstance(window, KeyRange) and isinstance(window.lo, int) and isinstance(window.hi, int):
+            parts = min(most, math.ceil((window.hi - window.lo) / self.splits.rows))  # whole keys are no more than that
+        elif isinstance(window, HourWindow) and window.lo is not None:
+            parts = min(parts, math.ceil((window.hi - window.lo) / TIME_PER_CONNECTION))
+        if parts <= 1:
             return None
-        if isinstance(window, HourWindow) and window.lo is not None:
-            parts = min(most, math.ceil((window.hi - window.lo) / TIME_PER_CONNECTION))
-            return Split(self.dialect.window_value(window), window.lo, window.hi, parts) if parts > 1 else None
         names = {raw.lower(): raw for raw in columns}
         if isinstance(window, KeyRange):
             wanted = [window.column]
@@ -234,16 +215,14 @@ class JdbcSource:
             expression = self.dialect.quoted(column)
             if isinstance(window, HourWindow):
                 expression = self.dialect.window_value(window)
-            lo, hi = self.bounds(job, extract, expression)
-            if lo is not None and not isinstance(lo, str):
-                return Split(expression, lo, hi, parts)
-        return Split(self.dialect.row_part(parts), 0, parts, parts) if kind == "TABLE" else None
-
-    def bounds(self, job: TableJob, extract: Extract, expression: str) -> tuple:
-        """The smallest and largest value of an expression among the rows to read."""
-        query = self.dialect.bounds_query(job.source_schema, job.source_table, extract, expression)
-        return tuple(int(v) if isinstance(v, Decimal) and v == v.to_integral_value() else v
-                     for v in self.scan(query).first())
+            relation = self.dialect.relation(job.source_schema, job.source_table, extract)
+            histogram = Histogram(lambda query: self.scan(query).collect(), self.dialect.literal, relation, expression)
+            found = even_parts(histogram, expression, parts, kind == "TABLE")
+            if found is not None:
+                return found
+        if kind != "TABLE":
+            return None
+        return Parts(self.dialect.row_part(parts), tuple(f"{SPLIT_COLUMN} = {i}" for i in range(parts)), False)
 
     def columns(self, job: TableJob) -> list[str]:
         rows = self.catalogue(job.source_schema, job.source_table).collect()
@@ -265,7 +244,7 @@ class JdbcSource:
         if types:
             options["customSchema"] = types
         split = self.split(job, extract, rows, columns, kind)
-        query = self.dialect.extract_query(schema, table, extract, all_columns, split.expression if split else None)
         if split is None:
-            return self.scan(query, **options)
-        return self.scan(query, **options, **split.options()).drop(SPLIT_COLUMN)
+            return self.scan(self.dialect.extract_query(schema, table, extract, all_columns), **options)
+        query = self.dialect.extract_query(schema, table, extract, all_columns, split.expression, split.dealt)
+        return self.scan_parts(query, split.predicates, **options).drop(SPLIT_COLUMN, ROW_COLUMN)

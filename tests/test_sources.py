@@ -3,10 +3,13 @@ queries run by Spark over views that stand for the catalogue."""
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.typemap import numeric_scale_profile
@@ -16,7 +19,7 @@ from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table, shared_dir
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
-from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, Split, SplitSettings, fetch_size, fetch_size_of
+from millrace.sources.jdbc import FETCH_TIERS, JdbcConnection, JdbcSource, SplitSettings, fetch_size, fetch_size_of
 from millrace.sources.lake import LakeSource, empty_like, enabled_jobs, open_source, pipeline_config
 
 LO, HI = datetime(2024, 12, 31, 12), datetime(2025, 1, 1, 5)
@@ -71,9 +74,13 @@ def test_one_profile_query_for_all_numbers():
 
 def test_split_queries():
     text = ORACLE.extract_query("S", "T", Extract(), "*", "ORA_HASH(ROWID, 3)")
-    assert text == "SELECT /*+ PARALLEL(16) */ t.*, ORA_HASH(ROWID, 3) AS MILLRACE_SPLIT FROM S.T t"
+    assert text == "SELECT /*+ PARALLEL(16) */ S.T.*, ORA_HASH(ROWID, 3) AS MILLRACE_SPLIT FROM S.T"
     text = SQL_SERVER.extract_query("dbo", "T", Extract("A, B"), "[x] as x", SQL_SERVER.row_part(4))
-    assert text == "SELECT A, B, ABS(CHECKSUM(%%physloc%%) % 4) AS MILLRACE_SPLIT FROM dbo.T t"
+    assert text == "SELECT A, B, ABS(CHECKSUM(%%physloc%%) % 4) AS MILLRACE_SPLIT FROM dbo.T"
+    named = Extract("T.A, S.T.B AS C", "T.A > 3")
+    whole, part = ORACLE.extract_query("S", "T", named), ORACLE.extract_query("S", "T", named, "*", "A", True)
+    assert whole == "SELECT T.A, S.T.B AS C FROM S.T WHERE (T.A > 3)"
+    assert part == whole.replace(" FROM", ", A AS MILLRACE_SPLIT, ORA_HASH(ROWID, 5039) AS MILLRACE_ROW FROM")
     window = HourWindow(("M", "C"), LO, HI)
     assert ORACLE.window_value(window) == f"CASE WHEN M >= {LO_TEXT} AND M < {HI_TEXT} THEN M ELSE C END"
     assert ORACLE.window_value(HourWindow(("M",), LO, HI)) == "M"
@@ -124,7 +131,7 @@ class ViewDialect(Oracle):
         return f"`{name}`"
 
     def row_part(self, parts):
-        return f"PMOD(XXHASH64(t.NAME), {parts})"
+        return f"PMOD(XXHASH64(NAME), {parts})"
 
 
 class ViewSource(JdbcSource):
@@ -139,6 +146,10 @@ class ViewSource(JdbcSource):
         self.scans.append((query, options))
         return self.spark.sql(query)
 
+    def scan_parts(self, query, predicates, **options):
+        self.scans.append((query, {**options, "predicates": predicates}))
+        return reduce(DataFrame.unionAll, [self.spark.sql(f"SELECT * FROM ({query}) q WHERE {p}") for p in predicates])
+
     def scale_profile(self, schema, table, numbers, extract=None):
         self.profiled = numbers
         return numeric_scale_profile(self.spark.table(f"{schema}.{table}"), numbers)
@@ -199,10 +210,8 @@ def test_full_scan_is_typed_and_split(oracle):
     assert source.extract(job, Extract()).count() == 100
     options = source.scans[-1][1]
     assert options["fetchsize"] == "10000" and options["customSchema"].startswith("ID LONG")
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        "MILLRACE_SPLIT", "1", "100", "5"
-    )
-    assert source.scans[-1][0].startswith("SELECT /*+ PARALLEL(16) */ t.*, `ID` AS MILLRACE_SPLIT FROM ")
+    assert options["predicates"][0] == "(MILLRACE_SPLIT < 23) OR MILLRACE_SPLIT IS NULL" and len(options["predicates"]) == 5
+    assert source.scans[-1][0].startswith(f"SELECT /*+ PARALLEL(16) */ {database}.T.*, `ID` AS MILLRACE_SPLIT FROM {database}.T")
 
 
 def test_full_scan_without_change_column(oracle):
@@ -211,13 +220,11 @@ def test_full_scan_without_change_column(oracle):
     job = TableJob("J", database, "T", "x", "t")
     found = source.extract(job, Extract("ID, NAME"))
     assert found.columns == ["ID", "NAME"] and found.count() == 100
-    options = source.scans[-1][1]
-    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "5", "5")
+    assert source.scans[-1][1]["predicates"] == tuple(f"MILLRACE_SPLIT = {i}" for i in range(5))
     settings = SplitSettings.of({f"split_column.{database}.T": "amount", "max_connections": "4", "rows_per_connection": "2000000"})
     chosen = ViewSource(source.spark, settings)
     assert chosen.extract(job, Extract()).columns == ["ID", "AMOUNT", "NAME", "MOD_TS"]
-    options = chosen.scans[-1][1]
-    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "13", "3")
+    assert len(chosen.scans[-1][1]["predicates"]) == 3 and chosen.extract(job, Extract()).count() == 100
     assert chosen.split(job, Extract("DISTINCT NAME"), 10**9, ["ID"]) is None
     assert chosen.split(job, Extract("COUNT(*) AS N"), 10**9, ["ID"]) is None
 
@@ -225,19 +232,25 @@ def test_full_scan_without_change_column(oracle):
 def test_unknown_row_count_is_split(oracle):
     source, database = oracle
     job = TableJob("J", database, "T", "x", "t")
-    assert source.split(job, Extract(), None, ["ID"]).parts == 16
+    assert len(source.split(job, Extract(), None, ["ID"]).predicates) == 16
     assert source.split(job, Extract(), None, ["ID"], "VIEW") is None  # nothing to split a view by
     keyed = TableJob("J", database, "T", "x", "t", cdc_append_key_column="ID")
-    assert source.split(keyed, Extract(), None, ["ID"], "VIEW") == Split("`ID`", 1, 100, 16)
+    found = source.split(keyed, Extract(), None, ["ID"], "VIEW")
+    assert found.expression == "`ID`" and 14 <= len(found.predicates) <= 16 and not found.dealt
 
 
 def test_two_column_window_is_split_within_its_bounds(oracle):
     source, database = oracle
     job = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS", cdc_created_date_column="CRT")
     window = HourWindow(("MOD_TS", "CRT"), LO - timedelta(days=9), HI)
+    source.spark.sql(f"CREATE OR REPLACE VIEW {database}.T2 AS SELECT *, MOD_TS - INTERVAL 1 DAY AS CRT FROM {database}.T")
+    job = replace(job, source_table="T2")
     split = source.split(job, Extract(window=window), None, ["MOD_TS", "CRT"])
     assert split.expression.startswith("CASE WHEN MOD_TS >= ") and split.expression.endswith("THEN MOD_TS ELSE CRT END")
-    assert (split.lo, split.hi, split.parts) == (window.lo, window.hi, 10)
+    rows = source.dialect.extract_query(database, "T2", Extract(window=window), "*", split.expression, split.dealt)
+    counts = [source.spark.sql(f"SELECT * FROM ({rows}) q WHERE {p}").count() for p in split.predicates]
+    inside = source.spark.sql(rows).count()
+    assert sum(counts) == inside and len(counts) > 5 and max(counts) <= 1.5 * inside / len(counts) + 1
 
 
 def test_key_window_scan(oracle):
@@ -246,10 +259,9 @@ def test_key_window_scan(oracle):
     assert source.key_max(job) == 100
     found = source.extract(job, Extract(None, "ID <> 50 OR ID < 0", KeyRange("ID", 40, 60)))
     assert sorted(row.ID for row in found.collect()) == [i for i in range(41, 61) if i != 50]
-    assert "partitionColumn" not in source.scans[-1][1]
-    source.extract(job, Extract(None, None, KeyRange("ID", 40, 3_000_000)))
-    options = source.scans[-1][1]
-    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("40", "3000000", "3")
+    assert "predicates" not in source.scans[-1][1]
+    assert source.extract(job, Extract(None, None, KeyRange("ID", 40, 3_000_000))).count() == 60
+    assert len(source.scans[-1][1]["predicates"]) == 3
 
 
 def test_hour_window_scan_with_fields(oracle):
@@ -258,21 +270,17 @@ def test_hour_window_scan_with_fields(oracle):
     window = HourWindow(("MOD_TS",), datetime(2024, 12, 31, 3), datetime(2024, 12, 31, 6))
     found = source.extract(job, Extract("ID, UPPER(NAME) AS N", None, window))
     assert sorted(map(tuple, found.collect())) == [(3, "N3"), (4, "N4"), (5, "N5")]
-    assert "partitionColumn" not in source.scans[-1][1]
+    assert "predicates" not in source.scans[-1][1]
     source.extract(job, Extract(None, None, window))
-    assert "partitionColumn" not in source.scans[-1][1]
+    assert "predicates" not in source.scans[-1][1]
     long = HourWindow(("MOD_TS",), datetime(2024, 12, 1, 3), datetime(2024, 12, 31, 6))
     both = TableJob("J", database, "T", "x", "t", cdc_modified_date_column="MOD_TS", cdc_append_key_column="ID")
     found = source.extract(both, Extract("ID, UPPER(NAME) AS N", None, long))
     assert found.columns == ["ID", "N"] and found.count() == 5
-    options = source.scans[-1][1]
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        "MILLRACE_SPLIT", "2024-12-01 03:00:00", "2024-12-31 06:00:00", "16"
-    )
+    assert len(source.scans[-1][1]["predicates"]) == 5
     first = HourWindow(("MOD_TS",), None, datetime(2024, 12, 31, 6))
     assert source.extract(job, Extract(None, None, first)).count() == 5
-    options = source.scans[-1][1]
-    assert (options["lowerBound"], options["numPartitions"]) == ("2024-12-31 01:00:00", "5")
+    assert len(source.scans[-1][1]["predicates"]) == 5
 
 
 def test_small_table_is_read_in_one_part(oracle):
@@ -281,8 +289,7 @@ def test_small_table_is_read_in_one_part(oracle):
     assert source.split(job, Extract(), 7, ["ID"]) is None
     assert source.split(job, Extract(window=KeyRange("ID", 1, 9)), 10**12, ["ID"]) is None
     big = source.split(job, Extract(window=KeyRange("ID", 1, 10**9)), 10**12, ["ID"])
-    assert big == Split("ID", 1, 10**9, 16)
-    assert Split("K", Decimal("1.5"), Decimal("9.5"), 2).options()["upperBound"] == "10"
+    assert big.expression == "`ID`" and len(big.predicates) == 6  # the view has six such rows
 
 
 def test_scan_passes_options_to_the_reader(monkeypatch):
@@ -381,6 +388,10 @@ class SqlServerViews(JdbcSource):
         self.scans.append((query, options))
         return self.spark.sql(query.replace("[", "`").replace("]", "`"))
 
+    def scan_parts(self, query, predicates, **options):
+        found = self.scan(query, **options, predicates=predicates)
+        return reduce(DataFrame.unionAll, [found.where(p) for p in predicates])
+
 
 @pytest.fixture
 def sql_server(spark):
@@ -418,7 +429,7 @@ def test_sql_server_scan(sql_server):
     query, options = source.scans[-1]
     assert query.startswith("SELECT [row-id] as row_id,[First Name] as First_Name,[id] as id,[mod] as mod, [id] AS MILLRACE_SPLIT FROM ")
     assert "customSchema" not in options
-    assert (options["partitionColumn"], options["upperBound"], options["numPartitions"]) == ("MILLRACE_SPLIT", "50", "3")
+    assert len(options["predicates"]) == 3
 
 
 def test_sql_server_window(sql_server):
