@@ -49,6 +49,19 @@ def classify_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_by_table(customers, "error_message", patterns)
 
 
+def classify_many_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two patterns for each of up to 10,000 codes, of which the first holds for finished orders only."""
+    orders = table(spark, sf_dir, "orders").withColumn("code", F.format_string("ORA-%05d", F.col("o_orderkey") % 10000))
+    codes = orders.select("code", (F.col("o_orderkey") % 10000).cast("int").alias("k")).distinct()
+    kinds = [("[0-9]+ ended$", "k", "CRITICAL"), (r"\d+|TNS-", "k + 10000", "NON_CRITICAL")]
+    patterns = [codes.select(F.expr(prio).alias("prio"), F.concat("code", F.lit(f": order {rest}")).alias("pattern"),
+                             F.lit(kind).alias("error_type"), F.concat("code", F.lit(f" {kind}")).alias("description"))
+                for rest, prio, kind in kinds]
+    messages = orders.select("o_orderkey", F.concat(
+        "code", F.lit(": order "), "o_custkey", F.when(F.col("o_orderstatus") == "F", " ended").otherwise(" runs")).alias("error_message"))
+    return classify_by_table(messages, "error_message", patterns[0].unionAll(patterns[1]))
+
+
 def scrub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", scrubbed("text").alias("message"))
 
@@ -56,6 +69,7 @@ def scrub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "classify_errors": classify_errors,
     "classify_errors_table": classify_by_nation,
+    "classify_many_patterns": classify_many_patterns,
     "scrub_messages": scrub_messages,
 }
 
@@ -88,5 +102,11 @@ ORACLES = {
                coalesce(min_by('refused by ' || n_name, n_nationkey), 'Error occurred') AS description
         FROM m LEFT JOIN nation ON regexp_matches(error_message, n_name || '|UNKNOWN')
         GROUP BY c_custkey, error_message""",
+    "classify_many_patterns": """
+        SELECT o_orderkey, code || ': order ' || o_custkey || CASE WHEN o_orderstatus = 'F' THEN ' ended' ELSE ' runs' END
+                           AS error_message,
+               kind AS error_type, code || ' ' || kind AS description
+        FROM (SELECT *, printf('ORA-%05d', o_orderkey % 10000) AS code,
+                     CASE WHEN o_orderstatus = 'F' THEN 'CRITICAL' ELSE 'NON_CRITICAL' END AS kind FROM orders)""",
     "scrub_messages": "SELECT doc_id, replace(replace(text, '''', ''), chr(10), ' ') AS message FROM documents",
 }

@@ -67,21 +67,100 @@ def classify(df: DataFrame, message: str, patterns: list[tuple] = ERROR_PATTERNS
     )
 
 
+#: Characters of the grams that patterns are filed under.
+GRAM = 3
+# What ``necessary_literals`` does not read: escapes that take more than one letter, and a bracket right after another.
+UNREAD = re.compile(r"\\[^dDwWsSbBhHvVRAZzGntrfae\W_]|\[\^?\]")
+CLOSES = {"(": ")", "[": "]"}
+
+
+def necessary_literals(pattern: str) -> list[list[str]] | None:
+    """For each alternative of a regular expression the texts that every match of it holds; None where that cannot be told.
+
+    Read with care: whatever is not plainly a character ends a text. Texts shorter than a gram are left out, and an
+    alternative without any makes the whole pattern one that cannot be looked up.
+    """
+    if "(?" in pattern.replace("(?:", "") or UNREAD.search(pattern):
+        return None  # flags, quotes, numbered characters and the like
+    alternatives, runs, run, i = [], [], "", 0
+    while i <= len(pattern):
+        char = pattern[i : i + 1]
+        literal = ""
+        if char in CLOSES:
+            i = _closing(pattern, i)
+        elif char == "\\":
+            i += 1
+            following = pattern[i : i + 1]
+            literal = "" if following.isalnum() else following
+        elif char and char not in ".^$|*+?{":
+            literal = char
+        i += 1
+        many = pattern[i : i + 1] if char not in ("", "|") else ""
+        if literal and many not in ("*", "?", "{"):
+            run += literal
+        if not literal or many in ("*", "?", "{", "+"):
+            runs, run = [*runs, run], ""
+        if many and many in "*+?{":
+            i = pattern.find("}", i) + 1 if many == "{" and "}" in pattern[i:] else i + 1
+            i += pattern[i : i + 1] in ("?", "+") and many != ""
+        if char in ("", "|"):
+            alternatives.append([r for r in runs if len(r) >= GRAM])
+            runs = []
+    return alternatives if alternatives and all(alternatives) else None
+
+
+def _closing(pattern: str, i: int) -> int:
+    """The place of the bracket that closes the one at ``i``; the end where there is none."""
+    opened = [pattern[i]]
+    while opened and i + 1 < len(pattern):
+        i += 1
+        if pattern[i] == "\\":
+            i += 1
+        elif pattern[i] == CLOSES[opened[-1]]:
+            opened.pop()
+        elif pattern[i] == "[" or (pattern[i] == "(" and opened[-1] == "("):
+            opened.append(pattern[i])
+    return i
+
+
+def _grams(text: Column) -> Column:
+    """The distinct runs of GRAM characters of a text."""
+    places = F.sequence(F.lit(1), F.length(text) - (GRAM - 1))
+    grams = F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM)))
+    return F.when(F.length(text) >= GRAM, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+
 def classify_by_table(df: DataFrame, message: str, patterns: DataFrame) -> DataFrame:
     """``classify`` with the patterns of a config table (prio, pattern, error_type, description).
 
-    The table enters the plan as one sorted array, by a scalar subquery, and each distinct message takes its
-    first match: one way at any size, without a regex join. Priority and pattern must be given; a
-    pattern without type or description takes the default's.
+    Patterns are looked up: each alternative of a pattern is filed under the rarest gram of the texts that it must hold, and a
+    message meets only the patterns filed under its own grams, whose match is then verified. Patterns that need
+    no text at all are tried on every message. Each distinct message takes its first match. Priority and pattern must be
+    given; a pattern without type or description takes the default's.
     """
     table = patterns.select(*PATTERN_SCHEMA.fieldNames())
     if not table.where("prio IS NULL OR pattern IS NULL").isEmpty():
         raise ValueError("an error pattern needs both a priority and a pattern")
-    ordered = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("patterns"))
     texts = df.select(F.col(message).alias("_message")).where("_message IS NOT NULL").distinct()
-    best = texts.withColumn("_patterns", ordered.scalar()).select(
-        "_message", F.expr("get(filter(_patterns, p -> _message RLIKE p.pattern), 0)").alias("_class")
-    )
+    literals = F.udf(necessary_literals, "array<array<string>>", useArrow=True)
+    read = table.distinct().select(F.struct(*table.columns).alias("_pattern"), literals("pattern").alias("_literals"))
+
+    found = texts.select("_message", F.explode(_grams(F.col("_message"))).alias("_gram"))
+    filed = read.select("_pattern", F.posexplode("_literals").alias("_alternative", "_texts"))
+    filed = filed.select("_pattern", "_alternative", F.explode("_texts").alias("_text"))
+    filed = filed.select("_pattern", "_alternative", "_text", F.explode(_grams(F.col("_text"))).alias("_gram"))
+    counts = found.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = filed.join(counts, "_gram").groupBy("_pattern", "_alternative").agg(
+        F.min(F.struct("_n", "_gram", "_text")).alias("_rarest"))
+    rarest = rarest.select("_pattern", "_rarest._gram", "_rarest._text")
+    met = found.join(rarest, "_gram").where(F.contains("_message", "_text") & F.expr("_message RLIKE _pattern.pattern"))
+    best = met.select("_message", "_pattern")
+
+    rest = read.where("_literals IS NULL").agg(F.array_sort(F.collect_list("_pattern")).alias("patterns"))
+    tried = texts.withColumn("_patterns", rest.scalar()).select(
+        "_message", F.expr("get(filter(_patterns, p -> _message RLIKE p.pattern), 0)").alias("_pattern"))
+    best = best.unionAll(tried.where("_pattern IS NOT NULL"))
+    best = best.groupBy("_message").agg(F.min("_pattern").alias("_class"))
     return df.join(best, F.col(message) == F.col("_message"), "left").select(
         *[df[c] for c in df.columns],
         F.coalesce("_class.error_type", F.lit(DEFAULT_CLASS[0])).alias("error_type"),

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.errors import ERROR_PATTERNS, classify, classify_by_table, occurs, scrubbed
+from millrace.functions.errors import ERROR_PATTERNS, classify, classify_by_table, necessary_literals, occurs, scrubbed
 from millrace.model import PATTERN_SCHEMA
 
 MESSAGES = {
@@ -84,3 +87,52 @@ def test_classes_need_no_shuffle(spark):
 def test_scrubbed(spark):
     df = spark.createDataFrame([("can't\nread 'x'",)], "m string")
     assert df.select(scrubbed("m").alias("m")).first().m == "cant read x"
+
+
+PIECES = ["abc", "de", "ORA-01", "x", "[a-c]", "[^]x]", "(foo|bar)", "(?:ab|cd)e", "\\d+", "\\.", ".*", "z?", "q+", "w{2}", "|", "^", "$", " ", "é中"]
+
+
+def test_necessary_literals_are_necessary():
+    rnd = random.Random(1)
+    for _ in range(3000):
+        pattern = "".join(rnd.choice(PIECES) for _ in range(rnd.randrange(1, 7)))
+        try:
+            compiled = re.compile(pattern)
+        except re.error:
+            continue
+        found = necessary_literals(pattern)
+        for _ in range(15):
+            text = "".join(rnd.choice(["abc", "de", "ORA-01", "x", "foo", "bar", "abe", "cde", "7", ".", "z", "qq", "ww", " ", "é中"])
+                           for _ in range(rnd.randrange(1, 9)))
+            if found is not None and compiled.search(text):
+                assert any(all(literal in text for literal in alternative) for alternative in found), (pattern, text, found)
+
+
+@pytest.mark.parametrize("pattern", ["", "abc|", "a.c", "(?i)abcd", r"\x41BCD", r"\p{Lu}bcd", r"\Qa.c\E", "[]abc]", r"(abc)\1", "abc\\"])
+def test_patterns_that_cannot_be_looked_up(pattern):
+    assert necessary_literals(pattern) is None
+
+
+def test_looked_up_patterns_equal_trying_all(spark):
+    rnd = random.Random(2)
+    patterns = [(rnd.randrange(6), p, rnd.choice(["A", "B", None]), rnd.choice(["d", "e", None]))
+                for p in ("abc|ORA-0", "ORA-01.*de", "de", "x+abc", "(foo|bar) abc", "[a-c]{3}x", "^ORA", "(?i)FOO BAR", "", "barbar", "é中é中")]
+    texts = ["".join(rnd.choice(["abc", "de", "ORA-01", "x", "foo", "bar", " ", "é中"]) for _ in range(rnd.randrange(0, 7))) for _ in range(300)]
+    texts += [None, "", "ab", "a" * 50_000] + texts[:50]
+    table = spark.createDataFrame(patterns, "prio int, pattern string, error_type string, description string")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, message string")
+    got = {r.id: (r.error_type, r.description) for r in classify_by_table(df, "message", table).collect()}
+    order = sorted(patterns, key=lambda p: tuple((v is not None, v) if v is not None else (False,) for v in p))
+    for i, text in enumerate(texts):
+        first = next((p for p in order if text is not None and re.search(p[1], text)), None)
+        kind, told = first[2:] if first else (None, None)
+        assert got[i] == (kind or "NON_CRITICAL", told or "Error occurred")
+    none = classify_by_table(df, "message", table.where("false"))
+    assert {r.error_type for r in none.collect()} == {"NON_CRITICAL"} and none.count() == len(texts)
+
+
+def test_no_pattern_meets_every_message(spark):
+    table = spark.createDataFrame([(1, "ORA-01", "A", "d")], "prio int, pattern string, error_type string, description string")
+    df = spark.createDataFrame([("ORA-01 x",)], "message string")
+    plan = classify_by_table(df, "message", table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cross" not in plan and "Join Inner, (_gram" in plan
