@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import table
-from millrace.operators.landing import land
+from millrace.operators.landing import land, merge
 from millrace.operators.partitions import partitioned
 from millrace.session import scratch_table, shared_dir
 
@@ -97,6 +97,19 @@ def land_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+def land_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority; then a tenth of two priorities changes its price, some of it its priority, and new ones come."""
+    orders, target = table(spark, sf_dir, "orders"), scratch_table(spark, "merge")
+    land(orders.where("o_orderkey % 7 <> 3"), target, load_date=LOAD_DATE, partition_by="o_orderpriority")
+    changed = orders.where("o_orderpriority < '3' AND o_orderkey % 10 = 0 OR o_orderkey % 7 = 3").withColumns({
+        "o_totalprice": F.lit(1.0),
+        "o_orderpriority": F.expr("IF(o_orderkey % 4 = 0, '6-NEW', o_orderpriority)"),
+    })
+    for rows in (changed, changed):
+        merge(rows, target, ["o_orderkey"], load_date=LOAD_DATE, partition_by="o_orderpriority")
+    return spark.table(target)
+
+
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts taken from the write itself."""
     landed = land(table(spark, sf_dir, "lineitem"), scratch_table(spark, "metrics"), load_date=LOAD_DATE,
@@ -119,6 +132,7 @@ QUERIES = {
     "land_partition_column": land_partition_column,
     "land_evolve": land_evolve,
     "land_partition_overwrite": land_partition_overwrite,
+    "land_merge": land_merge,
     "load_metrics": load_metrics,
 }
 
@@ -145,6 +159,11 @@ ORACLES = {
     "land_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice)
         FROM orders""",
+    "land_merge": """
+        SELECT * EXCLUDE (changed)
+               REPLACE (CASE WHEN changed THEN 1.0::DOUBLE ELSE o_totalprice END AS o_totalprice,
+                        CASE WHEN changed AND o_orderkey % 4 = 0 THEN '6-NEW' ELSE o_orderpriority END AS o_orderpriority)
+        FROM (SELECT *, o_orderpriority < '3' AND o_orderkey % 10 = 0 OR o_orderkey % 7 = 3 AS changed FROM orders)""",
     "load_metrics": f"""
         SELECT count(*) AS records_processed, CAST(11 AS INTEGER) AS column_count, '{LOAD_DATE}' AS load_date
         FROM lineitem""",

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_, or_
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +31,8 @@ LOCATION = "millrace.location"
 LOAD = "millrace.load"
 # Option of a job that allows a load to rewrite its table with wider types.
 WIDEN = "millrace.widen"
+# Option of a job with a change window: the key columns, comma-separated, by which its rows replace older ones.
+MERGE_KEY = "millrace.merge_key"
 PARTITION_HEADING = "# Partition Information"
 DYNAMIC = "'partitionOverwriteMode'='dynamic'"
 STATIC = "'partitionOverwriteMode'='static'"
@@ -382,6 +387,10 @@ def _land_atomic(df: DataFrame, table: str, fmt: str, column: str | None, option
         writer.append()
 
 
+def _allowed(option: str | None) -> bool:
+    return (option or "").lower() in ("y", "yes", "true")
+
+
 def land(
     df: DataFrame,
     table: str,
@@ -419,7 +428,95 @@ def land(
     if mode is None and partition_overwrite and column:
         mode = "partitions"
     given = dict(options or {})
-    widen = given.pop(WIDEN, "").lower() in ("y", "yes", "true") or widen
+    given.pop(MERGE_KEY, None)
+    widen = _allowed(given.pop(WIDEN, "")) or widen
     write = _land_atomic if fmt in ATOMIC_FORMATS else _land_files
     write(rows, table, fmt, column, given, mode, widen, load_id if mode is None else None)
     return Landed(seen.get["rows"], len(df.columns), shaped.load_date)
+
+
+def _in_partitions(by: list[str], rows: list[Row]) -> Column:
+    """Whether a row lies in one of the given partitions; plain comparisons, which prune the scan."""
+    if len(by) == 1:
+        values = [row[0] for row in rows if row[0] is not None]
+        found = F.col(quoted(by[0])).isin(values) if values else F.lit(False)
+        return F.coalesce(found, F.lit(False)) | F.col(quoted(by[0])).isNull() if len(values) < len(rows) else F.coalesce(found, F.lit(False))
+    one = [reduce(and_, (F.col(quoted(c)).eqNullSafe(F.lit(v)) for c, v in zip(by, row, strict=True))) for row in rows]
+    return reduce(or_, one, F.lit(False))
+
+
+def merge(
+    df: DataFrame,
+    table: str,
+    keys: list[str],
+    *,
+    load_date: str,
+    partition_by: str | None = None,
+    widen: bool = False,
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> Landed:
+    """Lands rows in the place of those with the same key, in a file table; returns the counts of the rows that came.
+
+    Only partitions that hold an older version are written anew; rows for others are added to them, and a partition whose
+    rows have all moved is emptied. A table without partitions is replaced. Null is a key like any other; all rows that
+    come are kept, also several of one key. A repeat of a broken merge gives the same rows.
+    """
+    spark = df.sparkSession
+    if fmt in ATOMIC_FORMATS:
+        raise ValueError(f"{fmt} merges by its own MERGE")
+    shaped = partitioned(df, partition_by, load_date)
+    given = {name.lower(): name for name in shaped.df.columns}
+    missing = [key for key in keys if key.lower() not in given]
+    if missing or not keys:
+        raise ValueError(f"merge key {', '.join(missing)} is not among the columns of {table}")
+    changes = f"{table}__changes"
+    spark.sql(f"DROP TABLE IF EXISTS {changes}")
+    _recover(spark, f"{table}__staged", table, fmt)
+    if not spark.catalog.tableExists(table):
+        return land(df, table, load_date=load_date, partition_by=partition_by, widen=widen, fmt=fmt, options=options)
+    by = partition_columns(spark, table)
+    _evolve(spark, shaped.df, table, fmt, widen or _allowed((options or {}).get(WIDEN)))
+    target = spark.table(table)
+    create_table(spark, changes, target.schema, fmt, by)
+    rows, seen = _counted(spread(shaped.df, [c for c in by if c.lower() in given]))
+    insert(rows, changes)
+    new, old = spark.table(changes), spark.table(table)
+    changed = new.select(*[F.col(quoted(key)).alias(f"_key{i}") for i, key in enumerate(keys)]).distinct()
+    same = reduce(and_, (old[quoted(key)].eqNullSafe(changed[f"_key{i}"]) for i, key in enumerate(keys)))
+    if not by:
+        both = old.join(changed, same, "left_anti").unionByName(new)
+        _land_files(both, table, fmt, None, {}, "rows", widen, None)
+    else:
+        columns = [F.col(quoted(c)) for c in by]
+        touched = old.join(changed, same, "left_semi").select(*columns).distinct().collect()
+        inside = _in_partitions(by, touched)
+        if touched:
+            kept = old.where(inside).join(changed, same, "left_anti").unionByName(new.where(inside))
+            filled = {tuple(row) for row in kept.select(*columns).distinct().collect()}
+            if filled:
+                insert(spread(kept, by), table, overwrite=by)
+            for row in touched:
+                if tuple(row) not in filled:
+                    _empty(spark, table, by, row)
+        insert(spread(new.where(~inside), by), table)
+    spark.sql(f"DROP TABLE {changes}")
+    return Landed(seen.get["rows"], len(df.columns), shaped.load_date)
+
+
+def _empty(spark: SparkSession, table: str, by: list[str], partition: Row) -> None:
+    """Removes the files that hold the rows of one partition, whoever owns them."""
+    where = reduce(and_, (F.col(quoted(c)).eqNullSafe(F.lit(v)) for c, v in zip(by, partition, strict=True)))
+    files = spark.table(table).where(where).select(F.col("_metadata.file_path").alias("path")).distinct().collect()
+    remove(spark, [unquote(row.path) for row in files])
+    spark.catalog.refreshTable(table)
+
+
+def _evolve(spark: SparkSession, df: DataFrame, table: str, fmt: str, widen: bool) -> None:
+    """Gives a file table the columns and, if allowed, the wider types that a frame needs."""
+    old = spark.table(table).schema
+    schema = merged_schema(old, df.schema)
+    if all(f.dataType == had.dataType for f, had in zip(schema.fields, old.fields)):
+        add_columns(spark, table, schema.fields[len(old):])
+    else:
+        _land_files(df.limit(0), table, fmt, None, {}, None, widen, None)

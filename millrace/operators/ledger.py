@@ -134,11 +134,7 @@ def run_id_of_batch(ledger: DataFrame) -> DataFrame:
 def failed_jobs(ledger: DataFrame, run_group: str) -> DataFrame:
     """Jobs of a run group with any failure, with their largest batch and application."""
     failed = ledger.where((F.col("run_group") == run_group) & (F.col("status") == FAILED))
-    own = Window.partitionBy("job_id")
-    found = failed.select("job_id", "batch_id", "spark_app_id").distinct()
-    return found.select(
-        "job_id", F.max("batch_id").over(own).alias("batch_id"), F.max("spark_app_id").over(own).alias("spark_app_id")
-    ).distinct()
+    return failed.groupBy("job_id").agg(F.max("batch_id").alias("batch_id"), F.max("spark_app_id").alias("spark_app_id"))
 
 
 def jobs_failed_last(ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:

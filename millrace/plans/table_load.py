@@ -17,10 +17,12 @@ from millrace.operators.filelog import FILE_FORMATS, add, compact, place, steady
 from millrace.operators.intents import DONE, PLANNED, Intent, open_intents, unfinished
 from millrace.operators.landing import (
     ATOMIC_FORMATS,
+    MERGE_KEY,
     add_columns,
     create_table,
     insert,
     land,
+    merge,
     partition_columns,
     undo_load,
 )
@@ -177,8 +179,8 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext, m
     with those of the others.
 
     The watermark is written after the landing has committed, and holds the upper bound that the
-    window used. The rows of a window are added to those of earlier ones, so partitions are
-    overwritten only by a load that reads the whole table. A load that appends notes its intent first and its end last; if the
+    window used. The rows of a window are added to those of earlier ones, or with a merge key take the place of their older
+    versions; partitions are overwritten only by a load that reads the whole table. A load that appends notes its intent first and its end last; if the
     process dies in between, the next load of the job takes back what it has landed without watermark. Where ``ended`` is given,
     it takes the loads with a watermark instead, for the batch to note at once; until then the watermark tells that they are over.
     """
@@ -202,8 +204,10 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext, m
     table = target.table(job)
     replaces = is_yes(job.target_recreate) or is_yes(job.target_truncate)
     overwrite = is_yes(job.target_partition_overwrite) and window is None
+    key = (job.target_table_options or {}).get(MERGE_KEY)
+    merges = window is not None and not replaces and bool(key)
     intent = None
-    if not replaces and not overwrite and target.fmt not in ATOMIC_FORMATS:
+    if not replaces and not overwrite and not merges and target.fmt not in ATOMIC_FORMATS:
         intent = Intent.of(job, table, window)
         target.note([intent], PLANNED)
         target.progress("planned")
@@ -211,18 +215,20 @@ def load_table(job: TableJob, source: Source, target: Target, run: RunContext, m
         exists = spark.catalog.tableExists(table)
         before = spark.table(table).dtypes if exists else None
         derived = partition_columns(spark, table) if exists else []
-        landed = land(
-            df,
-            table,
-            load_date=run.load_date,
-            partition_by=job.target_partition_by,
-            recreate=is_yes(job.target_recreate),
-            truncate=is_yes(job.target_truncate),
-            partition_overwrite=overwrite,
-            fmt=target.fmt,
-            options=job.target_table_options,
-            load_id=intent.load_id if intent else None,
-        )
+        given = {"load_date": run.load_date, "partition_by": job.target_partition_by, "fmt": target.fmt,
+                 "options": job.target_table_options}
+        if merges:
+            landed = merge(df, table, [name.strip() for name in key.split(",")], **given)
+        else:
+            landed = land(
+                df,
+                table,
+                recreate=is_yes(job.target_recreate),
+                truncate=is_yes(job.target_truncate),
+                partition_overwrite=overwrite,
+                load_id=intent.load_id if intent else None,
+                **given,
+            )
     target.progress("landed")
     if window is not None:
         target.mark(job, *watermark_values(window), intent.load_id if intent else None)
