@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.errors import scrubbed
 from millrace.model import COMPLETED, FAILED, LAYER, LEDGER_SCHEMA, STARTED, RunContext
+from millrace.operators.filelog import add, compact
 from millrace.operators.landing import ATOMIC_FORMATS, create_table, insert, partition_columns
 
 # One row of the ledger; none of these may be null.
 LEDGER_KEY = ["run_id", "batch_id", "job_id"]
 LEDGER_PARTITIONS = ["batch_id", "run_id"]
+# What decides between rows of equal start.
+STATE_ORDER = ["batch_id", "run_id", "status", "spark_app_id"]
+# The latest state of a job.
+STATE_SCHEMA = T.StructType([LEDGER_SCHEMA[name] for name in ("run_group", "job_id", "start_time", *STATE_ORDER)])
 
 
 def with_run(df: DataFrame, run: RunContext) -> DataFrame:
@@ -138,15 +144,50 @@ def failed_jobs(ledger: DataFrame, run_group: str) -> DataFrame:
 
 
 def jobs_failed_last(ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:
-    """Jobs of a run group whose latest row is a failure, of the batches from ``since`` on."""
+    """Jobs of a run group whose latest row is a failure, of the batches from ``since`` on.
+
+    ``ledger`` may be the table of states, which has what is needed of the history.
+    """
     own = ledger.where(F.col("run_group") == run_group)
     if since is not None:
         own = own.where(F.col("batch_id") >= since)  # a partition column: earlier batches are not read
-    order = ["batch_id", "run_id", "status", "spark_app_id"]
-    latest = _picked(own.select("job_id", "start_time", *order), ["job_id"], F.col("start_time"), order)
+    latest = _picked(own.select("job_id", "start_time", *STATE_ORDER), ["job_id"], F.col("start_time"), STATE_ORDER)
     return latest.where(F.col("status") == FAILED).select("job_id", "batch_id", "spark_app_id")
 
 
+def latest_states(rows: DataFrame) -> DataFrame:
+    """The latest row of every job of a run group, with what a rerun needs to know of it."""
+    return _picked(rows.select(*STATE_SCHEMA.fieldNames()), ["run_group", "job_id"], F.col("start_time"), STATE_ORDER).select(
+        *STATE_SCHEMA.fieldNames())
+
+
+def state_table(ledger_table: str) -> str:
+    """Where the latest states of a ledger's jobs are kept."""
+    return f"{ledger_table}_state"
+
+
+def note_states(rows: DataFrame, table: str, fmt: str = "parquet", most: int = 64) -> None:
+    """Adds the states of ledger rows to a table of states, as one file.
+
+    Of several rows of a job the latest counts, in whatever order they came. Beyond ``most`` files the table shrinks to one row
+    per job, so it follows the number of jobs, not of runs.
+    """
+    spark = rows.sparkSession
+    create_table(spark, table, STATE_SCHEMA, fmt, [])
+    if fmt in ATOMIC_FORMATS:
+        insert(latest_states(rows), table)
+        return
+    add(latest_states(rows), table)
+    compact(spark, table, most, latest_states)
+
+
+def ensure_states(spark: SparkSession, ledger_table: str, fmt: str = "parquet") -> None:
+    """The states of a ledger's jobs; for a ledger that has none yet, read once from its history."""
+    table = state_table(ledger_table)
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(ledger_table):
+        note_states(spark.table(ledger_table), table, fmt)
+
+
 def jobs_to_rerun(config: DataFrame, ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:
     """The config rows of jobs that failed last."""
     return config.join(jobs_failed_last(ledger, run_group, since), "job_id", "left_semi")

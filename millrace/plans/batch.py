@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -12,18 +11,23 @@ from pyspark.sql import functions as F
 from millrace.functions.errors import classify
 from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob, is_yes
 from millrace.operators.cdc import Mark
+from millrace.operators.filelog import steady
 from millrace.operators.intents import DONE, Intent
 from millrace.operators.ledger import (
     batch_summary,
     completion_rows,
     consolidate,
+    ensure_states,
     initial_rows,
     jobs_to_rerun,
+    note_states,
+    state_table,
     with_run,
     write_ledger,
 )
 from millrace.operators.reports import RunLog, batch_tables, job_report, write_csv
 from millrace.plans.table_load import Outcome, Target, load_table
+from millrace.plans.workers import side_by_side
 from millrace.sources.lake import Source, enabled_jobs, open_source, pipeline_config
 
 
@@ -69,10 +73,13 @@ def run_jobs(
     ledger_table: str,
     log: RunLog,
     max_workers: int = 5,
+    deadline: float | None = None,
 ) -> DataFrame:
     """Loads every job, writes the ledger and returns the run's ledger rows.
 
-    The watermarks of all jobs are looked up at once, and so are loads that broke off. Threads only submit Spark jobs.
+    The watermarks of all jobs are looked up at once, and so are loads that broke off. Threads only submit Spark jobs; a load
+    that takes more than ``deadline`` seconds is stopped and fails, without the others. The latest state of each job goes to a
+    table beside the ledger, before the ledger, so that a rerun never reads the history.
     """
     changing = [job for job in jobs if job.change_rule]
     known = target.tracked(changing) if changing else {}
@@ -83,10 +90,18 @@ def run_jobs(
         own = (job.job_id, job.source_table)
         return attempt(job, source, target, run, log, known.get(own, Mark()), pending.get(own, []), ended)
 
-    with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        outcomes = list(pool.map(run_one, jobs))
+    def too_late(job: TableJob) -> Outcome:
+        message = f"timeout: the load of {target.table(job)} took more than {deadline:g} seconds"
+        log.log(f"{job.job_id}: {message}", "ERROR")
+        return Outcome(job, started, datetime.now(), False, error_message=message)
+
+    started = datetime.now()
+    outcomes = side_by_side(spark, jobs, run_one, too_late, max_workers, deadline, target.table)
     target.note(ended, DONE)
-    write_ledger(ledger_of(spark, outcomes, run), ledger_table, target.fmt)
+    rows = ledger_of(spark, outcomes, run)
+    ensure_states(spark, ledger_table, target.fmt)
+    note_states(rows, state_table(ledger_table), target.fmt)
+    write_ledger(rows, ledger_table, target.fmt)
     own = (F.col("batch_id") == run.batch_id) & (F.col("run_id") == run.run_id)
     return spark.table(ledger_table).where(own)
 
@@ -102,10 +117,11 @@ def run_batch(
     source: Source | None = None,
     fmt: str = "parquet",
     run_ts: datetime | None = None,
+    table_deadline: float | None = None,
 ) -> BatchResult:
     """Runs the active pipeline of a run group; with ``rerun`` only the tables that failed last.
 
-    ``rerun_since`` is the first batch that a rerun looks at; the ledger's earlier partitions are not read.
+    ``rerun_since`` is the first batch that a rerun looks at. ``table_deadline`` is how many seconds a table may take.
 
     ``alerts`` names the table of pipeline settings. The code is 0 when the batch ran, whatever became
     of single tables, and 1 when it could not run. The config rows are the one thing that the driver
@@ -120,10 +136,12 @@ def run_batch(
         run = RunContext.start(spark, run_group, run_ts)
         ledger_table = pipeline.table(pipeline.job_status_tbl)
         config = enabled_jobs(spark.table(pipeline.table(pipeline.ingest_tbl)), app_pipeline, run_group)
+        # Read once: a rerun's selection changes as soon as the new rows are written.
         if rerun:
-            config = jobs_to_rerun(config, spark.table(ledger_table), run_group, rerun_since)
-        # Read once: a rerun's selection changes as soon as the new ledger rows are written.
-        rows = config.collect()
+            ensure_states(spark, ledger_table, fmt)
+            rows = steady(spark, state_table(ledger_table), lambda known: jobs_to_rerun(config, known, run_group, rerun_since).collect())
+        else:
+            rows = config.collect()
         config = spark.createDataFrame(rows, config.schema)
         jobs = [TableJob.from_row(row) for row in rows]
         if not jobs:
@@ -135,7 +153,7 @@ def run_batch(
             reports = bool(pipeline.log_bucket) and is_yes(pipeline.statusEmails)
             if reports:
                 write_csv(batch_tables(config), f"{pipeline.report_folder(run)}/tables")
-            ledger = run_jobs(spark, jobs, origin, target, run, ledger_table, log, pipeline.max_workers)
+            ledger = run_jobs(spark, jobs, origin, target, run, ledger_table, log, pipeline.max_workers, table_deadline)
             if reports:
                 write_csv(job_report(ledger, config), f"{pipeline.report_folder(run)}/jobs")
             summary = batch_summary(ledger).first().jobs_status
