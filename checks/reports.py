@@ -9,7 +9,7 @@ from checks.errors import MESSAGE_LIST, MESSAGES, message
 from checks.ledger import LEDGER, ledger
 from checks.tables import table
 from millrace.functions.timekeys import elapsed_seconds, elapsed_text
-from millrace.operators.reports import batch_tables, job_report, log_lines, write_csv, write_log
+from millrace.operators.reports import batch_tables, job_report, log_lines, numbered_log, write_csv, write_log, write_ordered_log
 from millrace.session import shared_dir
 
 
@@ -76,6 +76,15 @@ def log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value string, log_date string").text(path).withColumnRenamed("value", "line")
 
 
+def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines in one order, by number and as the files have them."""
+    entries, path = log_entries(spark, sf_dir), shared_dir(spark, "log")
+    write_ordered_log(entries, path)
+    written = spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).alias("times_written"))
+    numbered = numbered_log(entries)
+    return numbered.join(written, numbered.line == written.value).select("line_number", "severity", "line", "times_written")
+
+
 QUERIES = {
     "job_report": report,
     "job_report_csv": report_csv,
@@ -83,6 +92,7 @@ QUERIES = {
     "elapsed_time": elapsed,
     "log_content": log_content,
     "log_sink": log_sink,
+    "log_text": log_text,
 }
 
 
@@ -129,4 +139,8 @@ ORACLES = {
               FROM events)""",
     "log_content": _log("ts, CASE WHEN level = 'ERROR' THEN 'ERROR' ELSE 'INFO' END AS severity"),
     "log_sink": _log("strftime(ts, '%Y%m%d') AS log_date"),
+    "log_text": f"""
+        SELECT row_number() OVER (ORDER BY ts NULLS FIRST, line, severity) AS line_number, severity, line,
+               count(*) OVER (PARTITION BY line) AS times_written
+        FROM ({_log("ts, CASE WHEN level = 'ERROR' THEN 'ERROR' ELSE 'INFO' END AS severity")})""",
 }

@@ -110,6 +110,24 @@ def land_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+def land_evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with nested columns; then with more and wider fields in another order, and a date that has become a time."""
+    orders, target = table(spark, sf_dir, "orders"), scratch_table(spark, "nested")
+    first = orders.where("o_orderkey % 2 = 0").selectExpr(
+        "o_orderkey", "CAST(o_orderdate AS DATE) AS day",
+        "named_struct('cust', CAST(o_custkey AS INT), 'place', named_struct('status', o_orderstatus)) AS info",
+        "array(named_struct('n', CAST(1 AS INT))) AS lines", "map('a', CAST(o_custkey AS INT)) AS counts")
+    later = orders.where("o_orderkey % 2 = 1").selectExpr(
+        "o_orderkey", "o_orderdate AS day",
+        "named_struct('place', named_struct('prio', o_orderpriority, 'STATUS', o_orderstatus), 'cust', o_custkey + 10000000000) AS info",
+        "array(named_struct('note', o_orderstatus, 'n', 10000000000)) AS lines", "map('a', o_custkey + 10000000000) AS counts")
+    for rows in (first, later):
+        land(rows, target, load_date=LOAD_DATE, widen=True)
+    return spark.table(target).selectExpr(
+        "o_orderkey", "CAST(day AS TIMESTAMP_NTZ) AS day", "info.cust AS cust", "info.place.status AS status", "info.place.prio AS prio",
+        "lines[0].n AS n", "lines[0].note AS note", "counts['a'] AS a")
+
+
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts taken from the write itself."""
     landed = land(table(spark, sf_dir, "lineitem"), scratch_table(spark, "metrics"), load_date=LOAD_DATE,
@@ -133,6 +151,7 @@ QUERIES = {
     "land_evolve": land_evolve,
     "land_partition_overwrite": land_partition_overwrite,
     "land_merge": land_merge,
+    "land_evolve_nested": land_evolve_nested,
     "load_metrics": load_metrics,
 }
 
@@ -159,6 +178,14 @@ ORACLES = {
     "land_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice)
         FROM orders""",
+    "land_evolve_nested": """
+        SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, o_custkey AS cust, o_orderstatus AS status,
+               CAST(NULL AS VARCHAR) AS prio, CAST(1 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS note, o_custkey AS a
+        FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL
+        SELECT o_orderkey, o_orderdate, o_custkey + 10000000000, o_orderstatus, o_orderpriority, 10000000000, o_orderstatus,
+               o_custkey + 10000000000
+        FROM orders WHERE o_orderkey % 2 = 1""",
     "land_merge": """
         SELECT * EXCLUDE (changed)
                REPLACE (CASE WHEN changed THEN 1.0::DOUBLE ELSE o_totalprice END AS o_totalprice,

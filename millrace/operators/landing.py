@@ -77,9 +77,18 @@ def _digits(dtype: T.DataType) -> tuple[int, int] | None:
 
 
 def _fits(old: T.DataType, new: T.DataType) -> bool:
-    """Whether every value of ``new`` can be stored as ``old`` unchanged."""
+    """Whether every value of ``new`` can be stored as ``old`` unchanged; of nested types, part by part."""
     if old == new or isinstance(new, T.NullType):
         return True
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        held = {f.name.lower(): f.dataType for f in old.fields}
+        return all(f.name.lower() in held and _fits(held[f.name.lower()], f.dataType) for f in new.fields)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return _fits(old.elementType, new.elementType)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return _fits(old.keyType, new.keyType) and _fits(old.valueType, new.valueType)
+    if isinstance(old, (T.TimestampType, T.TimestampNTZType)):
+        return isinstance(new, T.DateType)
     if old in INTEGERS:
         return new in INTEGERS and INTEGERS[new] <= INTEGERS[old]
     if isinstance(old, T.DecimalType):
@@ -98,6 +107,16 @@ def _wider(old: T.DataType, new: T.DataType) -> T.DataType | None:
     """
     if _fits(old, new):
         return old
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        fields = _merged_fields(old, new)
+        return None if any(f.dataType is None for f in fields) else T.StructType(
+            [T.StructField(f.name, f.dataType, metadata=f.metadata) for f in fields])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        element = _wider(old.elementType, new.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        key, value = _wider(old.keyType, new.keyType), _wider(old.valueType, new.valueType)
+        return None if key is None or value is None else T.MapType(key, value)
     if _fits(new, old):
         return new
     one, other = _digits(old), _digits(new)
@@ -110,37 +129,75 @@ def _wider(old: T.DataType, new: T.DataType) -> T.DataType | None:
     return None
 
 
-def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The old columns, widened where the new type needs it, then the added ones."""
+@dataclass(frozen=True)
+class _Merged:
+    """A field of two schemas; no type where none holds both."""
+
+    name: str
+    dataType: T.DataType | None
+    metadata: dict
+    comes: T.DataType
+
+
+def _merged_fields(old: T.StructType, new: T.StructType) -> list[_Merged]:
+    """The old fields by name, then those that only the new schema has."""
     given = {f.name.lower(): f for f in new.fields}
-    merged = []
+    fields = []
     for have in old.fields:
         comes = given.pop(have.name.lower(), have)
-        dtype = _wider(have.dataType, comes.dataType)
-        if dtype is not None:
-            merged.append(T.StructField(have.name, dtype, metadata=have.metadata))
-        else:
+        fields.append(_Merged(have.name, _wider(have.dataType, comes.dataType), have.metadata, comes.dataType))
+    return fields + [_Merged(f.name, f.dataType, f.metadata, f.dataType) for f in given.values()]
+
+
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, widened where the new type needs it, then the added ones; structs, arrays and maps part by part."""
+    fields = _merged_fields(old, new)
+    for had, found in zip(old.fields, fields, strict=False):
+        if found.dataType is None:
             raise SchemaConflict(
-                f"column {have.name}: {comes.dataType.simpleString()} does not fit the target's "
-                f"{have.dataType.simpleString()}"
+                f"column {had.name}: {found.comes.simpleString()} does not fit the target's {had.dataType.simpleString()}"
             )
-    return T.StructType(merged + list(given.values()))
+    return T.StructType([T.StructField(f.name, f.dataType, metadata=f.metadata) for f in fields])
+
+
+def _nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+
+
+def rebuilt(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in a nested type that was merged with its own: struct fields by name, missing ones null, parts cast."""
+    if have == want:
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        given = {f.name.lower(): f for f in have.fields}
+        parts = [
+            rebuilt(value[given[f.name.lower()].name], given[f.name.lower()].dataType, f.dataType).alias(f.name)
+            if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*parts)).cast(want)
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: rebuilt(x, have.elementType, want.elementType)).cast(want)
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        keyed = value if have.keyType == want.keyType else F.transform_keys(value, lambda k, v: rebuilt(k, have.keyType, want.keyType))
+        return F.transform_values(keyed, lambda k, v: rebuilt(v, have.valueType, want.valueType)).cast(want)
+    return value.cast(want)
 
 
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` by name and in its order; missing ones are null.
+    """The columns of ``schema`` by name and in its order; missing ones are null, nested ones rebuilt.
 
-    Types are left to the insert, which checks ranges.
+    Plain types are left to the insert, which checks ranges.
     """
-    given = {name.lower(): name for name in df.columns}
-    return df.select(
-        *[
-            F.col(quoted(given[f.name.lower()])).alias(f.name)
-            if f.name.lower() in given
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    given = {f.name.lower(): f for f in df.schema.fields}
+
+    def column(f: T.StructField) -> Column:
+        have = given.get(f.name.lower())
+        if have is None:
+            return F.lit(None).cast(f.dataType)
+        value = F.col(quoted(have.name))
+        return rebuilt(value, have.dataType, f.dataType) if _nested(have.dataType) and _nested(f.dataType) else value
+
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])
 
 
 def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) -> None:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.timekeys import elapsed_seconds, elapsed_text
 from millrace.model import DAY_FORMAT, LOG_SCHEMA, SECOND_FORMAT
+from millrace.session import shared_dir
 
 # The known log levels; any other counts as INFO.
 LOG_LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
@@ -68,6 +70,36 @@ def write_log(entries: DataFrame, path: str) -> None:
     spread.drop("ts").write.mode("append").partitionBy("log_date").text(path)
 
 
+def _ordered(entries: DataFrame) -> DataFrame:
+    """Log lines dealt to ranges of time, each sorted; lines of one time go on by their text, equal ones by chance."""
+    keys = ["ts", "line", "severity"]
+    lines = log_lines(entries).withColumn("_chance", F.rand(7))
+    return lines.repartitionByRange(*[F.asc_nulls_first(c) for c in keys], "_chance").sortWithinPartitions(
+        *[F.asc_nulls_first(c) for c in keys]).drop("_chance")
+
+
+def numbered_log(entries: DataFrame) -> DataFrame:
+    """The text of a log: line_number from 1 without gaps in the order of time, then text.
+
+    Ranges have sampled bounds and are sorted apart; a line's number is its place in its range after the rows of the ranges
+    before. Only the sizes of the ranges reach the driver. The ranges are written first, so that places stay as they are.
+    """
+    spark = entries.sparkSession
+    path = shared_dir(spark, "log")
+    _ordered(entries).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", 33))
+    sizes = sorted((r._range, r.n) for r in rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = accumulate((n for _, n in sizes), initial=0)
+    before = spark.createDataFrame([(number, start) for (number, _), start in zip(sizes, starts)], "_range long, _before long")
+    place = F.col("_at").bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(before), "_range").select((F.col("_before") + place + 1).alias("line_number"), "severity", "line")
+
+
+def write_ordered_log(entries: DataFrame, path: str) -> None:
+    """Writes a log as text files whose names and lines, one after the other, are in the order of time."""
+    _ordered(entries).select("line").write.mode("overwrite").text(path)
+
+
 class RunLog:
     """The entries of one run, kept by the program that submits its jobs."""
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import re
 from datetime import datetime, timedelta
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.timekeys import elapsed_seconds, elapsed_text
 from millrace.model import LEDGER_SCHEMA, LOG_SCHEMA
-from millrace.operators.reports import RunLog, job_report, log_lines, write_log
+from millrace.operators.reports import RunLog, job_report, log_lines, numbered_log, write_log, write_ordered_log
 from millrace.session import shared_dir
 
 START = datetime(2025, 1, 1)
@@ -86,3 +87,23 @@ def test_save_tells_whether_it_worked(spark):
     assert log.save(spark, shared_dir(spark, "log")) is True
     assert log.save(spark, "nosuchscheme://x/y") is False
     assert "log not saved" in log.content()
+
+
+def test_a_log_is_one_text_in_order(spark):
+    times = ["2024-01-02 00:00:01", "2024-01-01 00:00:00", None, "2024-01-02 00:00:01"]
+    rows = [(times[i % 4], "INFO", f"m{i % 50:02}") for i in range(400)] + [(times[0], "ERROR", "same")] * 300
+    entries = spark.createDataFrame(rows, "ts string, level string, message string").selectExpr("CAST(ts AS timestamp) AS ts", "level", "message")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = sorted(numbered_log(entries.repartition(5)).collect())
+        path = shared_dir(spark, "ordered")
+        write_ordered_log(entries.repartition(3), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = sorted((t or "", " - ".join(p for p in (t, level, message) if p)) for t, level, message in rows)
+    assert [r.line_number for r in numbered] == list(range(1, 701)) and [r.line for r in numbered] == [line for _, line in want]
+    folder = path.removeprefix("file:")
+    files = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    text = "".join(open(f"{folder}/{f}").read() for f in files)
+    assert len(files) > 1 and text.splitlines() == [line for _, line in want]
+    assert numbered_log(entries.limit(0)).count() == 0
