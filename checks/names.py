@@ -9,7 +9,9 @@ from checks.tables import SOURCE_TYPES, table
 from millrace.functions.names import rename_safe, sanitized, select_lists, with_select_items
 from millrace.functions.typemap import numeric_scale_profile, schema_map
 from millrace.model import CATALOGUE_SCHEMA
+from millrace.operators.profiles import ProfileStore
 from millrace.operators.schema_diff import schema_diff
+from millrace.session import scratch_table
 
 
 def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +68,24 @@ def diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_diff(seen(f"ts < {middle}"), seen(f"ts >= {middle}"), ["user_id", "column_name"])
 
 
+def scale_profile_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of three windows of lines, kept one after the other and shrunk in between."""
+    lines = table(spark, sf_dir, "lineitem")
+    store = ProfileStore(spark, scratch_table(spark, "profiles"), most=1)
+    merged = None
+    for low, high in (("1900-01-01", "1994-01-01"), ("1994-01-01", "1994-01-02"), ("1994-01-02", "2100-01-01")):
+        window = lines.where(f"l_shipdate >= TIMESTAMP_NTZ'{low} 00:00:00' AND l_shipdate < TIMESTAMP_NTZ'{high} 00:00:00'")
+        merged = store.extend("given", "lineitem", numeric_scale_profile(window))
+    return merged
+
+
 QUERIES = {
     "sanitize_names": sanitize_names,
     "safe_select_list": safe_select_list,
     "select_list_text": select_list_text,
     "rename_safe": renamed,
     "numeric_scale_profile": scale_profile,
+    "scale_profile_merge": scale_profile_merge,
     "schema_map": mapped_schema,
     "schema_diff": diff,
 }
@@ -141,6 +155,7 @@ ORACLES = {
         SELECT p_partkey AS Part_Key, p_name AS part_key__2, p_brand AS p_brand, p_type AS type,
                p_size AS size_cm, p_retailprice AS Gr_e_Preis FROM part""",
     "numeric_scale_profile": PROFILE,
+    "scale_profile_merge": PROFILE,
     "schema_map": f"""
         SELECT c.column_name, c.data_type, CAST(c.ordinal_position AS INTEGER) AS ordinal_position,
                CASE WHEN c.data_type = 'NUMBER' AND p.fractional_rows > 0

@@ -24,6 +24,9 @@ LONG_DIGITS = 18
 SHORT_DIGITS = 4
 SHORT_LIMIT = 1e10
 
+#: The columns of a profile of numbers.
+PROFILE_COLUMNS = "column_name string, fractional_rows bigint, scale int, max_abs double"
+
 
 def _text_digits(column: Column) -> Column:
     """Fraction digits of a double's shortest decimal text, which may have an exponent."""
@@ -61,8 +64,7 @@ def numeric_scale_profile(df: DataFrame, columns: list[str] | None = None) -> Da
     numeric = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     chosen = [c for c in (columns or numeric) if c in numeric]
     if not chosen:
-        schema = "column_name string, fractional_rows bigint, scale int, max_abs double"
-        return df.sparkSession.createDataFrame([], schema)
+        return df.sparkSession.createDataFrame([], PROFILE_COLUMNS)
     digits = df.select(
         *[_fraction_digits(F.col(f"`{c}`"), numeric[c]).alias(f"d{i}") for i, c in enumerate(chosen)],
         *[F.abs(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(chosen)],
@@ -84,6 +86,13 @@ def numeric_scale_profile(df: DataFrame, columns: list[str] | None = None) -> Da
     return totals.select(F.inline(F.array(*rows)))
 
 
+def merged_profiles(states: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One profile from those of several sets of rows: a row per column, and per value of ``by``."""
+    return states.groupBy(*(by or []), "column_name").agg(
+        F.sum("fractional_rows").alias("fractional_rows"), F.max("scale").alias("scale"), F.max("max_abs").alias("max_abs")
+    )
+
+
 def declared_type(precision: Column, scale: Column) -> Column:
     """The Spark type text of a NUMBER with declared digits, null where they are not declared or do not fit."""
     whole = (F.coalesce(scale, F.lit(0)) <= 0) & (precision - F.coalesce(scale, F.lit(0)) <= 38)

@@ -97,6 +97,17 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+# What is known of the numbers of source tables.
+PROFILE_SCHEMA = T.StructType(
+    [
+        T.StructField("source_table", T.StringType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("fractional_rows", T.LongType()),
+        T.StructField("scale", T.IntegerType()),
+        T.StructField("max_abs", T.DoubleType()),
+    ]
+)
+
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
 # The columns of the settings and of the ingestion config. Settings of a pipeline: those of mail delivery are kept for existing tables and not used.

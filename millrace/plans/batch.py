@@ -13,6 +13,7 @@ from millrace.model import OUTCOME_SCHEMA, PipelineConfig, RunContext, TableJob,
 from millrace.operators.cdc import Mark
 from millrace.operators.filelog import steady
 from millrace.operators.intents import DONE, Intent
+from millrace.operators.landing import ATOMIC_FORMATS
 from millrace.operators.ledger import (
     batch_summary,
     completion_rows,
@@ -25,6 +26,7 @@ from millrace.operators.ledger import (
     with_run,
     write_ledger,
 )
+from millrace.operators.profiles import ProfileStore
 from millrace.operators.reports import RunLog, batch_tables, job_report, write_csv
 from millrace.plans.table_load import Outcome, Target, load_table
 from millrace.plans.workers import side_by_side
@@ -148,8 +150,10 @@ def run_batch(
             log.log("nothing to rerun" if rerun else "no enabled jobs")
         else:
             log.log(f"batch {run.batch_id}, run {run.run_id}: {len(jobs)} jobs")
-            origin = source or open_source(spark, pipeline.source_db_config, pipeline.dbpass)
-            target = Target(spark, pipeline.table(pipeline.cdc_tracker_tbl), pipeline.catalog_name, fmt)
+            tracker = pipeline.table(pipeline.cdc_tracker_tbl)
+            profiles = None if fmt in ATOMIC_FORMATS else ProfileStore(spark, f"{tracker}_profiles", fmt)
+            origin = source or open_source(spark, pipeline.source_db_config, pipeline.dbpass, profiles)
+            target = Target(spark, tracker, pipeline.catalog_name, fmt)
             reports = bool(pipeline.log_bucket) and is_yes(pipeline.statusEmails)
             if reports:
                 write_csv(batch_tables(config), f"{pipeline.report_folder(run)}/tables")

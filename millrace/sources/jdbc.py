@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.names import select_list
-from millrace.functions.typemap import schema_ddl, schema_map
+from millrace.functions.typemap import PROFILE_COLUMNS, schema_ddl, schema_map
 from millrace.model import DECLARED_SCHEMA, TableJob
 from millrace.operators.cdc import HourWindow, Key, KeyRange
+from millrace.operators.profiles import ProfileStore
 from millrace.sources.dialects import Dialect, Oracle, SqlServer
 from millrace.sources.extract import Extract
 from millrace.sources.splits import ROW_COLUMN, SPLIT_COLUMN, Histogram, Parts, even_parts
@@ -106,7 +107,8 @@ class JdbcSource:
     """One database, read through Spark's JDBC reader."""
 
     def __init__(self, spark: SparkSession, connection: JdbcConnection, dialect: Dialect,
-                 splits: SplitSettings | None = None):
+                 splits: SplitSettings | None = None, profiles: ProfileStore | None = None):
+        self.profiles = profiles
         self.spark = spark
         self.connection = connection
         self.dialect = dialect
@@ -157,21 +159,21 @@ class JdbcSource:
 
     def scale_profile(self, schema: str, table: str, numbers: list[str], extract: Extract | None = None) -> DataFrame:
         """The profile of NUMBER columns by one aggregate inside the source, over the rows to read."""
-        out = "column_name string, fractional_rows bigint, scale int, max_abs double"
         if not numbers:
-            return self.spark.createDataFrame([], out)
+            return self.spark.createDataFrame([], PROFILE_COLUMNS)
         totals = self.scan(self.dialect.scale_profile_query(schema, table, numbers, extract)).first()
         rows = [
             (name, int(totals[f"N{i}"]), int(totals[f"S{i}"] or 0), float(2**64) if totals[f"W{i}"] else 0.0)
             for i, name in enumerate(numbers)
         ]
-        return self.spark.createDataFrame(rows, out)
+        return self.spark.createDataFrame(rows, PROFILE_COLUMNS)
 
     def schema_text(self, schema: str, table: str, extract: Extract | None = None,
                     catalogue: list[Row] | None = None) -> str | None:
         """``customSchema`` for the scan; SQL Server keeps the connector's own types.
 
-        Only NUMBER columns without declared digits are profiled, and of a select list those it names.
+        Only NUMBER columns without declared digits are profiled, and of a select list those it names. Where profiles are kept, the
+        rows to read are merged with what earlier loads saw, so a type never shrinks to that of one window.
         """
         if not isinstance(self.dialect, Oracle):
             return None
@@ -182,7 +184,10 @@ class JdbcSource:
         if not rows:
             return None
         known = self.spark.createDataFrame(rows, DECLARED_SCHEMA)
-        return schema_ddl(schema_map(known, self.scale_profile(schema, table, numbers, extract)))
+        profile = self.scale_profile(schema, table, numbers, extract)
+        if self.profiles is not None and numbers:
+            profile = self.profiles.extend(schema, table, profile)
+        return schema_ddl(schema_map(known, profile))
 
     def split(self, job: TableJob, extract: Extract, row_count: int | None, columns: list[str],
               kind: str = "TABLE") -> Parts | None:

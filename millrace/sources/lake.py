@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.names import rename_safe
 from millrace.model import PipelineConfig, TableJob
 from millrace.operators.cdc import Key, key_maximum
+from millrace.operators.profiles import ProfileStore
 from millrace.sources.dialects import Oracle, SqlServer
 from millrace.sources.extract import Extract, extract_from
 from millrace.sources.jdbc import JdbcConnection, JdbcSource, SplitSettings
@@ -71,12 +72,13 @@ class LakeSource:
 Source = JdbcSource | LakeSource
 
 
-def open_source(spark: SparkSession, config: Mapping[str, str], password: str) -> JdbcSource:
+def open_source(spark: SparkSession, config: Mapping[str, str], password: str,
+                profiles: ProfileStore | None = None) -> JdbcSource:
     """The database that a pipeline's source settings name."""
     db_type = (config.get("db_type") or "").upper()
     splits = SplitSettings.of(config)
     if db_type == "ORACLE":
-        return JdbcSource(spark, JdbcConnection.oracle(config, password), Oracle(), splits)
+        return JdbcSource(spark, JdbcConnection.oracle(config, password), Oracle(), splits, profiles)
     if db_type == "MSSQL":
         return JdbcSource(spark, JdbcConnection.sql_server(config, password), SqlServer(), splits)
     raise ValueError(f"Unsupported source_db_type: {config.get('db_type')}")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.typemap import numeric_scale_profile
 from millrace.model import PipelineConfig, RunContext, TableJob
 from millrace.operators.cdc import HourWindow, KeyRange
+from millrace.operators.profiles import ProfileStore
 from millrace.plans.table_load import Target, load_table
 from millrace.session import scratch_database, scratch_table, shared_dir
 from millrace.sources.dialects import Oracle, SqlServer
@@ -204,6 +205,22 @@ def test_catalogue_and_schema_text(oracle):
     assert source.columns(TableJob("J", database, "none", "x", "t")) == []
 
 
+def test_types_do_not_shrink_to_those_of_a_window(spark, oracle):
+    """A window of whole numbers after one with fractions, by the profiles that loads have left."""
+    source, database = oracle
+    source.profiles = ProfileStore(spark, scratch_table(spark, "profiles"), most=1)
+    part = source.spark.table(f"{database}.T").where("AMOUNT = 1")
+    whole = "ID LONG, AMOUNT LONG, NAME STRING, MOD_TS TIMESTAMP"
+    fractions = whole.replace("AMOUNT LONG", "AMOUNT DECIMAL(38, 3)")
+    real, source.scale_profile = source.scale_profile, lambda schema, table, numbers, extract: numeric_scale_profile(part, numbers)
+    assert source.schema_text(database, "T") == whole
+    source.scale_profile = real
+    assert source.schema_text(database, "T") == fractions
+    source.scale_profile = lambda schema, table, numbers, extract: numeric_scale_profile(part, numbers)
+    assert source.schema_text(database, "T") == fractions
+    assert source.schema_text("other", "T") is None or "AMOUNT" not in source.schema_text("other", "T")
+
+
 def test_full_scan_is_typed_and_split(oracle):
     source, database = oracle
     job = TableJob("J", database, "T", "x", "t", cdc_append_key_column="id")
