@@ -8,6 +8,7 @@ import re
 
 import pytest
 from conftest import documents
+from pyspark.sql import functions as F
 
 from millrace.llm import ngram_join, substring_dedup
 from millrace.llm.decontaminate import benchmark_hits
@@ -199,3 +200,31 @@ def test_shards_are_even_and_keep_equal_texts_together(spark):
     shards = placed[placed["rid"] < 5000].groupby(["t1", "t2"])["shard"].nunique()
     assert (shards > 1).mean() < 0.05  # those that a boundary cuts
     assert placed[placed["rid"] >= 5000]["shard"].nunique() > 1  # a text larger than a shard is divided
+
+
+@pytest.mark.parametrize("same_id", [3, None])
+def test_rows_equal_in_all_are_split_too(spark, same_id):
+    """A third of all bytes in rows of one text and one id, or none: the law holds, and slots have no gap."""
+    rows = [(i, f"text {i % 5900} " * 3) for i in range(6000)] + [(same_id, "one text for all of them")] * 5000
+    placed = shard_documents(documents(spark, rows, 5), shards=8)
+    found = placed.toPandas()
+    sizes = found.groupby("shard")["size"].sum()
+    assert len(sizes) == 8 and sizes.max() < 1.1 * sizes.mean() and sizes.min() > 0.9 * sizes.mean()
+    for _, slots in found.groupby("shard")["slot"]:
+        assert sorted(slots) == list(range(len(slots)))
+    assert found["ordinal"].is_unique and len(found) == 11000
+    again = shard_documents(documents(spark, rows, 9), shards=8).toPandas()
+    key = ["rid", "size", "shard"]
+    assert (found[key].fillna(-1).sort_values(key).values == again[key].fillna(-1).sort_values(key).values).all()
+
+
+def test_shards_follow_the_ranges_of_a_plain_sort(spark):
+    """Each shard is a run of the order by (k1, k2, copy), and slots go by range: against a sort on the driver."""
+    rows = [(i, f"t{i % 700}") for i in range(3000)] + [(9, "t9")] * 40
+    found = shard_documents(documents(spark, rows, 4), shards=6)
+    keyed = found.withColumn("text", F.expr("concat('t', CASE WHEN rid IS NULL THEN '' ELSE CAST(rid % 700 AS STRING) END)"))
+    keyed = keyed.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text", "rid")}).toPandas()
+    ordered = keyed.sort_values(["k1", "k2", "shard"], kind="stable")
+    assert ordered["shard"].is_monotonic_increasing  # no shard begins before the one below has ended
+    slots = keyed.sort_values(["shard", "slot"])
+    assert (slots.groupby("shard")["part"].apply(lambda parts: parts.is_monotonic_increasing)).all()
