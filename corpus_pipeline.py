@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import benchmark_hits
@@ -64,14 +63,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns with shard (0 to 23) and slot, a place in the shard; columns of these names are replaced."""
-    # Without nulls in the key, the window and the join deal the texts alike, so they are shuffled once.
-    key = ["no_id", "id", "t1", "t2"]
-    parts = {"no_id": F.col("rid").isNull(), "id": F.coalesce("rid", F.lit(0))}
-    placed = shard_documents(docs).withColumns(parts)
-    places = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("places"))
-    rows = packed(docs, "doc_id", "text").withColumns(parts)
-    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy(*key).orderBy("t1")))
-    joined = rows.join(places, key).select("row", F.get("places", F.col("copy") - 1).alias("place"))
+    # Written with a number per row, by which rows and places meet: equal rows are many rows, and no group of them is gathered.
+    rows = saved(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("ordinal")), "numbered")
+    flat = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "ordinal")
+    placed = shard_documents(flat, ordinal_col="ordinal").select("ordinal", F.struct("shard", "slot").alias("place"))
+    joined = rows.join(placed, "ordinal")
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")]
     return joined.select(*kept, "place.shard", "place.slot")
 
