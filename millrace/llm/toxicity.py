@@ -87,12 +87,24 @@ def evidence(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
             clear.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    for low, high in clear:
-        best = {at: w for at, w in best.items() if not low <= at < high}
+    best = _outside(best, clear)
     total = sum(best.values())
     return math.log1p(total), math.log1p(100 * total / len(words)), max(best.values(), default=0.0)
 
 
+def _outside(best: dict[int, float], spans: list[tuple[int, int]]) -> dict[int, float]:
+    """The places that lie in no span, by one sweep over both in order."""
+    if not spans:
+        return best
+    spans, left, at, past = sorted(spans), {}, 0, -1
+    for place in sorted(best):
+        while at < len(spans) and spans[at][0] <= place:
+            past, at = max(past, spans[at][1]), at + 1
+        if place >= past:
+            left[place] = best[place]
+    return left
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
     """Logistic regression by Newton's steps; the constant comes first."""
     x = np.column_stack([np.ones(len(x)), x])
