@@ -9,6 +9,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import identified, saved
@@ -54,26 +55,58 @@ FEATURES = {  # small whole numbers, so that the table of all their combinations
 }
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, start: Column) -> Column:
+    """The sums of an array up to each of its values, the array itself copied as often as it is long."""
+    none = F.struct(start.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, none, lambda s, x: F.struct(
+        (s.at + x).alias("at"), F.concat(s.out, F.array(s.at + x)).alias("out")), lambda s: s.out)
+
+
+def running_sums(values: Column) -> Column:
+    """The sums of an array of whole numbers up to each of its values, in blocks of the root of its length.
+
+    An array is built by copying, so sums within blocks, and over the sums of blocks, cost the length times its root at most.
+    """
+    width = F.ceil(F.sqrt(F.size(values))).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), (F.size(values) / width - 0.0001).cast("int")),
+                      lambda b: F.slice(values, b * width + 1, width))
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + x))
+        return _bound(_running(totals, F.lit(0)), lambda ends: F.flatten(F.transform(
+            blocks, lambda block, b: _running(block, F.when(b > 0, F.get(ends, b - 1)).otherwise(0)))))
+
+    return F.when(F.size(values) > 0, _bound(cut, joined)).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(pattern: str, kind: str, form: str) -> Column:
-    """Matches with their places in code points, from the texts between them."""
-    pattern = pattern.replace("'", "\\'")
-    return F.expr(f"""
-        IF({GUARD[kind]} AND rlike(text, r'{pattern}'),
-           transform(aggregate(
-               sequence(0, size(regexp_extract_all(text, r'{pattern}', 0)) - 1),
-               named_struct('at', 0, 'gaps', split(text, r'{pattern}', -1),
-                            'all', regexp_extract_all(text, r'{pattern}', 0),
-                            'out', CAST(array() AS array<struct<first: int, past: int, match: string>>)),
-               (s, i) -> named_struct(
-                   'at', s.at + length(s.gaps[i]) + length(s.all[i]), 'gaps', s.gaps, 'all', s.all,
-                   'out', concat(s.out, array(named_struct(
-                       'first', s.at + length(s.gaps[i]),
-                       'past', s.at + length(s.gaps[i]) + length(s.all[i]), 'match', s.all[i])))),
-               s -> s.out),
-               m -> named_struct('kind', '{kind}', 'form', '{form}', 'first', m.first, 'past', m.past, 'match', m.match,
-                                 'before', substr(text, greatest(1, m.first - 19), least(20, m.first)),
-                                 'after', substr(text, m.past + 1, 1))),
-           array())""")
+    """Matches with their places in code points, from the lengths of the matches and of the texts between them."""
+    text, pattern = F.col("text"), F.lit(pattern)
+
+    def span(match: Column, past: Column, before: Column, after: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.lit(form).alias("form"), (past - F.length(match)).alias("first"), past.alias("past"),
+            match.alias("match"), before.alias("before"), after.alias("after"))
+
+    def placed(matches: Column, gaps: Column) -> Column:
+        steps = F.transform(matches, lambda match, i: F.length(F.get(gaps, i)) + F.length(match))
+
+        def one(match: Column, i: Column, ends: Column) -> Column:
+            # Up to 20 characters before, of the match before and the text between; the character after.
+            ahead = F.concat(F.coalesce(F.right(F.get(matches, i - 1), F.lit(20)), F.lit("")), F.get(gaps, i))
+            behind = F.concat(F.left(F.get(gaps, i + 1), F.lit(1)), F.coalesce(F.left(F.get(matches, i + 1), F.lit(1)), F.lit("")))
+            return span(match, F.get(ends, i), F.right(ahead, F.lit(20)), F.left(behind, F.lit(1)))
+
+        return _bound(running_sums(steps), lambda ends: F.transform(matches, lambda match, i: one(match, i, ends)))
+
+    found = _bound(F.regexp_extract_all(text, pattern, F.lit(0)),
+                   lambda matches: _bound(F.split(text, pattern, -1), lambda gaps: placed(matches, gaps)))
+    return F.when(F.expr(GUARD[kind]) & F.rlike(text, pattern), found).otherwise(F.array())
 
 
 @dataclass
@@ -186,14 +219,19 @@ def personal_data(
                 accepted = accepted | ((F.col("kind") == kind) & (F.expr(model.sql()) >= bound))
     kept = spans.withColumn("order", F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int"))
     kept = kept.where((F.col("form") == "") | ((F.col("form") == "base") & F.col("passes")) | ((F.col("form") == "more") & accepted))
+    # An added span must overlap no base span of its kind: neither one that begins before it nor the next.
+    own = W.partitionBy("rid", "t1", "t2", "kind").orderBy("first")
+    is_base = F.col("form") == "base"
+    ahead = F.max(F.when(is_base, F.col("past"))).over(own.rangeBetween(W.unboundedPreceding, W.currentRow))
+    behind = F.min(F.when(is_base, F.col("first"))).over(own.rangeBetween(W.currentRow, W.unboundedFollowing))
+    clear = F.coalesce(ahead <= F.col("first"), F.lit(True)) & F.coalesce(behind >= F.col("past"), F.lit(True))
+    kept = kept.withColumn("clear", clear).where((F.col("form") != "more") | F.col("clear"))
     span = F.struct("order", "first", "past", "kind")
     per_row = kept.groupBy("rid", "t1", "t2").agg(
         F.count_if(F.col("form") == "").alias("copies"),
         F.array_sort(F.collect_set(F.when(F.col("form") == "base", span))).alias("base"),
         F.array_sort(F.collect_set(F.when(F.col("form") == "more", span))).alias("more"))
-    clear = F.expr("""aggregate(more, base, (s, x) -> IF(
-        exists(s, y -> y.order = x.order AND y.first < x.past AND x.first < y.past), s, concat(s, array(x))))""")
-    per_row = per_row.select("rid", "base", F.array_sort(clear).alias("spans"), F.explode(F.expr("sequence(1, copies)")).alias("copy"))
+    per_row = per_row.select("rid", "base", F.array_sort(F.concat("base", "more")).alias("spans"), F.explode(F.expr("sequence(1, copies)")).alias("copy"))
     return per_row.drop("copy")
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
+import random
 import re
+import time
 import zlib
 
+import numpy as np
 import pytest
 from conftest import documents
 from pyspark.sql import functions as F
 
-from millrace.llm.pii import BASE, KINDS, Trees, boosted, personal_data
+from millrace.llm.pii import BASE, KINDS, Trees, boosted, personal_data, running_sums
 from millrace.llm.quality import classify_quality
-from millrace.llm.toxicity import Lexicon, evidence, folded, score_toxicity
+from millrace.llm.toxicity import EXCEPTIONS, Lexicon, _outside, evidence, folded, score_toxicity
 
 LABELS = "doc_id long, quality int, toxic int, text string"
 SF = "/root/testdata/sf0.1"
@@ -140,6 +144,33 @@ def test_base_spans_of_plain_patterns(spark, awkward):
     assert personal_data(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("length", [0, 1, 2, 3, 10, 99, 100, 101, 1000])
+def test_running_sums(spark, length):
+    values = [(7 * i) % 11 for i in range(length)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    assert df.select(running_sums(F.col("v")).alias("s")).first().s == list(itertools.accumulate(values))
+
+
+def test_texts_of_many_spans_take_time_by_their_length(spark):
+    """Some tens of thousands of addresses, or of exception phrases, in one text."""
+    many = [(1, "a.b@c.de 1.2.3.4 " * 20_000), (2, "4111 1111 1111 1111, " * 3000)]
+    began = time.monotonic()
+    found = {r.rid: len(r.base) for r in personal_data(documents(spark, many)).collect()}
+    assert found == {1: 40_000, 2: 3000} and time.monotonic() - began < 120
+    automaton = Lexicon({" trash ": 4.0, " scum ": 4.0}, EXCEPTIONS).automaton()
+    began = time.monotonic()
+    total, rate, largest = evidence("trash can pond scum " * 50_000 + "scum", automaton)
+    assert largest == 4.0 and total == pytest.approx(np.log1p(4.0)) and time.monotonic() - began < 20
+
+
+def test_exceptions_equal_dropping_each_place():
+    rnd = random.Random(5)
+    for _ in range(500):
+        best = {rnd.randrange(60): 1.0 for _ in range(rnd.randrange(12))}
+        spans = [(low, low + rnd.randrange(1, 15)) for low in (rnd.randrange(60) for _ in range(rnd.randrange(6)))]
+        assert _outside(best, spans) == {at: w for at, w in best.items() if not any(low <= at < high for low, high in spans)}
+
+
 def test_spans_are_added_where_a_base_match_swallowed_them(spark):
     docs = given(spark, "documents")
     found = {r.rid: r for r in personal_data(docs).collect()}
