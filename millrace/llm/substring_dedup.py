@@ -1,9 +1,9 @@
-"""Substring dedup: prefix-partitioned suffix trees over word windows.
+"""Substring dedup: windows of words that start earlier too, found by anchors and hashes.
 
-Suffixes of documents, cut at ``window`` words, are split by a prefix and each group's tree is built in one task. The
-prefix is a k-gram anchor of the window (the least hash of its k-grams), so that equal windows always share it; a group
-beyond GROUP suffixes takes the whole window as its prefix and is reduced before it is shuffled. In the sorted suffixes
-of a group, equal neighbours at depth ``window`` are the leaves below one deep internal node: a repeat.
+Windows of ``window`` words are grouped by a k-gram anchor (the least hash of their k-grams), so that equal windows always
+meet; a group beyond GROUP windows is grouped by whole windows and reduced before it is shuffled. In a group the hashes of
+whole windows are sorted, and equal neighbours are a repeat. This is the cut at one depth of what suffix trees by
+prefix would give: suffixes are not sorted by their words, no tree is built, and longer repeats are not told as such.
 """
 
 from __future__ import annotations

@@ -33,8 +33,8 @@ def near_vectors(
 ) -> DataFrame:
     """Every row with the links of its vector: pairs of cosine ``min_cos`` or more, in double precision.
 
-    A vector is described by its ``prefix`` nearest of at most ``pivots`` reference points. Lists are kept by each
-    combination of ``shared`` pivots, so a list holds exactly those that share them, and a pair is counted once, in the
+    A vector is described by its ``prefix`` nearest of at most ``pivots`` reference points, as a set: their order is not used.
+    Lists are kept by each combination of ``shared`` pivots, in place of one list per pivot with counts, so a list holds exactly those that share them, and a pair is counted once, in the
     list of the smallest pivots that it shares. Lists of any length are compared in blocks of BLOCK.
     Pairs that share fewer pivots are missed (the index is approximate); no pair below ``min_cos`` links.
     Returns vid, n_links (other rows linked directly) and component_id (smallest id reachable). Vectors that
