@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.pii import BASE, KINDS, Trees, boosted, personal_data, running_sums
 from millrace.llm.quality import classify_quality
-from millrace.llm.toxicity import EXCEPTIONS, Lexicon, _outside, evidence, folded, score_toxicity
+from millrace.llm.toxicity import EXCEPTIONS, Lexicon, _outside, evidence, folded, learn_lexicon, score_toxicity, training_rows
 
 LABELS = "doc_id long, quality int, toxic int, text string"
 SF = "/root/testdata/sf0.1"
@@ -192,3 +192,68 @@ def test_boosted_trees_learn_and_are_sql(spark):
 @pytest.mark.parametrize("kind", KINDS)
 def test_generators_have_a_pattern_of_every_kind(kind):
     assert kind in BASE
+
+
+def plain_evidence(text, weights, exceptions):
+    """Every term tried at every word, without an automaton; words inside an exception phrase are left out."""
+    words = folded(text)
+    line = f" {' '.join(words)} "
+    inside = set()
+    for phrase in exceptions:
+        wanted = f" {' '.join(folded(phrase))} "
+        inside |= {at for i in range(len(line)) if line.startswith(wanted, i) for at in range(i, i + len(wanted) - 1)}
+    best = [max((w for term, w in weights.items() if line.startswith(term, i)), default=0.0)
+            for i in range(len(line)) if line[i] == " " and i not in inside]
+    if not words:
+        return 0.0, 0.0, 0.0
+    return np.log1p(sum(best)), np.log1p(100 * sum(best) / len(words)), max(best, default=0.0)
+
+
+def test_scores_equal_a_plain_search_for_the_terms(spark):
+    rnd = random.Random(6)
+    mild, harsh = ["day", "house", "trash", "can", "river", "green", "Scum", "line"], ["tr4sh", "scum", "idiot", "IDIOTIC", "worthl3ss", "trash"]
+    rows = []
+    for i in range(500):
+        bad = i % 3 == 0
+        words = [rnd.choice(harsh if bad and rnd.random() < 0.4 else mild) for _ in range(rnd.randrange(0, 25))]
+        rows.append((i, " ".join(words)))
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0), "") for i in range(500)], LABELS)
+    learnt = learn_lexicon(training_rows(docs, labels, "toxic", 20_000, 5, 0, "doc_id", "text"))
+    assert learnt.weights
+    found = {r.rid: r.score for r in score_toxicity(docs, labels).collect()}
+    for i, text in rows:
+        logit = learnt.curve[0] + sum(c * x for c, x in zip(learnt.curve[1:], plain_evidence(text, learnt.weights, EXCEPTIONS), strict=True))
+        assert found[i] == pytest.approx(1 / (1 + np.exp(-np.clip(logit, -30, 30))), abs=1e-9)
+
+
+def test_site_rates_equal_plain_shrinkage(spark):
+    """Rates of hosts and paths, and scores, from the documents' own evidence by plain sums."""
+    rnd = random.Random(7)
+    rows = [(i, " ".join(rnd.choice(["fine", "prose", "!!", "$$", "words", "1234", "Xx"]) for _ in range(rnd.randrange(1, 30))),
+             rnd.choice("aaaabbc") if i else None) for i in range(300)]
+    docs = documents(spark, rows).withColumn("lang", F.concat(F.lit("p"), (F.col("doc_id") % 3).cast("string")))
+    labels = spark.createDataFrame([(i, int("!!" not in rows[i][1]), 0, "") for i in range(0, 300, 2)], LABELS)
+    found = {r.rid: r for r in classify_quality(docs, labels).collect()}
+    site = {i: (source, f"p{i % 3}") for i, _, source in rows}
+    own = {i: 1 / (1 + np.exp(-r.logit)) for i, r in found.items()}
+    mean = sum(own.values()) / len(own)
+
+    def shrunk(keys, parent):
+        """The rate of each key, pulled to its parent's by moments."""
+        good = {k: sum(own[i] for i in own if keys(i) == k) for k in map(keys, own)}
+        n = {k: sum(keys(i) == k for i in own) for k in good}
+        noise = {k: parent(k) * (1 - parent(k)) for k in good}
+        total = sum(n.values())
+        between = (sum(n[k] * (good[k] / n[k] - parent(k)) ** 2 for k in good) - sum(noise.values())) / total
+        within = sum(n[k] * noise[k] for k in good) / total
+        pull = max(within / between - 1, 1.0) if between > within / 1e6 else 1e6
+        return {k: (good[k] + pull * parent(k)) / (n[k] + pull) for k in good}
+
+    hosts = shrunk(lambda i: site[i][0], lambda k: mean)
+    paths = shrunk(lambda i: site[i], lambda k: hosts[k[0]])
+    logit = lambda p: np.log(p / (1 - p))
+    for i, r in found.items():
+        assert r.host_rate == pytest.approx(hosts[site[i][0]], abs=1e-9) and r.path_rate == pytest.approx(paths[site[i]], abs=1e-9)
+        score = 1 / (1 + np.exp(-(r.logit + logit(paths[site[i]]) - logit(mean))))
+        assert r.score == pytest.approx(score, abs=1e-9) and r.good == (r.score >= 0.5)
