@@ -64,7 +64,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns with shard (0 to 23) and slot, a place in the shard; columns of these names are replaced."""
     # Written with a number per row, by which rows and places meet: equal rows are many rows, and no group of them is gathered.
-    rows = saved(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("ordinal")), "numbered")
+    rows = saved(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("ordinal")), "numbered", codec="zstd")
     flat = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "ordinal")
     placed = shard_documents(flat, ordinal_col="ordinal").select("ordinal", F.struct("shard", "slot").alias("place"))
     joined = rows.join(placed, "ordinal")
