@@ -115,6 +115,15 @@ def test_query_covers_every_document(spark, sf_dir):
         assert r.base_sha256 == hashlib.sha256(text_of(base).encode()).hexdigest()
 
 
+def test_query_counts_each_kind(spark, tmp_path):
+    texts = {1: "token=12345678 AKIA0123456789AB " + "0f" * 16 + " secret: abcdefgh", 2: "AKIA0123456789AB", 3: "0f" * 16 + " " + "a1" * 20, 4: None}
+    documents(spark, list(texts.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in QUERIES["op12_secrets"](spark, str(tmp_path)).collect()}
+    counts = {i: (r.n_assign, r.n_access, r.n_hex) for i, r in found.items()}
+    assert counts == {1: (2, 1, 1), 2: (0, 1, 0), 3: (0, 0, 2), 4: (0, 0, 0)}
+    assert all(r.base_sha256 == hashlib.sha256(text_of(base_spans(texts[i])).encode()).hexdigest() for i, r in found.items())
+
+
 def test_an_empty_table_gives_an_empty_frame(spark):
     assert scan_secrets(documents(spark, [])).count() == 0
     assert [list(r) for r in scan_secrets(documents(spark, [(1, None)])).collect()] == [[1, [], []]]
