@@ -69,6 +69,8 @@ def classify(df: DataFrame, message: str, patterns: list[tuple] = ERROR_PATTERNS
 
 #: Characters of the grams that patterns are filed under.
 GRAM = 3
+#: Filed patterns go to every task up to about so many bytes; beyond it they and the messages' grams are shuffled.
+BROADCAST_BYTES = 32 << 20
 # What ``necessary_literals`` does not read: escapes that take more than one letter, and a bracket right after another.
 UNREAD = re.compile(r"\\[^dDwWsSbBhHvVRAZzGntrfae\W_]|\[\^?\]")
 CLOSES = {"(": ")", "[": "]"}
@@ -137,9 +139,16 @@ def classify_by_table(df: DataFrame, message: str, patterns: DataFrame) -> DataF
     message meets only the patterns filed under its own grams, whose match is then verified. Patterns that need
     no text at all are tried on every message. Each distinct message takes its first match. Priority and pattern must be
     given; a pattern without type or description takes the default's.
+
+    The sides of the joins are told, as Spark takes the grams of the messages for no larger than their files and would broadcast
+    them: the filed patterns are broadcast up to BROADCAST_BYTES, the grams of messages never.
     """
     table = patterns.select(*PATTERN_SCHEMA.fieldNames())
-    if not table.where("prio IS NULL OR pattern IS NULL").isEmpty():
+    alternatives = F.regexp_count("pattern", F.lit(r"\|")).cast("long") + 1
+    width = 64 + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in table.columns[1:]), F.octet_length("pattern"))
+    missing = F.col("prio").isNull() | F.col("pattern").isNull()
+    told = table.agg(F.count_if(missing).alias("bad"), F.sum(alternatives * width).alias("bytes")).first()
+    if told.bad:
         raise ValueError("an error pattern needs both a priority and a pattern")
     texts = df.select(F.col(message).alias("_message")).where("_message IS NOT NULL").distinct()
     literals = F.udf(necessary_literals, "array<array<string>>", useArrow=True)
@@ -150,10 +159,10 @@ def classify_by_table(df: DataFrame, message: str, patterns: DataFrame) -> DataF
     filed = filed.select("_pattern", "_alternative", F.explode("_texts").alias("_text"))
     filed = filed.select("_pattern", "_alternative", "_text", F.explode(_grams(F.col("_text"))).alias("_gram"))
     counts = found.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = filed.join(counts, "_gram").groupBy("_pattern", "_alternative").agg(
+    rarest = filed.join(counts.hint("merge"), "_gram").groupBy("_pattern", "_alternative").agg(
         F.min(F.struct("_n", "_gram", "_text")).alias("_rarest"))
     rarest = rarest.select("_pattern", "_rarest._gram", "_rarest._text")
-    met = found.join(rarest, "_gram").where(F.contains("_message", "_text") & F.expr("_message RLIKE _pattern.pattern"))
+    met = found.join(rarest.hint("broadcast" if (told.bytes or 0) <= BROADCAST_BYTES else "merge"), "_gram").where(F.contains("_message", "_text") & F.expr("_message RLIKE _pattern.pattern"))
     best = met.select("_message", "_pattern")
 
     rest = read.where("_literals IS NULL").agg(F.array_sort(F.collect_list("_pattern")).alias("patterns"))

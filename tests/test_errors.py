@@ -136,3 +136,18 @@ def test_no_pattern_meets_every_message(spark):
     df = spark.createDataFrame([("ORA-01 x",)], "message string")
     plan = classify_by_table(df, "message", table)._jdf.queryExecution().optimizedPlan().toString()
     assert "Cross" not in plan and "Join Inner, (_gram" in plan
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_messages_are_never_broadcast(spark, tmp_path, monkeypatch, most):
+    """Their files are small, as they compress well; their grams are not."""
+    if most is not None:
+        monkeypatch.setattr("millrace.functions.errors.BROADCAST_BYTES", most)
+    spark.range(3000).selectExpr("id", "concat('ORA-', id % 50, ': order ', id) AS message").write.parquet(f"{tmp_path}/m")
+    table = spark.range(50).selectExpr("CAST(id AS INT) AS prio", "concat('ORA-', id, ': order') AS pattern", "'A' AS error_type", "'d' AS description")
+    table.write.parquet(f"{tmp_path}/p")
+    found = classify_by_table(spark.read.parquet(f"{tmp_path}/m"), "message", spark.read.parquet(f"{tmp_path}/p"))
+    plan = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", plan)
+    assert len(sent) == (most is None) and not any("_message" in columns for columns in sent)
+    assert found.where("error_type = 'A'").count() == 3000
