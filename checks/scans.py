@@ -48,10 +48,10 @@ def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Splits of the lines by skewed keys: the parts that each line is in, and whether its part is within 1.5 times the mean.
 
-    The keys: powers with a third of all rows in one value and some null, and a date.
+    The keys: powers with a third of all rows in one value and some null, and a date. Powers of large keys are beyond a long.
     """
     lines = f"(SELECT *, pmod(xxhash64(l_orderkey, l_linenumber, l_partkey), {DEALT}) AS {ROW_COLUMN} FROM parquet.`{sf_dir}/lineitem.parquet`)"
-    keys = {"power": "CASE WHEN l_orderkey % 3 = 0 THEN 5 WHEN l_orderkey % 11 > 0 THEN l_orderkey * l_orderkey * l_orderkey END",
+    keys = {"power": "CASE WHEN l_orderkey % 3 = 0 THEN 5 WHEN l_orderkey % 11 > 0 THEN CAST(l_orderkey AS DOUBLE) * l_orderkey * l_orderkey END",
             "shipped": "l_shipdate"}
     found = None
     for name, key in keys.items():
@@ -61,7 +61,8 @@ def split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         dealt = split.withColumn("parts", F.filter(F.array(*[F.when(F.expr(p), i) for i, p in enumerate(parts)]), F.isnotnull))
         sizes = dealt.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
         even = sizes.select("part", (F.col("n") * len(parts) <= 1.5 * sizes.agg(F.sum("n")).scalar()).alias("even"))
-        one = dealt.join(even, F.col("parts")[0] == F.col("part")).select(
+        # A row per part; left to itself, Spark may broadcast the lines.
+        one = dealt.join(F.broadcast(even), F.col("parts")[0] == F.col("part")).select(
             F.lit(name).alias("key"), "l_orderkey", "l_linenumber", F.size("parts").alias("n_parts"), "even")
         found = one if found is None else found.unionAll(one)
     return found

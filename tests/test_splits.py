@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 
+from checks.scans import QUERIES
 from millrace.sources.dialects import Dialect, number_literal
 from millrace.sources.splits import DEALT, ROW_COLUMN, SPLIT_COLUMN, Histogram, cuts_between, even_parts
 
@@ -84,3 +86,16 @@ def test_cuts():
     assert cuts_between(Decimal("0.5"), Decimal("1.5"), 2) == [Decimal("1.0"), Decimal("1.5")]
     day = datetime(2024, 1, 1)
     assert cuts_between(day, day + timedelta(seconds=2, microseconds=5), 9) == [day + timedelta(seconds=s) for s in (1, 2)]
+
+
+def test_split_plan_of_large_keys(spark, tmp_path):
+    """Powers of keys beyond 2,097,151 are beyond a long."""
+    lines = spark.range(6000).selectExpr("id * 1501 AS l_orderkey", "CAST(id % 7 AS INT) AS l_linenumber", "id AS l_partkey",
+                                         "CAST(DATE_ADD(DATE '1995-01-01', CAST(id % 900 AS INT)) AS TIMESTAMP_NTZ) AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = QUERIES["split_plan"](spark, str(tmp_path))
+    found = plan.groupBy("key", "n_parts", "even").count().collect()
+    told = plan._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", told)
+    assert len(sent) == 2 and not any("l_orderkey" in columns for columns in sent)  # no lines
+    assert sorted(map(tuple, found)) == [("power", 1, True, 6000), ("shipped", 1, True, 6000)]
