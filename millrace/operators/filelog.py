@@ -2,7 +2,8 @@
 
 An addition is written in a folder of its own and its one file then moved into the table, so several writers do not disturb
 each other. Compaction writes a new file from the files that it has read and removes just these; an addition made meanwhile
-is in none of them. Rows may so be there twice for a moment, or after a crash; readers must not mind.
+is in none of them. Rows may so be there twice for a moment, or after a crash; readers must not mind. Rows that hold each by
+itself may be added as several files, so that none passes one task whole.
 """
 
 from __future__ import annotations
@@ -61,14 +62,18 @@ def typed_as(rows: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def add(rows: DataFrame, table: str) -> None:
-    """Adds a few rows to a file table without partitions, as one file: all of them or none."""
+def add(rows: DataFrame, table: str, whole: bool = True) -> None:
+    """Adds a few rows to a file table without partitions, as one file: all of them or none.
+
+    Without ``whole`` any number of rows: each of their partitions is a file, and the files come one after the other.
+    """
     spark = rows.sparkSession
     (folder, fmt), name = place(spark, table), uuid.uuid4().hex
     if fmt not in FILE_FORMATS:
         raise ValueError(f"{table} is no table of files")
     own = f"{folder}/{ADDED}/{name}"
-    typed_as(rows, spark.table(table).schema).coalesce(1).write.format(fmt).save(own)
+    typed = typed_as(rows, spark.table(table).schema)
+    (typed.coalesce(1) if whole else typed).write.format(fmt).save(own)
     fs, new_path = file_system(spark, folder)
     for i, path in enumerate(matching_files(spark, f"{own}/*")):
         if not fs.rename(new_path(path), new_path(f"{folder}/add-{name}-{i}.{fmt}")):
@@ -78,18 +83,18 @@ def add(rows: DataFrame, table: str) -> None:
 
 
 def compact(spark: SparkSession, table: str, most: int, merge: Callable[[DataFrame], DataFrame],
-            progress: Callable[[str], None] = lambda step: None) -> bool:
-    """Writes the rows of a table of more than ``most`` files as one new file, and removes the files that it has read.
+            progress: Callable[[str], None] = lambda step: None, whole: bool = True) -> bool:
+    """Writes the rows of a table of more than ``most`` additions as one new addition, and removes the files that it has read.
 
-    ``merge`` says which rows go on. ``progress`` is told the steps: read, written, removed.
+    ``merge`` says which rows go on, ``whole`` whether as one file. ``progress`` is told the steps: read, written, removed.
     """
     folder, fmt = place(spark, table)
     files = matching_files(spark, f"{folder}/*") if fmt in FILE_FORMATS else []
-    if len(files) <= most:
+    if len({path.rsplit("-", 1)[0] for path in files}) <= most:
         return False
     rows = spark.read.schema(spark.table(table).schema).format(fmt).load(files)
     progress("read")
-    add(merge(rows), table)
+    add(merge(rows), table, whole)
     progress("written")
     remove(spark, files)
     spark.catalog.refreshTable(table)

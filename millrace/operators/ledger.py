@@ -20,6 +20,8 @@ LEDGER_PARTITIONS = ["batch_id", "run_id"]
 STATE_ORDER = ["batch_id", "run_id", "status", "spark_app_id"]
 # The latest state of a job.
 STATE_SCHEMA = T.StructType([LEDGER_SCHEMA[name] for name in ("run_group", "job_id", "start_time", *STATE_ORDER)])
+# The property of a table of states that has all of its ledger's history.
+HISTORY_READ = "millrace.history_read"
 
 
 def with_run(df: DataFrame, run: RunContext) -> DataFrame:
@@ -167,25 +169,29 @@ def state_table(ledger_table: str) -> str:
 
 
 def note_states(rows: DataFrame, table: str, fmt: str = "parquet", most: int = 64) -> None:
-    """Adds the states of ledger rows to a table of states, as one file.
+    """Adds the states of ledger rows to a table of states, as one file, or several where they are many.
 
-    Of several rows of a job the latest counts, in whatever order they came. Beyond ``most`` files the table shrinks to one row
-    per job, so it follows the number of jobs, not of runs.
+    Of several rows of a job the latest counts, in whatever order they came, so files may come one after the other and again.
+    Beyond ``most`` additions the table shrinks to one row per job, so it follows the number of jobs, not of runs.
     """
     spark = rows.sparkSession
     create_table(spark, table, STATE_SCHEMA, fmt, [])
     if fmt in ATOMIC_FORMATS:
         insert(latest_states(rows), table)
         return
-    add(latest_states(rows), table)
-    compact(spark, table, most, latest_states)
+    add(latest_states(rows), table, whole=False)
+    compact(spark, table, most, latest_states, whole=False)
 
 
 def ensure_states(spark: SparkSession, ledger_table: str, fmt: str = "parquet") -> None:
-    """The states of a ledger's jobs; for a ledger that has none yet, read once from its history."""
+    """The states of a ledger's jobs; until that is marked as done, read from its history, which adding twice does not change."""
     table = state_table(ledger_table)
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(ledger_table):
-        note_states(spark.table(ledger_table), table, fmt)
+    if not spark.catalog.tableExists(ledger_table):
+        return
+    if spark.catalog.tableExists(table) and not spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == HISTORY_READ).isEmpty():
+        return
+    note_states(spark.table(ledger_table), table, fmt)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{HISTORY_READ}' = 'Y')")
 
 
 def jobs_to_rerun(config: DataFrame, ledger: DataFrame, run_group: str, since: str | None = None) -> DataFrame:

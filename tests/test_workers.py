@@ -115,3 +115,36 @@ def test_states_of_an_older_ledger_are_read_once(spark):
     write_ledger(states(spark, [("J1", "daily", "1", "FAILED", 1), ("J1", "daily", "2", "COMPLETED", 2)]), ledger)
     ensure_states(spark, ledger)
     assert [(r.job_id, r.status) for r in spark.table(state_table(ledger)).collect()] == [("J1", "COMPLETED")]
+
+
+def test_many_states_pass_several_tasks(spark):
+    """Without coalescing every partition of the states is a file; no task takes all of them."""
+    table = scratch_table(spark, "states")
+    runs = [[(f"J{i}", "daily", str(b), "FAILED" if (i + b) % 3 else "COMPLETED", b) for i in range(200)] for b in (1, 3, 2)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for rows in runs:
+            note_states(states(spark, rows), table, most=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spark.table(table).inputFiles()) > 1 and spark.table(table).count() == 200
+    assert {r.job_id for r in jobs_failed_last(spark.table(table), "daily").collect()} == {f"J{i}" for i in range(200) if i % 3}
+    note_states(states(spark, runs[0]), table, most=2)  # two additions, of however many files
+    assert spark.table(table).count() == 400
+
+
+def test_a_history_that_was_read_in_part_is_read_again(spark, monkeypatch):
+    ledger = scratch_table(spark, "ledger")
+    write_ledger(states(spark, [(f"J{i}", "daily", "1", "FAILED", 1) for i in range(4)]), ledger)
+
+    def die(rows, table, fmt):
+        note_states(rows.where("job_id = 'J1'"), table, fmt)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr("millrace.operators.ledger.note_states", die)
+    with pytest.raises(KeyboardInterrupt):
+        ensure_states(spark, ledger)
+    monkeypatch.undo()
+    ensure_states(spark, ledger)
+    ensure_states(spark, ledger)
+    assert latest_states(spark.table(state_table(ledger))).count() == 4 and spark.table(state_table(ledger)).count() == 5
