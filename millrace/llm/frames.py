@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.session import shared_dir
+from millrace.session import scratch_table, shared_dir
 
 #: A broadcast is allowed up to so many rows of a few words each; beyond it a join shuffles.
 BROADCAST_ROWS = 200_000
@@ -14,15 +17,40 @@ BROADCAST_ROWS = 200_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def saved(df: DataFrame, purpose: str, partition_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
-    """Cuts the lineage: the frame written to the cluster's shared folder and read again."""
+def saved(df: DataFrame, purpose: str, partition_by: list[str] | None = None, codec: str | None = None,
+          level: int = 3) -> DataFrame:
+    """Cuts the lineage: the frame written to the cluster's shared folder and read again. ``level`` is that of zstd."""
     path = shared_dir(df.sparkSession, purpose)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer = writer.option("compression", codec) if codec else writer
+    writer = writer.option("compression", codec).option("parquet.compression.codec.zstd.level", level) if codec else writer
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_in_place(df: DataFrame, purpose: str, part: str, level: int = 3) -> DataFrame:
+    """As ``saved``, with the rows bucketed by ``part``, the number of their partition, so that no row is moved for it.
+
+    Each partition is one file of one bucket. A join on part and other columns then moves only its other side,
+    if it is planned within ``co_partitioned``.
+    """
+    spark, table = df.sparkSession, scratch_table(df.sparkSession, purpose)
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), part).option("compression", "zstd")
+    writer.option("parquet.compression.codec.zstd.level", level).saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Joins planned within accept sides that are both dealt by only some of the join's keys."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint, given only where the counted rows are few."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -7,18 +7,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.frames import running_total, saved, small, text_key
-from millrace.llm.tokens import mixed, pieces, text_bytes, word_bounds
+from millrace.llm.frames import BROADCAST_ROWS, co_partitioned, running_total, saved, saved_in_place, small, text_key
+from millrace.llm.tokens import groups, mixed, pieces, text_bytes, word_bounds
 
 BLOCK_WORDS = 256
 SLOTS_PER_SHARD = 4096
 #: Slots that one row unfolds to before they are dealt out again.
 CHUNK = 1 << 14
+#: Bytes of cut words that a task holds before it packs them, shard by shard.
+HELD = 1 << 25
+ZSTD_LEVEL = 6
 ROUNDS = 4
 
 
@@ -96,11 +100,12 @@ def mix_sources(
     repeated rows are rows of their own; an empty table gives empty frames.
     """
     text = F.col(text_col)
-    docs = saved(docs.select(
-        F.monotonically_increasing_id().alias("row"),
+    docs = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("part"),
         F.col(id_col).cast("long").alias("rid"), *text_key(text), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
-        *([text.alias("text")] if pack else [])), "sizes", codec="zstd")
+        *([text.alias("text")] if pack else []))
+    docs = saved_in_place(docs, "sizes", "part", ZSTD_LEVEL) if pack else saved(docs, "sizes", codec="zstd")
     texts, docs = docs, docs.drop("text")
     plan = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     plan = saved(plan.withColumns({
@@ -115,7 +120,8 @@ def mix_sources(
     cuts = saved(_cuts(rows, slots, block_words), "cuts")
     held = cuts
     if pack:
-        slots = saved(_packed(texts, cuts, seed), "mixed", codec="zstd")
+        with co_partitioned(texts.sparkSession):
+            slots = saved(_packed(texts, cuts, seed), "mixed", codec="zstd", level=ZSTD_LEVEL)
         held = slots.select(F.inline("pieces"))
     taken = held.groupBy(F.col("row").alias("r")).agg(F.sum("n").alias("taken"))
     joined = rows.join(taken, rows["row"] == taken.r, "left")
@@ -127,20 +133,46 @@ def mix_sources(
 def _cuts(rows: DataFrame, slots: DataFrame, block_words: int) -> DataFrame:
     """What each slot takes of each document: ``n`` words after its first ``skip``, put at place ``at`` of the slot."""
     first, last = F.expr(f"before div {block_words}"), F.expr(f"(before + size - 1) div {block_words}")
-    spans = rows.where("size > 0").select("row", "number", "before", "size", F.explode(F.sequence(first, last)).alias("block"))
+    spans = rows.where("size > 0").select(
+        "row", "part", "number", "before", "size", F.explode(F.sequence(first, last)).alias("block"))
     start = F.greatest(F.lit(0), F.col("before") - F.col("block") * block_words)
     end = F.least(F.lit(block_words), F.col("before") + F.col("size") - F.col("block") * block_words)
     used = spans.join(slots, ["number", "block"]).withColumns({
         "at": start, "skip": F.col("block") * block_words + start - F.col("before"),
         "n": F.least(end, F.col("words")) - start})
-    return used.where("n > 0").select(*slots.columns, "row", "at", "skip", "n")
+    return used.where("n > 0").select(*slots.columns, "row", "part", "at", "skip", "n")
 
 
 def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
-    """The slots with their words: each text is cut once, and the cuts meet in their shard."""
+    """The slots with their words: each text is cut once, where it lies, and the cuts meet in their shard.
+
+    Only the cuts are dealt to the texts' parts, and only packed words to the shards: each row holds what a task
+    has cut for one shard, as a compressed batch of Arrow. A shard is about ``SLOTS_PER_SHARD`` blocks, however large
+    the table, and is put in order by itself.
+    """
     slot = ["shard", "number", "epoch", "slot", "block", "words"]
+    numbers = [*slot, "at", "n", "row"]
+    layout = pa.schema([*[(c, pa.int64()) for c in numbers], ("text", pa.large_binary())])
+    kinds = dict(cuts.dtypes)
+    made_of = pa.schema([
+        *[(c, pa.int32() if kinds[c] == "int" else pa.int64()) for c in slot], ("text", pa.string()),
+        ("pieces", pa.list_(pa.struct([("row", pa.int64()), ("n", pa.int64())])))])
+
+    def bundles(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        table = table.take(pa.array(np.argsort(table.column("shard").to_numpy(), kind="stable"))).combine_chunks()
+        shards = table.column("shard").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]]))
+        batch, zstd, sizes, whole = table.to_batches()[0], pa.Codec("zstd", ZSTD_LEVEL), [], []
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(shards)], strict=True):
+            raw = batch.slice(i, j - i).serialize()
+            sizes.append(raw.size)
+            whole.append(zstd.compress(raw, asbytes=True))
+        return pa.RecordBatch.from_pydict({
+            "shard": pa.array(shards[starts]), "size": pa.array(sizes, pa.int64()), "bundle": pa.array(whole, pa.binary())})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for piece in pieces(batch):
                 data, offsets = text_bytes(piece.column("text"))
@@ -151,20 +183,49 @@ def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
                 low = firsts[owner] + fields["skip"].to_numpy()
                 begin, stop = starts[low], ends[low + fields["n"].to_numpy() - 1]
                 words = [data[i:j].tobytes() for i, j in zip(begin.tolist(), stop.tolist(), strict=True)]
-                yield pa.RecordBatch.from_pydict({
-                    **{k: v for k, v in fields.items() if k != "skip"},
-                    "row": piece.column("row").take(pa.array(owner)), "text": pa.array(words, pa.binary()).view(pa.string())})
+                found = fields | {"row": piece.column("row").take(pa.array(owner)), "text": pa.array(words, pa.large_binary())}
+                held.append(pa.RecordBatch.from_pydict({c: found[c].cast(layout.field(c).type) for c in layout.names}, layout))
+                size += int((stop - begin).sum())
+                if size >= HELD:
+                    yield bundles(held)
+                    held, size = [], 0
+        if held:
+            yield bundles(held)
 
-    wanted = cuts.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct(*slot, "at", "skip", "n")).alias("cuts"))
-    wanted = small(wanted, cuts.count())
-    held = texts.select("row", "text").join(wanted, F.col("row") == F.col("r")).drop("r")
-    kinds = dict(cuts.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*slot, "at", "n", "row"]) + ", text string"
-    dealt = held.mapInArrow(cut, schema).repartition("shard")
-    blocks = dealt.groupBy(*slot).agg(F.array_sort(F.collect_list(F.struct("at", "row", "n", "text"))).alias("parts"))
-    return blocks.sortWithinPartitions("shard", F.xxhash64(F.lit(seed + 1), "number", "epoch", "slot")).select(
-        *slot, F.concat_ws("\n", F.col("parts.text")).alias("text"),
-        F.transform("parts", lambda p: F.struct(p["row"].alias("row"), p["n"].alias("n"))).alias("pieces"))
+    def whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = pa.Codec("zstd")
+        for group in groups(batches, ("shard",)):
+            parts = pa.Table.from_batches([
+                pa.ipc.read_record_batch(zstd.decompress(b.as_buffer(), decompressed_size=n.as_py()), layout)
+                for b, n in zip(group.column("bundle"), group.column("size"), strict=True)])
+            key = {c: parts.column(c).to_numpy() for c in ("number", "epoch", "slot", "at")}
+            drawn = _round_key(seed + 1, key["number"], key["epoch"], key["slot"])
+            order = np.lexsort((key["at"], key["slot"], key["epoch"], key["number"], drawn))
+            parts = parts.take(pa.array(order)).combine_chunks()
+            same = np.ones(len(order), dtype=bool)
+            same[0] = False
+            for c in ("number", "epoch", "slot"):
+                same[1:] &= key[c][order][1:] == key[c][order][:-1]
+            starts = np.flatnonzero(~same)
+            column = {c: parts.column(c).combine_chunks() for c in layout.names}
+            ends = pa.array(np.append(starts, len(order)), pa.int64())
+            text = pc.binary_join(pa.LargeListArray.from_arrays(ends, column["text"]), pa.scalar(b"\n", pa.large_binary()))
+            held = pa.StructArray.from_arrays([column["row"], column["n"]], ["row", "n"])
+            made = pa.RecordBatch.from_pydict({
+                **{c: column[c].take(pa.array(starts)) for c in slot}, "text": text.view(pa.large_string()),
+                "pieces": pa.LargeListArray.from_arrays(ends, held)})
+            for run in pieces(made):
+                yield run.cast(made_of)
+
+    wanted = cuts.repartition("part").groupBy("part", F.col("row").alias("r")).agg(
+        F.collect_list(F.struct(*slot, "at", "skip", "n")).alias("cuts"))
+    n = cuts.count()
+    wanted = small(wanted, n) if n <= BROADCAST_ROWS else wanted.hint("shuffle_hash")
+    held = texts.select("part", "row", "text").join(wanted.withColumnRenamed("part", "p"), (F.col("part") == F.col("p")) & (
+        F.col("row") == F.col("r"))).select("row", "text", "cuts")
+    dealt = held.mapInArrow(cut, "shard long, size long, bundle binary").repartition("shard").sortWithinPartitions("shard")
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in slot) + ", text string, pieces array<struct<row: long, n: long>>"
+    return dealt.mapInArrow(whole_shards, schema)
 
 
 def _slots(plan: DataFrame, seed: int, block_words: int) -> DataFrame:

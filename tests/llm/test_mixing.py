@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -8,7 +9,7 @@ from conftest import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import mixing
+from millrace.llm import frames, mixing
 from millrace.llm.frames import text_key
 from millrace.llm.mixing import mix_sources, permuted, targets
 
@@ -98,6 +99,31 @@ def test_slots_hold_the_words_of_their_blocks(spark, awkward, block):
     assert bare.count() == len(slots) and "text" not in bare.columns
 
 
+def test_no_text_is_dealt_as_it_stands(spark, awkward, monkeypatch):
+    """Only cuts go to the texts, and only packed words to the shards, several bundles for each; nothing else changes."""
+    docs = documents(spark, [(i, t, f"s{(i or 0) % 3}") for i, t in awkward])
+    key = lambda s: (s.number, s.epoch, s.slot)
+    value = lambda s: (*key(s), s.shard, s.block, s.words, s.text, [(p.row, p.n) for p in s.pieces])
+    docs = frames.saved(docs, "given")
+    at_once = [value(s) for s in sorted(mix_sources(docs, block_words=7)[1].collect(), key=key)]
+    plans, real = [], mixing.saved
+
+    def noted(df, purpose, *args, **options):
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        plans.append(plan) if purpose == "mixed" else None
+        return real(df, purpose, *args, **options)
+
+    monkeypatch.setattr(mixing, "saved", noted)
+    monkeypatch.setattr(frames, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0, raising=False)
+    monkeypatch.setattr(mixing, "HELD", 1000, raising=False)
+    slots = mix_sources(docs, block_words=7)[1]
+    dealt = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plans[0])
+    assert len(dealt) == 2 and not any("text#" in columns for columns in dealt)
+    assert [value(s) for s in sorted(slots.collect(), key=key)] == at_once
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
 def test_shards_hold_all_sources(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 100)
     rows = [(i, "a b c d " * 10, f"s{i % 3}") for i in range(600)]
