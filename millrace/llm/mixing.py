@@ -23,6 +23,8 @@ CHUNK = 1 << 14
 #: Bytes of cut words that a task holds before it packs them, shard by shard.
 HELD = 1 << 25
 ZSTD_LEVEL = 6
+#: Neighbouring shards share their bundles, up to so many, once there are this many bundles without it.
+SHARED, BUNDLES = 8, 128
 ROUNDS = 4
 
 
@@ -147,8 +149,9 @@ def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
     """The slots with their words: each text is cut once, where it lies, and the cuts meet in their shard.
 
     Only the cuts are dealt to the texts' parts, and only packed words to the shards: each row holds what a task
-    has cut for one shard, as a compressed batch of Arrow. A shard is about ``SLOTS_PER_SHARD`` blocks, however large
-    the table, and is put in order by itself.
+    has cut for a shard, as a compressed batch of Arrow. Of many shards a task cuts little for each, which would
+    compress badly, so up to ``SHARED`` neighbours go together. A shard is about ``SLOTS_PER_SHARD`` blocks, however
+    large the table, so what a task puts in order at once does not grow.
     """
     slot = ["shard", "number", "epoch", "slot", "block", "words"]
     numbers = [*slot, "at", "n", "row"]
@@ -159,17 +162,18 @@ def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
         ("pieces", pa.list_(pa.struct([("row", pa.int64()), ("n", pa.int64())])))])
 
     def bundles(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
+        table = pa.Table.from_batches(held)
+        held.clear()
         table = table.take(pa.array(np.argsort(table.column("shard").to_numpy(), kind="stable"))).combine_chunks()
-        shards = table.column("shard").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]]))
+        deals = table.column("shard").to_numpy() // together
+        starts = np.flatnonzero(np.concatenate([[True], deals[1:] != deals[:-1]]))
         batch, zstd, sizes, whole = table.to_batches()[0], pa.Codec("zstd", ZSTD_LEVEL), [], []
-        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(shards)], strict=True):
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(deals)], strict=True):
             raw = batch.slice(i, j - i).serialize()
             sizes.append(raw.size)
             whole.append(zstd.compress(raw, asbytes=True))
         return pa.RecordBatch.from_pydict({
-            "shard": pa.array(shards[starts]), "size": pa.array(sizes, pa.int64()), "bundle": pa.array(whole, pa.binary())})
+            "deal": pa.array(deals[starts]), "size": pa.array(sizes, pa.int64()), "bundle": pa.array(whole, pa.binary())})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -184,23 +188,25 @@ def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
                 begin, stop = starts[low], ends[low + fields["n"].to_numpy() - 1]
                 words = [data[i:j].tobytes() for i, j in zip(begin.tolist(), stop.tolist(), strict=True)]
                 found = fields | {"row": piece.column("row").take(pa.array(owner)), "text": pa.array(words, pa.large_binary())}
-                held.append(pa.RecordBatch.from_pydict({c: found[c].cast(layout.field(c).type) for c in layout.names}, layout))
+                # Copies, as a slice would keep its whole batch.
+                copied = {c: pa.array(np.array(found[c]).astype(np.int64)) for c in numbers}
+                held.append(pa.RecordBatch.from_pydict(copied | {"text": found["text"]}, layout))
                 size += int((stop - begin).sum())
                 if size >= HELD:
                     yield bundles(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield bundles(held)
 
     def whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zstd = pa.Codec("zstd")
-        for group in groups(batches, ("shard",)):
+        for group in groups(batches, ("deal",)):
             parts = pa.Table.from_batches([
                 pa.ipc.read_record_batch(zstd.decompress(b.as_buffer(), decompressed_size=n.as_py()), layout)
                 for b, n in zip(group.column("bundle"), group.column("size"), strict=True)])
-            key = {c: parts.column(c).to_numpy() for c in ("number", "epoch", "slot", "at")}
+            key = {c: parts.column(c).to_numpy() for c in ("shard", "number", "epoch", "slot", "at")}
             drawn = _round_key(seed + 1, key["number"], key["epoch"], key["slot"])
-            order = np.lexsort((key["at"], key["slot"], key["epoch"], key["number"], drawn))
+            order = np.lexsort((key["at"], key["slot"], key["epoch"], key["number"], drawn, key["shard"]))
             parts = parts.take(pa.array(order)).combine_chunks()
             same = np.ones(len(order), dtype=bool)
             same[0] = False
@@ -219,11 +225,12 @@ def _packed(texts: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
 
     wanted = cuts.repartition("part").groupBy("part", F.col("row").alias("r")).agg(
         F.collect_list(F.struct(*slot, "at", "skip", "n")).alias("cuts"))
-    n = cuts.count()
+    n, last = cuts.agg(F.count(F.lit(1)), F.coalesce(F.max("shard"), F.lit(0))).first()
+    together = max(1, min(SHARED, (last + 1) // BUNDLES))
     wanted = small(wanted, n) if n <= BROADCAST_ROWS else wanted.hint("shuffle_hash")
     held = texts.select("part", "row", "text").join(wanted.withColumnRenamed("part", "p"), (F.col("part") == F.col("p")) & (
         F.col("row") == F.col("r"))).select("row", "text", "cuts")
-    dealt = held.mapInArrow(cut, "shard long, size long, bundle binary").repartition("shard").sortWithinPartitions("shard")
+    dealt = held.mapInArrow(cut, "deal long, size long, bundle binary").repartition("deal").sortWithinPartitions("deal")
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in slot) + ", text string, pieces array<struct<row: long, n: long>>"
     return dealt.mapInArrow(whole_shards, schema)
 

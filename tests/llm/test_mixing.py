@@ -8,6 +8,7 @@ import pytest
 from conftest import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.llm import frames, mixing
 from millrace.llm.frames import text_key
@@ -105,6 +106,7 @@ def test_no_text_is_dealt_as_it_stands(spark, awkward, monkeypatch):
     key = lambda s: (s.number, s.epoch, s.slot)
     value = lambda s: (*key(s), s.shard, s.block, s.words, s.text, [(p.row, p.n) for p in s.pieces])
     docs = frames.saved(docs, "given")
+    monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 512)
     at_once = [value(s) for s in sorted(mix_sources(docs, block_words=7)[1].collect(), key=key)]
     plans, real = [], mixing.saved
 
@@ -117,10 +119,13 @@ def test_no_text_is_dealt_as_it_stands(spark, awkward, monkeypatch):
     monkeypatch.setattr(frames, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0, raising=False)
     monkeypatch.setattr(mixing, "HELD", 1000, raising=False)
+    monkeypatch.setattr(mixing, "BUNDLES", 1, raising=False)
     slots = mix_sources(docs, block_words=7)[1]
     dealt = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plans[0])
     assert len(dealt) == 2 and not any("text#" in columns for columns in dealt)
     assert [value(s) for s in sorted(slots.collect(), key=key)] == at_once
+    files = [r[0] for r in slots.select("shard", F.input_file_name()).distinct().collect()]
+    assert len(files) == len(set(files)) > 8
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
 
 
