@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,6 +14,9 @@ from millrace.session import scratch_table, shared_dir
 #: A broadcast is allowed up to so many rows of a few words each; beyond it a join shuffles.
 BROADCAST_ROWS = 200_000
 
+#: Bytes of rows that go to a Python process at once; of long texts, Spark's own number of rows would hold many times this.
+BATCH_BYTES = 1 << 22
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -23,7 +26,8 @@ def saved(df: DataFrame, purpose: str, partition_by: list[str] | None = None, co
     path = shared_dir(df.sparkSession, purpose)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer = writer.option("compression", codec).option("parquet.compression.codec.zstd.level", level) if codec else writer
-    writer.parquet(path)
+    with small_batches(df.sparkSession):
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -40,17 +44,25 @@ def saved_in_place(df: DataFrame, purpose: str, part: str, level: int = 3) -> Da
 
 
 @contextmanager
-def co_partitioned(spark: SparkSession) -> Iterator[None]:
-    """Joins planned within accept sides that are both dealt by only some of the join's keys."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
+def _set_within(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def co_partitioned(spark: SparkSession) -> AbstractContextManager[None]:
+    """Joins planned within accept sides that are both dealt by only some of the join's keys."""
+    return _set_within(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """What runs within gives Python its rows in batches of about ``BATCH_BYTES``; an executor holds one or two of each task."""
+    return _set_within(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint, given only where the counted rows are few."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import identified, min_labels, same_row, saved, small
+from millrace.llm.frames import identified, min_labels, same_row, saved, small, small_batches
 from millrace.llm.tokens import groups, mixed, pieces, shingle_sets
 
 BUCKETS, CHUNK = 1 << 20, 1 << 10
@@ -76,7 +76,9 @@ def gram_counts(docs: DataFrame, k: int) -> np.ndarray:
     schema = "chunk int, counts binary"
     counted = docs.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
     table = np.zeros(BUCKETS, dtype=np.uint32)
-    for r in counted.collect():
+    with small_batches(docs.sparkSession):
+        found = counted.collect()
+    for r in found:
         table[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.counts, dtype=np.uint32)
     return table
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import saved, small, text_key
+from millrace.llm.frames import saved, small, small_batches, text_key
 from millrace.llm.tokens import doc_words, pieces, text_bytes, word_bounds
 from millrace.llm.toxicity import fit_curve
 
@@ -79,7 +79,8 @@ def fit_documents(docs: DataFrame, labels: DataFrame, label_col: str, fit_rows:
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1])
                 yield pa.RecordBatch.from_pydict({"x": lists.cast(pa.list_(pa.float64())), "y": piece.column("y")})
 
-    seen = rows.mapInArrow(shares, "x array<double>, y int").toPandas()
+    with small_batches(docs.sparkSession):
+        seen = rows.mapInArrow(shares, "x array<double>, y int").toPandas()
     width = _shares(pa.array([""])).shape[1]
     good = int(seen["y"].sum()) if len(seen) else 0
     if good in (0, len(seen)):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,7 +110,9 @@ def shard_documents(
         placed.append((p.part, min(shards - 1, int((seen + p.bytes / 2) * shards / total)), -(-p.rows // ROWS_PER_RUN)))
         seen += p.bytes
     spark = docs.sparkSession
-    places = spark.createDataFrame(placed, "part int, shard int, runs int")
+    # As an Arrow table, which the JVM reads itself: rows of a list would start Python processes on the executors.
+    columns = zip(*placed, strict=True) if placed else [[], [], []]
+    places = spark.createDataFrame(pa.table([pa.array(c, pa.int32()) for c in columns], ["part", "shard", "runs"]))
     rows = rows.withColumn("part", _range_of(bounds)).join(small(places, len(placed)), "part")
     rows = rows.withColumn("run", F.pmod(F.xxhash64("k2", "k3", "rid"), F.col("runs")).cast("int"))
     counts = rows.groupBy("shard", "part", "run").agg(F.count(F.lit(1)).alias("n"))

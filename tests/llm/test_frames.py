@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import ascii_lower, min_labels, running_total, without
+from millrace.llm.frames import ascii_lower, min_labels, running_total, saved, without
 
 
 def smallest(edges):
@@ -65,3 +66,16 @@ def test_without(spark):
     left = without(df, rows.where("rid = 1")).collect()
     assert {(r.doc_id, r.text) for r in left} >= {(None, "a"), (1, None), (1, "")}
     assert len(left) == 3
+
+
+def test_python_is_given_long_texts_in_small_batches(spark):
+    def told(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 1500, 1, 1).selectExpr("repeat('word ', 4000) AS text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = saved(texts.mapInArrow(told, "rows long, bytes long"), "batches").collect()
+    assert sum(r["rows"] for r in found) == 1500
+    assert max(r["bytes"] for r in found) < 5 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

@@ -6,11 +6,13 @@ from collections import Counter
 
 import pytest
 from conftest import documents
+from pyspark.sql import DataFrameWriter
 from test_mixing import shared_out
 from test_text_operators import components, split
 
 import corpus_pipeline
 from corpus_pipeline import STAGES
+from millrace.llm.frames import BATCH_BYTES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGE = dict(STAGES)
@@ -82,3 +84,28 @@ def test_run(spark, sf_dir):
     for shard in range(24):
         slots = sorted(r.slot for r in rows if r.shard == shard)
         assert slots == list(range(len(slots)))
+
+
+def test_python_stays_small_beside_the_jvm(spark, sf_dir, monkeypatch):
+    """Python runs only on bounded Arrow batches, and none is started to unpickle rows that the driver sends."""
+    kind, seen = type(spark.range(1)), []
+
+    def note(df):
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")
+        seen.append((any(x in plan for x in ("InArrow", "InPandas", "EvalPython")), int(limit), "ExistingRDD" in plan))
+
+    def noted(owner, name, frame):
+        real = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda self, *a, **b: (note(frame(self)), real(self, *a, **b))[1])
+
+    for name in ("collect", "toPandas", "count", "first", "isEmpty"):
+        noted(kind, name, lambda df: df)
+    noted(DataFrameWriter, "parquet", lambda writer: writer._df)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name in ("quality", "near_duplicates", "mixing", "sharding"):
+        note(STAGE[name](spark, docs, sf_dir))
+        assert not seen[-1][0], "the stage's own frame, which its caller runs, needs no Python"
+    assert sum(python for python, _, _ in seen) > 5
+    assert all(limit <= BATCH_BYTES for python, limit, _ in seen if python)
+    assert not any(unpickled for _, _, unpickled in seen)
